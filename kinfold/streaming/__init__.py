@@ -1,0 +1 @@
+"""Intentionally empty: every source is a finished survey round read as a batch."""
