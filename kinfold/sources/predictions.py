@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def model_name(name: str | None = None, prefix: str | None = None) -> str:
@@ -27,5 +28,8 @@ def store_predictions(predictions: DataFrame, path: str, features: Sequence[str]
 
 def load_predictions(spark: SparkSession, path: str, models: Sequence[str] | None = None) -> DataFrame:
     """Stored predictions; naming models reads only their partitions."""
-    stored = spark.read.parquet(path).withColumn("model_name", F.col("model_name").cast("string"))
+    # A name such as "01" must stay text although it comes from a folder name.
+    found = spark.read.parquet(path).schema
+    found = StructType([f if f.name != "model_name" else StructField("model_name", StringType()) for f in found])
+    stored = spark.read.schema(found).parquet(path)
     return stored.filter(F.col("model_name").isin(*models)) if models is not None else stored
