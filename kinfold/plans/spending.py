@@ -6,12 +6,12 @@ household lookups have one row per household too, so no later join meets a hot k
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.missing import group_total
+from kinfold.functions.missing import group_total, row_total
 from kinfold.functions.money import inflator, monthly, per_unit
 from kinfold.functions.recode import banded
 from kinfold.operators.groups import category_totals
@@ -76,12 +76,27 @@ def food_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, hou
 
 
 def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, amount: str,
-                    period: str, tag: str, month: str = "month") -> DataFrame:
-    """Deflated monthly spending on one recall period's items, one row per household."""
-    totals = items.groupBy(household).agg(group_total(F.col(amount).cast("double")).alias("period_total"))
-    name = f"total_exp_non_food_{tag}"
+                    tag: str, periods: Mapping[str, str], month: str = "month") -> DataFrame:
+    """Deflated monthly non-food spending per recall period, one row per household.
+
+    ``tag`` is the column telling which questionnaire part an item row comes from and
+    ``periods`` the recall period of each part. All parts are totalled in a single
+    aggregation; a part without any row of the household stays missing.
+    """
+    totals = items.groupBy(household).agg(*category_totals(tag, list(periods), amount, prefix="period_"))
     joined = merge(totals, scales, household, split_hot=False)
     if month != "month":
         joined = joined.withColumnRenamed(month, "month")
-    priced = with_inflator(joined, prices).withColumn(name, monthly("period_total", period))
-    return priced.select(household, F.col(name).alias(f"nonfood_exp_monthly_{tag}"), *per_unit([name], UNITS))
+    names = {t: f"total_exp_non_food_{t}" for t in periods}
+    priced = with_inflator(joined, prices).withColumns(
+        {names[t]: monthly(f"period_{t}", period) for t, period in periods.items()})
+    return priced.select(
+        household,
+        *[F.col(names[t]).alias(f"nonfood_exp_monthly_{t}") for t in periods],
+        *per_unit(list(names.values()), UNITS),
+    )
+
+
+def total_spending(food: str, parts: Sequence[str]) -> dict[str, Column]:
+    """Non-food and overall spending per equivalent adult; missing parts count as zero."""
+    return {"total_aes1_nonfood_exp_inf": row_total(*parts), "total_aes1_exp_inf": row_total(food, *parts)}
