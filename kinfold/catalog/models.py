@@ -1 +1,265 @@
+"""Model evaluation, comparison, rankings and stored predictions."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from kinfold.catalog.base import query, rounded_doubles
+from kinfold.catalog.shapes import SCORED_SQL, scored_documents
+from kinfold.operators import evaluate
+from kinfold.operators.ranking import feature_ranking, feature_ranks, flag_smallest_abs, sorted_importances
+from kinfold.plans.evaluation import evaluate_model
+from kinfold.session import shared_dir
+from kinfold.sources.predictions import load_predictions, model_name, store_predictions
+from kinfold.sources.tables import read_driver_table
+
+# Three scored models and one that gives classes only.
+MODELS = ["forest", "linear", "tree", "rule"]
+SCORES_SQL = {"forest": "(n_chars % 1000) / 1000e0", "linear": "(doc_id % 97) / 97e0",
+              "tree": "((n_chars + 31 * doc_id) % 89) / 89e0", "rule": "NULL"}
+
+PREDICTIONS_SQL = "(" + " UNION ALL ".join(f"""
+    SELECT '{m}' AS model_name, doc_id AS id, quality AS y_true,
+           CASE WHEN {"n_chars > 500" if m == "rule" else f"{s} >= 0.5e0"} THEN 1 ELSE 0 END AS y_pred,
+           CAST({s} AS DOUBLE) AS y_prob,
+           CASE WHEN toxic = 1 AND doc_id % 2 = 0 THEN NULL ELSE CAST(1 + doc_id % 5 AS DOUBLE) END AS weight
+    FROM {SCORED_SQL} s""" for m, s in SCORES_SQL.items()) + ")"
+
+
+def predictions(spark, sf):
+    scored = scored_documents(spark, sf)
+    probability = {m: F.expr(s.replace("NULL", "CAST(NULL AS DOUBLE)")) for m, s in SCORES_SQL.items()}
+    cells = F.array(*[
+        F.struct(F.lit(m).alias("model_name"), probability[m].cast("double").alias("y_prob"),
+                 ((F.col("n_chars") > 500) if m == "rule" else probability[m] >= 0.5).cast("int").alias("y_pred"))
+        for m in MODELS])
+    weight = F.when(~((F.col("toxic") == 1) & (F.col("doc_id") % 2 == 0)), (F.col("doc_id") % 5 + 1).cast("double"))
+    long = scored.select(F.col("doc_id").alias("id"), F.col("quality").alias("y_true"), weight.alias("weight"),
+                         F.inline(cells))
+    return long.select("model_name", "id", "y_true", "y_pred", "y_prob", "weight")
+
+
+_SUMS_SQL = f"""
+    SELECT model_name, {", ".join(
+        f"sum(CASE WHEN y_true = {t} AND y_pred = {p} THEN coalesce(weight, 1) ELSE 0 END) AS {c}, "
+        f"CAST(count(CASE WHEN y_true = {t} AND y_pred = {p} THEN 1 END) AS DOUBLE) AS n_{c}"
+        for c, t, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0)))},
+           sum(coalesce(weight, 1) * -ln(CASE WHEN y_true = 1 THEN q ELSE 1 - q END))
+               / sum(CASE WHEN q IS NOT NULL THEN coalesce(weight, 1) END) AS cross_entropy
+    FROM (SELECT *, CASE WHEN y_prob < 1e-15 THEN 1e-15 WHEN y_prob > 1 - 1e-15 THEN 1 - 1e-15 ELSE y_prob END AS q
+          FROM {PREDICTIONS_SQL} p) x GROUP BY model_name"""
+CLASS_SQL = f"""
+    SELECT model_name, (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+           coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+           (po - pe) / nullif(1 - pe, 0) AS cohen_kappa, cross_entropy
+    FROM (SELECT *, (n_tp + n_tn) / n AS po,
+                 ((n_tp + n_fp) * (n_tp + n_fn) + (n_fn + n_tn) * (n_fp + n_tn)) / (n * n) AS pe
+          FROM (SELECT *, n_tp + n_fp + n_fn + n_tn AS n FROM ({_SUMS_SQL}) s) t) u"""
+_CURVE_SQL = f"""
+    SELECT *, cum_pos / all_pos AS tpr, cum_neg / all_neg AS fpr, cum_pos / (cum_pos + cum_neg) AS precision
+    FROM (SELECT model_name, y_prob AS threshold, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg,
+                 sum(pos) OVER (PARTITION BY model_name) AS all_pos, sum(neg) OVER (PARTITION BY model_name) AS all_neg
+          FROM (SELECT model_name, y_prob, sum(CASE WHEN y_true = 1 THEN coalesce(weight, 1) ELSE 0 END) AS pos,
+                       sum(CASE WHEN y_true = 0 THEN coalesce(weight, 1) ELSE 0 END) AS neg
+                FROM {PREDICTIONS_SQL} p WHERE y_prob IS NOT NULL GROUP BY model_name, y_prob) v
+          WINDOW w AS (PARTITION BY model_name ORDER BY y_prob DESC)) c"""
+AREAS_SQL = f"""
+    SELECT model_name, sum((fpr - fpr0) * (tpr + tpr0) / 2) AS roc_auc, sum((tpr - tpr0) * (precision + pre0) / 2) AS aupr
+    FROM (SELECT *, lag(fpr, 1, 0) OVER w AS fpr0, lag(tpr, 1, 0) OVER w AS tpr0, lag(precision, 1, 1) OVER w AS pre0
+          FROM ({_CURVE_SQL}) c WINDOW w AS (PARTITION BY model_name ORDER BY threshold DESC)) l GROUP BY model_name"""
+METRICS = ["accuracy", "recall", "precision", "f1", "cross_entropy", "roc_auc", "cohen_kappa", "aupr"]
+ALL_SQL = f"SELECT * FROM ({CLASS_SQL}) c LEFT JOIN ({AREAS_SQL}) a USING (model_name)"
+ROUNDED_ALL_SQL = f"SELECT model_name, {', '.join(f'round({m}, 6) AS {m}' for m in METRICS)} FROM ({ALL_SQL}) r"
+LONG_SQL = " UNION ALL ".join(f"SELECT model_name, '{m}' AS metric, {m} AS value FROM r" for m in METRICS)
+RANKED_SQL = f"""
+    WITH r AS ({ROUNDED_ALL_SQL}), long AS ({LONG_SQL}),
+    signed AS (SELECT *, CASE WHEN metric = 'cross_entropy' THEN -value ELSE value END AS s FROM long)
+    SELECT model_name, metric, value,
+           CASE WHEN s IS NOT NULL
+                THEN 1 + (SELECT count(*) FROM signed b WHERE b.metric = a.metric AND b.s > a.s)
+                     + ((SELECT count(*) FROM signed b WHERE b.metric = a.metric AND b.s = a.s) - 1) / 2e0 END AS rank,
+           coalesce(s = (SELECT max(s) FROM signed b WHERE b.metric = a.metric), false) AS is_best
+    FROM signed a"""
+
+
+def metrics(spark, sf):
+    """All metrics, rounded so that both engines rank the same numbers."""
+    return rounded_doubles(evaluate.all_metrics(predictions(spark, sf)), 6)
+
+
+@query("confusion_weighted", sql=f"""
+    SELECT model_name, true_label, predicted_label, weight,
+           round(weight / nullif(sum(weight) OVER (PARTITION BY model_name, true_label), 0), 6) AS share
+    FROM (SELECT model_name, 1 AS true_label, 1 AS predicted_label, tp AS weight FROM ({_SUMS_SQL}) a
+          UNION ALL SELECT model_name, 1, 0, fn FROM ({_SUMS_SQL}) b
+          UNION ALL SELECT model_name, 0, 1, fp FROM ({_SUMS_SQL}) c
+          UNION ALL SELECT model_name, 0, 0, tn FROM ({_SUMS_SQL}) d) m""")
+def confusion_weighted(spark, sf):
+    return rounded_doubles(evaluate.confusion_matrix(predictions(spark, sf)), 6)
+
+
+@query("metrics_weighted", sql=f"""
+    SELECT model_name, {", ".join(f"round({m}, 6) AS {m}" for m in METRICS if m not in ("roc_auc", "aupr"))}
+    FROM ({CLASS_SQL}) c""")
+def metrics_weighted(spark, sf):
+    return rounded_doubles(evaluate.class_metrics(predictions(spark, sf)), 6)
+
+
+@query("roc_points", sql=f"""
+    SELECT model_name, threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM ({_CURVE_SQL}) c
+    UNION ALL SELECT DISTINCT model_name, NULL, 0e0, 0e0 FROM {PREDICTIONS_SQL} p WHERE y_prob IS NOT NULL""")
+def roc(spark, sf):
+    points = evaluate.roc_points(predictions(spark, sf))
+    return points.withColumns({c: F.round(c, 6) for c in ("fpr", "tpr")})
+
+
+@query("pr_points", sql=f"""
+    SELECT model_name, threshold, round(tpr, 6) AS recall, round(precision, 6) AS precision FROM ({_CURVE_SQL}) c
+    UNION ALL SELECT DISTINCT model_name, NULL, 0e0, 1e0 FROM {PREDICTIONS_SQL} p WHERE y_prob IS NOT NULL""")
+def precision_recall(spark, sf):
+    points = evaluate.pr_points(predictions(spark, sf))
+    return points.withColumns({c: F.round(c, 6) for c in ("recall", "precision")})
+
+
+@query("auc_weighted", sql=f"""
+    SELECT model_name, round(roc_auc, 6) AS roc_auc, round(roc_auc, 6) AS auc, round(aupr, 6) AS aupr
+    FROM ({AREAS_SQL}) a""")
+def auc_weighted(spark, sf):
+    return rounded_doubles(evaluate.curve_areas(predictions(spark, sf)), 6)
+
+
+@query("all_metrics", sql=f"""
+    SELECT model_name, {", ".join(f"round({m}, 6) AS {m}" for m in METRICS)}, round(roc_auc, 6) AS auc
+    FROM ({ALL_SQL}) r""")
+def every_metric(spark, sf):
+    return metrics(spark, sf)
+
+
+@query("score_ranks", sql=RANKED_SQL)
+def score_ranks(spark, sf):
+    return evaluate.ranked_scores(metrics(spark, sf))
+
+
+@query("score_table", sql=f"""
+    WITH r AS ({ROUNDED_ALL_SQL}), long AS ({LONG_SQL})
+    SELECT metric, {", ".join(f"max(CASE WHEN model_name = '{m}' THEN value END) AS {m}" for m in MODELS)}
+    FROM long GROUP BY metric""")
+def score_table(spark, sf):
+    return evaluate.score_table(metrics(spark, sf), MODELS)
+
+
+COMPARISON_SQL = f"""
+    SELECT model_name, {", ".join(f"max(CASE WHEN metric = '{m}' THEN value END) AS {m}" for m in METRICS)},
+           {", ".join(f"bool_or(CASE WHEN metric = '{m}' THEN is_best END) AS best_{m}" for m in METRICS)},
+           round(avg(rank), 6) AS mean_rank
+    FROM ({RANKED_SQL}) r GROUP BY model_name"""
+
+
+@query("model_comparison", sql=COMPARISON_SQL)
+def compare_models(spark, sf):
+    table = evaluate.model_comparison(metrics(spark, sf))
+    return table.withColumn("mean_rank", F.round("mean_rank", 6))
+
+
+@query("precision_recall_table", sql=f"""
+    SELECT model_name, recall, precision FROM ({COMPARISON_SQL}) c ORDER BY mean_rank DESC, model_name""")
+def precision_recall_bars(spark, sf):
+    return evaluate.precision_recall_table(evaluate.model_comparison(metrics(spark, sf)))
+
+
+# Importances: a user is a feature, an event type a model; "view" knows only absolute values.
+EVENT_MODELS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _importance_sql(divide):
+    return f"""
+        SELECT event_type AS model, concat('u', CAST(user_id AS STRING)) AS feature,
+               CASE WHEN event_type <> 'view' THEN sign * ({divide}) END AS importance, {divide} AS abs
+        FROM (SELECT user_id, event_type, CASE WHEN user_id % 2 = 0 THEN -1 ELSE 1 END AS sign,
+                     CAST(round(sum(value)) AS BIGINT) AS total, count(*) AS n
+              FROM {{events}} GROUP BY user_id, event_type) e"""
+
+
+IMPORTANCE_SQL = "(" + _importance_sql("total // n").format(events="events") + ")"
+
+
+def importances(spark, sf):
+    return spark.sql(_importance_sql("total div n"), events=read_driver_table(spark, sf, "events"))
+
+
+RANKS_SQL = f"""
+    SELECT model, feature,
+           CASE WHEN v IS NOT NULL THEN rank() OVER (PARTITION BY model ORDER BY v DESC)
+                     + (count(*) OVER (PARTITION BY model, v) - 1) / 2e0 END AS rank
+    FROM (SELECT *, CASE WHEN model = 'view' THEN abs ELSE importance END AS v FROM {IMPORTANCE_SQL} i) x"""
+
+
+@query("feature_ranks", sql=RANKS_SQL)
+def rank_features(spark, sf):
+    return feature_ranks(importances(spark, sf))
+
+
+@query("feature_ranking", sql=f"""
+    SELECT feature, {", ".join(f"max(CASE WHEN model = '{m}' THEN rank END) AS {m}" for m in EVENT_MODELS)},
+           round(avg(rank), 6) AS mean_rank, count(rank) AS count
+    FROM ({RANKS_SQL}) r GROUP BY feature""")
+def rank_features_across(spark, sf):
+    table = feature_ranking(importances(spark, sf), EVENT_MODELS)
+    return table.withColumn("mean_rank", F.round("mean_rank", 6))
+
+
+@query("feature_importance", sql=f"SELECT model, feature, importance FROM {IMPORTANCE_SQL} i WHERE importance IS NOT NULL")
+def importance_table(spark, sf):
+    known = importances(spark, sf).filter("importance IS NOT NULL").select("model", "feature", "importance")
+    return sorted_importances(known, "importance", "model", "feature")
+
+
+BALANCES_SQL = "(SELECT c_custkey, c_acctbal AS a, c_acctbal - 3000 AS b FROM customer)"
+
+
+def balances(spark, sf):
+    return read_driver_table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_acctbal").alias("a"), (F.col("c_acctbal") - 3000).alias("b"))
+
+
+@query("min_abs_flag", sql=f"""
+    SELECT c_custkey, abs(a) = (SELECT min(abs(a)) FROM {BALANCES_SQL} x) AS is_min_a,
+           abs(b) = (SELECT min(abs(b)) FROM {BALANCES_SQL} x) AS is_min_b FROM {BALANCES_SQL} t""")
+def min_abs_by_column(spark, sf):
+    return flag_smallest_abs(balances(spark, sf), ["a", "b"]).drop("a", "b")
+
+
+@query("min_abs_flag_table", sql=f"""
+    SELECT c_custkey, abs(a) = m AS is_min_a, abs(b) = m AS is_min_b
+    FROM {BALANCES_SQL} t, (SELECT least(min(abs(a)), min(abs(b))) AS m FROM {BALANCES_SQL} x) y""")
+def min_abs_in_table(spark, sf):
+    return flag_smallest_abs(balances(spark, sf), ["a", "b"], whole_table=True).drop("a", "b")
+
+
+@query("predictions_store", sql=f"""
+    SELECT concat('run_', model_name) AS model_name, count(*) AS n, sum(y_pred)::BIGINT AS n_positive
+    FROM {PREDICTIONS_SQL} p WHERE model_name IN ('forest', 'rule') GROUP BY 1""")
+def predictions_store(spark, sf):
+    path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    scored = predictions(spark, sf)
+    named = scored.withColumn("model_name", F.concat_ws("_", F.lit("run"), "model_name"))
+    store_predictions(named, path, features=["n_chars"])
+    # Storing one model again replaces that model only.
+    store_predictions(named.filter(F.col("model_name") == model_name("rule", "run")), path)
+    stored = load_predictions(spark, path, [model_name("forest", "run"), model_name("rule", "run")])
+    return stored.groupBy("model_name").agg(F.count("*").alias("n"), F.sum("y_pred").alias("n_positive"))
+
+
+@query("evaluate_model", sql=f"""
+    SELECT CASE WHEN model_name = 'tree' THEN 'new_tree' ELSE model_name END AS model_name,
+           {", ".join(f"round({m}, 6) AS {m}" for m in METRICS)}, round(roc_auc, 6) AS auc
+    FROM ({ALL_SQL}) r WHERE model_name IN ('tree', 'linear', 'forest')""")
+def evaluate_against_stored(spark, sf):
+    path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    scored = predictions(spark, sf)
+    store_predictions(scored.filter(F.col("model_name").isin("linear", "forest", "rule")), path)
+    new = scored.filter(F.col("model_name") == "tree").drop("model_name")
+    result = evaluate_model(new, name="tree", prefix="new", compare_with=["linear", "forest"], path=path, store=True)
+    return rounded_doubles(result.metrics, 6)

@@ -20,9 +20,10 @@ def _range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def count_below(bounds: Column, value: Column) -> Column:
-    """How many entries of an array are below a value."""
-    return F.size(F.filter(bounds, lambda b: b < value))
+def with_range(df: DataFrame, bounds: Column, value: Column, name: str) -> DataFrame:
+    """Add how many entries of an array (a scalar subquery) are below a value."""
+    held = df.withColumn("__bounds", bounds)
+    return held.withColumn(name, F.size(F.filter("__bounds", lambda b: b < value))).drop("__bounds")
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequence[str], *,
@@ -39,7 +40,7 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
     points = [i / ranges for i in range(1, ranges)]
     # One row with fewer than MAX_RANGES numbers, as a scalar subquery.
     bounds = df.agg(F.coalesce(F.percentile_approx(key, points, 10_000), F.array().cast("array<double>"))).scalar()
-    cut = df.withColumn(_RANGE, count_below(bounds, key))
+    cut = with_range(df, bounds, key, _RANGE)
 
     group = list(group)
     totals = cut.groupBy(*group, _RANGE).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.cumulative import count_below, running_totals
+from kinfold.operators.cumulative import running_totals, with_range
 
 
 def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, ranges: int | None = None) -> DataFrame:
@@ -34,4 +34,5 @@ def weighted_quantile_group(df: DataFrame, score: str, weight: str, name: str, g
     The rows themselves do not move: the cuts reach them as a scalar subquery.
     """
     cuts = weighted_cuts(df, score, weight, groups, ranges).scalar()
-    return df.withColumn(name, F.when(F.col(score).isNotNull(), count_below(cuts, F.col(score)) + 1))
+    placed = with_range(df, cuts, F.col(score), name)
+    return placed.withColumn(name, F.when(F.col(score).isNotNull(), F.col(name) + 1))
