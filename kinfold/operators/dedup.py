@@ -22,5 +22,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], tiebreak: Sequence) -> Dat
     return df.withColumn(_ORDER, F.row_number().over(window)).filter(F.col(_ORDER) == 1).drop(_ORDER)
 
 
+def least_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One whole row per key, the least by all other columns: for tables without a natural order."""
+    return first_per_key(df, keys, [c for c in df.columns if c not in keys])
+
+
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return (df.select(*columns) if columns else df).distinct()

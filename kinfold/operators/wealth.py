@@ -4,36 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def principal_component(df: DataFrame, columns: Sequence[str]):
-    """Means, standard deviations and loadings of the first component.
+def _cross_products(df: DataFrame, columns: Sequence[str], weight: str | None) -> np.ndarray:
+    """Weighted cross products of (1, columns) over the complete rows.
 
-    Only complete rows are used. The fit is distributed; what reaches the driver is
-    one number per pair of columns. The sign is fixed so that the loading of largest
-    magnitude is positive.
+    Each task adds up its own small matrix batch by batch; one addition per matrix
+    cell remains for Spark, and that many numbers reach the driver, whatever the
+    number of rows.
     """
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="raw").transform(complete).select("raw")
-    scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(vectors)
-    loadings = PCA(k=1, inputCol="scaled", outputCol="pc").fit(scaler.transform(vectors)).pc.toArray()[:, 0]
-    if loadings[abs(loadings).argmax()] < 0:
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    complete = df.select(w.alias("__w"), *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
+    size = len(columns) + 1
+
+    def add_up(batches):
+        total = np.zeros((size, size))
+        for batch in batches:
+            values = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(size)])
+            weights, rows = values[:, :1], values.copy()
+            rows[:, 0] = 1.0
+            total += rows.T @ (rows * weights)
+        i, j = np.indices(total.shape)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel(), pa.float64())],
+            names=["i", "j", "total"])
+
+    cells = complete.mapInArrow(add_up, "i int, j int, total double").groupBy("i", "j").agg(F.sum("total").alias("total"))
+    products = np.zeros((size, size))
+    for cell in cells.collect():  # (columns + 1)^2 rows
+        products[cell.i, cell.j] = cell.total
+    return products
+
+
+def principal_component(df: DataFrame, columns: Sequence[str], weight: str | None = None):
+    """Means, standard deviations and loadings of the first component of the correlation matrix.
+
+    Only complete rows count, each ``weight`` times. The sign is fixed so that the
+    loading of largest magnitude is positive.
+    """
+    products = _cross_products(df, columns, weight)
+    n = products[0, 0]
+    if n == 0:
+        nothing = np.zeros(len(columns))
+        return nothing, nothing, nothing
+    means = products[0, 1:] / n
+    covariance = products[1:, 1:] / n - np.outer(means, means)
+    deviations = np.sqrt(np.clip(np.diag(covariance), 0, None))
+    # A column without variation (up to rounding) carries no information.
+    deviations[deviations <= 1e-9 * np.maximum(1.0, np.abs(means))] = 0.0
+    steps = np.divide(1.0, deviations, out=np.zeros_like(deviations), where=deviations > 0)
+    loadings = np.linalg.eigh(covariance * np.outer(steps, steps))[1][:, -1]
+    if loadings[np.abs(loadings).argmax()] < 0:
         loadings = -loadings
-    return scaler.mean.toArray(), scaler.std.toArray(), loadings
+    # The usual estimate divides by n - 1.
+    return means, deviations * np.sqrt(n / max(n - 1, 1)), loadings
 
 
-def asset_index(df: DataFrame, columns: Sequence[str], name: str = "asset_index") -> DataFrame:
+def asset_index(df: DataFrame, columns: Sequence[str], name: str = "asset_index", weight: str | None = None) -> DataFrame:
     """Add the score of the first component, missing where any column is missing.
 
-    Scoring is a plain column expression in the row's own stage, without vectors.
+    Scoring is a plain column expression in the row's own stage.
     """
-    means, deviations, loadings = principal_component(df, columns)
     score = F.lit(0.0)
-    for c, mean, deviation, loading in zip(columns, means, deviations, loadings):
-        # A column without variation carries no information.
+    for c, mean, deviation, loading in zip(columns, *principal_component(df, columns, weight)):
         step = float(loading / deviation) if deviation > 0 else 0.0
         score = score + (F.col(c).cast("double") - F.lit(float(mean))) * F.lit(step)
     return df.withColumn(name, score)

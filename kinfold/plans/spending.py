@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.functions.missing import group_total, row_total
+from kinfold.functions.missing import col, group_total, row_total
 from kinfold.functions.money import inflator, monthly, per_unit
 from kinfold.functions.recode import banded
 from kinfold.operators.groups import category_totals
@@ -55,19 +55,21 @@ def food_totals(items: DataFrame, household: str, item: str, amount: str,
     )
 
 
+def _priced(totals: DataFrame, scales: DataFrame, prices: DataFrame, household: str, month) -> DataFrame:
+    """Totals with sizes and inflator; both sides have one row per household."""
+    joined = merge(totals, scales, household, split_hot=False).withColumn("month", col(month))
+    return with_inflator(joined, prices)
+
+
 def food_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, item: str,
-                  amount: str, month, categories=FOOD_CATEGORIES) -> DataFrame:
+                  amount: str, month="month", categories=FOOD_CATEGORIES, carry: Sequence[Column] = ()) -> DataFrame:
     """Deflated food spending per scale, total and by category.
 
-    ``scales`` has one row per household with its sizes; ``month`` is either one of
-    its columns or an aggregate over the household's item rows.
+    ``scales`` has one row per household with its sizes. ``month`` is an expression
+    over its columns and over ``carry``, further aggregates of the item rows.
     """
-    more = [] if isinstance(month, str) else [month.alias("month")]
-    totals = food_totals(items, household, item, amount, categories, *more)
-    joined = merge(totals, scales, household, split_hot=False)
-    if isinstance(month, str) and month != "month":
-        joined = joined.withColumnRenamed(month, "month")
-    priced = with_inflator(joined, prices)
+    totals = food_totals(items, household, item, amount, categories, *carry)
+    priced = _priced(totals, scales, prices, household, month)
     return priced.select(
         household,
         *per_unit(["total_exp_food"], UNITS),
@@ -76,19 +78,16 @@ def food_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, hou
 
 
 def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, amount: str,
-                    tag: str, periods: Mapping[str, str], month: str = "month") -> DataFrame:
+                    tag: str, periods: Mapping[str, str], month="month", carry: Sequence[Column] = ()) -> DataFrame:
     """Deflated monthly non-food spending per recall period, one row per household.
 
     ``tag`` is the column telling which questionnaire part an item row comes from and
     ``periods`` the recall period of each part. All parts are totalled in a single
     aggregation; a part without any row of the household stays missing.
     """
-    totals = items.groupBy(household).agg(*category_totals(tag, list(periods), amount, prefix="period_"))
-    joined = merge(totals, scales, household, split_hot=False)
-    if month != "month":
-        joined = joined.withColumnRenamed(month, "month")
+    totals = items.groupBy(household).agg(*category_totals(tag, list(periods), amount, prefix="period_"), *carry)
     names = {t: f"total_exp_non_food_{t}" for t in periods}
-    priced = with_inflator(joined, prices).withColumns(
+    priced = _priced(totals, scales, prices, household, month).withColumns(
         {names[t]: monthly(f"period_{t}", period) for t, period in periods.items()})
     return priced.select(
         household,

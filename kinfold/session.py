@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All of these are runtime SQL settings, so they can be applied to a session
 # somebody else built. They are only the switches that the plans rely on; sizes
@@ -62,9 +63,13 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared folder and continue from the copy."""
-    shared = shared_dir(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared)
-    return df.checkpoint(eager=False)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and continue from the written table.
+
+    Later uses read only the columns they need, and nothing upstream is computed
+    again when an executor is lost.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
