@@ -34,8 +34,8 @@ ITEMS = StandIn("lineitem", (
     "CASE WHEN l_linenumber <= 2 THEN 'i1' WHEN l_linenumber = 3 THEN 'i2'"
     " WHEN l_linenumber <= 5 THEN 'j' ELSE 'k' END AS part_tag",
     "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS amount",
-    "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS transfer_a",
-    "CASE WHEN l_linestatus = 'F' THEN NULL ELSE l_quantity * 2 END AS transfer_b",
+    "CASE WHEN l_returnflag = 'R' THEN NULL ELSE sqrt(l_extendedprice) END AS transfer_a",
+    "CASE WHEN l_linestatus = 'F' THEN NULL ELSE sqrt(l_quantity) END AS transfer_b",
     "CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity * 3 END AS transfer_c",
 ))
 ITEMS_SQL = f"""SELECT o_custkey AS hh, i.* FROM {ITEMS.sql} i JOIN orders ON i.l_orderkey = o_orderkey"""

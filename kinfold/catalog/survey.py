@@ -118,8 +118,8 @@ VIEWS = {
                CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_quantity * 3 END AS hh_p03c
         FROM {_ITEM_ROWS}""",
     "safety_nets": f"""
-        SELECT c_custkey AS y3_hhid, hh_r0a, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE abs(c_acctbal) END AS hh_r02a,
-               CASE WHEN hh_r0a = 105 THEN c_acctbal + 1000 END AS hh_r02b,
+        SELECT c_custkey AS y3_hhid, hh_r0a, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE sqrt(abs(c_acctbal)) END AS hh_r02a,
+               CASE WHEN hh_r0a = 105 THEN sqrt(c_acctbal + 1000) END AS hh_r02b,
                {", ".join(_code(f"hh_r04{x}", _C, i + 2, 16, gap=3 + i % 2) for i, x in enumerate("abcde"))}
         FROM (SELECT *, {{explode}}({{array}}(101, 105)) AS hh_r0a FROM {{customer}}) s""",
     "wellbeing": f"""
