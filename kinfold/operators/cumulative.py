@@ -23,7 +23,9 @@ def _range_count(df: DataFrame) -> int:
 def with_range(df: DataFrame, bounds: Column, value: Column, name: str) -> DataFrame:
     """Add how many entries of an array (a scalar subquery) are below a value."""
     held = df.withColumn("__bounds", bounds)
-    return held.withColumn(name, F.size(F.filter("__bounds", lambda b: b < value))).drop("__bounds")
+    # Never null, so that a join on it adds no filter Spark would evaluate on every source row.
+    below = F.coalesce(F.size(F.filter("__bounds", lambda b: b < value)), F.lit(0))
+    return held.withColumn(name, below).drop("__bounds")
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequence[str], *,
