@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kinfold.catalog.base import MEMBERS_SQL, PRICES_SQL, StandIn, members, prices, query, rounded_doubles
+from kinfold.catalog.base import MEMBERS_SQL, PRICES_SQL, StandIn, members, prices, query
 from kinfold.functions import household as hf
 from kinfold.operators.dedup import distinct_rows, first_per_key
 from kinfold.operators.groups import frequency

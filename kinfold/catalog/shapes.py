@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kinfold.catalog.base import MEMBERS, StandIn, members, query, rounded_doubles
+from kinfold.catalog.base import MEMBERS, StandIn, query, rounded_doubles
 from kinfold.functions.missing import group_total, row_total
 from kinfold.operators.dedup import first_per_key
 from kinfold.operators.evaluate import histogram, split_features

@@ -133,7 +133,7 @@ VIEWS = {
         SELECT n_nationkey AS ea_id, CASE WHEN n_nationkey = 7 THEN NULL ELSE n_nationkey * 13 + 5 END AS com_cc02,
                {_codes(["com_cc08", "com_cc09", "com_cc14"], _N, 4)},
                {", ".join(_codes([f"com_cc0{q}{x}" for x in "abcdef"], _N, 5, gap=6 + q) for q in (4, 5, 7))}
-        FROM {{nation}} WHERE n_nationkey <> 11""",
+        FROM {{nation}}""",
     "community_services": f"""
         SELECT n_nationkey AS ea_id, {_code("com_cd01", _N, 3, 5)},
                {_codes(["com_cd25", "com_cd26", "com_cd28", "com_cd29", "com_cd30", "com_cd32", "com_cd35", "com_cd55"], _N, 9)},

@@ -13,19 +13,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANGE = "__range"
-MAX_RANGES = 256
+_BOUNDS = "__bounds"
+MAX_RANGES = 1024
+_STEP = 32
 
 
 def _range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def with_range(df: DataFrame, bounds: Column, value: Column, name: str) -> DataFrame:
-    """Add how many entries of an array (a scalar subquery) are below a value."""
-    held = df.withColumn("__bounds", bounds)
-    # Never null, so that a join on it adds no filter Spark would evaluate on every source row.
-    below = F.coalesce(F.size(F.filter("__bounds", lambda b: b < value)), F.lit(0))
-    return held.withColumn(name, below).drop("__bounds")
+def count_below(values: Column, value: Column) -> Column:
+    """How many entries of an array are below a value; 0 for a missing value.
+
+    Never null, so that a join on it adds no filter Spark would evaluate on every source row.
+    """
+    return F.coalesce(F.size(F.filter(values, lambda b: b < value)), F.lit(0))
+
+
+def _with_range(df: DataFrame, bounds: DataFrame, value: Column) -> DataFrame:
+    """Add the number of bounds below a value.
+
+    ``bounds`` is one row with a sorted array. Every 32nd bound is looked at first and
+    then one block of 32, some 60 comparisons for 1,000 bounds.
+    """
+    marks = F.filter("every", lambda _, i: i % _STEP == 0)
+    held = df.withColumn(_BOUNDS, bounds.select(F.struct("every", marks.alias("marks"))).scalar())
+    held = held.withColumn(_RANGE, count_below(F.col(f"{_BOUNDS}.marks"), value))
+    before = (F.col(_RANGE) - 1) * _STEP
+    block = F.slice(F.col(f"{_BOUNDS}.every"), before + 1, F.lit(_STEP))
+    below = F.when(F.col(_RANGE) == 0, 0).otherwise(before + count_below(block, value))
+    return held.withColumn(_RANGE, below).drop(_BOUNDS)
 
 
 def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequence[str], *,
@@ -40,9 +57,11 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
     key = F.col(order).cast("double")
     key = -key if descending else key
     points = [i / ranges for i in range(1, ranges)]
-    # One row with fewer than MAX_RANGES numbers, as a scalar subquery.
-    bounds = df.agg(F.coalesce(F.percentile_approx(key, points, 10_000), F.array().cast("array<double>"))).scalar()
-    cut = with_range(df, bounds, key, _RANGE)
+    # One row with fewer than MAX_RANGES numbers, as a scalar subquery. The bounds only
+    # balance the ranges, so a rough quantile is good enough.
+    rough = F.percentile_approx(key, points, 4 * ranges)
+    bounds = df.agg(F.coalesce(rough, F.array().cast("array<double>")).alias("every"))
+    cut = _with_range(df, bounds, key)
 
     group = list(group)
     totals = cut.groupBy(*group, _RANGE).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])

@@ -59,9 +59,6 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left",
     partitioning of the inputs; it is meant for sides that are both unique by key.
     """
     keys = _keys(keys)
-    if how in ("left_anti", "left_semi") or not (null_safe or split_hot):
-        if not null_safe:
-            return left.join(right, keys, how)
     if split_hot:
         left = left.withColumn(_HASH, F.xxhash64(*keys))
         right = right.withColumn(_HASH, F.xxhash64(*keys))

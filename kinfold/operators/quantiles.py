@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.operators.cumulative import running_totals, with_range
+from kinfold.operators.cumulative import count_below, running_totals
 
 
 def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, ranges: int | None = None) -> DataFrame:
@@ -34,5 +34,7 @@ def weighted_quantile_group(df: DataFrame, score: str, weight: str, name: str, g
     The rows themselves do not move: the cuts reach them as a scalar subquery.
     """
     cuts = weighted_cuts(df, score, weight, groups, ranges).scalar()
-    placed = with_range(df, cuts, F.col(score), name)
-    return placed.withColumn(name, F.when(F.col(score).isNotNull(), F.col(name) + 1))
+    # Held in a column first: Spark allows no subquery inside the array function.
+    held = df.withColumn("__cuts", cuts)
+    group = F.when(F.col(score).isNotNull(), count_below(F.col("__cuts"), F.col(score)) + 1)
+    return held.withColumn(name, group).drop("__cuts")

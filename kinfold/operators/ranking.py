@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from kinfold.functions.missing import col
 from kinfold.operators.cumulative import average_rank
 from kinfold.operators.groups import attach
-from kinfold.operators.merge import join_on
 
 
 def shared_rank(value: Column, partition: Sequence[str], descending: bool) -> Column:
@@ -64,7 +63,3 @@ def feature_ranking(importances: DataFrame, models: Sequence[str]) -> DataFrame:
         F.count("rank").alias("count"),
     )
     return table.orderBy("mean_rank", "feature")
-
-
-def mean_rank_join(df: DataFrame, means: DataFrame, key: str) -> DataFrame:
-    return join_on(df, means, [key], "left", split_hot=False)

@@ -32,6 +32,7 @@ from kinfold.plans.income import assistance, assistance_per_adult, other_income
 from kinfold.plans.labour import labour_hours
 from kinfold.plans.spending import food_spending, recall_spending, total_spending
 from kinfold.session import cut_lineage
+from kinfold.sources.labels import dictionary_rows, with_captions
 from kinfold.sources.tables import read_table, write_table
 
 HH, PID, MEMBER = "y3_hhid", "PID", "id_code"
@@ -67,6 +68,10 @@ MEMBER_OUT = ["hh_c12", "hh_c05a", "hh_c05b", "hh_c17", "hh_c22j", "hh_d13", "hh
               "hh_e06_1b", "hh_e06_1c", "hh_e06_2", "hh_e06_3", "hh_e06_4", "hh_e06_5", "hh_e06_6"]
 HOUSEHOLD_OUT = ["hh_f01", "hh_f08", "hh_f09", "hh_f11", "hh_f12", "hh_f19", "hh_f41", "hh_f44", "hh_f48", "hh_n01",
                  "hh_n02", "hh_n03", "hh_n04", "hh_n05", "hh_n06", "hh_n07", "hh_n08", "hh_t02", "hh_t03", "hh_t04"]
+# Member columns that the modelling table is made from.
+MEMBER_IN = [HH, PID, MEMBER, WAVES, *HOUSEHOLD_FACTS, *MEMBER_OUT, *MOTHER_FACTS, "gender", "age", "mother_presence",
+             "father_presence", "hh_b04", "hh_b16b", "hh_b18", "hh_b19b", "hh_b21", "hh_c11", "hh_c15", "hh_c19a",
+             "hh_c19b", "hh_c11_19", "hh_c13_19", "hh_c15_19"]
 COMMUNITY_OUT = ["com_cc02", "freq_religion", "com_cc08", "com_cc09", "com_cc14", "com_cd16_meter", "com_cd18a_meter",
                  "com_cd20a_meter", "com_cd22a_meter", "com_cd24a_meter", "com_cd25", "com_cd26", "com_cd27a_meter",
                  "com_cd28", "com_cd29", "com_cd30", "com_cd32", "com_cd35", "com_cd49a_meter", "com_cd51a_meter",
@@ -142,7 +147,7 @@ def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
     sized = base.select(HH, F.col("n_both_waves").cast("double").alias("n"),
                         (F.col("n_both_waves") * F.col("panelweight_2016")).alias("w"))
     # Fit, cuts and result all read this table.
-    wide = cut_lineage(merge(merge(owned, values, HH, split_hot=False), sized, HH, split_hot=False))
+    wide = cut_lineage(merge(merge(values, owned, HH, split_hot=False), sized, HH, split_hot=False))
     scored = asset_index(wide.filter("n > 0"), columns, "assetindex", weight="n")
     return weighted_quantile_group(scored, "assetindex", "w", "asset_q").drop("n", "w")
 
@@ -220,15 +225,17 @@ def _member_values(members: DataFrame) -> DataFrame:
 
 def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, with_shocks: bool = True,
                  with_mothers: bool = True, with_hours: bool = True, compat: bool = False, validate: bool = False,
-                 people: DataFrame | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None) -> DataFrame:
     """Every member seen in both waves with all values, before the modelling columns are chosen.
 
     The ``with_`` switches leave out parts nobody will read, so their tables are not
-    read either.
+    read either; ``columns`` does the same for member columns.
     """
-    if people is None:
-        # Read four times below: by household, by member, as fathers and as mothers.
-        people = cut_lineage(people_table(tables, validate))
+    people = people_table(tables, validate)
+    if columns is not None:
+        people = people.select(*[c for c in people.columns if c in columns])
+    # Read four times below: by household, by member, as fathers and as mothers.
+    people = cut_lineage(people)
     households = household_table(tables, people, with_assets=with_assets, with_shocks=with_shocks, compat=compat,
                                  validate=validate)
     members = people.filter(F.col(WAVES) == MATCHED).drop(WAVES)
@@ -257,14 +264,15 @@ def child_sample(tables: Mapping[str, DataFrame], *, with_assets: bool = True, c
                  validate: bool = False) -> DataFrame:
     """The modelling table, one row per child."""
     members = member_table(tables, with_assets=with_assets, with_shocks=False, with_mothers=False, with_hours=False,
-                           compat=compat, validate=validate)
+                           compat=compat, validate=validate, columns=MEMBER_IN)
     columns = [c for c in FINAL if with_assets or not c.startswith("asset_q")]
     return model_rows(members, columns)
 
 
 def write_child_sample(spark: SparkSession, folder: str, out: str) -> None:
-    """Read the survey's tables, build the modelling table with its captions, write it."""
-    from kinfold.sources.labels import with_captions
+    """Read the survey's tables; write the modelling table with captions, and the texts of its codes.
 
-    sample = child_sample(load_survey(spark, folder))
-    write_table(with_captions(sample, CAPTIONS), out)
+    The texts go to ``<out>_labels``, as ``load_labelled`` reads them.
+    """
+    write_table(with_captions(child_sample(load_survey(spark, folder)), CAPTIONS), out)
+    write_table(dictionary_rows(spark, {c: t for c, t in recodes.VALUE_LABELS.items() if c in FINAL}), f"{out}_labels")

@@ -17,8 +17,6 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
-    # Replace only the partitions being written when a model is stored again.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from frames import frame, values
 from kinfold.functions import dates, household as hf, money

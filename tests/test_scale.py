@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from frames import frame, rows
 from kinfold.operators.cumulative import average_rank, running_totals
 from kinfold.operators.dedup import first_per_key
 from kinfold.operators.groups import attach
@@ -25,9 +24,10 @@ def scores():
     return data.groupby(["g", "x"], as_index=False)["w"].sum()
 
 
+@pytest.mark.parametrize("ranges", [2, 16, 200])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals(spark, scores, descending):
-    out = running_totals(spark.createDataFrame(scores), ["g"], "x", ["w"], descending=descending, ranges=16).toPandas()
+def test_running_totals(spark, scores, descending, ranges):
+    out = running_totals(spark.createDataFrame(scores), ["g"], "x", ["w"], descending=descending, ranges=ranges).toPandas()
     expected = scores.sort_values("x", ascending=not descending)
     expected["cum"] = expected.groupby("g")["w"].cumsum()
     both = out.merge(expected[["g", "x", "cum"]], on=["g", "x"])
@@ -37,8 +37,7 @@ def test_running_totals(spark, scores, descending):
 
 
 def test_running_totals_of_nothing(spark):
-    empty = frame(spark, "g string, x double, w double").filter("false") if False else \
-        spark.createDataFrame([], "g string, x double, w double")
+    empty = spark.createDataFrame([], "g string, x double, w double")
     assert running_totals(empty, ["g"], "x", ["w"]).count() == 0
 
 
