@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kinfold.catalog.base import (MEMBERS_SQL, PRICES_SQL, SCALES_SQL, StandIn, members, prices, query,
                                   rounded_doubles)
 from kinfold.functions import household as hf
-from kinfold.functions.dates import interview_or_first_visit, month_key, visit_date
+from kinfold.functions.dates import interview_or_first_visit, month_key, month_number, month_text, visit_date
 from kinfold.functions.recode import equals_any
 from kinfold.operators.groups import attach, only_where
 from kinfold.operators.merge import merge, parent_lookup
@@ -42,7 +42,8 @@ ITEMS_SQL = f"""SELECT o_custkey AS hh, i.* FROM {ITEMS.sql} i JOIN orders ON i.
 
 
 def scales(spark, sf):
-    return household_composition(members(spark, sf), "hh", "age", month=F.max("month"))
+    sizes = household_composition(members(spark, sf), "hh", "age", last=F.max(month_number("month")))
+    return sizes.withColumn("month", month_text("last")).drop("last")
 
 
 def items(spark, sf):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.functions import household as hf
-from kinfold.functions.dates import interview_or_first_visit, month_key, visit_date
+from kinfold.functions.dates import NO_DATE, month_key, month_number, month_text, visit_date
 from kinfold.functions.missing import group_total
 from kinfold.functions.recode import equals_any, flag, swap
 from kinfold.operators.dedup import least_row
@@ -162,8 +162,12 @@ def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_
         for name, (tag, amount) in NONFOOD.items()])
     food = food_spending(
         tables["food_items"], base, tables["prices"].withColumnRenamed("int_date_hhmod", "month"), household=HH,
-        item="hh_g02", amount="hh_g05", carry=[F.max("interviewDate").alias("interview")],
-        month=month_key(interview_or_first_visit("interview", "interviewdate_v1")))
+        item="hh_g02", amount="hh_g05", carry=[
+            F.max(month_number("interviewDate")).alias("interview_month"),
+            F.max(F.when(F.col("interviewDate") == NO_DATE, 1)).alias("no_interview")],
+        # The first visit stands in only where the sentinel says there was no interview.
+        month=F.coalesce(month_text("interview_month"),
+                         F.when(F.col("no_interview") == 1, month_key("interviewdate_v1"))))
     recall = recall_spending(
         nonfood, base, tables["prices"].withColumnRenamed("int_date_hhmod", "month"), household=HH, amount="amount",
         tag="tag", periods=PERIODS, carry=[F.max("qx_type").alias("visit_group")],

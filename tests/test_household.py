@@ -104,6 +104,12 @@ def test_dates(spark):
     assert column(spark, "d string", dates.month_key("d"), ("2016-11-03",), (None,)) == ["2016-11", None]
 
 
+def test_month_numbers(spark):
+    data = [("2016-05-03",), ("2016-12",), ("0999-01-01",), ("2016-13-01",), ("",), ("##N/A##",), (None,)]
+    back = dates.month_text(dates.month_number("d"))
+    assert column(spark, "d string", back, *data) == ["2016-05", "2016-12", "0999-01", None, None, None, None]
+
+
 def test_money(spark):
     assert column(spark, "x double", money.monthly("x", "week"), (3.0,)) == [12.0]
     assert column(spark, "x double", money.monthly("x", "year"), (24.0,)) == [2.0]
