@@ -64,27 +64,34 @@ SCHOOL_FEEDING = 105
 LIST_PLACES = ["a", "b", "c", "d", "e"]
 HOUSEHOLD_FACTS = ["ea_id", "panelweight_2016", "interviewdate_v1", "interviewdate_v2"]
 
-MEMBER_OUT = ["hh_c12", "hh_c05a", "hh_c05b", "hh_c17", "hh_c22j", "hh_d13", "hh_d33", "hh_e05", "hh_e06", "hh_e06_1a",
-              "hh_e06_1b", "hh_e06_1c", "hh_e06_2", "hh_e06_3", "hh_e06_4", "hh_e06_5", "hh_e06_6"]
-HOUSEHOLD_OUT = ["hh_f01", "hh_f08", "hh_f09", "hh_f11", "hh_f12", "hh_f19", "hh_f41", "hh_f44", "hh_f48", "hh_n01",
-                 "hh_n02", "hh_n03", "hh_n04", "hh_n05", "hh_n06", "hh_n07", "hh_n08", "hh_t02", "hh_t03", "hh_t04"]
-# Member columns that the modelling table is made from.
-MEMBER_IN = [HH, PID, MEMBER, WAVES, *HOUSEHOLD_FACTS, *MEMBER_OUT, *MOTHER_FACTS, "gender", "age", "mother_presence",
-             "father_presence", "hh_b04", "hh_b16b", "hh_b18", "hh_b19b", "hh_b21", "hh_c11", "hh_c15", "hh_c19a",
-             "hh_c19b", "hh_c11_19", "hh_c13_19", "hh_c15_19"]
-COMMUNITY_OUT = ["com_cc02", "freq_religion", "com_cc08", "com_cc09", "com_cc14", "com_cd16_meter", "com_cd18a_meter",
-                 "com_cd20a_meter", "com_cd22a_meter", "com_cd24a_meter", "com_cd25", "com_cd26", "com_cd27a_meter",
-                 "com_cd28", "com_cd29", "com_cd30", "com_cd32", "com_cd35", "com_cd49a_meter", "com_cd51a_meter",
-                 "com_cd55", "com_cd67a_meter", "com_cd69a_meter", "com_ce01a", "com_ce02", "com_ce06", "com_ce08_1",
-                 "com_ce09"]
-FINAL = [
-    HH, PID, "ea_id", "dropout", "panelweight_2016", "gender", *MEMBER_OUT, "hh_head_gender", "school_travel_min",
-    "mother_presence", "father_presence", "father_job", "father_educ_type2", "mother_educ_type2", *HOUSEHOLD_OUT,
-    "phone_per_adult", "total0_17", "num_elderly", "total_aes1_exp_inf", "food_consumption_score", "r_csi",
-    "asset_q2_recoded", "asset_q3_recoded", "asset_q4_recoded", "asset_q5_recoded", "total_assist_invalue",
-    "school_feed_beneficiary", "cat_hh_t05", "wellbeing_better_neighbors", "wellbeing_better_friends",
-    "hh_u0a_most_severe", "drink_water_type", "hh_t08_type2", *COMMUNITY_OUT, "road_type", "freq_marriage_type2",
+FINAL = """
+    y3_hhid PID ea_id dropout panelweight_2016
+    gender hh_c12 hh_head_gender hh_c05a hh_c05b hh_c17 school_travel_min hh_c22j hh_d13 hh_d33 hh_e05 hh_e06 hh_e06_1a
+    hh_e06_1b hh_e06_1c hh_e06_2 hh_e06_3 hh_e06_4 hh_e06_5 hh_e06_6 mother_presence father_presence father_job
+    father_educ_type2 mother_educ_type2
+    hh_f01 hh_f08 hh_f09 hh_f11 hh_f12 hh_f19 phone_per_adult hh_f41 hh_f44 hh_f48 total0_17 num_elderly
+    total_aes1_exp_inf food_consumption_score r_csi asset_q2_recoded asset_q3_recoded asset_q4_recoded asset_q5_recoded
+    hh_n01 hh_n02 hh_n03 hh_n04 hh_n05 hh_n06 hh_n07 hh_n08 total_assist_invalue school_feed_beneficiary hh_t02 hh_t03
+    hh_t04 cat_hh_t05 wellbeing_better_neighbors wellbeing_better_friends hh_u0a_most_severe drink_water_type
+    hh_t08_type2
+    com_cc02 freq_religion com_cc08 com_cc09 com_cc14 com_cd16_meter com_cd18a_meter com_cd20a_meter com_cd22a_meter
+    com_cd24a_meter com_cd25 com_cd26 com_cd27a_meter com_cd28 com_cd29 com_cd30 com_cd32 com_cd35 com_cd49a_meter
+    com_cd51a_meter com_cd55 com_cd67a_meter com_cd69a_meter com_ce01a com_ce02 com_ce06 com_ce08_1 com_ce09 road_type
+    freq_marriage_type2
+""".split()
+# Columns that only serve to compute those: of members, of households, of communities.
+MEMBER_IN = [
+    PID, MEMBER, WAVES, *MOTHER_FACTS, "age", "hh_b04", "hh_b16b", "hh_b18", "hh_b19b", "hh_b21", "hh_c11", "hh_c15",
+    "hh_c19a", "hh_c19b", "hh_c11_19", "hh_c13_19", "hh_c15_19", "interviewdate_v1", "interviewdate_v2",
 ]
+HOUSEHOLD_IN = [
+    "total_hh_member", "total_adult", "aes1", "aes2", "oldest_female", "oldest_male", "hh_head_job", "n_both_waves",
+    "interviewdate_v1", "interviewdate_v2", "hh_f34", "hh_f36", *[f"hh_g08{x}" for x in "abcdefghi"],
+    *[f"hh_h02{x}" for x in "abcde"], "aes1_total_exp_food", *[f"aes1_total_exp_non_food_{t}" for t in PERIODS],
+    "cash_assistance_12month", "inkind_assistance_12month", *[f"food_feed_hhline{p}" for p in LIST_PLACES],
+    "hh_t05", "hh_t06", "hh_t07", "hh_t08", "asset_q",
+]
+COMMUNITY_IN = ["com_cd01", "freq_marriage"]
 CAPTIONS = {
     "gender": "Gender of HH members", "total0_17": "Total number of children in HH between 0 and 17",
     "father_job": "Economic activity of a father including the oldest male in HH if a child does not have a father in HH",
@@ -116,6 +123,10 @@ def people_table(tables: Mapping[str, DataFrame], validate: bool = False) -> Dat
     })
 
 
+def _only(df: DataFrame, key: str, columns: Sequence[str] | None) -> DataFrame:
+    return df if columns is None else df.select(key, *[c for c in df.columns if c in columns and c != key])
+
+
 def _household_base(tables: Mapping[str, DataFrame], people: DataFrame) -> DataFrame:
     """Sizes, head and oldest adults, and what the household questionnaire identifies.
 
@@ -153,10 +164,11 @@ def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
 
 
 def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_assets: bool = True,
-                    with_shocks: bool = False, compat: bool = False, validate: bool = False) -> DataFrame:
-    """One row per household with every household and community value."""
+                    with_shocks: bool = False, compat: bool = False, validate: bool = False,
+                    columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per household with every household and community value, or those among ``columns``."""
     # Sizes feed the spending and asset parts as well as the result.
-    base = cut_lineage(_household_base(tables, people))
+    base = cut_lineage(_only(_household_base(tables, people), HH, columns))
     nonfood = reduce(DataFrame.unionByName, [
         tables[name].select(HH, "qx_type", F.lit(tag).alias("tag"), F.col(amount).cast("double").alias("amount"))
         for name, (tag, amount) in NONFOOD.items()])
@@ -185,11 +197,11 @@ def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_
         parts.append(_asset_table(tables, base))
     out = base
     for part in parts:
-        out = merge(out, part, HH, validate=validate, split_hot=False)
+        out = merge(out, _only(part, HH, columns), HH, validate=validate, split_hot=False)
     communities = community_table(tables["community_basic"], tables["community_services"], tables["community_economy"],
                                   tables["community_changes"] if with_shocks else None, compat)
     # Once written its size is known, so Spark itself decides whether it may be broadcast.
-    out = merge(out, cut_lineage(communities), COMMUNITY)
+    out = merge(out, cut_lineage(_only(communities, COMMUNITY, columns)), COMMUNITY)
     return out.withColumns({
         "food_consumption_score": hf.food_score(
             staples=hf.staples("hh_g08a", "hh_g08b"), pulses="hh_g08c", vegetables="hh_g08d", meat_fish="hh_g08e",
@@ -233,15 +245,12 @@ def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, w
     """Every member seen in both waves with all values, before the modelling columns are chosen.
 
     The ``with_`` switches leave out parts nobody will read, so their tables are not
-    read either; ``columns`` does the same for member columns.
+    read either; ``columns`` leaves out columns.
     """
-    people = people_table(tables, validate)
-    if columns is not None:
-        people = people.select(*[c for c in people.columns if c in columns])
     # Read four times below: by household, by member, as fathers and as mothers.
-    people = cut_lineage(people)
+    people = cut_lineage(_only(people_table(tables, validate), HH, columns))
     households = household_table(tables, people, with_assets=with_assets, with_shocks=with_shocks, compat=compat,
-                                 validate=validate)
+                                 validate=validate, columns=columns)
     members = people.filter(F.col(WAVES) == MATCHED).drop(WAVES)
     facts = [("hh_b16b", FATHER_FACTS, "_father")] + ([("hh_b19b", MOTHER_FACTS, "_mother")] if with_mothers else [])
     for parent, attributes, suffix in facts:
@@ -268,9 +277,9 @@ def child_sample(tables: Mapping[str, DataFrame], *, with_assets: bool = True, c
                  validate: bool = False) -> DataFrame:
     """The modelling table, one row per child."""
     members = member_table(tables, with_assets=with_assets, with_shocks=False, with_mothers=False, with_hours=False,
-                           compat=compat, validate=validate, columns=MEMBER_IN)
-    columns = [c for c in FINAL if with_assets or not c.startswith("asset_q")]
-    return model_rows(members, columns)
+                           compat=compat, validate=validate,
+                           columns=[*FINAL, *MEMBER_IN, *HOUSEHOLD_IN, *COMMUNITY_IN])
+    return model_rows(members, [c for c in FINAL if with_assets or not c.startswith("asset_q")])
 
 
 def write_child_sample(spark: SparkSession, folder: str, out: str) -> None:
