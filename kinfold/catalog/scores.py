@@ -157,16 +157,18 @@ def recode_groups(spark, sf):
     return rounded(out.withColumn("q2_recoded", recodes.yes_no("q2")), "phone_per_adult")
 
 
-QUINTILE_SQL = """
-    WITH h AS (SELECT c_custkey, CASE WHEN c_acctbal < -900 THEN NULL ELSE floor(c_acctbal / 100) END AS score,
-                      CAST(1 + c_custkey % 5 AS DOUBLE) AS weight FROM customer),
+QUINTILE_CTES = """
     v AS (SELECT score, sum(weight) AS w FROM h WHERE score IS NOT NULL GROUP BY score),
     c AS (SELECT score, sum(w) OVER (ORDER BY score) AS cum, (SELECT sum(w) FROM v) AS tot FROM v),
     cuts AS (SELECT p, CASE WHEN max(CASE WHEN cum = tot * p / 5e0 THEN score END) IS NOT NULL
                             THEN (max(CASE WHEN cum = tot * p / 5e0 THEN score END)
                                   + min(CASE WHEN cum > tot * p / 5e0 THEN score END)) / 2e0
                             ELSE min(CASE WHEN cum > tot * p / 5e0 THEN score END) END AS cut
-             FROM c, (VALUES (1), (2), (3), (4)) t(p) GROUP BY p)
+             FROM c, (VALUES (1), (2), (3), (4)) t(p) GROUP BY p)"""
+QUINTILE_SQL = f"""
+    WITH h AS (SELECT c_custkey, CASE WHEN c_acctbal < -900 THEN NULL ELSE floor(c_acctbal / 100) END AS score,
+                      CAST(1 + c_custkey % 5 AS DOUBLE) AS weight FROM customer),
+    {QUINTILE_CTES}
     SELECT c_custkey, CASE WHEN score IS NOT NULL
                            THEN CAST(1 + (SELECT count(*) FROM cuts WHERE cut < score) AS INT) END AS asset_q
     FROM h"""
@@ -185,8 +187,37 @@ def weighted_quintiles(spark, sf):
     return grouped.select("c_custkey", "asset_q").withColumns(recodes.quintile_dummies("asset_q", "asset_q"))
 
 
-# Principal components have no SQL form; the tests compare with a direct computation.
-@query("asset_index")
+def component_ctes(cells: str) -> str:
+    """Common table expressions ending in ``component(id, score, n)`` from ``cells(id, i, x, w)`` of complete rows.
+
+    The correlation matrix is squared thirty times; every column of that power is the
+    first component, scaled.
+    """
+    return f"""
+    cells AS ({cells}),
+    centre AS (SELECT i, sum(w * x) / sum(w) AS m, sum(w) AS n FROM cells GROUP BY i),
+    spread AS (SELECT c.i, max(m) AS m, max(n) AS n, sqrt(sum(w * (x - m) * (x - m)) / max(n)) AS s
+               FROM cells c JOIN centre t ON c.i = t.i GROUP BY c.i),
+    z AS (SELECT id, c.i, w, n, CASE WHEN s > 1e-9 THEN (x - m) / s ELSE 0e0 END AS z
+          FROM cells c JOIN spread t ON c.i = t.i),
+    power AS (
+        SELECT 0 AS k, a.i, b.i AS j, sum(a.w * a.z * b.z) / max(a.n) AS v FROM z a JOIN z b ON a.id = b.id GROUP BY a.i, b.i
+        UNION ALL
+        SELECT k, i, j, v / max(abs(v)) OVER () FROM (
+            SELECT a.k + 1 AS k, a.i, b.j, sum(a.v * b.v) AS v FROM power a JOIN power b ON a.j = b.i
+            WHERE a.k < 30 GROUP BY a.k, a.i, b.j) s),
+    scaled AS (SELECT i, v FROM power WHERE k = 30
+               AND j = (SELECT i FROM power WHERE k = 30 AND i = j ORDER BY v DESC LIMIT 1)),
+    loading AS (SELECT i, v / sqrt((SELECT sum(v * v) FROM scaled))
+                          * sign((SELECT v FROM scaled ORDER BY abs(v) DESC LIMIT 1)) AS v FROM scaled),
+    component AS (SELECT id, sum(z * v) AS score, max(n) AS n FROM z JOIN loading ON z.i = loading.i GROUP BY id)"""
+
+
+@query("asset_index", sql=f"""
+    WITH RECURSIVE {component_ctes("""SELECT vec_id AS id, i, CAST(embedding[i] AS DOUBLE) AS x, 1e0 AS w
+                                      FROM embeddings, (SELECT unnest(range(1, 65)) AS i) r""")}
+    SELECT vec_id, round(score * sqrt((n - 1) / n), 6) AS asset_index
+    FROM embeddings LEFT JOIN component ON vec_id = id""")
 def asset_scores(spark, sf):
     vectors = read_driver_table(spark, sf, "embeddings")
     columns = [f"item{i}" for i in range(64)]

@@ -9,6 +9,7 @@ text. The modelling table is then computed by Spark and, separately, by plain SQ
 from __future__ import annotations
 
 from kinfold.catalog.base import PRICES_SQL, query, rounded_doubles
+from kinfold.catalog.scores import QUINTILE_CTES, component_ctes
 from kinfold.plans.child_sample import ASSET_CODES, FINAL, child_sample, member_table
 from kinfold.plans.community import DISTANCES, FREQUENT, SHOCK_CODES
 from kinfold.sources.tables import read_driver_table
@@ -280,12 +281,31 @@ _PLAIN = {"y3_hhid": "m.y3_hhid", "PID": "m.PID", "ea_id": "hh.ea_id"}
 _MEMBER = {c: f"m.{c}" for c in FINAL if c.startswith(("hh_c", "hh_d", "hh_e")) or c == "gender"}
 _COLUMNS = [c for c in FINAL if not c.startswith("asset_q")]
 
-SAMPLE_SQL = f"""
-    WITH {CTES}
+# Households with an answer for every asset, each counted once per member seen in both waves.
+ASSET_CTES = f"""
+    complete AS (SELECT y3_hhid FROM assets GROUP BY 1 HAVING count(hh_l01) = {len(ASSET_CODES)}),
+    counted AS (SELECT y3_hhid, CAST(count(*) AS DOUBLE) AS n FROM both_waves GROUP BY 1),
+    {component_ctes("""SELECT a.y3_hhid AS id, hh_l02 AS i, CASE hh_l01 WHEN 2 THEN 0e0 ELSE 1e0 END AS x, n AS w
+                       FROM assets a JOIN complete c ON a.y3_hhid = c.y3_hhid JOIN counted d ON a.y3_hhid = d.y3_hhid""")},
+    h AS (SELECT c.id AS y3_hhid, round(score, 9) AS score, d.n * panelweight_2016 AS weight
+          FROM component c JOIN counted d ON c.id = d.y3_hhid JOIN household_id i ON c.id = i.y3_hhid),
+    {QUINTILE_CTES},
+    quintile AS (SELECT y3_hhid, 1 + (SELECT count(*) FROM cuts WHERE cut < score) AS asset_q FROM h)"""
+_QUINTILE = {f"asset_q{k}_recoded": f"CASE WHEN asset_q = {k} THEN 'Yes' WHEN asset_q IS NOT NULL THEN 'No' END"
+             for k in range(2, 6)}
+
+
+def sample_sql(with_assets: bool) -> str:
+    columns = FINAL if with_assets else _COLUMNS
+    expressions = {**_MEMBER, **_PLAIN, **_DERIVED, **_QUINTILE}
+    return f"""
+    WITH RECURSIVE {CTES}{f", {ASSET_CTES}" if with_assets else ""}
     SELECT * FROM (
-        SELECT {", ".join(f"{ {**_MEMBER, **_PLAIN, **_DERIVED}.get(c, c)} AS {c}" for c in _COLUMNS)}
-        FROM (SELECT b.*, CASE WHEN {_ABSENT_F.replace("hh_b16b", "b.hh_b16b")} THEN coalesce(om.hh_c09, b.hh_b18) ELSE b.hh_b18 END AS fe,
-                     CASE WHEN {_ABSENT_M.replace("hh_b19b", "b.hh_b19b")} THEN coalesce(ow.hh_c09, b.hh_b21) ELSE b.hh_b21 END AS me
+        SELECT {", ".join(f"{expressions.get(c, c)} AS {c}" for c in columns)}
+        FROM (SELECT b.*, CASE WHEN {_ABSENT_F.replace("hh_b16b", "b.hh_b16b")} THEN coalesce(om.hh_c09, b.hh_b18)
+                               ELSE b.hh_b18 END AS fe,
+                     CASE WHEN {_ABSENT_M.replace("hh_b19b", "b.hh_b19b")} THEN coalesce(ow.hh_c09, b.hh_b21)
+                          ELSE b.hh_b21 END AS me
               FROM both_waves b LEFT JOIN old_men om ON b.y3_hhid = om.y3_hhid
               LEFT JOIN old_women ow ON b.y3_hhid = ow.y3_hhid) m
         LEFT JOIN both_waves f ON m.y3_hhid = f.y3_hhid AND m.hh_b16b IS NOT DISTINCT FROM f.id_code
@@ -299,21 +319,21 @@ SAMPLE_SQL = f"""
         LEFT JOIN worst ON m.y3_hhid = worst.y3_hhid
         LEFT JOIN (SELECT * FROM safety_nets WHERE hh_r0a = 105) n ON m.y3_hhid = n.y3_hhid
         {" ".join(f"LEFT JOIN {s} ON m.y3_hhid = {s}.y3_hhid" for s in _SPENT)}
+        {"LEFT JOIN quintile ON m.y3_hhid = quintile.y3_hhid" if with_assets else ""}
         LEFT JOIN community ON hh.ea_id = community.ea_id) t
     WHERE dropout IS NOT NULL AND com_cc02 IS NOT NULL"""
 
 
-@query("child_sample_without_assets", sql=SAMPLE_SQL)
-def sample_without_assets(spark, sf):
-    return rounded_doubles(child_sample(survey_tables(spark, sf), with_assets=False))
-
-
-# The asset quintiles rest on a principal component, which SQL cannot give.
-@query("child_sample")
+@query("child_sample", sql=sample_sql(with_assets=True))
 def sample(spark, sf):
     return rounded_doubles(child_sample(survey_tables(spark, sf)))
 
 
+@query("child_sample_without_assets", sql=sample_sql(with_assets=False))
+def sample_without_assets(spark, sf):
+    return rounded_doubles(child_sample(survey_tables(spark, sf), with_assets=False))
+
+
 HOURS = ["total_rainy_labor_landprep", "total_rainy_labor_weed", "total_rainy_labor_harvest"]
 
 
