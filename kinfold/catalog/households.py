@@ -227,10 +227,10 @@ FATHERS_SQL = f"""
     LEFT JOIN ({FATHERS_SQL}) f ON o.hh = f.hh AND o.father_id = f.father_id""")
 def parent_fallback(spark, sf):
     people = members(spark, sf).select("pid", "hh", "id_code", "father_id", "relation", "gender", "age", "educ", "job")
-    people = parent_lookup(people, "hh", "id_code", "father_id", ["job", "educ"], "_father", tiebreak=["pid"])
-    people = attach(people, ["hh"], {
+    known = parent_lookup(people, "hh", "id_code", "father_id", ["job", "educ"], "_father", tiebreak=["pid"])
+    people = attach(known, ["hh"], {
         "om": oldest_adult("gender", MALE, "age", "pid", ["educ"]), "hh_head_job": head_value("relation", "job"),
-    })
+    }, source=people)
     return people.select(
         "pid", "hh", hf.parent_education("father_id", "educ", F.col("om.educ")).alias("father_educ"),
         hf.parent_job("father_id", "job_father", "hh_head_job").alias("father_job"))

@@ -8,6 +8,8 @@ the totals of the lower ranges are added as an offset.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,8 +60,10 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
     key = -key if descending else key
     points = [i / ranges for i in range(1, ranges)]
     # One row with fewer than MAX_RANGES numbers, as a scalar subquery. The bounds only
-    # balance the ranges, so a rough quantile is good enough.
-    rough = F.percentile_approx(key, points, 4 * ranges)
+    # balance the ranges, so a rough quantile is good enough. Touching every value column
+    # keeps the subquery's input the same as the main query's, whose shuffle it then shares.
+    usable = reduce(and_, [~F.isnan(F.col(v).cast("double")) for v in values])
+    rough = F.percentile_approx(F.when(usable, key), points, 4 * ranges)
     bounds = df.agg(F.coalesce(rough, F.array().cast("array<double>")).alias("every"))
     cut = _with_range(df, bounds, key)
 

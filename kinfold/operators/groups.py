@@ -16,9 +16,13 @@ from kinfold.operators.merge import join_on
 
 
 def attach(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column],
-           null_safe: bool = False) -> DataFrame:
-    """Add aggregates of each group to all of the group's rows."""
-    groups = df.groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
+           null_safe: bool = False, source: DataFrame | None = None) -> DataFrame:
+    """Add aggregates of each group to all of the group's rows.
+
+    ``source`` is the frame to aggregate when it is cheaper than ``df``, for example
+    the same rows before they were joined to something.
+    """
+    groups = (df if source is None else source).groupBy(*keys).agg(*[a.alias(name) for name, a in aggregates.items()])
     return join_on(df, groups, list(keys), "left", null_safe=null_safe)
 
 

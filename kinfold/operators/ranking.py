@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.functions.missing import col
@@ -37,6 +37,14 @@ def flag_smallest_abs(df: DataFrame, columns: Sequence[str], whole_table: bool =
     })
 
 
+def importance_table(spark: SparkSession, values: Sequence[float], features: Sequence[str] | None = None,
+                     sort: bool = True) -> DataFrame:
+    """A fitted model's importances as (feature, importance); features are numbered when not named."""
+    names = [str(i) for i in range(len(values))] if features is None else list(features)
+    table = spark.createDataFrame(list(zip(names, map(float, values), strict=True)), "feature string, importance double")
+    return sorted_importances(table, "importance", "feature") if sort else table
+
+
 def sorted_importances(df: DataFrame, importance: str = "importance", *then: str) -> DataFrame:
     """Importances, largest first."""
     return df.orderBy(F.desc(importance), *then)

@@ -7,7 +7,7 @@ from kinfold.operators.evaluate import histogram, split_features
 from kinfold.operators.filters import drop_all_missing, drop_any_missing, drop_minor_nulls, null_counts
 from kinfold.operators.groups import attach, frequency
 from kinfold.operators.merge import (duplicate_keys, merge, parent_lookup, require_unique, with_suffix)
-from kinfold.operators.ranking import feature_ranking, flag_smallest_abs, sorted_importances
+from kinfold.operators.ranking import feature_ranking, flag_smallest_abs, importance_table, sorted_importances
 from kinfold.operators.reshape import to_long, to_wide, to_wide_flags
 from kinfold.sources.labels import caption_of, codes_to_text, dictionary_rows, load_labelled, with_captions
 
@@ -139,6 +139,12 @@ def test_smallest_absolute_value(spark):
     assert rows(whole) == [(1, True, False), (2, False, False), (3, False, False)]
 
 
+def test_importance_table(spark):
+    out = importance_table(spark, [0.1, 0.7, 0.2], ["a", "b", "c"])
+    assert [tuple(r) for r in out.collect()] == [("b", 0.7), ("c", 0.2), ("a", 0.1)]
+    assert [r.feature for r in importance_table(spark, [0.1, 0.7], sort=False).collect()] == ["0", "1"]
+
+
 def test_feature_ranking(spark):
     df = frame(spark, "model string, feature string, importance double, abs double",
                ("m", "x", 3.0, 1.0), ("m", "y", 1.0, 9.0), ("m", "z", 1.0, 5.0),

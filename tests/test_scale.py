@@ -161,3 +161,32 @@ def test_first_row_is_chosen_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert out.count() == 500
+
+
+def test_curve_reads_its_input_once(spark):
+    from kinfold.operators.evaluate import roc_points
+
+    predictions = spark.range(0, 5000, 1, 4).select(
+        F.lit("m").alias("model_name"), "id", (F.col("id") % 2).cast("int").alias("y_true"), F.lit(1).alias("y_pred"),
+        (F.col("id") * 7 % 1000 / 1000).alias("y_prob"), F.lit(1.0).alias("weight"))
+    points = roc_points(predictions).filter("threshold IS NOT NULL")
+    plan = executed(points)
+    assert points.count() == 1000 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("name", ["household_food_spend", "recall_period_spend", "weighted_score_bands",
+                                  "plot_labour_hours", "household_composition", "metrics_weighted"])
+def test_big_aggregations_hash(spark, name):
+    """Text or struct values in an aggregation would make Spark sort all item rows first."""
+    from kinfold.catalog import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_scans_are_pruned(spark):
+    from kinfold.catalog import QUERIES
+
+    plan = QUERIES["merge_indicator"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
+    assert "l_shipdate" not in plan and "o_totalprice" not in plan
