@@ -334,19 +334,20 @@ def sample_without_assets(spark, sf):
     return rounded_doubles(child_sample(survey_tables(spark, sf), with_assets=False))
 
 
+_TASKS = ["ag_d42", "ag_d43", "ag_d44"]
 HOURS = ["total_rainy_labor_landprep", "total_rainy_labor_weed", "total_rainy_labor_harvest"]
 
 
 @query("member_table_labour", sql=f"""
     WITH {CTES},
-    plot AS (SELECT * FROM plots QUALIFY row_number() OVER (PARTITION BY y3_hhid, gardenid ORDER BY {", ".join(
-        f"{t}{x}{n} NULLS FIRST" for t in ("ag_d42", "ag_d43", "ag_d44") for n in range(1, 14) for x in "abcd")}) = 1),
+    plot AS (
+        SELECT * FROM plots QUALIFY row_number() OVER (PARTITION BY y3_hhid, gardenid ORDER BY {", ".join(
+            f"{t}{x}{n} NULLS FIRST" for t in _TASKS for x in "abcd" for n in range(1, 14))}) = 1),
     hours AS (
         SELECT y3_hhid, id_code, {", ".join(f"sum(CASE WHEN task = '{t}' THEN coalesce(h, 0) END) AS {name}"
-                                            for t, name in zip(("ag_d42", "ag_d43", "ag_d44"), HOURS))}
+                                            for t, name in zip(_TASKS, HOURS))}
         FROM ({" UNION ALL ".join(f"SELECT y3_hhid, '{t}' AS task, {t}a{n} AS id_code, "
-                                  f"CAST({t}b{n} AS DOUBLE) * {t}c{n} * {t}d{n} AS h FROM plot"
-                                  for t in ("ag_d42", "ag_d43", "ag_d44") for n in range(1, 14))}) l
+                                  f"CAST({t}d{n} AS DOUBLE) * {t}c{n} * {t}b{n} AS h FROM plot" for t in _TASKS for n in range(1, 14))}) l
         WHERE id_code IS NOT NULL GROUP BY 1, 2)
     SELECT m.PID, m.y3_hhid, m.id_code, {", ".join(HOURS)}, f.hh_c09 AS hh_c09_mother, f.hh_b24 AS hh_b24_mother,
            {", ".join(f"s.com_shocks{c}" for c in SHOCK_CODES)}

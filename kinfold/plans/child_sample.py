@@ -18,7 +18,6 @@ from kinfold.functions import household as hf
 from kinfold.functions.dates import NO_DATE, month_key, month_number, month_text, visit_date
 from kinfold.functions.missing import group_total
 from kinfold.functions.recode import equals_any, flag, swap
-from kinfold.operators.dedup import least_row
 from kinfold.operators.groups import value_where
 from kinfold.operators.merge import MATCHED, merge, parent_lookup, with_suffix
 from kinfold.operators.quantiles import weighted_quantile_group
@@ -258,7 +257,7 @@ def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, w
         known = [c for c in attributes if c in members.columns]
         members = parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID])
     if with_hours:
-        members = merge(members, labour_hours(least_row(tables["plots"], [HH, "gardenid"]), HH, MEMBER), [HH, MEMBER])
+        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER])
     return _member_values(merge(members, households, HH))
 
 

@@ -7,29 +7,37 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.operators.dedup import least_row
+
 # Farm tasks by question number, and the number of workers asked for.
 TASKS = {"landprep": "ag_d42", "weed": "ag_d43", "harvest": "ag_d44"}
 WORKERS = 13
 
 
 def labour_hours(plots: DataFrame, household: str, member_id: str, tasks: Mapping[str, str] = TASKS,
-                 workers: int = WORKERS, prefix: str = "total_rainy_labor_") -> DataFrame:
+                 workers: int = WORKERS, prefix: str = "total_rainy_labor_", plot: str | None = None) -> DataFrame:
     """Hours per household member and task over all plots.
 
     For each task the columns ``<stub>a1 …`` hold worker ids and ``b``, ``c``, ``d``
     the factors of the hours. All tasks and workers are unpivoted together, so one
     aggregation on (household, member) gives every total. A member who is not listed
     for a task has no total there; unknown hours of a listed one count as zero.
+
+    ``plot`` names the plot id if plots may be repeated: the least row of each counts.
+    Columns are packed into one array per task and role and unpivoted from there; 39
+    spelled-out cells would make a method too long for the JVM to compile.
     """
-    def cell(task: str, stub: str, n: int):
-        hours = F.lit(1.0)
-        for factor in "dcb":
-            hours = hours * F.col(f"{stub}{factor}{n}").cast("double")
-        return F.struct(F.lit(task).alias("task"), F.col(f"{stub}a{n}").cast("int").alias(member_id),
-                        hours.alias("hours"))
-
-    cells = F.array(*[cell(task, stub, n) for task, stub in tasks.items() for n in range(1, workers + 1)])
-    long = plots.select(household, F.inline(cells)).filter(F.col(member_id).isNotNull())
-    return long.groupBy(household, member_id).agg(*[
-        F.sum(F.when(F.col("task") == t, F.coalesce(F.col("hours"), F.lit(0.0)))).alias(prefix + t) for t in tasks
-    ])
+    numbers = range(1, workers + 1)
+    kinds = {"a": "int", "b": "double", "c": "double", "d": "double"}
+    packed = [F.array(*[F.col(f"{stub}{role}{n}").cast(kind) for n in numbers]).alias(f"{role}_{task}")
+              for task, stub in tasks.items() for role, kind in kinds.items()]
+    if plot is None:
+        rows = plots.select(household, *packed)
+    else:
+        rows = least_row(plots.select(household, plot, *packed), [household, plot])
+    by_task = rows.select(household, F.inline(F.array(*[
+        F.struct(F.lit(t).alias("task"), *[F.col(f"{role}_{t}").alias(role) for role in kinds]) for t in tasks])))
+    long = by_task.select(household, "task", F.inline(F.arrays_zip(*kinds)))
+    hours = F.coalesce(F.col("d") * F.col("c") * F.col("b"), F.lit(0.0))
+    return long.filter(F.col("a").isNotNull()).groupBy(household, F.col("a").alias(member_id)).agg(*[
+        F.sum(F.when(F.col("task") == t, hours)).alias(prefix + t) for t in tasks])
