@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,10 +29,14 @@ def monthly(amount, period: str) -> Column:
 
 
 def per_unit(amounts: Sequence[str], scales: Mapping[str, str], rate: str = "inflator",
-             suffix: str = "") -> list[Column]:
-    """``(amount * rate) / scale`` for every amount and scale, named ``<prefix>_<amount><suffix>``."""
+             suffix: str = "", only: Collection[str] | None = None) -> list[Column]:
+    """``(amount * rate) / scale`` for every amount and scale, named ``<prefix>_<amount><suffix>``.
+
+    ``only`` limits the result to names among it.
+    """
     return [
         ratio(F.col(amount) * F.col(rate), scale).alias(f"{prefix}_{amount}{suffix}")
         for amount in amounts
         for prefix, scale in scales.items()
+        if only is None or f"{prefix}_{amount}{suffix}" in only
     ]

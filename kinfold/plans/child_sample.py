@@ -178,11 +178,11 @@ def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_
             F.max(F.when(F.col("interviewDate") == NO_DATE, 1)).alias("no_interview")],
         # The first visit stands in only where the sentinel says there was no interview.
         month=F.coalesce(month_text("interview_month"),
-                         F.when(F.col("no_interview") == 1, month_key("interviewdate_v1"))))
+                         F.when(F.col("no_interview") == 1, month_key("interviewdate_v1"))), only=columns)
     recall = recall_spending(
         nonfood, base, tables["prices"].withColumnRenamed("int_date_hhmod", "month"), household=HH, amount="amount",
         tag="tag", periods=PERIODS, carry=[F.max("qx_type").alias("visit_group")],
-        month=month_key(visit_date("visit_group", "interviewdate_v1", "interviewdate_v2")))
+        month=month_key(visit_date("visit_group", "interviewdate_v1", "interviewdate_v2")), only=columns)
     nets = tables["safety_nets"]
     parts = [
         tables["housing"], food, tables["food_days"], tables["food_security"], recall, tables["enterprise"],

@@ -6,7 +6,7 @@ household lookups have one row per household too, so no later join meets a hot k
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,23 +62,26 @@ def _priced(totals: DataFrame, scales: DataFrame, prices: DataFrame, household:
 
 
 def food_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, item: str,
-                  amount: str, month="month", categories=FOOD_CATEGORIES, carry: Sequence[Column] = ()) -> DataFrame:
+                  amount: str, month="month", categories=FOOD_CATEGORIES, carry: Sequence[Column] = (),
+                  only: Collection[str] | None = None) -> DataFrame:
     """Deflated food spending per scale, total and by category.
 
     ``scales`` has one row per household with its sizes. ``month`` is an expression
-    over its columns and over ``carry``, further aggregates of the item rows.
+    over its columns and over ``carry``, further aggregates of the item rows. ``only``
+    limits the amounts to names among it.
     """
     totals = food_totals(items, household, item, amount, categories, *carry)
     priced = _priced(totals, scales, prices, household, month)
     return priced.select(
         household,
-        *per_unit(["total_exp_food"], UNITS),
-        *per_unit([f"exp_{name}" for name, _, _ in categories], UNITS, suffix="2"),
+        *per_unit(["total_exp_food"], UNITS, only=only),
+        *per_unit([f"exp_{name}" for name, _, _ in categories], UNITS, suffix="2", only=only),
     )
 
 
 def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, amount: str,
-                    tag: str, periods: Mapping[str, str], month="month", carry: Sequence[Column] = ()) -> DataFrame:
+                    tag: str, periods: Mapping[str, str], month="month", carry: Sequence[Column] = (),
+                    only: Collection[str] | None = None) -> DataFrame:
     """Deflated monthly non-food spending per recall period, one row per household.
 
     ``tag`` is the column telling which questionnaire part an item row comes from and
@@ -92,7 +95,7 @@ def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, h
     return priced.select(
         household,
         *[F.col(names[t]).alias(f"nonfood_exp_monthly_{t}") for t in periods],
-        *per_unit(list(names.values()), UNITS),
+        *per_unit(list(names.values()), UNITS, only=only),
     )
 
 
