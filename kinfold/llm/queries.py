@@ -37,3 +37,66 @@ def jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from kinfold.llm.jaccard import similar_documents
 
     return similar_documents(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op4_histogram_sort_shards")
+def shards(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.sharding import shard_by_bytes
+
+    return shard_by_bytes(documents(spark, folder), shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_warc_assembly")
+def captures(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.warc import round_trip
+
+    found = round_trip(spark, table(spark, folder, "pages"))
+    page = lambda record: F.col(f"{record}.fields")["pageid"].cast("bigint")
+    return found.select(
+        page("metadata").alias("page_id"),
+        F.coalesce("capture.payload_bytes", "revisited.capture.payload_bytes").alias("payload_bytes"),
+        F.coalesce("capture.payload_digest", "revisited.capture.payload_digest").alias("payload_digest"),
+        F.col("capture.kind").alias("record_type"), page("revisited.metadata").alias("refers_to"))
+
+
+@query("op6_token_id_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.token_files import round_trip
+
+    return round_trip(spark, documents(spark, folder)).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_two_tier_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.token_counts import LIMIT, count_tokens
+
+    return count_tokens(documents(spark, folder)).withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
+@query("op3_bpe_tree_round_trip")
+def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.bpe_tree import decode, encode
+
+    decoded = decode(encode(documents(spark, folder)))
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_tokeniser_fertility")
+def fertility(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.fertility import measure
+
+    return measure(documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op2_toxic_segments")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.toxicity import HELD_OUT_FOLD, fold, score, train
+
+    docs = documents(spark, folder)
+    scored = score(docs, train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
