@@ -1,12 +1,51 @@
-"""Cleaning a corpus in stages: each is written as Parquet and read again as the next one's documents."""
+"""Cleaning a corpus in stages: each is written as Parquet and read again as the next one's documents.
+
+Every stage takes (spark, docs, sf_dir), works on all rows that the one before it kept, and leaves the columns of
+documents; the last one gives token ids. Stages that drop documents keep the rest unchanged.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinfold.llm import bpe_tree, decontaminate, disclosure, fertility, jaccard
+from kinfold.llm.shared import batches_of_bytes, cut_lineage, documents, table
+from kinfold.operators.dedup import first_per_key
+from kinfold.operators.merge import join_on
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    batches_of_bytes(spark)
+    return fertility.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least doc_id, once; documents without id or words stay."""
+    firsts = jaccard.similar_documents(docs).filter("component_id = doc_id").select("doc_id").distinct()
+    kept = join_on(docs, firsts, "doc_id", "left_semi")
+    return first_per_key(kept, ["doc_id"], [F.xxhash64("text"), "text"]).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any test phrase of the benchmark."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, entities replaced by their kind and terms that disclose them generalised or removed."""
+    return disclosure.sanitise(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, token ids and what they decode to, of every document."""
+    decoded = bpe_tree.decode(bpe_tree.encode(docs))
+    return decoded.select("doc_id", "n_tokens", "ids", F.decode("decoded", F.lit("UTF-8")).alias("text"))
 
-from kinfold.llm.shared import cut_lineage, documents
 
-STAGES: list = []
+STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", decontamination),
+          ("PII", personal_data), ("byte-level BPE encoding and decoding", encoding)]
 
 # Tokenisers and set similarity take part; the stages are tested against plain versions instead.
 ORACLE_SQL = None

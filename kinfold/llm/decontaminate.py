@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,6 +146,19 @@ def _merged(spans: str) -> F.Column:
                   'end', greatest(try_element_at(done, -1).end, x.end)))) END)""")
 
 
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Broadcast]:
+    """The phrases of the benchmark, in broadcasts of about ``block_bytes`` of text each."""
+    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
+        "item_id IS NOT NULL AND text IS NOT NULL")
+    total = bench.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    out = []
+    for block in range(blocks):
+        part = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else bench
+        out.append(benchmark.sparkSession.sparkContext.broadcast(phrases([tuple(r) for r in part.collect()], window)))
+    return out
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES, extra: tuple[str, ...] = ()) -> DataFrame:
     """Occurrences of benchmark phrases, one row per document.
@@ -157,20 +171,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     one item id are taken together; repeated documents each get their row. Very long texts form a shard alone.
     An empty benchmark gives documents without occurrences. Items come to the driver in blocks of ``block_bytes``.
     """
-    spark = docs.sparkSession
-    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "item_id IS NOT NULL AND text IS NOT NULL")
-    total = bench.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
+    known_blocks = _blocks(benchmark, window, block_bytes)
+    blocks = len(known_blocks)
     mark = F.xxhash64("doc_id", "text") if blocks > 1 else None
     rows = docs.select("doc_id", "text", *extra)
     rows = rows.withColumn("row_mark", mark) if blocks > 1 else rows
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text")
     schema += f", n_words bigint, items array<string>, word_spans {SPANS}, spans {SPANS}"
     parts = []
-    for block in range(blocks):
-        part = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else bench
-        known = spark.sparkContext.broadcast(phrases([tuple(r) for r in part.collect()], window))
+    for known in known_blocks:
         parts.append(rows.mapInArrow(lambda batches, known=known: (
             out for batch in batches for out in _scan(batch, known.value)), schema))
     if blocks == 1:
@@ -189,6 +198,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which nothing of the benchmark occurs, with all their columns; a pass for each block."""
+    for known in _blocks(benchmark, window, block_bytes):
+        docs = docs.mapInArrow(lambda batches, known=known: (
+            batch.filter(pa.array([not items for part in _scan(batch.select(["text"]), known.value)
+                                   for items in part.column("items").to_pylist()], pa.bool_())) for batch in batches), docs.schema)
+    return docs
+
+
 def n_hit() -> F.Column:
     return F.expr("aggregate(word_spans, 0L, (n, x) -> n + x.end - x.start)")
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinfold.llm.shared import documents, table
+from kinfold.llm.shared import batches_of_bytes, documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,10 +16,14 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return function(batches_of_bytes(spark), folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
-        return function
+        return run
     return register
 
 
@@ -100,3 +105,14 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = score(docs, train(docs, table(spark, folder, "labels")))
     return scored.select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_disclosure_sanitise")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.disclosure import KINDS, TERM_KIND, find_personal_data, joined_spans, span_text
+
+    base = [span_text(k, k) for k in KINDS]
+    return find_personal_data(documents(spark, folder)).select(
+        "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined_spans(*base), 256).alias("base_sha256"),
+        joined_spans(*base, span_text(TERM_KIND, "terms")).alias("spans"))

@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.session import cut_lineage, shared_dir
 
-__all__ = ["cut_lineage", "documents", "new_folder", "open_folder", "table"]
+__all__ = ["batches_of_bytes", "cut_lineage", "documents", "new_folder", "open_folder", "publish", "table"]
+
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 512
+
+
+def batches_of_bytes(spark: SparkSession) -> SparkSession:
+    """Let Arrow batches end at a few hundred rows or megabytes, so that Python workers and Arrow buffers stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,7 +49,7 @@ def publish(files: pafs.FileSystem, path: str, name: str, attempt: str, data) ->
     A task that runs again writes the same bytes, so it does not matter which attempt comes last.
     """
     draft = f"{path}/_{attempt}-{name}"
-    with files.open_output_stream(draft) as out:
+    with files.open_output_stream(draft, compression=None) as out:
         for block in data:
             out.write(block)
     files.move(draft, f"{path}/{name}")

@@ -93,7 +93,11 @@ def bin_scores(counts: np.ndarray, texts: tuple[int, int]) -> np.ndarray:
 
 
 def decay_rate(scores: np.ndarray, words: np.ndarray) -> float:
-    """The positive rate at which the mean of exp(rate * score) is 1 over ordinary words (Karlin and Altschul)."""
+    """The positive rate at which the mean of exp(rate * score) is 1 over ordinary words (Karlin and Altschul).
+
+    Bins with a positive score count as seen half a time more, since what was not seen yet may still come.
+    """
+    words = words + 0.5 * (scores > 0)
     share = words / max(1, words.sum())
     mean = lambda rate: float((share * np.exp(np.minimum(rate * scores, 50))).sum())
     low, high = 0.0, 1.0
@@ -146,8 +150,8 @@ def _features(words: int, segments, rate: float, log_k: float) -> tuple[float, f
     """Bits of the best segment beyond chance, of all significant ones together, and the number of these."""
     if not segments:
         return 0.0, 0.0, 0.0
-    bits = [max(0.0, rate * s - log_k - np.log(max(words, 1))) for _, _, s in segments]
-    return max(bits), float(np.log1p(sum(bits))), float(np.log1p(sum(b > 0 for b in bits)))
+    bits = [float(np.logaddexp(0, rate * s - log_k - np.log(max(words, 1)))) for _, _, s in segments]
+    return float(np.log1p(max(bits))), float(np.log1p(sum(bits))), float(np.log1p(sum(b > 0.7 for b in bits)))
 
 
 def _measure(batches, scores: np.ndarray, rate: float):

@@ -45,21 +45,21 @@ def _capture(page, copy: int, url, html, first) -> bytes:
     """The three records of one page, each a gzip member."""
     payload = (html or "").encode()
     uri = None if url is None else quote(url, safe="!#$%&'()*+,/:;=?@[]~")
-    own, target = record_id("response", page, copy), [("WARC-Target-URI", uri)]
-    digest = ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}")
+    sha1 = payload_digest(payload)
+    own, target, digest = record_id("response", page, sha1, copy), [("WARC-Target-URI", uri)], ("WARC-Payload-Digest", f"sha1:{sha1}")
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     near = [*target, ("WARC-Concurrent-To", own)]
     if first is None:
         main = _record("response", own, [*target, digest], "application/http; msgtype=response", head + payload)
     else:
         main = _record("revisit", own, [
-            *target, digest, ("WARC-Refers-To", record_id("response", first, 1)),
+            *target, digest, ("WARC-Refers-To", record_id("response", first, sha1, 1)),
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")],
             "application/http; msgtype=response", head)
-    request = _record("request", record_id("request", page, copy), near, "application/http; msgtype=request",
+    request = _record("request", record_id("request", page, sha1, copy), near, "application/http; msgtype=request",
                       f"GET {uri or '/'} HTTP/1.1\r\n\r\n".encode())
     fields = "" if page is None else f"pageId: {page}\r\n"
-    metadata = _record("metadata", record_id("metadata", page, copy), near, "application/warc-fields", fields.encode())
+    metadata = _record("metadata", record_id("metadata", page, sha1, copy), near, "application/warc-fields", fields.encode())
     return b"".join(gzip.compress(r, 6, mtime=0) for r in (request, main, metadata))
 
 

@@ -53,3 +53,50 @@ def similar(docs, width=5, percent=80):
         if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
             parent[max(top(a), top(b))] = min(top(a), top(b))
     return [(d, len(s), top(d)) for d, s in sets.items()]
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        n = int(d) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def personal_data(text):
+    """Spans of each kind, as (start, end)."""
+    text = text or ""
+    only = lambda m: re.sub("[^0-9]", "", m[0])
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(only(m)) <= 19 and luhn(only(m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(only(m)) <= 15)}
+    return {k: [m.span() for m in re.finditer(p, text) if good(m)] for k, (p, good) in rules.items()}
+
+
+def quality(text):
+    """Words, characters in words, symbols, repeated lines, words in repeated windows."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    places = defaultdict(list)
+    for i in range(len(words) - 7):
+        places[tuple(words[i:i + 8])].append(i)
+    hit = {i + k for at in places.values() if len(at) > 1 for i in at for k in range(8)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit))
+
+
+def segments(scores):
+    """Maximal scoring segments by their definition: the best one, then those left and right of it."""
+    if not scores or max(scores) <= 0:
+        return []
+    best = None
+    for i in range(len(scores)):
+        total = 0
+        for j in range(i, len(scores)):
+            total += scores[j]
+            if best is None or total > best[0] + 1e-12:
+                best = (total, i, j)
+    total, i, j = best
+    return [*segments(scores[:i]), (i, j, total), *[(a + j + 1, b + j + 1, s) for a, b, s in segments(scores[j + 1:])]]
