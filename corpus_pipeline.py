@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and what they decode to, of every document."""
     decoded = bpe_tree.decode(bpe_tree.encode(docs))
-    return decoded.select("doc_id", "n_tokens", "ids", F.decode("decoded", F.lit("UTF-8")).alias("text"))
+    return decoded.select("doc_id", "n_tokens", "ids", F.decode("decoded", "UTF-8").alias("text"))
 
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", decontamination),
