@@ -6,7 +6,10 @@ short ones that remain must hold every partner at least once. Only short lists a
 runs (Spark's sort-merge shuffle is the heap merge); long lists are never built, they are probed by
 binary search in the partner's sorted set when a candidate is checked in full.
 
-List lengths come from counts over all documents in 2^20 bins, of which each task reports those far
+A pair that shares c short lists has at most c + max(T(a), T(b)) - 1 shingles in common, so pairs below the overlap
+that their two sizes ask for are dropped before their texts are compared.
+
+List lengths come from counts over all documents in 2^22 bins, of which each task reports those well
 above its mean. They only order the lists, so their bins never change a result.
 """
 
@@ -26,7 +29,13 @@ from kinfold.operators.merge import join_on
 
 WIDTH = 5
 PERCENT = 80
-BIN_BITS = 20
+BIN_BITS = 22
+ID_BINS = 1 << 20
+# Turns of one pair per document go on while they pay: all remaining pairs are compared once there are at most
+# this many for each list entry, or when less than this share of a turn's pairs are links.
+PAIRS_PER_ENTRY = 4
+LEAST_GAIN = 0.05
+MOST_TURNS = 10
 
 
 def _group_sets(group: Words, width: int):
@@ -55,22 +64,22 @@ def _needed(n: int, percent: int) -> int:
 
 
 def _count_bins(batches, width: int):
-    counts = np.zeros(1 << BIN_BITS, np.int64)
+    counts = np.zeros(1 << BIN_BITS, np.int32)
     for batch in batches:
         for group in word_groups(batch.column("text"), SPACED, lower=True):
             sets = list(_group_sets(group, width))
             np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - BIN_BITS)).astype(np.int64), 1)
     mean = counts.sum() / len(counts)
-    bins = np.flatnonzero(counts > mean + 8 * np.sqrt(mean) + 8)
-    yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(counts[bins], pa.int64())], ["bin", "n"])
+    bins = np.flatnonzero(counts > mean + 4 * np.sqrt(mean) + 1)
+    yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(counts[bins].astype(np.int64))], ["bin", "n"])
 
 
 def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """Documents per bin of shingles, 0 where no task saw more than its share; 8 MB whatever the input."""
+    """Documents per bin of shingles, 0 where no task saw more than its share; 16 MB whatever the input."""
     rows = texts.select("text").mapInArrow(lambda batches: _count_bins(batches, width), "bin int, n bigint")
-    lengths = np.zeros(1 << BIN_BITS, np.int64)
-    for bin_, n in rows.groupBy("bin").agg(F.sum("n").alias("n")).collect():
-        lengths[bin_] = n
+    found = rows.groupBy("bin").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow().to_pydict()
+    lengths = np.zeros(1 << BIN_BITS, np.int32)
+    lengths[found["bin"]] = found["n"]
     return lengths
 
 
@@ -111,16 +120,87 @@ def _linked(batches, width: int, percent: int):
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The linked ones of distinct candidate pairs (a, b), by their whole texts."""
-    pairs = cut_lineage(pairs)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    own = cut_lineage(texts.join(ids, "doc_id", "left_semi"))
+    """The linked ones of candidate pairs (a, b), by their whole texts.
+
+    Texts are picked by the hash bins of the pairs' ids, at most 2^20 numbers, which go to every task; so only texts
+    that are compared move, and a few that share a bin with them.
+    """
+    bin_ = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BINS)).cast("int").alias("bin")
+    bins = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bin_("id")).distinct()
+    own = cut_lineage(texts.withColumn("bin", bin_("doc_id")).join(F.broadcast(bins), "bin", "left_semi").drop("bin"))
     left = join_on(pairs, own.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a", "inner")
     both = join_on(left, own.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b", "inner")
     return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(
         lambda batches: _linked(batches, width, percent), "a bigint, b bigint"))
 
 
+def _least_shared(n: str, other: str, percent: int) -> F.Column:
+    """Short lists that a linked pair of these sizes shares at least: its overlap without the longer of the long lists."""
+    return F.expr(f"ceil({percent} * ({n} + {other}) / {100 + percent}) - ceil({percent} * greatest({n}, {other}) / 100) + 1")
+
+
+def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, int, int]:
+    """Entries of lists whose members have several labels, their pairs across labels, and their number.
+
+    Each entry has the first member of its list: one with the least label, another one in every turn.
+    """
+    placed = lists.withColumn("label", F.col("doc_id")) if labels is None else join_on(
+        lists, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
+    whole = Window.partitionBy("shingle")
+    first = F.min(F.struct("label", F.xxhash64("doc_id", F.lit(turn)).alias("order"), "doc_id", "n"))
+    mixed = cut_lineage(placed.withColumns({"all": F.count("*").over(whole), "first": first.over(whole)}).withColumn(
+        "own", F.count("*").over(Window.partitionBy("shingle", "label"))).filter("own < all"))
+    pairs, rows = mixed.agg(F.coalesce(F.sum(F.col("all") - F.col("own")) / 2, F.lit(0)), F.count("*")).head()
+    return mixed.drop("own", "all"), pairs, rows
+
+
+def _enough(candidates: DataFrame, percent: int, part: int = 1) -> DataFrame:
+    """Of (doc_id, n, other_id, other_n) per shared list: pairs that share enough lists, with their number."""
+    return candidates.groupBy("doc_id", "other_id").agg(
+        F.first("n").alias("n"), F.first("other_n").alias("other_n"), F.count("*").alias("shared")).filter(
+        part * F.col("shared") >= _least_shared("n", "other_n", percent))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("doc_id", "other_id").alias("a"), F.greatest("doc_id", "other_id").alias("b"))
+
+
+def _all_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """All pairs across labels that share enough short lists."""
+    other = mixed.select("shingle", F.col("doc_id").alias("other_id"), F.col("n").alias("other_n"),
+                         F.col("label").alias("other_label"))
+    return _ordered(_enough(join_on(mixed, other, "shingle", "inner").filter(
+        f"label <> other_label AND (n < other_n OR n = other_n AND doc_id < other_id) "
+        f"AND 100 * n >= {percent} * other_n"), percent))
+
+
+def _pairs_with_first(mixed: DataFrame, percent: int) -> DataFrame:
+    """One pair for each document: with the first member of a list, of those the one it shares most lists with.
+
+    Lists begin with different documents, so the count of shared lists is too low; a quarter of what a link needs
+    is a fair sign.
+    """
+    candidates = mixed.filter("label <> first.label").select(
+        "doc_id", "n", F.col("first.doc_id").alias("other_id"), F.col("first.n").alias("other_n")).filter(
+        f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+    return _ordered(first_per_key(_enough(candidates, percent, part=4), ["doc_id"], [F.desc("shared"), "other_id"]))
+
+
+def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (doc_id, label) after each linked document has taken the least label among its new neighbours.
+
+    A label is always a document of the same component. Labels may stay apart within one, which only costs comparisons.
+    """
+    arcs = links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("doc_id")),
+                                          F.struct(F.col("b").alias("u"), F.col("a").alias("doc_id")))).alias("e")).select("e.*")
+    if labels is None:
+        seen = arcs.select(F.col("u").alias("doc_id"), F.least("u", "doc_id").alias("label"))
+    else:
+        seen = join_on(arcs, labels, "doc_id").select(
+            F.col("u").alias("doc_id"), F.least("u", F.coalesce("label", "doc_id")).alias("label")).unionByName(labels)
+    return cut_lineage(seen.groupBy("doc_id").agg(F.min("label").alias("label")))
+
+
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id and class_id.
 
@@ -128,10 +208,10 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     the least doc_id reachable by links, class_id the least doc_id with the same set. Needs doc_id (integer) and
     text; other columns are ignored.
 
-    Equal sets are joined first, by their 128-bit marks; only one document of each is searched. Candidates of a
-    short list are its members against its first one, then, for documents those links leave in different
-    components, all pairs of a list that could still join components. So a group of near copies costs its size,
-    not its square, and no link between components is missed.
+    Equal sets are joined first, by their 128-bit marks; only one document of each is searched. While lists hold many
+    pairs of different components, every document is compared with one first member of its lists per turn, and
+    components grow; in the end all pairs of a list that could still join two components are compared. So a
+    group of near copies costs its size, not its square, and no link between components is missed.
 
     A null text or one without words has an empty set and is alone. A row without doc_id is alone, with a null
     component. Repeated rows each get their row. An empty table gives no rows.
@@ -145,27 +225,19 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     classes = first_per_key(filled, ["mark1", "mark2"], ["doc_id"])
     entries = classes.select("doc_id", "n", F.explode("short").alias("shingle"))
     whole = Window.partitionBy("shingle")
-    lists = cut_lineage(entries.withColumns({
-        "length": F.count("*").over(whole), "first": F.min(F.struct("n", "doc_id")).over(whole),
-    }).filter("length > 1").select("shingle", "doc_id", "n", F.col("first.doc_id").alias("first_id"),
-                                   F.col("first.n").alias("first_n")))
-    to_first = lists.filter(f"doc_id <> first_id AND 100 * first_n >= {percent} * n").select(
-        F.least("doc_id", "first_id").alias("a"), F.greatest("doc_id", "first_id").alias("b")).distinct()
-    links = _verify(to_first, texts, width, percent)
-    groups = cut_lineage(components(links))
-    # What is left: members of one list in different components, of sizes that allow a link.
-    placed = join_on(lists, groups.withColumnRenamed("node", "doc_id"), "doc_id").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    mixed = cut_lineage(placed.withColumns({
-        "least": F.min("component").over(whole), "most": F.max("component").over(whole),
-    }).filter("least < most").select("shingle", "doc_id", "n", "component", "first_id"))
-    other = mixed.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "component")])
-    rest = join_on(mixed, other, "shingle", "inner").filter(
-        f"component <> other_component AND (n < other_n OR n = other_n AND doc_id < other_doc_id) "
-        f"AND 100 * n >= {percent} * other_n AND doc_id <> first_id").select(
-        F.least("doc_id", "other_doc_id").alias("a"), F.greatest("doc_id", "other_doc_id").alias("b")).distinct()
-    more = _verify(rest.join(to_first, ["a", "b"], "left_anti"), texts, width, percent)
-    groups = cut_lineage(components(links.unionByName(more)))
+    lists = cut_lineage(entries.withColumn("length", F.count("*").over(whole)).filter("length > 1").drop("length"))
+    links, labels, gain = None, None, 1.0
+    for turn in range(MOST_TURNS + 1):
+        mixed, pairs, rows = _mixed(lists, labels, turn)
+        every = pairs <= PAIRS_PER_ENTRY * rows or gain < LEAST_GAIN or turn == MOST_TURNS
+        found = cut_lineage(_all_pairs(mixed, percent) if every else _pairs_with_first(mixed, percent))
+        new = _verify(found, texts, width, percent)
+        links = new if links is None else links.unionByName(new)
+        if every:
+            break
+        labels = _relabelled(labels, new)
+        gain = new.count() / max(1, found.count())
+    groups = components(links)
     named = join_on(classes.select(F.col("doc_id").alias("class_id"), "mark1", "mark2"),
                     groups.select(F.col("node").alias("class_id"), "component"), "class_id")
     joined = join_on(filled.select("doc_id", "n", "mark1", "mark2"), named, ["mark1", "mark2"])
