@@ -124,6 +124,14 @@ def find_entities(docs: DataFrame) -> DataFrame:
         "doc_id", "mark", *KINDS, F.when(F.size("named") > 0, _near(text, F.col("named"))).alias("near"))
 
 
+def _shares(counts: DataFrame, total: DataFrame) -> DataFrame:
+    """Adds the share of an entity's information that a term reveals, from the numbers of texts with one or both."""
+    log = lambda c: F.log2(F.col(c).cast("double"))
+    information = log("total") - log("with_name")
+    mutual = log("total") + log("both") - log("with_name") - log("with_term")
+    return counts.join(F.broadcast(total)).withColumn("share", F.when(information > 0, mutual / information)).drop("total")
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE) -> DataFrame:
     """(name, value, share): terms that reveal an entity beyond the threshold, with the share of it they reveal.
 
@@ -138,16 +146,17 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENE
         F.col("texts") >= LEAST_TEXTS)
     names = found.filter("near IS NOT NULL").select(F.explode(F.array_distinct(F.transform("near", lambda e: e["name"])))
                                                     .alias("name")).groupBy("name").agg(F.count("*").alias("with_name"))
-    candidates = cut_lineage(together)
+    nearby = found.filter("near IS NOT NULL").select(F.explode(F.array_distinct(F.flatten(F.transform(
+        "near", lambda e: F.transform(e["terms"], lambda t: t["value"]))))).alias("value")).groupBy("value").agg(
+        F.count("*").alias("with_term"))
+    total = docs.agg(F.count("text").alias("total"))
+    # A term is at least as frequent in all texts as near entities, so most pairs are settled by what stands near them.
+    candidates = cut_lineage(_shares(join_on(join_on(together, names, "name", "inner"), nearby, "value", "inner"), total)
+                             .filter(F.col("share") >= generalise).drop("share", "with_term"))
     wanted = candidates.select("value").distinct()
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias(
         "value")).groupBy("value").agg(F.count("*").alias("with_term")).join(wanted, "value", "left_semi")
-    total = docs.agg(F.count("text").alias("total"))
-    joined = join_on(join_on(candidates, names, "name", "inner"), words, "value", "inner").join(F.broadcast(total))
-    log = lambda x: F.log2(x.cast("double"))
-    information = log(F.col("total")) - log(F.col("with_name"))
-    mutual = log(F.col("total")) + log(F.col("both")) - log(F.col("with_name")) - log(F.col("with_term"))
-    return joined.withColumn("share", F.when(information > 0, mutual / information)).filter(
+    return _shares(join_on(candidates, words, "value", "inner"), total).filter(
         F.col("share") >= generalise).select("name", "value", "share")
 
 
