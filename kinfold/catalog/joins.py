@@ -119,14 +119,15 @@ def merge_null_safe_keys(spark, sf):
 
 
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-         "l_returnflag", "l_linestatus"]
+         "l_returnflag", "l_linestatus", "l_shipdate"]
+_LINE_TEXT = ["SUBSTR(CAST(l_shipdate AS STRING), 1, 10) AS l_shipdate" if c == "l_shipdate" else c for c in _LINE]
 
 
 @query("dedup_first", sql=f"""
-    SELECT {", ".join(_LINE)} FROM lineitem
+    SELECT {", ".join(_LINE)} FROM (SELECT {", ".join(_LINE_TEXT)} FROM lineitem) l
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(_LINE[2:])}) = 1""")
 def dedup_first(spark, sf):
-    lines = read_driver_table(spark, sf, "lineitem").select(*_LINE)
+    lines = read_driver_table(spark, sf, "lineitem").selectExpr(*_LINE_TEXT)
     return first_per_key(lines, _LINE[:2], _LINE[2:])
 
 

@@ -39,7 +39,8 @@ FOOD_SCORE_SQL = f"""
                    WHEN food_consumption_score > 35 THEN 2 END AS food_score_ctg
     FROM (SELECT hh, round(food_consumption_score, 4) AS food_consumption_score FROM ({FOOD_SCORE_SQL}) s) t""")
 def weighted_score_bands(spark, sf):
-    days = to_wide(FOOD_DAYS.frame(spark, sf), ["hh"], "food", ["days"], range(9))
+    # The stand-in repeats answers; the greatest counts, here and in SQL.
+    days = to_wide(FOOD_DAYS.frame(spark, sf), ["hh"], "food", ["days"], range(9), validate=False)
     d = dict(zip(FOODS, (f"days{i}" for i in range(9))))
     score = hf.food_score(staples=hf.staples(d["a"], d["b"]), pulses=d["c"], vegetables=d["d"], fruit=d["f"],
                           meat_fish=d["e"], milk=d["g"], sugar=d["i"], oil=d["h"])
@@ -53,7 +54,7 @@ def weighted_score_bands(spark, sf):
            CASE WHEN r_csi >= 11 THEN 1 WHEN r_csi < 11 THEN 0 END AS sev_insecure
     FROM (SELECT hh, a + b + c + 3 * d + 2 * e AS r_csi FROM {_days_sql(FOODS[:5], "strategy", "answer")} x) y""")
 def coping(spark, sf):
-    answers = to_wide(FOOD_DAYS.frame(spark, sf), ["hh"], "strategy", ["answer"], range(5))
+    answers = to_wide(FOOD_DAYS.frame(spark, sf), ["hh"], "strategy", ["answer"], range(5), validate=False)
     index = hf.coping_index(less_expensive="answer0", portion="answer1", reduce_meals="answer2", child="answer3",
                             borrow="answer4")
     return (answers.select("hh", index.alias("r_csi"))
@@ -160,14 +161,14 @@ def recode_groups(spark, sf):
 QUINTILE_CTES = """
     v AS (SELECT score, sum(weight) AS w FROM h WHERE score IS NOT NULL GROUP BY score),
     c AS (SELECT score, sum(w) OVER (ORDER BY score) AS cum, (SELECT sum(w) FROM v) AS tot FROM v),
-    cuts AS (SELECT p, CASE WHEN max(CASE WHEN cum = tot * p / 5e0 THEN score END) IS NOT NULL
-                            THEN (max(CASE WHEN cum = tot * p / 5e0 THEN score END)
-                                  + min(CASE WHEN cum > tot * p / 5e0 THEN score END)) / 2e0
-                            ELSE min(CASE WHEN cum > tot * p / 5e0 THEN score END) END AS cut
+    cuts AS (SELECT p, CASE WHEN max(CASE WHEN cum * 5 = tot * p THEN score END) IS NOT NULL
+                            THEN (max(CASE WHEN cum * 5 = tot * p THEN score END)
+                                  + min(CASE WHEN cum * 5 > tot * p THEN score END)) / 2e0
+                            ELSE min(CASE WHEN cum * 5 > tot * p THEN score END) END AS cut
              FROM c, (VALUES (1), (2), (3), (4)) t(p) GROUP BY p)"""
 QUINTILE_SQL = f"""
     WITH h AS (SELECT c_custkey, CASE WHEN c_acctbal < -900 THEN NULL ELSE floor(c_acctbal / 100) END AS score,
-                      CAST(1 + c_custkey % 5 AS DOUBLE) AS weight FROM customer),
+                      CAST((1 + c_custkey % 5) / 10.0 AS DECIMAL(18, 1)) AS weight FROM customer),
     {QUINTILE_CTES}
     SELECT c_custkey, CASE WHEN score IS NOT NULL
                            THEN CAST(1 + (SELECT count(*) FROM cuts WHERE cut < score) AS INT) END AS asset_q
@@ -182,7 +183,7 @@ QUINTILE_SQL = f"""
 def weighted_quintiles(spark, sf):
     households = read_driver_table(spark, sf, "customer").select(
         "c_custkey", F.when(F.col("c_acctbal") >= -900, F.floor(F.col("c_acctbal") / 100)).alias("score"),
-        (F.col("c_custkey") % 5 + 1).cast("double").alias("weight"))
+        ((F.col("c_custkey") % 5 + 1) / F.lit(10.0)).alias("weight"))
     grouped = weighted_quantile_group(households, "score", "weight", "asset_q")
     return grouped.select("c_custkey", "asset_q").withColumns(recodes.quintile_dummies("asset_q", "asset_q"))
 

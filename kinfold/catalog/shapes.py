@@ -106,10 +106,10 @@ GAPS = StandIn("orders", (
 
 @query("drop_minor_nulls", sql=f"""
     SELECT o.* FROM {GAPS.sql} o,
-         (SELECT count(*) - count(reason) AS a, count(*) - count(rank) AS b FROM {GAPS.sql} x) n
-    WHERE NOT (reason IS NULL AND a BETWEEN 1 AND 99) AND NOT (rank IS NULL AND b BETWEEN 1 AND 99)""")
+         (SELECT count(*) AS n, count(*) - count(reason) AS a, count(*) - count(rank) AS b FROM {GAPS.sql} x) n
+    WHERE NOT (reason IS NULL AND a > 0 AND a < n.n * 0.05e0) AND NOT (rank IS NULL AND b > 0 AND b < n.n * 0.05e0)""")
 def drop_minor(spark, sf):
-    return drop_minor_nulls(GAPS.frame(spark, sf))
+    return drop_minor_nulls(GAPS.frame(spark, sf), limit=None, share=0.05)
 
 
 @query("drop_all_missing", sql=f"""

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from kinfold.catalog.base import PRICES_SQL, query, rounded_doubles
 from kinfold.catalog.scores import QUINTILE_CTES, component_ctes
-from kinfold.plans.child_sample import ASSET_CODES, FINAL, child_sample, member_table
+from kinfold.plans.child_sample import (
+    ASSET_CODES, FATHER_FACTS, FINAL, MOTHER_FACTS, OLDEST_FACTS, OLDEST_FEMALE_FACTS, child_sample, member_table,
+)
 from kinfold.plans.community import DISTANCES, FREQUENT, SHOCK_CODES
 from kinfold.sources.tables import read_driver_table
 
@@ -28,18 +30,22 @@ def _codes(names, key, levels, gap=0):
 _O, _C, _N = "o_orderkey", "c_custkey", "n_nationkey"
 _DAY = "SUBSTR(CAST(o_orderdate AS STRING), 1, 10)"
 _ITEM_ROWS = "{lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey"
-_VISIT_GROUP = "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 2 + 1 AS INT) END AS qx_type"
+# A household's least and greatest member stand for parents; every order is a member.
+_FAMILIES = """(SELECT o_custkey, min(o_orderkey) AS least_key, max(o_orderkey) AS greatest_key
+                FROM {orders} GROUP BY o_custkey) f"""
 
 
-def _item_rows(amount, where):
-    return f"""SELECT o_custkey AS y3_hhid, {_VISIT_GROUP},
+def _item_rows(amount, where, gap):
+    """Item rows of one questionnaire part; each part has other households without a visit group."""
+    return f"""SELECT o_custkey AS y3_hhid,
+                      CASE WHEN o_custkey % {gap} = 0 THEN NULL ELSE CAST(o_custkey % 2 + 1 AS INT) END AS qx_type,
                       CASE WHEN l_linenumber = 5 THEN NULL ELSE l_extendedprice END AS {amount}
                FROM {_ITEM_ROWS} WHERE {where}"""
 
 
 VIEWS = {
     "roster": f"""
-        SELECT o_custkey AS y3_hhid, o_orderkey AS PID, CAST(o_orderkey % 16 + 1 AS INT) AS id_code,
+        SELECT o_custkey AS y3_hhid, o_orderkey AS PID, o_orderkey AS id_code,
                {_code("hh_b03", _O, 5, 2, gap=31)},
                CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 3 END AS hh_b04,
                CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 70 AS INT) END AS hh_b05a,
@@ -47,14 +53,13 @@ VIEWS = {
                     ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) % 80 AS INT) END AS hh_b06_3a,
                {_code("hh_b16a", _O, 3, 2, gap=9)}, {_code("hh_b19a", _O, 7, 2, gap=8)},
                CASE WHEN o_orderpriority = '1-URGENT' THEN NULL WHEN o_orderkey % 10 = 3 THEN 98
-                    ELSE CAST((o_orderkey * 3 + 2) % 16 + 1 AS INT) END AS hh_b16b,
+                    WHEN o_orderkey % 7 = 1 THEN o_orderkey + 1 ELSE least_key END AS hh_b16b,
                CASE WHEN o_orderpriority = '2-HIGH' THEN NULL WHEN o_orderkey % 10 = 7 THEN 97
-                    ELSE CAST((o_orderkey * 5 + 1) % 16 + 1 AS INT) END AS hh_b19b,
+                    WHEN o_orderkey % 7 = 2 THEN o_orderkey + 1 ELSE greatest_key END AS hh_b19b,
                {_codes(["hh_b18", "hh_b21", "hh_b23", "hh_b24"], _O, 7, gap=11)}
-        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderkey % 16 ORDER BY o_orderkey) AS place
-              FROM {{orders}}) r WHERE place = 1""",
+        FROM {{orders}} JOIN {_FAMILIES} USING (o_custkey)""",
     "household_id": f"""
-        SELECT c_custkey AS y3_hhid, c_nationkey AS ea_id, CAST(c_custkey % 5 + 1 AS DOUBLE) AS panelweight_2016,
+        SELECT c_custkey AS y3_hhid, c_nationkey AS ea_id, CAST(c_custkey % 5 + 1 AS DOUBLE) / 10e0 AS panelweight_2016,
                CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN '1996-05-10'
                     ELSE concat('199', CAST(c_custkey % 4 + 5 AS STRING), '-0', CAST(c_custkey % 9 AS STRING), '-11')
                     END AS interviewdate_v1,
@@ -92,10 +97,10 @@ VIEWS = {
                     ELSE concat('199', CAST(o_custkey % 5 + 5 AS STRING), '-0', CAST(o_custkey % 7 + 1 AS STRING), '-15')
                     END AS interviewDate
         FROM {_ITEM_ROWS} WHERE l_returnflag <> 'R'""",
-    "nonfood_week": _item_rows("hh_i03", "l_returnflag = 'R' AND l_linestatus = 'F'"),
-    "nonfood_month": _item_rows("hh_i06", "l_returnflag = 'R' AND l_linestatus = 'O'"),
-    "nonfood_quarter": _item_rows("hh_j03", "l_returnflag = 'A' AND l_quantity > 25"),
-    "nonfood_year": _item_rows("hh_k03", "l_returnflag = 'N' AND l_quantity > 25"),
+    "nonfood_week": _item_rows("hh_i03", "l_returnflag = 'R' AND l_linestatus = 'F'", 7),
+    "nonfood_month": _item_rows("hh_i06", "l_returnflag = 'R' AND l_linestatus = 'O'", 5),
+    "nonfood_quarter": _item_rows("hh_j03", "l_returnflag = 'A' AND l_quantity > 25", 3),
+    "nonfood_year": _item_rows("hh_k03", "l_returnflag = 'N' AND l_quantity > 25", 11),
     "food_days": f"""
         SELECT c_custkey AS y3_hhid, {", ".join(_code(f"hh_g08{x}", _C, i + 2, 8, start=0, gap=29 + i)
                                                 for i, x in enumerate("abcdefghi"))}
@@ -121,8 +126,10 @@ VIEWS = {
     "safety_nets": f"""
         SELECT c_custkey AS y3_hhid, hh_r0a, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE sqrt(abs(c_acctbal)) END AS hh_r02a,
                CASE WHEN hh_r0a = 105 THEN sqrt(c_acctbal + 1000) END AS hh_r02b,
-               {", ".join(_code(f"hh_r04{x}", _C, i + 2, 16, gap=3 + i % 2) for i, x in enumerate("abcde"))}
-        FROM (SELECT *, {{explode}}({{array}}(101, 105)) AS hh_r0a FROM {{customer}}) s""",
+               {", ".join(f"CASE WHEN (c_custkey + {i}) % {3 + i % 2} = 0 THEN NULL ELSE {k} END AS hh_r04{x}" for i, (x, k) in enumerate(
+                   zip("abcde", ["least_key", "greatest_key", "least_key", "greatest_key + 1", "least_key + 2"])))}
+        FROM (SELECT *, {{explode}}({{array}}(101, 105)) AS hh_r0a FROM {{customer}}) s
+        LEFT JOIN {_FAMILIES} ON c_custkey = o_custkey""",
     "wellbeing": f"""
         SELECT c_custkey AS y3_hhid, {_codes(["hh_t02", "hh_t03", "hh_t04"], _C, 3, gap=17)},
                {_codes(["hh_t05", "hh_t06", "hh_t07"], _C, 6, gap=14)}, {_code("hh_t08", _C, 9, 5, gap=16)}
@@ -150,10 +157,11 @@ VIEWS = {
         FROM {{supplier}}""",
     "plots": f"""
         SELECT o_custkey AS y3_hhid, CAST(l_linenumber AS INT) AS gardenid, {", ".join(
-            f"{_code(f'{t}a{n}', 'l_partkey', n + 2, 16, gap=5)}, CAST(l_quantity AS INT) % 7 AS {t}b{n}, "
+            f"CASE WHEN (l_partkey + {n}) % 5 = 0 THEN NULL ELSE {['least_key', 'o_orderkey', 'greatest_key'][n % 3]} END AS {t}a{n}, "
+            f"CAST(l_quantity AS INT) % 7 AS {t}b{n}, "
             f"CAST(l_partkey % 5 AS INT) AS {t}c{n}, CASE WHEN l_returnflag = 'A' THEN NULL ELSE CAST(l_suppkey % 4 AS INT) END AS {t}d{n}"
             for t in ("ag_d42", "ag_d43", "ag_d44") for n in range(1, 14))}
-        FROM {_ITEM_ROWS}""",
+        FROM {_ITEM_ROWS} JOIN {_FAMILIES} USING (o_custkey)""",
     "prices": PRICES_SQL.replace("SELECT month, avg", "SELECT month AS int_date_hhmod, avg").replace("lineitem", "{lineitem}"),
 }
 _NAMES = ["orders", "lineitem", "customer", "nation", "supplier", "events"]
@@ -221,15 +229,21 @@ CTES = ",\n".join([f"{name} AS ({_in_sql(name)})" for name in VIEWS] + [
         FROM people GROUP BY y3_hhid)""",
     """hh AS (
         SELECT *, CASE WHEN members > 1 THEN 1 + (adults - 1) * 0.5e0 + children * 0.3e0
-                       WHEN adults = 1 THEN 1 END AS aes1
+                       WHEN adults = 1 THEN 1 END AS aes1,
+               CASE WHEN members > 1 THEN 1 + (adults - 1) * 0.7e0 + children * 0.5e0
+                    WHEN adults = 1 THEN 1 END AS aes2
         FROM sizes LEFT JOIN household_id USING (y3_hhid))""",
     f"""food AS (
-        SELECT y3_hhid, total * ({_BASE} / nullif(cpi, 0)) / nullif(aes1, 0) AS spent
+        SELECT y3_hhid, total * ({_BASE} / nullif(cpi, 0)) / nullif(aes1, 0) AS spent,
+               total * ({_BASE} / nullif(cpi, 0)) / nullif(aes2, 0) AS spent_aes2,
+               total * ({_BASE} / nullif(cpi, 0)) / nullif(members, 0) AS spent_pc
         FROM (SELECT y3_hhid, sum(coalesce(hh_g05, 0)) AS total, max(interviewDate) AS day FROM food_items GROUP BY 1) t
         LEFT JOIN hh USING (y3_hhid)
         LEFT JOIN prices ON int_date_hhmod = substr(CASE WHEN day = '##N/A##' THEN interviewdate_v1 ELSE day END, 1, 7))""",
     *[f"""{name}_spent AS (
-        SELECT y3_hhid, (total {factor}) * ({_BASE} / nullif(cpi, 0)) / nullif(aes1, 0) AS spent
+        SELECT y3_hhid, (total {factor}) * ({_BASE} / nullif(cpi, 0)) / nullif(aes1, 0) AS spent,
+               (total {factor}) * ({_BASE} / nullif(cpi, 0)) / nullif(aes2, 0) AS spent_aes2,
+               (total {factor}) * ({_BASE} / nullif(cpi, 0)) / nullif(members, 0) AS spent_pc
         FROM (SELECT *, CASE WHEN d = '##N/A##' THEN interviewdate_v1 ELSE d END AS day
               FROM (SELECT *, CASE WHEN q = 1 AND interviewdate_v1 <> '' THEN interviewdate_v1
                                    ELSE interviewdate_v2 END AS d
@@ -287,7 +301,7 @@ ASSET_CTES = f"""
     counted AS (SELECT y3_hhid, CAST(count(*) AS DOUBLE) AS n FROM both_waves GROUP BY 1),
     {component_ctes("""SELECT a.y3_hhid AS id, hh_l02 AS i, CASE hh_l01 WHEN 2 THEN 0e0 ELSE 1e0 END AS x, n AS w
                        FROM assets a JOIN complete c ON a.y3_hhid = c.y3_hhid JOIN counted d ON a.y3_hhid = d.y3_hhid""")},
-    h AS (SELECT c.id AS y3_hhid, round(score, 9) AS score, d.n * panelweight_2016 AS weight
+    h AS (SELECT c.id AS y3_hhid, round(score, 9) AS score, c.n AS counted_n, CAST(round(d.n * panelweight_2016, 1) AS DECIMAL(18, 1)) AS weight
           FROM component c JOIN counted d ON c.id = d.y3_hhid JOIN household_id i ON c.id = i.y3_hhid),
     {QUINTILE_CTES},
     quintile AS (SELECT y3_hhid, 1 + (SELECT count(*) FROM cuts WHERE cut < score) AS asset_q FROM h)"""
@@ -338,8 +352,7 @@ _TASKS = ["ag_d42", "ag_d43", "ag_d44"]
 HOURS = ["total_rainy_labor_landprep", "total_rainy_labor_weed", "total_rainy_labor_harvest"]
 
 
-@query("member_table_labour", sql=f"""
-    WITH {CTES},
+HOURS_CTES = f"""
     plot AS (
         SELECT * FROM plots QUALIFY row_number() OVER (PARTITION BY y3_hhid, gardenid ORDER BY {", ".join(
             f"{t}{x}{n} NULLS FIRST" for t in _TASKS for x in "abcd" for n in range(1, 14))}) = 1),
@@ -348,7 +361,66 @@ HOURS = ["total_rainy_labor_landprep", "total_rainy_labor_weed", "total_rainy_la
                                             for t, name in zip(_TASKS, HOURS))}
         FROM ({" UNION ALL ".join(f"SELECT y3_hhid, '{t}' AS task, {t}a{n} AS id_code, "
                                   f"CAST({t}d{n} AS DOUBLE) * {t}c{n} * {t}b{n} AS h FROM plot" for t in _TASKS for n in range(1, 14))}) l
-        WHERE id_code IS NOT NULL GROUP BY 1, 2)
+        WHERE id_code IS NOT NULL GROUP BY 1, 2),
+    shocked AS (SELECT ea_id, {", ".join(f"max(CASE WHEN com_cg35c = {c} THEN 1 END) AS com_shocks{c}" for c in SHOCK_CODES)}
+                FROM community_changes GROUP BY 1)"""
+
+_PERIODS = {"food": "food", "nonfood_week": "non_food_i1", "nonfood_month": "non_food_i2", "nonfood_quarter": "non_food_j",
+            "nonfood_year": "non_food_k"}
+_SCORE, _COPING = _DERIVED["food_consumption_score"], _DERIVED["r_csi"]
+# Every column of a member that the modelling table does not show, as SQL over the same joins.
+MEMBER_COLUMNS = {
+    "PID": "m.PID", "y3_hhid": "m.y3_hhid", "id_code": "m.id_code",
+    **{f"oldest_female_{n}": f"ow.{c}" for n, c in OLDEST_FEMALE_FACTS.items()},
+    **{f"oldest_male_{n}": f"om.{c}" for n, c in OLDEST_FACTS.items()},
+    "oldest_female_hh": "CASE WHEN m.id_code = ow.id_code THEN 1 END", "oldest_male_hh": "CASE WHEN m.id_code = om.id_code THEN 1 END",
+    **{f"{c}_father": f"f.{c}" for c in FATHER_FACTS}, **{f"{c}_mother": f"mo.{c}" for c in MOTHER_FACTS},
+    "father_educ": "fe", "mother_educ": "me",
+    **{f"{unit}_total_exp_{n}": f"round({v}{'_spent' if v != 'food' else ''}.{column}, 4)" for v, n in _PERIODS.items()
+       for unit, column in (("aes1", "spent"), ("aes2", "spent_aes2"), ("pc", "spent_pc"))},
+    "asset_sale_value": "worth.asset_sale_value", "other_income_monthly": "round(earned.other_income_monthly, 4)",
+    "gr_total0_17": "CASE WHEN children BETWEEN 1 AND 2 THEN 1 WHEN children BETWEEN 3 AND 4 THEN 2 WHEN children >= 5 THEN 3 END",
+    "food_score_ctg": f"CASE WHEN {_SCORE} <= 21 THEN 0 WHEN {_SCORE} <= 35 THEN 1 WHEN {_SCORE} > 35 THEN 2 END",
+    "rcsi_food_secure": f"CASE WHEN {_COPING} BETWEEN 0 AND 4 THEN 1 WHEN {_COPING} > 4 THEN 0 END",
+    "rcsi_mod_insecure": f"CAST({_COPING} BETWEEN 5 AND 10 AS INT)", "rcsi_sev_insecure": f"CAST({_COPING} >= 11 AS INT)",
+    "freq_language": "freq_language", **{d: d for d in DISTANCES if d not in FINAL},
+    "assetindex": "round(h.score * sqrt((h.counted_n - 1) / h.counted_n), 4)", **{f"asset_q{k}": f"CAST(asset_q = {k} AS INT)" for k in range(1, 6)},
+    **{h: f"hours.{h}" for h in HOURS}, **{f"com_shocks{c}": f"com_shocks{c}" for c in SHOCK_CODES},
+}
+
+
+@query("member_table", sql=f"""
+    WITH RECURSIVE {CTES}, {ASSET_CTES}, {HOURS_CTES},
+    worth AS (SELECT y3_hhid, coalesce(sum(hh_l05), 0) AS asset_sale_value FROM assets GROUP BY 1),
+    earned AS (SELECT y3_hhid, (coalesce(sum(coalesce(hh_p03a, 0) + coalesce(hh_p03b, 0) + coalesce(hh_p03c, 0)), 0)
+                                + coalesce(sum(hh_p02), 0)) / 12 AS other_income_monthly FROM other_income GROUP BY 1)
+    SELECT {", ".join(f"{e} AS {c}" for c, e in MEMBER_COLUMNS.items())}
+    FROM (SELECT b.*, CASE WHEN {_ABSENT_F.replace("hh_b16b", "b.hh_b16b")} THEN coalesce(x.hh_c09, b.hh_b18)
+                           ELSE b.hh_b18 END AS fe,
+                 CASE WHEN {_ABSENT_M.replace("hh_b19b", "b.hh_b19b")} THEN coalesce(y.hh_c09, b.hh_b21)
+                      ELSE b.hh_b21 END AS me
+          FROM both_waves b LEFT JOIN old_men x ON b.y3_hhid = x.y3_hhid LEFT JOIN old_women y ON b.y3_hhid = y.y3_hhid) m
+    LEFT JOIN old_men om ON m.y3_hhid = om.y3_hhid
+    LEFT JOIN old_women ow ON m.y3_hhid = ow.y3_hhid
+    LEFT JOIN both_waves f ON m.y3_hhid = f.y3_hhid AND m.hh_b16b IS NOT DISTINCT FROM f.id_code
+    LEFT JOIN both_waves mo ON m.y3_hhid = mo.y3_hhid AND m.hh_b19b IS NOT DISTINCT FROM mo.id_code
+    LEFT JOIN hours ON m.y3_hhid = hours.y3_hhid AND m.id_code = hours.id_code
+    LEFT JOIN hh ON m.y3_hhid = hh.y3_hhid
+    LEFT JOIN food_days ON m.y3_hhid = food_days.y3_hhid
+    LEFT JOIN food_security ON m.y3_hhid = food_security.y3_hhid
+    LEFT JOIN worth ON m.y3_hhid = worth.y3_hhid
+    LEFT JOIN earned ON m.y3_hhid = earned.y3_hhid
+    LEFT JOIN h ON m.y3_hhid = h.y3_hhid
+    LEFT JOIN quintile ON m.y3_hhid = quintile.y3_hhid
+    {" ".join(f"LEFT JOIN {s} ON m.y3_hhid = {s}.y3_hhid" for s in _SPENT)}
+    LEFT JOIN community ON hh.ea_id = community.ea_id
+    LEFT JOIN shocked ON hh.ea_id = shocked.ea_id""")
+def whole_member_table(spark, sf):
+    return rounded_doubles(member_table(survey_tables(spark, sf)).select(*MEMBER_COLUMNS))
+
+
+@query("member_table_labour", sql=f"""
+    WITH {CTES}, {HOURS_CTES}
     SELECT m.PID, m.y3_hhid, m.id_code, {", ".join(HOURS)}, f.hh_c09 AS hh_c09_mother, f.hh_b24 AS hh_b24_mother,
            {", ".join(f"s.com_shocks{c}" for c in SHOCK_CODES)}
     FROM both_waves m LEFT JOIN hours h ON m.y3_hhid = h.y3_hhid AND m.id_code = h.id_code

@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinfold.operators.merge import join_on
+
 _RANGE = "__range"
 _BOUNDS = "__bounds"
 MAX_RANGES = 1024
@@ -53,7 +55,9 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
 
     ``df`` has one row per group and order value; collapse it first. The ranges come
     from quantiles over all groups together, so no (group, range) holds more than
-    about 1/ranges of all rows, whatever the group sizes are.
+    about 1/ranges of all rows, whatever the group sizes are. Totals of whole numbers and
+    decimals are exact; doubles are added range by range, so their last digits depend on
+    the number of ranges. A NaN has no place in an order: filter it first.
     """
     ranges = ranges or _range_count(df)
     key = F.col(order).cast("double")
@@ -80,7 +84,8 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
     direction = F.col(order).desc() if descending else F.col(order).asc()
     within = Window.partitionBy(*group, _RANGE).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     summed = cut.withColumns({f"__w_{v}": F.sum(v).over(within) for v in values})
-    joined = summed.join(offsets, [*group, _RANGE])
+    # Both sides are spread by group and range already; a missing group name meets itself.
+    joined = join_on(summed, offsets, [*group, _RANGE], "inner", null_safe=True, split_hot=False)
     return joined.select(
         *df.columns,
         *[(F.col(f"__w_{v}") + F.col(f"__o_{v}")).alias(f"cum_{v}") for v in values],
@@ -91,10 +96,8 @@ def running_totals(df: DataFrame, group: Sequence[str], order: str, values: Sequ
 def average_rank(df: DataFrame, group: Sequence[str], value: str, *, descending: bool, name: str = "rank",
                  ranges: int | None = None) -> DataFrame:
     """Rank within the group, ties sharing the mean of their places; a missing value has no rank."""
-    from kinfold.operators.merge import join_on
-
     ties = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("__n"))
     placed = running_totals(ties, group, value, ["__n"], descending=descending, ranges=ranges)
     # Places cum-n+1 … cum, whose mean is cum - (n-1)/2.
     ranks = placed.select(*group, value, (F.col("cum___n") - (F.col("__n") - 1) / F.lit(2.0)).alias(name))
-    return join_on(df, ranks, [*group, value], "left")
+    return join_on(df, ranks, [*group, value], "left", null_safe=True)

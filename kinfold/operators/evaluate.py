@@ -1,8 +1,10 @@
 """Weighted model evaluation, all models at once.
 
 Input: ``predictions(model_name, id, y_true, y_pred, y_prob, weight)`` with 0/1
-labels. A missing weight counts as 1. A model may hold any share of the rows: every
-aggregate is by model with partial sums, and curves go through range-wise totals.
+labels. A missing weight counts as 1, a NaN score as missing, and rows with another true
+label are left out of everything. A model without a name is a model like the others. A
+model may hold any share of the rows: every aggregate is by model with partial sums, and
+curves go through range-wise totals.
 """
 
 from __future__ import annotations
@@ -36,6 +38,13 @@ def _weight() -> Column:
     return F.coalesce(F.col("weight").cast("double"), F.lit(1.0))
 
 
+def usable(predictions: DataFrame) -> DataFrame:
+    """Predictions with a true label of 0 or 1, NaN scores made missing."""
+    score = F.col("y_prob")
+    return predictions.filter(F.col("y_true").isin(0, 1)).withColumn(
+        "y_prob", F.when(~F.isnan(score.cast("double")), score))
+
+
 def _cell(name: str) -> Column:
     truth, guess = _CELLS[name]
     return (F.col("y_true") == truth) & (F.col("y_pred") == guess)
@@ -47,7 +56,7 @@ def _cell_sums() -> list[Column]:
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
     """Four rows per model, positive label first: weight and its share of the true label."""
-    sums = predictions.groupBy(MODEL).agg(*_cell_sums())
+    sums = usable(predictions).groupBy(MODEL).agg(*_cell_sums())
     cells = F.array(*[
         F.struct(F.lit(truth).alias("true_label"), F.lit(guess).alias("predicted_label"), F.col(c).alias("weight"),
                  ratio(F.col(c), F.col("tp") + F.col("fn") if truth else F.col("fp") + F.col("tn")).alias("share"))
@@ -62,7 +71,7 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
     loss = -F.ln(F.when(F.col("y_true") == 1, p).otherwise(1 - p))
     scored = F.col("y_prob").isNotNull()
     counts = [F.count_if(_cell(c)).cast("double").alias(f"n_{c}") for c in _CELLS]
-    sums = predictions.groupBy(MODEL).agg(
+    sums = usable(predictions).groupBy(MODEL).agg(
         *_cell_sums(), *counts,
         F.sum(F.when(scored, loss * _weight())).alias("loss"),
         F.sum(F.when(scored, _weight())).alias("loss_weight"),
@@ -88,7 +97,7 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
 def _score_totals(predictions: DataFrame) -> DataFrame:
     """Per model and distinct score, from the highest score on: own and cumulated weight of both classes."""
     by_score = (
-        predictions.filter(F.col("y_prob").isNotNull())
+        usable(predictions).filter(F.col("y_prob").isNotNull())
         .groupBy(MODEL, F.col("y_prob").alias("score"))
         .agg(F.sum(F.when(F.col("y_true") == 1, _weight()).otherwise(F.lit(0.0))).alias("pos"),
              F.sum(F.when(F.col("y_true") == 0, _weight()).otherwise(F.lit(0.0))).alias("neg"))
@@ -125,7 +134,7 @@ def pr_points(predictions: DataFrame) -> DataFrame:
 
 
 def _start(predictions: DataFrame, **values: float) -> DataFrame:
-    models = predictions.filter(F.col("y_prob").isNotNull()).select(MODEL).distinct()
+    models = usable(predictions).filter(F.col("y_prob").isNotNull()).select(MODEL).distinct()
     return models.select(MODEL, F.lit(None).cast("double").alias("threshold"),
                          *[F.lit(v).alias(name) for name, v in values.items()])
 
@@ -141,7 +150,7 @@ def curve_areas(predictions: DataFrame) -> DataFrame:
 
 def all_metrics(predictions: DataFrame) -> DataFrame:
     """Every scalar metric, one row per model; probability metrics are missing without probabilities."""
-    return join_on(class_metrics(predictions), curve_areas(predictions), [MODEL], "left", split_hot=False)
+    return join_on(class_metrics(predictions), curve_areas(predictions), [MODEL], "left", null_safe=True, split_hot=False)
 
 
 def long_scores(metrics: DataFrame) -> DataFrame:

@@ -20,15 +20,21 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return long.orderBy(F.desc("n_null"), "column_name")
 
 
-def drop_minor_nulls(df: DataFrame, limit: int = 100, columns: Sequence[str] | None = None) -> DataFrame:
+def drop_minor_nulls(df: DataFrame, limit: int | None = 100, columns: Sequence[str] | None = None,
+                     share: float | None = None) -> DataFrame:
     """Drop rows with a null in a column that has some nulls, but fewer than ``limit``.
 
-    Which columns those are has to be known before the filter can be planned; one
-    row of counts comes to the driver for it.
+    ``share`` states the limit as a share of all rows instead, which means the same at every
+    size; of both the lower one counts. The null counts reach the rows as a scalar subquery of one row.
     """
-    counts = null_counts_row(df, columns).first().asDict()
-    minor = [c for c, n in counts.items() if 0 < n < limit]
-    return df.na.drop(subset=minor) if minor else df
+    names = list(columns or df.columns)
+    few = F.struct(*[
+        (F.count_if(F.col(c).isNull()) < F.least(F.lit(limit).cast("double"), F.count("*") * F.lit(share).cast("double")))
+        .alias(f"c{i}") for i, c in enumerate(names)])
+    held = df.withColumn("__few", df.agg(few.alias("few")).scalar())
+    for i, c in enumerate(names):
+        held = held.filter(F.col(c).isNotNull() | ~F.col(f"__few.c{i}"))
+    return held.drop("__few")
 
 
 def drop_all_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

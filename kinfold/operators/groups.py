@@ -31,11 +31,6 @@ def value_where(condition: Column, value) -> Column:
     return F.max(F.when(condition, col(value)))
 
 
-def lowest_where(condition: Column, value) -> Column:
-    """Aggregate: the smallest value among rows meeting the condition."""
-    return F.min(F.when(condition, col(value)))
-
-
 def only_where(condition: Column, value: Column) -> Column:
     """A group value written only to the rows that meet the condition."""
     return F.when(condition, value)
@@ -51,10 +46,13 @@ def category_totals(category: str, names: Sequence[str], amount, prefix: str = "
 
 
 def oldest(age, member_id, eligible: Column, *attributes: str) -> Column:
-    """Aggregate: struct of id and attributes of the oldest eligible member, lowest id on a tie."""
-    picked = F.struct(col(member_id).alias("id"), *[F.col(a).alias(a) for a in attributes])
-    order = F.when(eligible, F.struct((-col(age)).alias("older"), col(member_id).alias("id")))
-    return F.min_by(picked, order)
+    """Aggregate: struct of id and attributes of the oldest eligible member, lowest id on a tie.
+
+    Age (below 4,096) and id (up to 2^50) make one number to order by, and every attribute is taken on its
+    own, so the buffers of numeric attributes are numbers and Spark adds up in hash tables.
+    """
+    order = F.when(eligible, (F.lit(4095) - F.floor(col(age))) * F.lit(1 << 50) + col(member_id))
+    return F.struct(F.min_by(col(member_id), order).alias("id"), *[F.min_by(F.col(a), order).alias(a) for a in attributes])
 
 
 def frequency(df: DataFrame, *columns: str) -> DataFrame:

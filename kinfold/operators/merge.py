@@ -15,13 +15,12 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _HASH = "__key_hash"
 _SEEN = "__right_seen"
 _COUNT = "__key_count"
-_REST = "__rest"
 
 BASE_ONLY, LOOKUP_ONLY, MATCHED = 1, 2, 3
 
@@ -38,17 +37,15 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 def require_unique(df: DataFrame, keys) -> DataFrame:
     """The same rows; the job fails when a key occurs twice.
 
-    The check is part of the plan, so it costs no pass of its own.
+    The check is part of the plan, so it costs no pass of its own: rows are numbered within
+    their key, and the sort for it is the one a merge join on the key needs. The job stops at a
+    second row, so no key gathers more than that in vain.
     """
     keys = _keys(keys)
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.count("*").alias(_COUNT),
-        F.any_value(F.struct(*rest) if rest else F.lit(1)).alias(_REST),
-    )
+    window = Window.partitionBy(*keys).orderBy(*keys)
     message = F.concat(F.lit("key is not unique: "), F.to_json(F.struct(*keys)))
     unique = F.when(F.col(_COUNT) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return grouped.filter(unique).select(*keys, *[F.col(f"{_REST}.{c}").alias(c) for c in rest])
+    return df.withColumn(_COUNT, F.row_number().over(window)).filter(unique).drop(_COUNT)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left",
@@ -71,9 +68,12 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left",
 
 
 def merge(base: DataFrame, lookup: DataFrame, keys, *, keep: str = "base", indicator: str | None = None,
-          null_safe: bool = False, validate: bool = False, split_hot: bool = True) -> DataFrame:
+          null_safe: bool = False, validate: bool = True, one_to_one: bool = False, split_hot: bool = True) -> DataFrame:
     """Many-to-one merge of ``lookup`` (unique by key) into ``base``.
 
+    The job stops at a key that the lookup has twice, with ``one_to_one`` also at one that the
+    base has twice. ``validate=False`` is for inputs that are unique by construction.
+
     ``keep`` is ``"base"`` (all base rows), ``"matched"`` or ``"all"`` (also rows only
     in the lookup). ``indicator`` names a column with 1 base only, 2 lookup only,
     3 matched. Non-key columns that both sides have are taken from the base.
@@ -83,6 +83,7 @@ def merge(base: DataFrame, lookup: DataFrame, keys, *, keep: str = "base", indic
     lookup = lookup.drop(*overlap)
     if validate:
         lookup = require_unique(lookup, keys)
+        base = require_unique(base, keys) if one_to_one else base
     if keep == "matched":
         out = join_on(base, lookup, keys, "inner", null_safe, split_hot)
         return out.withColumn(indicator, F.lit(MATCHED)) if indicator else out
@@ -122,4 +123,4 @@ def parent_lookup(members: DataFrame, household: str, member_id: str, parent_id:
         parents.select(household, F.col(member_id).alias(parent_id), *[c for c in attributes if c != parent_id]),
         suffix, except_for=[household, parent_id],
     )
-    return merge(members, parents, [household, parent_id], null_safe=True)
+    return merge(members, parents, [household, parent_id], null_safe=True, validate=False)

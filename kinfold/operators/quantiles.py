@@ -7,21 +7,27 @@ from pyspark.sql import functions as F
 
 from kinfold.operators.cumulative import count_below, running_totals
 
+# Weights are added up as whole numbers of this fraction, so a sum is the same in any order.
+WEIGHT_UNIT = 10**9
+
 
 def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, ranges: int | None = None) -> DataFrame:
     """One row with the array ``cuts`` of ``groups - 1`` weighted quantiles.
 
     A cut is the least score whose cumulated weight passes its share of the total,
-    or the mean of that score and the one that meets the share exactly.
+    or the mean of that score and the one that meets the share exactly. Both are
+    decided on whole numbers, so the cuts do not depend on how the rows are spread.
+    A NaN score counts as missing.
     """
-    known = df.filter(F.col(score).isNotNull() & F.col(weight).isNotNull())
-    by_score = known.groupBy(score).agg(F.sum(F.col(weight).cast("double")).alias("w"))
+    usable = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(weight).isNotNull()
+    units = F.round(F.col(weight).cast("decimal(28,9)") * WEIGHT_UNIT).cast("decimal(28,0)")
+    by_score = df.filter(usable).groupBy(score).agg(F.sum(units).alias("w"))
     running = running_totals(by_score, [], score, ["w"], ranges=ranges)
 
     def cut(p: int) -> Column:
-        target = F.col("all_w") * F.lit(float(p)) / F.lit(float(groups))
-        passed = F.min(F.when(F.col("cum_w") > target, F.col(score)))
-        met = F.min(F.when(F.col("cum_w") == target, F.col(score)))
+        reached, target = F.col("cum_w") * groups, F.col("all_w") * p
+        passed = F.min(F.when(reached > target, F.col(score)))
+        met = F.min(F.when(reached == target, F.col(score)))
         return F.coalesce((met + passed) / F.lit(2.0), passed)
 
     return running.agg(F.array(*[cut(p) for p in range(1, groups)]).alias("cuts"))
@@ -36,5 +42,6 @@ def weighted_quantile_group(df: DataFrame, score: str, weight: str, name: str, g
     cuts = weighted_cuts(df, score, weight, groups, ranges).scalar()
     # Held in a column first: Spark allows no subquery inside the array function.
     held = df.withColumn("__cuts", cuts)
-    group = F.when(F.col(score).isNotNull(), count_below(F.col("__cuts"), F.col(score)) + 1)
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    group = F.when(known, count_below(F.col("__cuts"), F.col(score)) + 1)
     return held.withColumn(name, group).drop("__cuts")

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _cross_products(df: DataFrame, columns: Sequence[str], weight: str | None) -> np.ndarray:
-    """Weighted cross products of (1, columns) over the complete rows.
+def _cross_products(df: DataFrame, columns: Sequence[str], weight: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A rough mean of each column, and weighted cross products of (1, columns - mean) over the complete rows.
+
+    Taking the mean off first, from a pass of its own, keeps the digits of columns that vary little around
+    a large value.
 
     Each task adds up its own small matrix batch by batch; one addition per matrix
     cell remains for Spark, and that many numbers reach the driver, whatever the
@@ -20,12 +23,14 @@ def _cross_products(df: DataFrame, columns: Sequence[str], weight: str | None) -
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     complete = df.select(w.alias("__w"), *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
     size = len(columns) + 1
+    rough = complete.agg(*[F.avg(c).alias(c) for c in columns]).head()
+    shift = np.array([0.0, *(0.0 if m is None else m for m in rough)])
 
     def add_up(batches):
         total = np.zeros((size, size))
         for batch in batches:
             values = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(size)])
-            weights, rows = values[:, :1], values.copy()
+            weights, rows = values[:, :1], values - shift
             rows[:, 0] = 1.0
             total += rows.T @ (rows * weights)
         i, j = np.indices(total.shape)
@@ -37,7 +42,7 @@ def _cross_products(df: DataFrame, columns: Sequence[str], weight: str | None) -
     products = np.zeros((size, size))
     for cell in cells.collect():  # (columns + 1)^2 rows
         products[cell.i, cell.j] = cell.total
-    return products
+    return shift[1:], products
 
 
 def principal_component(df: DataFrame, columns: Sequence[str], weight: str | None = None):
@@ -46,16 +51,17 @@ def principal_component(df: DataFrame, columns: Sequence[str], weight: str | Non
     Only complete rows count, each ``weight`` times. The sign is fixed so that the
     loading of largest magnitude is positive.
     """
-    products = _cross_products(df, columns, weight)
+    shift, products = _cross_products(df, columns, weight)
     n = products[0, 0]
     if n == 0:
         nothing = np.zeros(len(columns))
         return nothing, nothing, nothing
     means = products[0, 1:] / n
     covariance = products[1:, 1:] / n - np.outer(means, means)
+    means = means + shift
     deviations = np.sqrt(np.clip(np.diag(covariance), 0, None))
     # A column without variation (up to rounding) carries no information.
-    deviations[deviations <= 1e-9 * np.maximum(1.0, np.abs(means))] = 0.0
+    deviations[deviations <= 1e-13 * np.maximum(1.0, np.abs(means))] = 0.0
     steps = np.divide(1.0, deviations, out=np.zeros_like(deviations), where=deviations > 0)
     loadings = np.linalg.eigh(covariance * np.outer(steps, steps))[1][:, -1]
     if loadings[np.abs(loadings).argmax()] < 0:

@@ -19,7 +19,7 @@ from kinfold.functions.dates import NO_DATE, month_key, month_number, month_text
 from kinfold.functions.missing import group_total
 from kinfold.functions.recode import equals_any, flag, swap
 from kinfold.operators.groups import value_where
-from kinfold.operators.merge import MATCHED, merge, parent_lookup, with_suffix
+from kinfold.operators.merge import MATCHED, merge, parent_lookup, require_unique, with_suffix
 from kinfold.operators.quantiles import weighted_quantile_group
 from kinfold.operators.reshape import to_wide
 from kinfold.operators.wealth import asset_index
@@ -30,7 +30,7 @@ from kinfold.plans.family import FEMALE, HEAD, MALE, beneficiary_list, head_valu
 from kinfold.plans.income import assistance, assistance_per_adult, other_income
 from kinfold.plans.labour import labour_hours
 from kinfold.plans.spending import food_spending, recall_spending, total_spending
-from kinfold.session import cut_lineage
+from kinfold.session import cut_lineage, written_tables
 from kinfold.sources.labels import dictionary_rows, with_captions
 from kinfold.sources.tables import read_table, write_table
 
@@ -92,12 +92,25 @@ HOUSEHOLD_IN = [
 ]
 COMMUNITY_IN = ["com_cd01", "freq_marriage"]
 CAPTIONS = {
-    "gender": "Gender of HH members", "total0_17": "Total number of children in HH between 0 and 17",
-    "father_job": "Economic activity of a father including the oldest male in HH if a child does not have a father in HH",
-    "dropout": "Child in primary school in 2016 dropped out of school in the 2019 round",
-    "road_type": "Road type in the community", "drink_water_type": "Drinking water type in HH",
-    "freq_marriage_type2": "Frequent marriage type in the community", "father_educ_type2": "Father's education level",
-    "mother_educ_type2": "Mother's education level", "hh_t08_type2": "Wellbeing assessment:current income",
+    "gender": "1 for women and girls, 0 for men and boys", "total0_17": "Members below 18 in the household",
+    "num_elderly": "Members above 60, or of unknown age, in the household",
+    "father_job": "Work of the father, or of the household's head where the father lives elsewhere",
+    "dropout": "1 if the child left primary school between the two waves",
+    "road_type": "1 for a paved or good road to the community", "drink_water_type": "Where the household's drinking water comes from",
+    "freq_marriage_type2": "Descent that most marriages of the community follow",
+    "father_educ_type2": "Schooling of the father or the oldest man", "mother_educ_type2": "Schooling of the mother or the oldest woman",
+    "hh_t08_type2": "Whether income covers more or less than the household's needs",
+    "school_travel_min": "Way to school in minutes", "phone_per_adult": "Mobile phones for each adult",
+    "total_aes1_exp_inf": "Monthly spending at base prices for each equivalent adult",
+    "food_consumption_score": "Weighted days on which food groups were eaten in a week",
+    "r_csi": "Weighted days on which the household had to cope with too little food",
+    "total_assist_invalue": "Monthly assistance in cash and kind for each equivalent adult",
+    "school_feed_beneficiary": "1 if the child is fed at school", "cat_hh_t05": "Step of the wealth ladder the household sees itself on",
+    "wellbeing_better_neighbors": "1 if better off than the neighbours, in its own view",
+    "wellbeing_better_friends": "1 if better off than its friends, in its own view",
+    "hh_u0a_most_severe": "Code of the shock that hit the household hardest",
+    "mother_presence": "1 if the mother lives in the household", "father_presence": "1 if the father lives in the household",
+    **{f"asset_q{k}_recoded": f"Whether the household is in wealth quintile {k}" for k in range(2, 6)},
 }
 
 
@@ -106,9 +119,12 @@ def load_survey(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, f"{folder.rstrip('/')}/{file}.parquet") for name, file in SURVEY_TABLES.items()}
 
 
-def people_table(tables: Mapping[str, DataFrame], validate: bool = False) -> DataFrame:
-    """Members with education, health, labour and the follow-up wave (indicator 1 or 3)."""
-    people = tables["roster"]
+def people_table(tables: Mapping[str, DataFrame], validate: bool = True) -> DataFrame:
+    """Members with education, health, labour and the follow-up wave (indicator 1 or 3).
+
+    Member ids are unique in all of them, so every merge is one-to-one; the roster is checked once.
+    """
+    people = require_unique(tables["roster"], PID) if validate else tables["roster"]
     for name in ("education", "health", "labour"):
         people = merge(people, tables[name], PID, validate=validate, split_hot=False)
     later = tables["follow_up"]
@@ -126,7 +142,7 @@ def _only(df: DataFrame, key: str, columns: Sequence[str] | None) -> DataFrame:
     return df if columns is None else df.select(key, *[c for c in df.columns if c in columns and c != key])
 
 
-def _household_base(tables: Mapping[str, DataFrame], people: DataFrame) -> DataFrame:
+def _household_base(tables: Mapping[str, DataFrame], people: DataFrame, validate: bool = True) -> DataFrame:
     """Sizes, head and oldest adults, and what the household questionnaire identifies.
 
     Sizes count every member of the first wave; the oldest adults and the head's job
@@ -140,34 +156,36 @@ def _household_base(tables: Mapping[str, DataFrame], people: DataFrame) -> DataF
         people, HH, "age", hh_head_gender=head_value("hh_b04", "gender"), oldest_female=female, oldest_male=male,
         hh_head_job=value_where(both & (F.col("hh_b04") == HEAD), "hh_e06_8a"), n_both_waves=F.count_if(both),
         **{c: F.max(c) for c in own})
-    return merge(counted, tables["household_id"], HH, split_hot=False)
+    return merge(counted, tables["household_id"], HH, validate=validate, split_hot=False)
 
 
-def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame) -> DataFrame:
+def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame, validate: bool = True) -> DataFrame:
     """Assets owned (1/0), their value, the asset index and its weighted quintiles.
 
     The index counts a household once per member seen in both waves, the quintiles
     weigh those members by the panel weight.
     """
     assets = tables["assets"]
-    owned = to_wide(assets.filter(F.col("hh_l02").isNotNull()), [HH], "hh_l02", ["hh_l01"], ASSET_CODES)
+    owned = to_wide(assets.filter(F.col("hh_l02").isNotNull()), [HH], "hh_l02", ["hh_l01"], ASSET_CODES,
+                    validate=validate)
     columns = [f"hh_l01{code}" for code in ASSET_CODES]
     owned = owned.withColumns({c: swap(c, {2: 0}) for c in columns})
     values = assets.groupBy(HH).agg(group_total(F.col("hh_l05").cast("double")).alias("asset_sale_value"))
     sized = base.select(HH, F.col("n_both_waves").cast("double").alias("n"),
                         (F.col("n_both_waves") * F.col("panelweight_2016")).alias("w"))
     # Fit, cuts and result all read this table.
-    wide = cut_lineage(merge(merge(values, owned, HH, split_hot=False), sized, HH, split_hot=False))
+    unique = {"validate": False, "split_hot": False}
+    wide = cut_lineage(merge(merge(values, owned, HH, **unique), sized, HH, **unique))
     scored = asset_index(wide.filter("n > 0"), columns, "assetindex", weight="n")
     return weighted_quantile_group(scored, "assetindex", "w", "asset_q").drop("n", "w")
 
 
 def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_assets: bool = True,
-                    with_shocks: bool = False, compat: bool = False, validate: bool = False,
+                    with_shocks: bool = False, compat: bool = False, validate: bool = True,
                     columns: Sequence[str] | None = None) -> DataFrame:
     """One row per household with every household and community value, or those among ``columns``."""
     # Sizes feed the spending and asset parts as well as the result.
-    base = cut_lineage(_only(_household_base(tables, people), HH, columns))
+    base = cut_lineage(_only(_household_base(tables, people, validate), HH, columns))
     nonfood = reduce(DataFrame.unionByName, [
         tables[name].select(HH, "qx_type", F.lit(tag).alias("tag"), F.col(amount).cast("double").alias("amount"))
         for name, (tag, amount) in NONFOOD.items()])
@@ -181,26 +199,32 @@ def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_
                          F.when(F.col("no_interview") == 1, month_key("interviewdate_v1"))), only=columns)
     recall = recall_spending(
         nonfood, base, tables["prices"].withColumnRenamed("int_date_hhmod", "month"), household=HH, amount="amount",
-        tag="tag", periods=PERIODS, carry=[F.max("qx_type").alias("visit_group")],
-        month=month_key(visit_date("visit_group", "interviewdate_v1", "interviewdate_v2")), only=columns)
+        tag="tag", periods=PERIODS, 
+        # Each part of the questionnaire was asked at a visit of its own.
+        carry=[F.max(F.when(F.col("tag") == t, F.col("qx_type"))).alias(f"visit_group_{t}") for t in PERIODS],
+        month={t: month_key(visit_date(f"visit_group_{t}", "interviewdate_v1", "interviewdate_v2")) for t in PERIODS},
+        only=columns)
     nets = tables["safety_nets"]
+    # Answered once per household; the other parts are aggregates.
+    once = {name: require_unique(tables[name], HH) if validate else tables[name]
+            for name in ("housing", "food_days", "food_security", "enterprise", "wellbeing")}
     parts = [
-        tables["housing"], food, tables["food_days"], tables["food_security"], recall, tables["enterprise"],
+        once["housing"], food, once["food_days"], once["food_security"], recall, once["enterprise"],
         other_income(tables["other_income"], HH, ["hh_p03a", "hh_p03b", "hh_p03c"], "hh_p02"),
         assistance(nets, HH, "hh_r02a", "hh_r02b"),
         beneficiary_list(nets.filter(F.col("hh_r0a") == SCHOOL_FEEDING), HH, "hh_r04", LIST_PLACES, "food_feed_hhline"),
-        tables["wellbeing"],
+        once["wellbeing"],
         most_severe(tables["shocks"], HH, "hh_u0a", "hh_u02", ["hh_u0a"], "hh_u0a_most_severe"),
     ]
     if with_assets:
-        parts.append(_asset_table(tables, base))
+        parts.append(_asset_table(tables, base, validate))
     out = base
     for part in parts:
-        out = merge(out, _only(part, HH, columns), HH, validate=validate, split_hot=False)
+        out = merge(out, _only(part, HH, columns), HH, validate=False, split_hot=False)
     communities = community_table(tables["community_basic"], tables["community_services"], tables["community_economy"],
                                   tables["community_changes"] if with_shocks else None, compat)
     # Once written its size is known, so Spark itself decides whether it may be broadcast.
-    out = merge(out, cut_lineage(_only(communities, COMMUNITY, columns)), COMMUNITY)
+    out = merge(out, cut_lineage(_only(communities, COMMUNITY, columns)), COMMUNITY, validate=False)
     return out.withColumns({
         "food_consumption_score": hf.food_score(
             staples=hf.staples("hh_g08a", "hh_g08b"), pulses="hh_g08c", vegetables="hh_g08d", meat_fish="hh_g08e",
@@ -239,7 +263,7 @@ def _member_values(members: DataFrame) -> DataFrame:
 
 
 def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, with_shocks: bool = True,
-                 with_mothers: bool = True, with_hours: bool = True, compat: bool = False, validate: bool = False,
+                 with_mothers: bool = True, with_hours: bool = True, compat: bool = False, validate: bool = True,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Every member seen in both waves with all values, before the modelling columns are chosen.
 
@@ -257,8 +281,9 @@ def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, w
         known = [c for c in attributes if c in members.columns]
         members = parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID])
     if with_hours:
-        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER])
-    return _member_values(merge(members, households, HH))
+        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER],
+                        validate=False)
+    return _member_values(merge(members, households, HH, validate=False))
 
 
 def model_rows(members: DataFrame, columns: Sequence[str] = FINAL) -> DataFrame:
@@ -273,8 +298,12 @@ def model_rows(members: DataFrame, columns: Sequence[str] = FINAL) -> DataFrame:
 
 
 def child_sample(tables: Mapping[str, DataFrame], *, with_assets: bool = True, compat: bool = False,
-                 validate: bool = False) -> DataFrame:
-    """The modelling table, one row per child."""
+                 validate: bool = True) -> DataFrame:
+    """The modelling table, one row per child.
+
+    Building the frame already runs jobs: members, household sizes, assets and communities are written to the
+    shared folder, and the wealth index is fitted. ``session.written_tables`` removes what was written.
+    """
     members = member_table(tables, with_assets=with_assets, with_shocks=False, with_mothers=False, with_hours=False,
                            compat=compat, validate=validate,
                            columns=[*FINAL, *MEMBER_IN, *HOUSEHOLD_IN, *COMMUNITY_IN])
@@ -284,7 +313,8 @@ def child_sample(tables: Mapping[str, DataFrame], *, with_assets: bool = True, c
 def write_child_sample(spark: SparkSession, folder: str, out: str) -> None:
     """Read the survey's tables; write the modelling table with captions, and the texts of its codes.
 
-    The texts go to ``<out>_labels``, as ``load_labelled`` reads them.
+    The texts go to ``<out>_labels``, as ``load_labelled`` reads them. Tables written on the way are removed.
     """
-    write_table(with_captions(child_sample(load_survey(spark, folder)), CAPTIONS), out)
+    with written_tables(spark):
+        write_table(with_captions(child_sample(load_survey(spark, folder)), CAPTIONS), out)
     write_table(dictionary_rows(spark, {c: t for c, t in recodes.VALUE_LABELS.items() if c in FINAL}), f"{out}_labels")

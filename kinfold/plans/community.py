@@ -42,6 +42,8 @@ DISTANCES = {
     "com_cd69a_meter": ("com_cd69a", "com_cd69b", "com_cd68", {}),
 }
 SHOCK_CODES = [2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 19, 20]
+# Codes of the same question that no column is kept for.
+OTHER_SHOCKS = [0, 1, 11, 13, 14, 15, 16, 17, 18]
 
 
 def community_basic(df: DataFrame) -> DataFrame:
@@ -59,7 +61,8 @@ def community_services(df: DataFrame) -> DataFrame:
 def community_shocks(df: DataFrame, compat: bool = False) -> DataFrame:
     """1/missing per shock; ``compat`` leaves code 7 as it is, as if it had not been recoded."""
     known = df.filter(F.col("com_cg35c").isNotNull()).select(COMMUNITY, "com_cg35c").distinct()
-    return to_wide_flags(known, [COMMUNITY], "com_cg35c", SHOCK_CODES, "com_shocks", keep_code=[7] if compat else ())
+    return to_wide_flags(known, [COMMUNITY], "com_cg35c", SHOCK_CODES, "com_shocks", keep_code=[7] if compat else (),
+                         ignored=OTHER_SHOCKS)
 
 
 def community_table(basic: DataFrame, services: DataFrame, economy: DataFrame, changes: DataFrame | None = None,
@@ -77,5 +80,5 @@ def community_table(basic: DataFrame, services: DataFrame, economy: DataFrame, c
         out = out.union(table.select(COMMUNITY))
     out = out.distinct()
     for table in tables:
-        out = merge(out, table, COMMUNITY, split_hot=False)
+        out = merge(out, table, COMMUNITY, validate=False, split_hot=False)
     return out

@@ -38,7 +38,7 @@ def beneficiary_list(programme: DataFrame, household: str, stub: str, suffixes:
     listed = drop_all_missing(programme, [f"{stub}{s}" for s in suffixes])
     long = to_long(listed, [household], {stub: out}, suffixes, "place")
     once = first_per_key(long, [household, out], ["place"])
-    return to_wide(once, [household], "place", [out], suffixes)
+    return to_wide(once, [household], "place", [out], suffixes, validate=False)
 
 
 def most_severe(shocks: DataFrame, household: str, code: str, rank: str, tiebreak: Sequence, name: str) -> DataFrame:

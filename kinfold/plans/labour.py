@@ -28,7 +28,7 @@ def labour_hours(plots: DataFrame, household: str, member_id: str, tasks: Mappin
     spelled-out cells would make a method too long for the JVM to compile.
     """
     numbers = range(1, workers + 1)
-    kinds = {"a": "int", "b": "double", "c": "double", "d": "double"}
+    kinds = {"a": dict(plots.dtypes)[f"{next(iter(tasks.values()))}a1"], "b": "double", "c": "double", "d": "double"}
     packed = [F.array(*[F.col(f"{stub}{role}{n}").cast(kind) for n in numbers]).alias(f"{role}_{task}")
               for task, stub in tasks.items() for role, kind in kinds.items()]
     if plot is None:

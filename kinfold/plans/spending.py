@@ -15,7 +15,7 @@ from kinfold.functions.missing import col, group_total, row_total
 from kinfold.functions.money import inflator, monthly, per_unit
 from kinfold.functions.recode import banded
 from kinfold.operators.groups import category_totals
-from kinfold.operators.merge import merge
+from kinfold.operators.merge import merge, require_unique
 
 UNITS = {"aes1": "aes1", "aes2": "aes2", "pc": "total_hh_member"}
 
@@ -26,18 +26,14 @@ FOOD_CATEGORIES = [
     ("sugar", 801, 804), ("beverage", 901, 916), ("spice", 810, 818),
 ]
 
-_MONTH = "^[0-9]{4}-(0[1-9]|1[0-2])$"
-
 
 def price_lookup(df: DataFrame, prices: DataFrame, month: str = "month", index: str = "cpi") -> DataFrame:
     """Add the price index of the row's month, missing where the month has none.
 
-    Reduced to one row per calendar month, the index table has at most 12 rows for
-    each of 10,000 years, so it is broadcast whatever the data size.
+    Any text can be a month; one that is listed twice stops the job. An index table of months
+    is small, so Spark broadcasts it, but nothing depends on that.
     """
-    by_month = (prices.filter(F.col(month).rlike(_MONTH))
-                .groupBy(month).agg(F.max(index).alias(index)))
-    return df.join(F.broadcast(by_month), month, "left")
+    return df.join(require_unique(prices.select(month, index).filter(F.col(month).isNotNull()), month), month, "left")
 
 
 def with_inflator(df: DataFrame, prices: DataFrame, month: str = "month", index: str = "cpi") -> DataFrame:
@@ -57,7 +53,7 @@ def food_totals(items: DataFrame, household: str, item: str, amount: str,
 
 def _priced(totals: DataFrame, scales: DataFrame, prices: DataFrame, household: str, month) -> DataFrame:
     """Totals with sizes and inflator; both sides have one row per household."""
-    joined = merge(totals, scales, household, split_hot=False).withColumn("month", col(month))
+    joined = merge(totals, scales, household, validate=False, split_hot=False).withColumn("month", col(month))
     return with_inflator(joined, prices)
 
 
@@ -86,16 +82,24 @@ def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, h
 
     ``tag`` is the column telling which questionnaire part an item row comes from and
     ``periods`` the recall period of each part. All parts are totalled in a single
-    aggregation; a part without any row of the household stays missing.
+    aggregation; a part without any row of the household stays missing. ``month`` is one
+    expression for all parts, or a mapping with one for each part.
     """
     totals = items.groupBy(household).agg(*category_totals(tag, list(periods), amount, prefix="period_"), *carry)
     names = {t: f"total_exp_non_food_{t}" for t in periods}
-    priced = _priced(totals, scales, prices, household, month).withColumns(
-        {names[t]: monthly(f"period_{t}", period) for t, period in periods.items()})
+    if isinstance(month, Mapping):
+        priced = merge(totals, scales, household, validate=False, split_hot=False)
+        rates = {t: f"inflator_{t}" for t in periods}
+        for t, rate in rates.items():
+            priced = with_inflator(priced.withColumn("month", month[t]), prices).withColumnRenamed("inflator", rate).drop(
+                "month", "cpi")
+    else:
+        priced, rates = _priced(totals, scales, prices, household, month), dict.fromkeys(periods, "inflator")
+    priced = priced.withColumns({names[t]: monthly(f"period_{t}", period) for t, period in periods.items()})
     return priced.select(
         household,
         *[F.col(names[t]).alias(f"nonfood_exp_monthly_{t}") for t in periods],
-        *per_unit(list(names.values()), UNITS, only=only),
+        *[c for t in periods for c in per_unit([names[t]], UNITS, rate=rates[t], only=only)],
     )
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,20 +57,44 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="kinfold-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Later uses read only the columns they need, and nothing upstream is computed
-    again when an executor is lost.
+    again when an executor is lost. The table stays until the folder is cleaned, or
+    until ``written_tables`` ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    if _written.get() is not None:
+        _written.get().append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def written_tables(spark: SparkSession):
+    """Tables that ``cut_lineage`` writes inside are removed at the end, also after an error.
+
+    Results that read them have to be written or collected before that.
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

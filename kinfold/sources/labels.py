@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.filters import drop_minor_nulls
+from kinfold.operators.merge import require_unique
 
 
 def dictionary_rows(spark, labels: Mapping[str, Mapping[int, str]]) -> DataFrame:
@@ -32,13 +33,14 @@ def caption_of(df: DataFrame, column: str) -> str | None:
 def codes_to_text(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], drop_unlabelled: bool = True) -> DataFrame:
     """Replace codes by their texts.
 
-    A row with a code that has no text is dropped; a missing code stays. The label
-    tables join without a hint: Spark broadcasts them when their size allows.
+    A row with a code that has no text is dropped; a missing code stays. A code that is
+    listed twice for a column stops the job. The label tables join without a hint: Spark
+    broadcasts them when their size allows.
     """
     keep = []
     for column in columns:
-        texts = dictionary.filter(F.col("column_name") == column).select(
-            F.col("code").alias(f"__c_{column}"), F.col("text").alias(f"__t_{column}"))
+        texts = require_unique(dictionary.filter(F.col("column_name") == column).select(
+            F.col("code").alias(f"__c_{column}"), F.col("text").alias(f"__t_{column}")), f"__c_{column}")
         df = df.join(texts, df[column] == texts[f"__c_{column}"], "left")
         keep.append(F.col(column).isNull() | F.col(f"__t_{column}").isNotNull())
     if keep and drop_unlabelled:
@@ -49,12 +51,12 @@ def codes_to_text(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
 
 
 def load_labelled(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], index: Sequence[str] = (),
-                  drop_minor: bool = False, minor_limit: int = 100) -> DataFrame:
+                  drop_minor: bool = False, minor_limit: int | None = 100, minor_share: float | None = None) -> DataFrame:
     """Codes to texts, optional minor-null drop, unlabelled rows dropped.
 
     Index columns count as keys: they come first and take no part in the null counts.
     """
     values = [c for c in df.columns if c not in index]
     if drop_minor:
-        df = drop_minor_nulls(df, minor_limit, values)
+        df = drop_minor_nulls(df, minor_limit, values, minor_share)
     return codes_to_text(df.select(*index, *values), dictionary, [c for c in columns if c not in index])

@@ -130,7 +130,7 @@ def test_files_in_and_out(spark, village, tmp_path):
     cs.write_child_sample(spark, f"{tmp_path}/in", f"{tmp_path}/sample.parquet")
     sample = read_table(spark, f"{tmp_path}/sample.parquet")
     assert sample.columns == cs.FINAL and len(cs.FINAL) == 98
-    assert caption_of(sample, "road_type") == "Road type in the community"
+    assert caption_of(sample, "road_type") == cs.CAPTIONS["road_type"]
     labels = read_table(spark, f"{tmp_path}/sample.parquet_labels")
     coded = [c for c in VALUE_LABELS if c in cs.FINAL]
     loaded = load_labelled(sample, labels, coded, index=["y3_hhid", "PID"])
@@ -138,10 +138,25 @@ def test_files_in_and_out(spark, village, tmp_path):
         (13, "Male", "Asphalt/graded graveled", "Yes"), (14, "Female", "Asphalt/graded graveled", "No")]
 
 
-def test_repeated_key_fails_when_validated(spark, village):
-    twice = {**village, "housing": village["housing"].union(village["housing"])}
+@pytest.mark.parametrize("name", ["housing", "roster", "household_id", "prices"])
+def test_repeated_key_fails(spark, village, name):
+    twice = {**village, name: village[name].union(village[name])}
     with pytest.raises(Exception, match="key is not unique"):
-        cs.child_sample(twice, with_assets=False, validate=True).collect()
+        cs.child_sample(twice, with_assets=False).collect()
+
+
+def test_written_tables_go_with_the_job(spark, village, tmp_path, monkeypatch):
+    from kinfold import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/shared")
+    with session.written_tables(spark):
+        assert cs.child_sample(village, with_assets=False).count() == 2
+        assert list((tmp_path / "shared").glob("table-*"))
+    assert not list((tmp_path / "shared").glob("table-*"))
+
+
+def test_captions_name_modelling_columns():
+    assert set(cs.CAPTIONS) <= set(cs.FINAL)
 
 
 def test_csv(spark, tmp_path):

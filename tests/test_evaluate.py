@@ -145,3 +145,19 @@ def test_evaluate_against_stored(spark, scored, tmp_path):
 
 def test_shared_folder_is_stable(spark):
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_unnamed_models_odd_scores_and_odd_labels(spark, scored):
+    """A model without a name is evaluated like the others; NaN scores and labels other than 0 and 1 stay out."""
+    predictions, expected = scored
+    unnamed = predictions.filter("model_name = 'a'").withColumn("model_name", F.lit(None).cast("string"))
+    odd = spark.createDataFrame([(None, 900, 1, 1, float("nan"), 0.0), (None, 901, 2, 1, 0.9, 3.0), (None, 902, None, 1, 0.9, 3.0)],
+                                SCHEMA)
+    for partitions in ("2", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        found = evaluate.all_metrics(predictions.union(unnamed).union(odd)).filter("model_name IS NULL").collect()
+        assert len(found) == 1
+        for metric in ("roc_auc", "aupr", "precision", "recall", "cross_entropy"):
+            assert found[0][metric] == pytest.approx(expected["a"][metric])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert evaluate.roc_points(unnamed).count() == evaluate.roc_points(predictions).filter("model_name = 'a'").count()

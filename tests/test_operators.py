@@ -44,6 +44,10 @@ def test_key_contract(spark):
         require_unique(twice, "k").collect()
     with pytest.raises(Exception, match="key is not unique"):
         merge(twice, twice.withColumnRenamed("v", "w"), "k", validate=True).collect()
+    lookup = frame(spark, "k int, w int", (1, 5), (2, 6))
+    assert merge(twice, lookup, "k").count() == 3
+    with pytest.raises(Exception, match="key is not unique"):
+        merge(twice, lookup, "k", one_to_one=True).collect()
     once = frame(spark, "k int, v int", (1, 1), (2, None))
     assert rows(require_unique(once, "k")) == [(1, 1), (2, None)]
 
@@ -84,7 +88,12 @@ def test_reshape(spark):
     assert rows(back, "h", "item") == [(1, 501, 1), (1, 502, 2), (2, 501, None), (2, 502, None)]
     repeated = long.union(long)
     with pytest.raises(Exception, match="key is not unique"):
-        to_wide(repeated, ["h"], "item", ["v"], [501], validate=True).collect()
+        to_wide(repeated, ["h"], "item", ["v"], [501, 502]).collect()
+    with pytest.raises(Exception, match="code that is not listed: 502"):
+        to_wide(long, ["h"], "item", ["v"], [501]).collect()
+    assert to_wide(long, ["h"], "item", ["v"], [501], ignored=[502]).columns == ["h", "v501"]
+    with pytest.raises(Exception, match="code that is not listed"):
+        to_wide_flags(long, ["h"], "item", [501], "f").collect()
 
 
 def test_several_stubs_and_text_suffixes(spark):
@@ -152,3 +161,16 @@ def test_feature_ranking(spark):
     out = feature_ranking(df, ["m", "n"])
     assert [tuple(r) for r in out.collect()] == [("x", 1.0, 2.0, 1.5, 2), ("y", 2.5, 1.0, 1.75, 2), ("z", 2.5, None, 2.5, 1)]
     assert values(sorted_importances(df.filter("model = 'm'"), "importance", "feature").limit(1), "feature") == ["x"]
+
+
+def test_minor_nulls_by_share(spark):
+    df = frame(spark, "a int, b int", *[(None if i == 0 else i, None if i % 2 else i) for i in range(100)])
+    assert drop_minor_nulls(df, limit=None, share=0.05).count() == 99
+    assert drop_minor_nulls(df, share=0.6).count() == 49
+    assert drop_minor_nulls(df, limit=51, share=0.6).count() == 49
+
+
+def test_repeated_dictionary_code_fails(spark):
+    labels = dictionary_rows(spark, {"c": {1: "one"}})
+    with pytest.raises(Exception, match="key is not unique"):
+        codes_to_text(frame(spark, "c int", (1,)), labels.union(labels), ["c"]).collect()

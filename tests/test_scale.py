@@ -190,3 +190,10 @@ def test_scans_are_pruned(spark):
     plan = QUERIES["merge_indicator"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
     assert "l_shipdate" not in plan and "o_totalprice" not in plan
+
+
+def test_fractional_weights_give_the_same_groups_for_any_ranges(spark):
+    df = spark.createDataFrame([(i, float(i), 0.1) for i in range(20)], "i int, s double, w double")
+    for ranges in (2, 8, 16, 200, 1024):
+        found = weighted_quantile_group(df, "s", "w", "q", ranges=ranges).groupBy("q").count().orderBy("q").collect()
+        assert [r["count"] for r in found] == [4, 4, 4, 4, 4]
