@@ -83,13 +83,28 @@ def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     return lengths
 
 
+def _marks(batches, width: int):
+    """Size and 128-bit mark of every set; an empty one has no mark."""
+    for batch in batches:
+        sets = list(shingle_sets(batch.column("text"), width))
+        marks = [_mark(own) for own in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([a for a, _ in marks], pa.int64()),
+             pa.array([b for _, b in marks], pa.int64())], ["doc_id", "n", "mark1", "mark2"])
+
+
+def _mark(own: np.ndarray):
+    return np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64) if len(own) else (None, None)
+
+
 def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
+    """Size and mark of every set, and the shingles of its short lists."""
     for batch in batches:
         sizes, first, second, parts = [], [], [], []
         for own in shingle_sets(batch.column("text"), width):
             n = len(own)
             sizes.append(n)
-            a, b = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64) if n else (None, None)
+            a, b = _mark(own)
             first.append(a)
             second.append(b)
             if n:
@@ -218,12 +233,12 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     """
     texts = docs.select("doc_id", "text")
     lengths = docs.sparkSession.sparkContext.broadcast(list_lengths(texts, width))
-    sets = cut_lineage(texts.mapInArrow(
-        lambda batches: _short_lists(batches, lengths.value, width, percent),
-        "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, short array<bigint>"))
-    filled = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = first_per_key(filled, ["mark1", "mark2"], ["doc_id"])
-    entries = classes.select("doc_id", "n", F.explode("short").alias("shingle"))
+    filled = "n > 0 AND doc_id IS NOT NULL"
+    # Sizes and marks are kept for the result. Short lists are large and pass on to the shuffle without being kept.
+    sets = cut_lineage(texts.mapInArrow(lambda batches: _marks(batches, width), "doc_id bigint, n bigint, mark1 bigint, mark2 bigint"))
+    short = texts.mapInArrow(lambda batches: _short_lists(batches, lengths.value, width, percent),
+                             "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, short array<bigint>").filter(filled)
+    entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select("doc_id", "n", F.explode("short").alias("shingle"))
     whole = Window.partitionBy("shingle")
     lists = cut_lineage(entries.withColumn("length", F.count("*").over(whole)).filter("length > 1").drop("length"))
     links, labels, gain = None, None, 1.0
@@ -238,9 +253,10 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
         labels = _relabelled(labels, new)
         gain = new.count() / max(1, found.count())
     groups = components(links)
+    classes = first_per_key(sets.filter(filled), ["mark1", "mark2"], ["doc_id"])
     named = join_on(classes.select(F.col("doc_id").alias("class_id"), "mark1", "mark2"),
                     groups.select(F.col("node").alias("class_id"), "component"), "class_id")
-    joined = join_on(filled.select("doc_id", "n", "mark1", "mark2"), named, ["mark1", "mark2"])
+    joined = join_on(sets.filter(filled), named, ["mark1", "mark2"])
     alone = sets.filter("n = 0 OR doc_id IS NULL").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"),
