@@ -9,6 +9,7 @@ of each range, so that offsets of a range become positions in the whole corpus.
 from __future__ import annotations
 
 import math
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -31,13 +32,21 @@ def id_type(vocabulary_size: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
 
 
-def encode_batch(texts: list[str], tokenizer) -> list[tuple]:
-    """Ids of each text, as a tuple of the ids of its pieces; a text with a special token's string goes in whole."""
+def encode_batch(texts: list[str], tokenizer, dtype: np.dtype) -> list[bytes]:
+    """Ids of each text in the files' format, put together from those of its pieces.
+
+    A text with a special token's string goes in whole, as the library would look for it there.
+    """
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    answer = lambda parts: [tuple(e.ids) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    code = {2: "H", 4: "I"}[dtype.itemsize]
+
+    def answer(parts: list[str]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
     cut = [[t] if any(s in t for s in special) else space_pieces(t) for t in texts]
-    found = iter(_pieces.lookup(list(chain.from_iterable(cut)), answer))
-    return [tuple(chain.from_iterable(next(found) for _ in own)) for own in cut]
+    found = _pieces.lookup(list(chain.from_iterable(cut)), answer)
+    ends = np.cumsum([0, *map(len, cut)]).tolist()
+    return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def _write(batches, folder: str, path: str, end_id: int):
@@ -46,17 +55,15 @@ def _write(batches, folder: str, path: str, end_id: int):
     files, root = open_folder(folder)
     context = TaskContext.get()
     part, attempt = context.partitionId(), context.taskAttemptId()
-    name, sizes, docs = f"range-{part:06d}", [], []
+    name, sizes, docs, end = f"range-{part:06d}", [], [], np.array([end_id], dtype).tobytes()
 
     def ids():
         for batch in batches:
             texts, own = batch.column("text").fill_null("").to_pylist(), batch.column("doc_id").to_pylist()
             for low in range(0, len(texts), 256):
-                block = []
-                for found in encode_batch(texts[low:low + 256], tokenizer):
-                    sizes.append(len(found) + 1)
-                    block.append(np.array([*found, end_id], dtype))
-                yield np.concatenate(block).tobytes()
+                for found in encode_batch(texts[low:low + 256], tokenizer, dtype):
+                    sizes.append(len(found) // dtype.itemsize + 1)
+                    yield found + end
             docs.extend(NO_ID if d is None else d for d in own)
 
     publish(files, root, f"{name}.bin", str(attempt), ids())

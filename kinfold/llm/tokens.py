@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import public_tokenizers
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 800_000
 CACHED_LENGTH = 48
 
 
@@ -49,23 +49,22 @@ def piece_model(path: str):
 class Cache(dict):
     """Answers by piece of text. Short pieces stay until the cache is full, then it starts anew."""
 
-    def lookup(self, pieces: list[str], answer):
-        """The answers for ``pieces``; ``answer`` gets the unknown ones as a list, each once."""
-        missing = [p for p in dict.fromkeys(pieces) if p not in self]
-        if missing:
-            if len(self) + len(missing) > CACHE_ENTRIES:
-                self.clear()
-                missing = list(dict.fromkeys(pieces))
-            self.update(zip(missing, answer(missing)))
-        found = list(map(self.__getitem__, pieces))
-        for p in missing:
-            if len(p) > CACHED_LENGTH:
-                del self[p]
-        return found
+    def lookup(self, pieces: list[str], answer) -> list:
+        """The answers for ``pieces``, none of which is None; ``answer`` gets the unknown ones as a list, each once."""
+        found = list(map(self.get, pieces))
+        missing = list(dict.fromkeys([p for p, f in zip(pieces, found) if f is None]))
+        if not missing:
+            return found
+        new = dict(zip(missing, answer(missing)))
+        if len(self) + len(new) > CACHE_ENTRIES:
+            self.clear()
+        self.update((p, a) for p, a in new.items() if len(p) <= CACHED_LENGTH)
+        return [new[p] if f is None else f for p, f in zip(pieces, found)]
 
 
 # A space after white space belongs to what comes before, so texts with such a place are not cut at spaces.
 _AFTER_SPACE = re.compile(r"\s ")
+_PAIRS = [chr(c) + " " for c in range(128) if chr(c).isspace()]
 
 
 def space_pieces(text: str) -> list[str]:
@@ -74,7 +73,7 @@ def space_pieces(text: str) -> list[str]:
     Matches end at such a place whatever lies before, and what follows is matched without looking back, so the
     pieces encode to the text's tokens one after another. White space before a space keeps the two together.
     """
-    if _AFTER_SPACE.search(text):
+    if any(pair in text for pair in _PAIRS) if text.isascii() else _AFTER_SPACE.search(text):
         return re.split(r"(?<=\S)(?= )", text)
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + r for r in rest]

@@ -70,7 +70,10 @@ def test_pieces_of_odd_strings_encode_like_whole_ones():
     texts = odd_strings(4000)
     tokenizer = tokens.fast_tokenizer(tokens.vocabulary_path(token_files.VOCABULARY))
     expected = [tuple(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert token_files.encode_batch(texts, tokenizer) == expected
+    for dtype in ("<u2", "<u4"):
+        found = token_files.encode_batch(texts, tokenizer, np.dtype(dtype))
+        assert [tuple(np.frombuffer(x, dtype).tolist()) for x in found] == expected
+        token_files._pieces.clear()
 
 
 def test_token_files(spark, odd_docs, odd_texts, no_docs):
