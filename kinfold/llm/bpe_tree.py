@@ -68,7 +68,7 @@ class TreeEncoder:
         """Whether two tokens side by side stay as they are."""
         known = self._pairs.get((left, right))
         if known is None:
-            if len(self._pairs) > 1 << 18:
+            if len(self._pairs) > 1 << 16:
                 self._pairs.clear()
             known = self._merge(self.bytes[left] + self.bytes[right]) == [left, right]
             self._pairs[left, right] = known

@@ -7,8 +7,8 @@ where the language is unknown, and leave room on both sides; they are parameters
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ RUN = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 _SYMBOLS = np.array([chr(c) in "#*$%&|<>" for c in range(256)])
-_words = Cache()
+_words = Cache(entries=250_000)
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,8 @@ def _base(group: Words, texts: list[str | None]) -> dict[str, list[int]]:
 def _answers(words: list[str], pieces, encoding) -> list[tuple]:
     """Per word: ids of the piece model, its byte tokens, and tokens of the rank vocabulary."""
     found = pieces.encode(words, num_threads=1)
-    return [(tuple(ids), sum(map(pieces.is_byte, ids)), len(encoding.encode_ordinary(" " + w))) for w, ids in zip(words, found)]
+    return [(array("I", ids).tobytes(), sum(map(pieces.is_byte, ids)), len(encoding.encode_ordinary(" " + w)))
+            for w, ids in zip(words, found)]
 
 
 def fit(words: list[str], chars: int, pieces, encoding) -> tuple[float, float, float, float]:
@@ -93,7 +94,7 @@ def fit(words: list[str], chars: int, pieces, encoding) -> tuple[float, float, f
     if not words:
         return 0.0, 0.0, 0.0, 0.0
     found = _words.lookup(words, lambda new: _answers(new, pieces, encoding))
-    ids = np.fromiter(chain.from_iterable(f[0] for f in found), np.int32)
+    ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
     share = np.bincount(ids)
     share = share[share > 0] / len(ids)
     return (chars / len(ids), chars / max(1, sum(f[2] for f in found)), sum(f[1] for f in found) / len(ids),

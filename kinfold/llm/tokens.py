@@ -47,16 +47,29 @@ def piece_model(path: str):
 
 
 class Cache(dict):
-    """Answers by piece of text. Short pieces stay until the cache is full, then it starts anew."""
+    """Answers by piece of text. Short pieces stay until ``entries`` are reached, then it starts anew.
+
+    A worker that goes on to another operator empties the cache of the one before, so that it holds one at a time.
+    """
+
+    last: Cache | None = None
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.entries = entries
 
     def lookup(self, pieces: list[str], answer) -> list:
         """The answers for ``pieces``, none of which is None; ``answer`` gets the unknown ones as a list, each once."""
+        if Cache.last is not self:
+            if Cache.last is not None:
+                Cache.last.clear()
+            Cache.last = self
         found = list(map(self.get, pieces))
         missing = list(dict.fromkeys([p for p, f in zip(pieces, found) if f is None]))
         if not missing:
             return found
         new = dict(zip(missing, answer(missing)))
-        if len(self) + len(new) > CACHE_ENTRIES:
+        if len(self) + len(new) > self.entries:
             self.clear()
         self.update((p, a) for p, a in new.items() if len(p) <= CACHED_LENGTH)
         return [new[p] if f is None else f for p, f in zip(pieces, found)]
