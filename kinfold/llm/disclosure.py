@@ -27,7 +27,7 @@ PATTERNS = {
 }
 # What a text must hold for a match to be possible that also passes.
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 TERM = r"(?<![\p{L}\p{M}\p{N}])\p{L}[\p{L}\p{M}]{2,}+(?![\p{N}])"
 CONTEXT = 64
 LEAST_TEXTS = 3

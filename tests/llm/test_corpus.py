@@ -246,6 +246,16 @@ def test_base_spans(spark, no_docs):
     assert disclosure.find_personal_data(no_docs).count() == 0
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1", "at 127.0.0.1, 192.168.0.1.", "0.0.0.0", "00.000.1.2", "000.0255.00099.010", "0.0.0.256", "0300.0.0.1",
+             "0" * 4000 + ".0.0.0", "0.0.0." + "0" * 4000 + "x", "255.249.199.99 260.0.0.0 100.200.20.0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = disclosure.find_personal_data(docs).collect()
+    assert {r.doc_id: [(s.start, s.end) for s in r.ip] for r in rows} == {
+        i: brute.personal_data(t)["ip"] for i, t in enumerate(texts)}
+    assert sum(len(r.ip) for r in rows) == 10
+
+
 def test_personal_data_query(spark):
     docs = dict(map(tuple, spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text").collect()))
     for r in QUERIES["op8_disclosure_sanitise"](spark, MIDDLE).collect():
