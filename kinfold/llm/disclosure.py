@@ -1,10 +1,10 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
-Patterns find the entities to protect: e-mail and network addresses, payment cards, phone numbers. Words near an entity
-may give it away as well. How strongly a term reveals an entity is taken from the whole corpus: their
+Patterns find the entities to protect: e-mail and network addresses, payment cards, phone numbers. Other words of an
+entity's document may give it away as well. How strongly a term reveals an entity is taken from the whole corpus: their
 pointwise mutual information over documents, as a share of the entity's own information content (Sanchez and Batet's
-C-sanitisation). At a share of 1 whoever reads the term learns all of the entity. Terms beyond a first threshold
-are generalised where they stand near their entity, those beyond a second one are removed.
+C-sanitisation), shrunk where few texts support it. At a share of 1 whoever reads the term learns all of the entity.
+Terms beyond a first threshold are generalised in the documents of their entity, those beyond a second one are removed.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 TERM = r"(?<![\p{L}\p{M}\p{N}])\p{L}[\p{L}\p{M}]{2,}+(?![\p{N}])"
-CONTEXT = 64
-LEAST_TEXTS = 3
+# What the probability of a term given an entity is shrunk by, in texts (the half of Krichevsky and Trofimov).
+PRIOR = 0.5
 GENERALISE, REMOVE = 0.8, 0.95
 BROADCAST_ROWS = 50_000
 FOUND = "array<struct<value: string, start: int, end: int>>"
@@ -99,81 +99,105 @@ def _named(kind: str) -> Column:
                                                 m["end"].alias("end")))
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """Per entity mention: its name, and the terms within ``CONTEXT`` code points that are no part of a match."""
-    def around(m: Column) -> Column:
-        low = F.greatest(m["start"] - CONTEXT, F.lit(0))
-        left = F.substring(text, low + 1, m["start"] - low)
-        right = F.substring(text, m["end"] + 1, F.lit(CONTEXT))
-        before = F.filter(matches(left, TERM), lambda t: (t["start"] > 0) | (low == 0))
-        after = F.filter(matches(right, TERM), lambda t: (t["end"] < F.length(right)) | (m["end"] + CONTEXT >= F.length(text)))
-        move = lambda terms, by: F.transform(terms, lambda t: F.struct(
-            F.lower(t["value"]).alias("value"), (t["start"] + by).alias("start"), (t["end"] + by).alias("end")))
-        free = F.filter(F.concat(move(before, low), move(after, m["end"])),
-                        lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-        return F.struct(m["name"].alias("name"), free.alias("terms"))
-    return F.transform(spans, around)
+def _free(text: Column, spans: Column) -> Column:
+    """The text with the letters of entities as digits, so that a term that is part of a match is none; as long as before."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
+
+    def add(state: Column, s: Column) -> Column:
+        low = F.greatest(state["at"], s["start"])
+        high = F.greatest(state["at"], s["end"])
+        before = F.substring(text, state["at"] + 1, low - state["at"])
+        own = F.regexp_replace(F.substring(text, low + 1, high - low), "[A-Za-z]", "0")
+        return F.struct(high.alias("at"), F.concat(state["done"], F.array(before, own)).alias("done"))
+
+    return F.aggregate(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
+                       start, add, lambda state: F.concat(
+                           F.array_join(state["done"], ""), F.substring(text, state["at"] + 1, F.length(text))))
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
-    """doc_id, mark (hash of the text), the matches of each kind, and near: entity names with the terms around them."""
+    """doc_id, mark (hash of the text), the matches of each kind; of texts with any, the entities' names and the text without them."""
     text = F.col("text")
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), *[entities(text, k).alias(k) for k in KINDS])
-    named = F.concat(*[_named(k) for k in KINDS])
-    return found.withColumn("named", named).select(
-        "doc_id", "mark", *KINDS, F.when(F.size("named") > 0, _near(text, F.col("named"))).alias("near"))
+    named = found.withColumn("named", F.concat(*[_named(k) for k in KINDS]))
+    some = F.size("named") > 0
+    return named.select("doc_id", "mark", *KINDS, F.when(some, F.array_distinct(F.transform("named", lambda m: m["name"]))).alias("names"),
+                        F.when(some, _free(text, F.col("named"))).alias("free"))
 
 
-def _shares(counts: DataFrame, total: DataFrame) -> DataFrame:
-    """Adds the share of an entity's information that a term reveals, from the numbers of texts with one or both."""
-    log = lambda c: F.log2(F.col(c).cast("double"))
-    information = log("total") - log("with_name")
-    mutual = log("total") + log("both") - log("with_name") - log("with_term")
-    return counts.join(F.broadcast(total)).withColumn("share", F.when(information > 0, mutual / information)).drop("total")
+def _most(generalise: float) -> Column:
+    """Most texts that a term can stand in to reveal that share of an entity, if it stands by all its mentions."""
+    return F.pow("total", F.lit(1 - generalise)) * F.pow("with_name", F.lit(generalise)) * (1 + 1e-9)
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE) -> DataFrame:
-    """(name, value, share): terms that reveal an entity beyond the threshold, with the share of it they reveal.
+    """(doc_id, mark, value, share): terms of a text that reveal one of its entities, with the largest share they reveal.
 
-    Pairs need ``LEAST_TEXTS`` different texts; copies of one text say nothing about what goes with what. Documents
-    are all rows with a text. Word counts are added up before they are shuffled, and no pair is built beyond those that stand
-    near each other.
+    The share of an entity seen in few texts is uncertain, so the probability of the term given the entity is taken
+    as texts / (texts + ``PRIOR``) of what was seen, over different texts: copies of one say nothing about
+    what goes with what. An entity met once counts, with the terms that hardly stand elsewhere. Frequencies are over all
+    rows with a text, and added up before they are shuffled. Pairs of an entity and a term in one text are built once the term
+    is known to be rare enough for that entity, which loses none.
     """
-    pairs = found.filter("near IS NOT NULL").select("mark", F.explode(F.array_distinct(F.flatten(F.transform(
-        "near", lambda e: F.transform(e["terms"], lambda t: F.struct(e["name"].alias("name"), t["value"].alias("value")))))))
-        .alias("pair")).groupBy("pair.name", "pair.value", "mark").agg(F.count("*").alias("rows"))
-    together = pairs.groupBy("name", "value").agg(F.sum("rows").alias("both"), F.count("*").alias("texts")).filter(
-        F.col("texts") >= LEAST_TEXTS)
-    names = found.filter("near IS NOT NULL").select(F.explode(F.array_distinct(F.transform("near", lambda e: e["name"])))
-                                                    .alias("name")).groupBy("name").agg(F.count("*").alias("with_name"))
-    nearby = found.filter("near IS NOT NULL").select(F.explode(F.array_distinct(F.flatten(F.transform(
-        "near", lambda e: F.transform(e["terms"], lambda t: t["value"]))))).alias("value")).groupBy("value").agg(
-        F.count("*").alias("with_term"))
-    total = docs.agg(F.count("text").alias("total"))
-    # A term is at least as frequent in all texts as near entities, so most pairs are settled by what stands near them.
-    candidates = cut_lineage(_shares(join_on(join_on(together, names, "name", "inner"), nearby, "value", "inner"), total)
-                             .filter(F.col("share") >= generalise).drop("share", "with_term"))
-    wanted = candidates.select("value").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias(
-        "value")).groupBy("value").agg(F.count("*").alias("with_term")).join(wanted, "value", "left_semi")
-    return _shares(join_on(candidates, words, "value", "inner"), total).filter(
-        F.col("share") >= generalise).select("name", "value", "share")
-
-
-def term_spans(found: DataFrame, terms: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """doc_id, mark, and terms: (start, end, removed) of disclosing terms near their entity, one row per text with any."""
-    near = found.filter("near IS NOT NULL").select("doc_id", "mark", F.explode("near").alias("e")).select(
-        "doc_id", "mark", F.col("e.name").alias("name"), F.explode("e.terms").alias("t")).select(
-        "doc_id", "mark", "name", "t.value", "t.start", "t.end")
-    hits = join_on(near, terms, ["name", "value"], "inner").groupBy("doc_id", "mark", "start", "end").agg(
-        F.max("share").alias("share"))
-    return hits.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct(
-        "start", "end", (F.col("share") >= remove).alias("removed")))).alias("terms"))
+    total = docs.agg(F.count("text").cast("double").alias("total"))
+    own = found.filter("names IS NOT NULL").withColumn("row", F.monotonically_increasing_id())
+    own = cut_lineage(own.select("row", "doc_id", "mark", "names", _terms(F.col("free")).alias("terms")))
+    mentions = own.select("row", "doc_id", "mark", F.explode("names").alias("name"))
+    names = cut_lineage(mentions.groupBy("name").agg(F.count("*").alias("with_name")))
+    most = names.agg(F.max("with_name").alias("with_name")).join(F.broadcast(total)).select(_most(generalise).alias("most"))
+    words = docs.select(F.explode(_terms(F.col("text"))).alias("value")).groupBy("value").agg(F.count("*").alias("with_term"))
+    used = own.select(F.explode("terms").alias("value"))
+    rare = words.join(used.distinct(), "value", "left_semi")
+    rare = cut_lineage(rare.join(F.broadcast(most), F.col("with_term") <= F.col("most")).drop("most"))
+    near = join_on(own.select("row", F.explode("terms").alias("value")), rare, "value", "inner")
+    limits = join_on(mentions, names, "name", "inner").join(F.broadcast(total)).withColumn("most", _most(generalise))
+    pairs = cut_lineage(join_on(limits, near, "row", "inner").filter("with_term <= most").drop("row", "most"))
+    log = lambda c: F.log2(F.col(c).cast("double"))
+    information = log("total") - log("with_name")
+    mutual = log("total") + log("both") - log("with_name") - log("with_term") + F.log2(F.col("texts") / (F.col("texts") + PRIOR))
+    shares = pairs.groupBy("name", "value", "mark").agg(
+        F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("total", "with_name", "with_term")]).groupBy("name", "value").agg(
+        F.sum("rows").alias("both"), F.count("*").alias("texts"), *[F.first(c).alias(c) for c in ("total", "with_name", "with_term")])
+    shares = shares.select("name", "value", F.when(information > 0, mutual / information).alias("share")).filter(
+        F.col("share") >= generalise)
+    return join_on(pairs.select("doc_id", "mark", "name", "value"), shares, ["name", "value"], "inner").groupBy(
+        "doc_id", "mark", "value").agg(F.max("share").alias("share"))
+
+
+def known_terms(terms: DataFrame, remove: float = REMOVE) -> DataFrame:
+    """doc_id, mark, and known: the disclosing terms of a text, and whether they are removed; one row per text with any."""
+    return terms.groupBy("doc_id", "mark").agg(F.map_from_entries(F.collect_list(F.struct(
+        "value", (F.col("share") >= remove).alias("removed")))).alias("known"))
 
 
 TERMS = "array<struct<start: int, end: int, removed: boolean>>"
 
 
+def _places(free: Column, known: Column) -> Column:
+    """(start, end, removed) of every mention of known terms; an empty array where there are none."""
+    steps = rf"(?s)\G(.*?)({TERM})"
+    gaps = F.transform(F.regexp_extract_all(free, F.lit(steps), F.lit(1)), F.length)
+    words = F.regexp_extract_all(free, F.lit(steps), F.lit(2))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(TERMS).alias("done"))
+
+    def add(state: Column, step: Column) -> Column:
+        low = state["at"] + step["gap"]
+        high = low + F.length(step["value"])
+        removed = F.element_at(known, F.lower(step["value"]))
+        item = F.struct(low.alias("start"), high.alias("end"), removed.alias("removed"))
+        return F.struct(high.alias("at"), F.when(removed.isNull(), state["done"]).otherwise(
+            F.concat(state["done"], F.array(item))).cast(TERMS).alias("done"))
+
+    found = F.aggregate(F.zip_with(gaps, words, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), start, add,
+                        lambda state: state["done"])
+    return F.coalesce(F.when(known.isNotNull(), found), F.array().cast(TERMS))
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, mark, the matches of each kind and the spans of disclosing terms of every row of ``docs``.
 
@@ -182,9 +206,9 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """
     own = docs.select("doc_id", "text")
     found = cut_lineage(find_entities(own))
-    spans = term_spans(found, disclosing_terms(own, found))
-    return join_on(found.drop("near"), spans, ["doc_id", "mark"], null_safe=True).withColumn(
-        "terms", F.coalesce("terms", F.array().cast(TERMS)))
+    known = known_terms(disclosing_terms(own, found))
+    return join_on(found.drop("names"), known, ["doc_id", "mark"], null_safe=True).withColumn(
+        "terms", _places(F.col("free"), F.col("known"))).drop("free", "known")
 
 
 def span_text(kind: str, spans: str) -> Column:
@@ -204,10 +228,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     one, is set to the new length. Rows and their order of columns stay as well.
     """
     own = docs.select("doc_id", "text")
-    found = cut_lineage(find_entities(own))
-    spans = cut_lineage(term_spans(found, disclosing_terms(own, found)))
+    spans = cut_lineage(known_terms(disclosing_terms(own, cut_lineage(find_entities(own)))))
     marked = docs.withColumns({"__mark": F.xxhash64("text"), "__id": F.col("doc_id")})
-    spans = spans.withColumnsRenamed({"doc_id": "__id", "mark": "__mark", "terms": "__terms"})
+    spans = spans.withColumnsRenamed({"doc_id": "__id", "mark": "__mark", "known": "__known"})
     if spans.count() <= BROADCAST_ROWS:
         near = spans.withColumnsRenamed({"__id": "__other", "__mark": "__other_mark"})
         both = marked.join(F.broadcast(near), F.col("__id").eqNullSafe(F.col("__other"))
@@ -219,9 +242,11 @@ def sanitise(docs: DataFrame) -> DataFrame:
     def replaced(spans: Column, word) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), word(s).alias("word")))
 
+    base = F.concat(*[F.transform(entities(text, k), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+                      for k in KINDS])
     every = F.concat(
         *[replaced(entities(text, k), lambda s, k=k: F.lit(f"[{k.upper()}]")) for k in KINDS],
-        replaced(F.coalesce("__terms", F.array().cast(TERMS)),
+        replaced(_places(F.when(F.col("__known").isNotNull(), _free(text, base)), F.col("__known")),
                  lambda s: F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]"))))
 
     def put(state: Column, s: Column) -> Column:

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -223,6 +225,7 @@ def test_noise_is_rejected(spark):
 
 # Personal data.
 
+WORD = re.compile(r"(?<![^\W_])[^\W\d_]{3,}+(?![0-9])")
 PRIVATE = [
     None, "", "mail a.b@c.de, x@y and q@r.s.t.", "a@b.c_d@e.f", "@x.y a@@b.c a@b..c", "1.2.3.4.5.6.7.8 999.1.2.3.4 0255.1.2.3 256.1.1.1",
     "card 4111 1111 1111 1111 and 4111-1111-1111-1112", "4111111111111111 5 4111  1111", "+1 (377) 555-0271 +12 345 +1234567890123456",
@@ -286,6 +289,57 @@ def test_disclosing_terms(spark):
     assert clean[100].text == rows[6][1] and clean[301].text is None
 
 
+def test_terms_of_an_entity_met_once(spark):
+    """Far from the only mention of an address, a name that stands nowhere else; words of other texts stay."""
+    filler = "today we asked about the item again and nobody knew anything at all, " * 5
+    rows = [(i, f"{filler} {i}") for i in range(40)]
+    rows += [(100, f"Zorblax wrote. {filler} mail a.b@c.de, été-a@b.c-été or ünal@x.org, said ZORBLAX"), (None, f"{filler} q@r.s"), (101, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    text = dict(rows)[100]
+    found = {r.doc_id: r for r in disclosure.find_personal_data(docs).collect()}
+    assert len(found) == len(rows) and {i for i, r in found.items() if r.terms} == {100}
+    terms = [text[s.start:s.end] for s in found[100].terms]
+    assert terms[0] == "Zorblax" and terms[-1] == "ZORBLAX" and "item" not in terms and "ünal" not in terms
+    assert terms.count("été") == 2
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(docs).collect()}
+    assert "orblax" not in clean[100].lower() and filler in clean[100] and clean[3] == rows[3][1] and clean[None] == f"{filler} [EMAIL]"
+
+
+def test_disclosing_terms_of_the_given_tables(spark):
+    """Shares counted one pair at a time give the same terms as the operator."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text")
+    texts = dict(map(tuple, docs.collect()))
+    found = disclosure.find_personal_data(docs).collect()
+    names, terms, free = {}, {}, {}
+    for r in found:
+        text = list(texts[r.doc_id] or "")
+        all_terms = {m.group().lower() for m in WORD.finditer(texts[r.doc_id] or "")}
+        for value in all_terms:
+            terms.setdefault(value, set()).add(r.doc_id)
+        for kind in disclosure.KINDS:
+            for s in r[kind]:
+                name = s.value.lower() if kind in ("email", "ip") else "".join(c for c in s.value if c in "0123456789")
+                names.setdefault((kind, name), set()).add(r.doc_id)
+                text[s.start:s.end] = ["0" if c.isalpha() else c for c in text[s.start:s.end]]
+        free[r.doc_id] = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer("".join(text))]
+    expected = {i: set() for i in texts}
+    total = sum(t is not None for t in texts.values())
+    for ids in names.values():
+        near = {}
+        for i in ids:
+            for value in {v for v, _, _ in free[i]}:
+                near.setdefault(value, []).append(i)
+        for value, at in near.items():
+            support = len({texts[i] for i in at})
+            share = (math.log2(total * len(at) / len(ids) / len(terms[value])) - math.log2((support + 0.5) / support)) / math.log2(
+                total / len(ids))
+            if share >= disclosure.GENERALISE:
+                for i in at:
+                    expected[i] |= {(a, b) for v, a, b in free[i] if v == value}
+    assert {r.doc_id: {(s.start, s.end) for s in r.terms} for r in found} == expected
+    assert sum(map(len, expected.values())) > 0
+
+
 def test_personal_data_runs_without_python(spark):
     plan = disclosure.find_personal_data(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
