@@ -224,7 +224,8 @@ def joined_spans(*parts: Column) -> Column:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every entity replaced by its kind, and disclosing terms generalised or removed.
 
-    Where spans overlap, the one that starts first counts, of those the longest. All columns stay; n_chars, where there is
+    Spans that overlap are replaced as one, by the word of the one that starts first, of those the longest.
+    All columns stay; n_chars, where there is
     one, is set to the new length. Rows and their order of columns stay as well.
     """
     own = docs.select("doc_id", "text")
@@ -251,8 +252,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     def put(state: Column, s: Column) -> Column:
         piece = F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), s["word"])
-        return F.when(s["start"] < state["at"], state).otherwise(
-            F.struct((-s["back"]).alias("at"), F.concat(state["done"], F.array(piece)).alias("done")))
+        return F.when(s["start"] < state["at"], F.struct(F.greatest(state["at"], -s["back"]).alias("at"), state["done"].alias("done"))
+                      ).otherwise(F.struct((-s["back"]).alias("at"), F.concat(state["done"], F.array(piece)).alias("done")))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
     clean = F.aggregate(F.array_sort("__spans"), start, put, lambda state: F.concat(

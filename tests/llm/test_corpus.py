@@ -289,6 +289,21 @@ def test_disclosing_terms(spark):
     assert clean[100].text == rows[6][1] and clean[301].text is None
 
 
+def test_no_part_of_an_overlapping_entity_stays(spark):
+    rng = random.Random(12)
+    parts = ["+49 151 12345678", ".john@x.com", "4111 1111 1111 1111", "@x.com", "10.0.0.1", " ", "é", "+1 (377) 555-0271", "-", "a.b@c.de"]
+    texts = ["é +49 151 12345678.john@x.com é", "4111 1111 1111 1111@x.com", "1.2.3.4@x.com", "+4111111111111111@x.com", "+1 222 333 4444 10.0.0.1@a.b!"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(docs).collect()}
+    assert clean[0] == "é [PHONE] é" and clean[1] == "[CARD]"
+    for i, text in enumerate(texts):
+        spans = [(a, b) for own in brute.personal_data(text).values() for a, b in own]
+        covered = {k for a, b in spans for k in range(a, b)}
+        left = re.sub(r"\[(EMAIL|IP|CARD|PHONE)\]", "", clean[i])
+        assert left == "".join(c for k, c in enumerate(text) if k not in covered), text
+
+
 def test_terms_of_an_entity_met_once(spark):
     """Far from the only mention of an address, a name that stands nowhere else; words of other texts stay."""
     filler = "today we asked about the item again and nobody knew anything at all, " * 5
