@@ -223,6 +223,27 @@ def test_noise_is_rejected(spark):
     assert {r.doc_id: r.kept for r in fertility.measure(docs).collect()} == {1: False, 2: True, 3: False, 4: True}
 
 
+def test_bands_reject_what_the_base_rules_let_pass(spark):
+    """Words strewn with signs, and a few words over and over, in every language; prose of the language stays."""
+    rng = random.Random(14)
+    prose = {
+        "en": "The council met on Tuesday to discuss the new bridge over the river, which will connect both parts of the old town at last.",
+        "de": "Der Rat traf sich am Dienstag, um über die neue Brücke zu sprechen, die beide Teile der alten Stadt bald verbinden soll.",
+        "fr": "Le conseil s'est réuni mardi pour parler du nouveau pont sur la rivière, qui doit bientôt relier les deux parties de la ville.",
+        "es": "El consejo se reunió el martes para hablar del nuevo puente sobre el río, que pronto debe unir las dos partes de la ciudad."}
+    rows = []
+    for k, (lang, text) in enumerate(prose.items()):
+        own = text.split()
+        strewn = " ".join("".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 6))) + rng.choice(["&&&", "###", "%%%", "***"])
+                          for _ in range(80))
+        few = " ".join(rng.choice(own[:7]) for _ in range(60))
+        rows += [(10 * k, text, lang), (10 * k + 1, strewn, lang), (10 * k + 2, few, lang), (10 * k + 3, text, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in fertility.measure(docs).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {i for i, r in found.items() if r.kept} == {10 * k + d for k in range(4) for d in (0, 3)}
+
+
 # Personal data.
 
 WORD = re.compile(r"(?<![^\W_])[^\W\d_]{3,}+(?![0-9])")
