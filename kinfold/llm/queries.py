@@ -116,3 +116,50 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
         F.sha2(joined_spans(*base), 256).alias("base_sha256"),
         joined_spans(*base, span_text(TERM_KIND, "terms")).alias("spans"))
+
+
+@query("op11_vector_codes", sql="""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v,
+         len(embedding) // 16 AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, w, p, v[p * w + 1 : (p + 1) * w] AS x FROM kept, (SELECT unnest(range(16)) AS p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x
+  FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+near0 AS MATERIALIZED (
+  SELECT t.vec_id, t.p, any_value(t.x) AS x,
+         min(64 * list_sum([(t.x[i] - b.x[i]) * (t.x[i] - b.x[i]) for i in range(1, t.w + 1)]) + b.e) % 64 AS e
+  FROM parts t JOIN book0 b USING (p) GROUP BY t.vec_id, t.p),
+mean1 AS (
+  SELECT p, e, i, sum(x[i]) AS s, count(*) AS n
+  FROM near0, (SELECT unnest(range(1, (SELECT max(w) FROM parts) + 1)) AS i) GROUP BY p, e, i),
+book1 AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book0 b LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM mean1 GROUP BY p, e) m USING (p, e)),
+near1 AS MATERIALIZED (
+  SELECT t.vec_id, t.p, any_value(t.x) AS x,
+         min(64 * list_sum([(t.x[i] - b.x[i]) * (t.x[i] - b.x[i]) for i in range(1, t.w + 1)]) + b.e) % 64 AS e
+  FROM parts t JOIN book1 b USING (p) GROUP BY t.vec_id, t.p),
+mean2 AS (
+  SELECT p, e, i, sum(x[i]) AS s, count(*) AS n
+  FROM near1, (SELECT unnest(range(1, (SELECT max(w) FROM parts) + 1)) AS i) GROUP BY p, e, i),
+book2 AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book1 b LEFT JOIN (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM mean2 GROUP BY p, e) m USING (p, e)),
+near2 AS MATERIALIZED (
+  SELECT t.vec_id, any_value(t.label) AS label, t.p,
+         min(64 * list_sum([(t.x[i] - b.x[i]) * (t.x[i] - b.x[i]) for i in range(1, t.w + 1)]) + b.e) AS m
+  FROM parts t JOIN book2 b USING (p) GROUP BY t.vec_id, t.p),
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', CAST(m % 64 AS INTEGER)), '' ORDER BY p) AS code,
+         CAST(sum(m // 64) AS BIGINT) AS error FROM near2 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded""")
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.vector_codes import code_table
+
+    return code_table(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
