@@ -163,3 +163,26 @@ def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     from kinfold.llm.vector_codes import code_table
 
     return code_table(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op12_chat_formatting", sql=r"""
+WITH turns AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *, regexp_replace(regexp_replace(text, '(<\\*)(/?s>|\|turn\|>|\|end\|>)', '\1\\\2', 'g'),
+                           '(\[\\*)(/?INST\])', '\1\\\2', 'g') AS shown FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+       CAST(sum(length('<|turn|>') + length(role) + 1 + length(shown) + length('<|end|>') + 1) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id""")
+def chat(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.chat import round_trip
+
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
+                                 "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, folder, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    return round_trip(given.unionByName(more))
