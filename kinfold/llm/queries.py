@@ -165,6 +165,14 @@ def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return code_table(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+@query("op13_embedding_whitening")
+def whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from kinfold.llm.whitening import whiten
+
+    # Deviations beyond a long (some 10^8 vectors) are null here; the operator itself has them as decimals.
+    return whiten(table(spark, folder, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 @query("op12_chat_formatting", sql=r"""
 WITH turns AS (
   SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

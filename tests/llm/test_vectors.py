@@ -103,3 +103,100 @@ def test_bounds_spare_distances():
     rest = exact.copy()
     np.put_along_axis(rest, np.column_stack([bounds.assigned, bounds.closest]), np.inf, 1)
     assert (rest.min(1) >= bounds.outer).all()
+
+
+def plain_whitening(rows, components=32):
+    """Eigenvalues and unit vectors by LAPACK, deviations in whole numbers."""
+    kept = [(i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v]) for i, v, *_ in rows
+            if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    n, sums = len(kept), [sum(c) for c in zip(*[v for _, v in kept])]
+    centred = np.array([[n * x - s for x, s in zip(v, sums)] for _, v in kept], object)
+    deviations = [(i, int((d * d).sum())) for (i, _), d in zip(kept, centred)]
+    centred = centred.astype(float) / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    return n, deviations, centred, values, vectors
+
+
+def check_whitening(found, rows, components, tolerance=1e-9):
+    n, deviations, centred, values, vectors = plain_whitening(rows, components)
+    got = found.collect()
+    assert {r.component for r in got} == set(range(1, components + 1)) and {r.n for r in got} == {n}
+    assert len(got) == n * components
+    assert sorted(((r.vec_id, int(r.deviation)) for r in got if r.component == 1), key=str) == sorted(deviations, key=str)
+    assert 0 <= got[0].identity_error < 1e-9 and len({r.identity_error for r in got}) == 1
+    explained = {r.component: r.explained for r in got}
+    trace = (centred ** 2).sum() / n
+    assert np.allclose([explained[k + 1] for k in range(components)], values / trace, rtol=1e-9)
+    for k in range(components):
+        expected = centred @ vectors[:, k] / np.sqrt(values[k])
+        own = sorted(((r.vec_id, r.whitened) for r in got if r.component == k + 1), key=str)
+        signs = [sorted(((i, s * w) for (i, _), w in zip(deviations, expected)), key=str) for s in (1, -1)]
+        close = [np.allclose([w for _, w in own], [w for _, w in side], atol=tolerance) for side in signs]
+        assert any(close), k
+
+
+def test_whitening_query(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
+    check_whitening(QUERIES["op13_embedding_whitening"](spark, SMALL), rows, 32, 1e-6)
+
+
+def whitening_frame(spark, rows):
+    return spark.createDataFrame([(*r[:2], 1, "clash", 5) for r in rows], SCHEMA).repartition(3)
+
+
+def test_whitening_of_odd_rows(spark):
+    from kinfold.llm.whitening import whiten
+
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(0, [3, 2, 1, 0.5, 0.3]) + 1e4).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(60, None), (61, [None] * 5), (62, [float("nan")] * 5), (63, [float("-inf")] + [0.0] * 4)]
+    check_whitening(whiten(whitening_frame(spark, rows)), rows, 5)
+    check_whitening(whiten(whitening_frame(spark, rows), components=2), rows, 2)
+    # Vectors of another length take no part, and rows of one id are rows of their own.
+    longer = whiten(whitening_frame(spark, rows + [(64, [1.0] * 6)]))
+    assert longer.select("n").head().n == 60
+    repeated = whiten(whitening_frame(spark, [(1, v) for _, v in rows[:60]] * 2))
+    assert repeated.count() == 600 and repeated.select("n").head().n == 120
+
+
+def test_whitening_without_variation(spark):
+    from kinfold.llm.whitening import whiten
+
+    for rows in ([], [(1, [0.5] * 4)], [(i, [0.5] * 4) for i in range(9)], [(1, [])], [(1, None)]):
+        assert whiten(whitening_frame(spark, rows)).count() == 0
+    # Two dimensions of four vary, one is a copy.
+    rows = [(i, [i / 4, 2.0, i / 4, (i * i % 7) / 2]) for i in range(30)]
+    got = whiten(whitening_frame(spark, rows))
+    assert {r.component for r in got.collect()} == {1, 2} and got.head().identity_error < 1e-9
+
+
+def test_whitening_of_equal_eigenvalues(spark):
+    from kinfold.llm.whitening import whiten
+
+    corners = [(i, [float(s) if k == j else 0.0 for j in range(6)]) for i, (k, s) in enumerate((k, s) for k in range(6) for s in (2, -2))]
+    got = whiten(whitening_frame(spark, corners)).collect()
+    assert {r.component for r in got} == set(range(1, 7)) and got[0].identity_error < 1e-12
+    assert all(math.isclose(r.explained, 1 / 6) for r in got)
+
+
+def test_characteristic_polynomial(spark):
+    from fractions import Fraction
+
+    from kinfold.llm.whitening import characteristic_polynomial, isolate, refine, roots_above
+
+    rng = np.random.default_rng(2)
+    for d, rank in [(1, 1), (2, 2), (5, 3), (9, 9)]:
+        a = rng.integers(-9, 10, (d, rank)) * 10 ** 7
+        matrix = [[int(v) for v in row] for row in a.astype(object) @ a.T.astype(object)]
+        # Faddeev-LeVerrier in whole numbers.
+        power, expected = [[0] * d for _ in range(d)], [1]
+        for k in range(1, d + 1):
+            power = [[sum(matrix[i][t] * power[t][j] for t in range(d)) + (expected[-1] * matrix[i][j]) for j in range(d)] for i in range(d)]
+            expected.append(-sum(power[i][i] for i in range(d)) // k)
+        polynomial = characteristic_polynomial(spark, matrix)
+        assert polynomial == expected
+        values = np.sort(np.linalg.eigvalsh(a @ a.T / 1e14))[::-1] * 1e14
+        found = [Fraction(m, 1 << s) for low, high, s, _ in isolate(polynomial, d) for m, s in [refine(polynomial, low, high, s)]]
+        assert len(found) == rank and np.allclose([float(f) for f in found], values[:rank], rtol=1e-9)
+        assert roots_above(polynomial, 0) == rank and roots_above(polynomial, polynomial[1] * -1) <= 1
