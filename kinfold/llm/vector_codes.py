@@ -156,6 +156,19 @@ def _rows(column: pa.Array, dtype) -> np.ndarray:
     return parts.reshape(n, -1) if n else parts.reshape(0, 0)
 
 
+def _half(values: np.ndarray, towards: float) -> np.ndarray:
+    """Half precision for the table, rounded outwards once more; a bound too large for it becomes the largest number or infinite."""
+    with np.errstate(over="ignore"):
+        near = values.astype("<f2")
+    past = near < values if towards > 0 else near > values
+    return np.where(past, np.nextafter(near, np.float16(towards)), near).astype("<f2")
+
+
+def _smallest(x: np.ndarray) -> np.ndarray:
+    """Two bytes for each component where they do, else four."""
+    return x.astype("<i2" if -(1 << 15) <= x.min(initial=0) and x.max(initial=0) < 1 << 15 else "<i4")
+
+
 def _binary(matrix: np.ndarray) -> pa.Array:
     data = np.ascontiguousarray(matrix)
     step = data.shape[1] * data.itemsize
@@ -165,26 +178,35 @@ def _binary(matrix: np.ndarray) -> pa.Array:
 def _packed(batch: pa.RecordBatch, x: np.ndarray, parts: list[Bounds]) -> pa.RecordBatch:
     b = np.array([p.closest.shape[1] for p in parts], np.uint8)
     return pa.RecordBatch.from_arrays(
-        [batch.column("vec_id"), batch.column("label"), _binary(x.astype("<i4")),
-         _binary(np.column_stack([p.assigned for p in parts]).astype("<u2")),
-         _binary(np.column_stack([p.upper for p in parts]).astype("<f4")), _binary(np.tile(b, (len(x), 1))),
-         _binary(np.column_stack([p.closest for p in parts]).astype("<u2")),
-         _binary(np.column_stack([p.lower for p in parts]).astype("<f4")),
-         _binary(np.column_stack([p.outer for p in parts]).astype("<f4"))],
+        [batch.column("vec_id"), batch.column("label"), _binary(_smallest(x)),
+         _binary(np.column_stack([p.assigned for p in parts]).astype(np.uint8)),
+         _binary(_half(np.column_stack([p.upper for p in parts]), np.inf)), _binary(np.tile(b, (len(x), 1))),
+         _binary(np.column_stack([p.closest for p in parts]).astype(np.uint8)),
+         _binary(_half(np.column_stack([p.lower for p in parts]), -np.inf)),
+         _binary(_half(np.column_stack([p.outer for p in parts]), -np.inf))],
         ["vec_id", "label", "x", "assigned", "upper", "b", "closest", "lower", "outer"])
 
 
-def _unpacked(batch: pa.RecordBatch):
+def _components(column: pa.Array, length: int) -> np.ndarray:
+    """Whole components of ``length`` dimensions, as long numbers; rows may differ in bytes per component."""
+    rows = column.to_pylist()
+    sizes = {len(r) for r in rows}
+    if len(sizes) == 1:
+        return np.frombuffer(b"".join(rows), f"<i{sizes.pop() // length}").astype(np.int64).reshape(len(rows), length)
+    return np.array([np.frombuffer(r, f"<i{len(r) // length}") for r in rows], np.int64).reshape(len(rows), length)
+
+
+def _unpacked(batch: pa.RecordBatch, length: int):
     """The batch cut where the list lengths change: (rows, x, one Bounds for each part position)."""
     lengths = _rows(batch.column("b"), np.uint8)
     cuts = [0, *(np.flatnonzero((lengths[1:] != lengths[:-1]).any(1)) + 1).tolist(), len(lengths)]
     for low, high in zip(cuts, cuts[1:]):
         own = batch.slice(low, high - low)
-        assigned, upper = _rows(own.column("assigned"), "<u2").astype(np.int64), _rows(own.column("upper"), "<f4")
-        closest, lower = _rows(own.column("closest"), "<u2").astype(np.int64), _rows(own.column("lower"), "<f4")
-        outer = _rows(own.column("outer"), "<f4")
+        assigned, upper = _rows(own.column("assigned"), np.uint8).astype(np.int64), _rows(own.column("upper"), "<f2").astype(np.float32)
+        closest = _rows(own.column("closest"), np.uint8).astype(np.int64)
+        lower, outer = (_rows(own.column(c), "<f2").astype(np.float32) for c in ("lower", "outer"))
         ends = np.concatenate([[0], np.cumsum(lengths[low])]).astype(int)
-        yield own, _rows(own.column("x"), "<i4").astype(np.int64), [
+        yield own, _components(own.column("x"), length), [
             Bounds(assigned[:, p], upper[:, p].copy(), closest[:, ends[p]:ends[p + 1]].copy(),
                    lower[:, ends[p]:ends[p + 1]].copy(), outer[:, p].copy()) for p in range(assigned.shape[1])]
 
@@ -200,7 +222,7 @@ def _first(batches, codebooks: np.ndarray, closest: int):
 
 def _assigned_again(batch: pa.RecordBatch, codebooks: np.ndarray, drifts: np.ndarray):
     parts, _, width = codebooks.shape
-    for own, x, bounds in _unpacked(batch):
+    for own, x, bounds in _unpacked(batch, parts * width):
         looked = []
         for p in range(parts):
             bounds[p].moved(drifts[p])
@@ -236,8 +258,8 @@ def _sums(batches, shape: tuple[int, int, int]):
     counts, sums = np.zeros((parts, entries), np.int64), np.zeros((parts, entries, width), np.int64)
     for batch in batches:
         if batch.num_rows:
-            x = _rows(batch.column("x"), "<i4").astype(np.int64).reshape(batch.num_rows, parts, width)
-            assigned = _rows(batch.column("assigned"), "<u2").astype(np.int64)
+            x = _components(batch.column("x"), parts * width).reshape(batch.num_rows, parts, width)
+            assigned = _rows(batch.column("assigned"), np.uint8).astype(np.int64)
             for p in range(parts):
                 counts[p] += np.bincount(assigned[:, p], minlength=entries)
                 np.add.at(sums[p], assigned[:, p], x[:, p])
@@ -296,6 +318,8 @@ def encode_vectors(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIE
     to the range of +-16,384. An empty table gives no rows and no codebooks. Lengths that ``parts`` doesn't divide are
     an error.
     """
+    if not 0 < entries <= 256 or closest >= 256:
+        raise ValueError("an entry has to fit into two hex digits")
     kept = finite_vectors(vectors).select("vec_id", "label", F.col("embedding").alias("vector"))
     codebooks = first_codebooks(kept, parts, entries)
     if codebooks is None:

@@ -61,6 +61,12 @@ def test_codes_with_any_list_length(spark, closest):
     check_codes(spark, odd_vectors(), closest=closest, rounds=3)
 
 
+def test_codes_of_very_large_components(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(0, 10.0 ** (i % 5) / 4, 16)).astype(np.float32).tolist(), 1) for i in range(120)]
+    check_codes(spark, rows, entries=30)
+
+
 def test_codes_of_few_ids_and_one_entry(spark):
     check_codes(spark, odd_vectors(5), parts=4)
     check_codes(spark, odd_vectors(20), parts=32, entries=1)
