@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from kinfold.catalog.shapes import SCORED_SQL, scored_documents
 from kinfold.operators import evaluate
 from kinfold.operators.ranking import feature_ranking, feature_ranks, flag_smallest_abs, sorted_importances
 from kinfold.plans.evaluation import evaluate_model
-from kinfold.session import shared_dir
+from kinfold.session import own_folder
 from kinfold.sources.predictions import load_predictions, model_name, store_predictions
 from kinfold.sources.tables import read_driver_table
 
@@ -242,7 +241,7 @@ def min_abs_in_table(spark, sf):
     SELECT concat('run_', model_name) AS model_name, count(*) AS n, sum(y_pred)::BIGINT AS n_positive
     FROM {PREDICTIONS_SQL} p WHERE model_name IN ('forest', 'rule') GROUP BY 1""")
 def predictions_store(spark, sf):
-    path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    path = own_folder(spark, "predictions")
     scored = predictions(spark, sf)
     named = scored.withColumn("model_name", F.concat_ws("_", F.lit("run"), "model_name"))
     store_predictions(named, path, features=["n_chars"])
@@ -257,7 +256,7 @@ def predictions_store(spark, sf):
            {", ".join(f"round({m}, 6) AS {m}" for m in METRICS)}, round(roc_auc, 6) AS auc
     FROM ({ALL_SQL}) r WHERE model_name IN ('tree', 'linear', 'forest')""")
 def evaluate_against_stored(spark, sf):
-    path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    path = own_folder(spark, "predictions")
     scored = predictions(spark, sf)
     store_predictions(scored.filter(F.col("model_name").isin("linear", "forest", "rule")), path)
     new = scored.filter(F.col("model_name") == "tree").drop("model_name")

@@ -133,13 +133,13 @@ CODED = StandIn("orders", (
 ))
 
 
-def _case_sql(column):
+def case_sql(column):
     cases = " ".join(f"WHEN {code} THEN '{text}'" for code, text in LABELS[column].items())
     return f"CASE {column} {cases} END"
 
 
 @query("labelled_load", sql=f"""
-    SELECT o_orderkey, {_case_sql("status")} AS status, {_case_sql("level")} AS level, price
+    SELECT o_orderkey, {case_sql("status")} AS status, {case_sql("level")} AS level, price
     FROM {CODED.sql} c,
          (SELECT count(*) - count(status) AS a, count(*) - count(level) AS b, count(*) - count(price) AS c
           FROM {CODED.sql} x) n

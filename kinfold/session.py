@@ -20,6 +20,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    # Filters reach the reader of survey files; see sources/dta.py.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -67,6 +69,14 @@ def shared_dir(spark: SparkSession) -> str:
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
+def own_folder(spark: SparkSession, prefix: str) -> str:
+    """A fresh path below the shared folder, removed at the end of ``written_tables`` as the written tables are."""
+    path = f"{shared_dir(spark)}/{prefix}-{uuid.uuid4().hex}"
+    if _written.get() is not None:
+        _written.get().append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -75,16 +85,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     until ``written_tables`` ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    if _written.get() is not None:
-        _written.get().append(path)
+    path = own_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
 @contextmanager
 def written_tables(spark: SparkSession):
-    """Tables that ``cut_lineage`` writes inside are removed at the end, also after an error.
+    """Tables and folders that are written inside (``cut_lineage``, ``own_folder``) are removed at the end, also after an error.
 
     Results that read them have to be written or collected before that.
     """
