@@ -31,11 +31,13 @@ WIDTH = 5
 PERCENT = 80
 BIN_BITS = 22
 ID_BINS = 1 << 20
-# Turns of one pair per document go on while they pay: all remaining pairs are compared once there are at most
-# this many for each list entry, or when less than this share of a turn's pairs are links.
+# Turns of one pair per document go on while they pay: until less than this share of a turn's pairs are links, or few pairs
+# are left for each list entry. What is left is always compared in the same way, so these only choose how often.
 PAIRS_PER_ENTRY = 4
 LEAST_GAIN = 0.05
 MOST_TURNS = 10
+# Parts in which the list of a frequent shingle is counted.
+OFTEN_PARTS = 64
 
 
 def _group_sets(group: Words, width: int):
@@ -98,27 +100,37 @@ def _mark(own: np.ndarray):
 
 
 def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
-    """Size and mark of every set, and the shingles of its short lists."""
+    """Size and mark of every set, the shingles of its short lists, and how many of these no task saw often."""
     for batch in batches:
-        sizes, first, second, parts = [], [], [], []
+        sizes, first, second, parts, cold = [], [], [], [], []
         for own in shingle_sets(batch.column("text"), width):
             n = len(own)
             sizes.append(n)
             a, b = _mark(own)
             first.append(a)
             second.append(b)
+            frequent = 0
             if n:
                 weight = lengths[(own >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
-                if weight.any():
-                    own = own[np.argsort(weight, kind="stable")]
-                own = own[:n - _needed(n, percent) + 1]
+                own, weight = _by_weight(own, weight)
+                keep = n - _needed(n, percent) + 1
+                own, frequent = own[:keep], int(np.count_nonzero(weight[:keep]))
             parts.append(own)
+            cold.append(len(own) - frequent)
         ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
         values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))],
-            ["doc_id", "n", "mark1", "mark2", "short"])
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))), pa.array(cold, pa.int32())],
+            ["doc_id", "n", "mark1", "mark2", "short", "cold"])
+
+
+def _by_weight(own: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in the one order that all sets share: by list length, then by value."""
+    if weight.any():
+        order = np.argsort(weight, kind="stable")
+        return own[order], weight[order]
+    return own, weight
 
 
 def _linked(batches, width: int, percent: int):
@@ -154,51 +166,105 @@ def _least_shared(n: str, other: str, percent: int) -> F.Column:
     return F.expr(f"ceil({percent} * ({n} + {other}) / {100 + percent}) - ceil({percent} * greatest({n}, {other}) / 100) + 1")
 
 
-def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, int, int]:
-    """Entries of lists whose members have several labels, their pairs across labels, and their number.
+def _lists(entries: DataFrame) -> DataFrame:
+    """Entries of lists with several members, written.
 
-    Each entry has the first member of its list: one with the least label, another one in every turn.
+    Lists of shingles that tasks saw often are counted in parts, so that no task gets a whole one; they are kept, and
+    the next step finds out whether there is more than one member.
     """
-    placed = lists.withColumn("label", F.col("doc_id")) if labels is None else join_on(
-        lists, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
-    whole = Window.partitionBy("shingle")
-    first = F.min(F.struct("label", F.xxhash64("doc_id", F.lit(turn)).alias("order"), "doc_id", "n"))
-    mixed = cut_lineage(placed.withColumns({"all": F.count("*").over(whole), "first": first.over(whole)}).withColumn(
-        "own", F.count("*").over(Window.partitionBy("shingle", "label"))).filter("own < all"))
-    pairs, rows = mixed.agg(F.coalesce(F.sum(F.col("all") - F.col("own")) / 2, F.lit(0)), F.count("*")).head()
-    return mixed.drop("own", "all"), pairs, rows
+    dealt = entries.withColumn("salt", F.when(F.col("often"), F.pmod(F.xxhash64("doc_id"), F.lit(OFTEN_PARTS))).otherwise(0))
+    counted = dealt.withColumn("length", F.count("*").over(Window.partitionBy("shingle", "salt")))
+    return cut_lineage(counted.filter("often OR length > 1").drop("length", "salt", "often"))
 
 
-def _enough(candidates: DataFrame, percent: int, part: int = 1) -> DataFrame:
+def _turn_mark(turn: int) -> int:
+    """A number of 62 bits; ids in the order of their exclusive or with it begin with another one each turn."""
+    return xxhash.xxh3_64_intdigest(b"turn %d" % turn) >> 2
+
+
+def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, int, int]:
+    """Entries of lists whose members have several labels, their pairs across labels, and their number.
+
+    Each entry has the first member of its list (one with the least label, another one in every turn) and the list's
+    most frequent label. All of it is added up by list and label first and joined back, so a long list is split.
+    """
+    entries = lists.select("doc_id", "n", "pos", "shingle")
+    placed = entries.withColumn("label", F.col("doc_id")) if labels is None else join_on(
+        entries, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
+    order = F.col("doc_id").bitwiseXOR(F.lit(_turn_mark(turn)))
+    by_label = placed.groupBy("shingle", "label").agg(
+        F.count("*").alias("own"), F.min(order).alias("order"), F.min_by("n", order).alias("n"))
+    by_list = by_label.groupBy("shingle").agg(
+        F.count("*").alias("labels"), F.sum("own").alias("all"), F.sum(F.col("own").cast("double") * F.col("own")).alias("squares"),
+        F.min("label").alias("first_label"), F.min_by("order", "label").alias("order"), F.min_by("n", "label").alias("first_n"),
+        F.max_by("label", "own").alias("main")).filter("labels > 1")
+    by_list = by_list.withColumn("first_id", F.col("order").bitwiseXOR(F.lit(_turn_mark(turn)))).drop("order", "labels")
+    by_list = cut_lineage(by_list)
+    pairs, rows = by_list.agg(F.coalesce(F.sum((F.col("all").cast("double") * F.col("all") - F.col("squares")) / 2), F.lit(0)),
+                              F.coalesce(F.sum("all"), F.lit(0))).head()
+    return cut_lineage(join_on(placed, by_list.drop("all", "squares"), "shingle", "inner")), pairs, rows
+
+
+def _enough(candidates: DataFrame, percent: int, part: int) -> DataFrame:
     """Of (doc_id, n, other_id, other_n) per shared list: pairs that share enough lists, with their number."""
     return candidates.groupBy("doc_id", "other_id").agg(
         F.first("n").alias("n"), F.first("other_n").alias("other_n"), F.count("*").alias("shared")).filter(
         part * F.col("shared") >= _least_shared("n", "other_n", percent))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("doc_id", "other_id").alias("a"), F.greatest("doc_id", "other_id").alias("b"))
-
-
-def _all_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """All pairs across labels that share enough short lists."""
-    other = mixed.select("shingle", F.col("doc_id").alias("other_id"), F.col("n").alias("other_n"),
-                         F.col("label").alias("other_label"))
-    return _ordered(_enough(join_on(mixed, other, "shingle", "inner").filter(
-        f"label <> other_label AND (n < other_n OR n = other_n AND doc_id < other_id) "
-        f"AND 100 * n >= {percent} * other_n"), percent))
-
-
 def _pairs_with_first(mixed: DataFrame, percent: int) -> DataFrame:
     """One pair for each document: with the first member of a list, of those the one it shares most lists with.
 
     Lists begin with different documents, so the count of shared lists is too low; a quarter of what a link needs
     is a fair sign.
     """
-    candidates = mixed.filter("label <> first.label").select(
-        "doc_id", "n", F.col("first.doc_id").alias("other_id"), F.col("first.n").alias("other_n")).filter(
+    candidates = mixed.filter("label <> first_label").select(
+        "doc_id", "n", F.col("first_id").alias("other_id"), F.col("first_n").alias("other_n")).filter(
         f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
-    return _ordered(first_per_key(_enough(candidates, percent, part=4), ["doc_id"], [F.desc("shared"), "other_id"]))
+    best = first_per_key(_enough(candidates, percent, part=4), ["doc_id"], [F.desc("shared"), "other_id"])
+    return best.select(F.least("doc_id", "other_id").alias("a"), F.greatest("doc_id", "other_id").alias("b"))
+
+
+def _reach(percent: int) -> F.Column:
+    """The largest size of a set that can be linked with this one if their first common shingle stands here.
+
+    A pair overlaps in what follows its first common shingle at most, and needs percent * (n + other) / (100 + percent). So for the
+    pair n + other <= (n - pos) (100 + percent) / percent has to hold on both sides.
+    """
+    return F.expr(f"(n - pos) * {100 + percent} div {percent} - n")
+
+
+def _remaining_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """All pairs across labels that may be linked, each found in the list of its first common shingle.
+
+    Frequent shingles stand at the end of every set. A passage that very many sets share, but that is too short to link
+    them, stands so far behind in them that none of its lists holds two entries within each other's reach: entries
+    without a partner are dropped before the join. Members of a list's main label are not compared with one another, so
+    a list costs its other members times its length.
+    """
+    reached = mixed.select("shingle", "doc_id", "n", "pos", "label", _reach(percent).alias("reach"))
+    for _ in range(2):
+        # The first time this drops what has no partner at all, the second time also what had one that is gone.
+        sides = reached.groupBy("shingle", "label").agg(
+            F.count("*").alias("own"), F.min("n").alias("least"), F.max("reach").alias("most"))
+        sides = sides.groupBy("shingle").agg(
+            F.count("*").alias("labels"), F.min("least").alias("least"), F.max("most").alias("most"),
+            F.max_by("label", "own").alias("main")).filter("labels > 1")
+        reached = join_on(reached.select("shingle", "doc_id", "n", "pos", "label", "reach"), sides, "shingle", "inner").filter(
+            "reach >= least AND n <= most")
+    reached = cut_lineage(reached)
+    other = reached.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "pos", "label", "reach")])
+    found = join_on(reached.filter("label <> main"), other, "shingle", "inner").filter(
+        "label <> other_label AND n <= other_reach AND other_n <= reach AND (other_label = main OR doc_id < other_doc_id) "
+        f"AND 100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+    # What two sets have in common: the lists found, and what may follow the last of them on either side.
+    side = lambda own, then: F.when(F.col("doc_id") < F.col("other_doc_id"), F.col(own)).otherwise(F.col(then))
+    pairs = found.groupBy(
+        F.least("doc_id", "other_doc_id").alias("a"), F.greatest("doc_id", "other_doc_id").alias("b"),
+        side("n", "other_n").alias("n_a"), side("other_n", "n").alias("n_b")).agg(
+        F.count("*").alias("shared"), F.max(side("pos", "other_pos")).alias("pos_a"), F.max(side("other_pos", "pos")).alias("pos_b"))
+    return pairs.filter(f"{100 + percent} * (shared + least(n_a - 1 - pos_a, n_b - 1 - pos_b)) >= {percent} * (n_a + n_b)").select(
+        "a", "b").distinct()
 
 
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -225,8 +291,9 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
 
     Equal sets are joined first, by their 128-bit marks; only one document of each is searched. While lists hold many
     pairs of different components, every document is compared with one first member of its lists per turn, and
-    components grow; in the end all pairs of a list that could still join two components are compared. So a
-    group of near copies costs its size, not its square, and no link between components is missed.
+    components grow; in the end all pairs are compared that could still join two components and whose sizes and places in
+    the list let them overlap enough. So a group of near copies costs its size, and so does a passage that
+    many documents share without being linked by it; no link between components is missed.
 
     A null text or one without words has an empty set and is alone. A row without doc_id is alone, with a null
     component. Repeated rows each get their row. An empty table gives no rows.
@@ -236,22 +303,27 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     filled = "n > 0 AND doc_id IS NOT NULL"
     # Sizes and marks are kept for the result. Short lists are large and pass on to the shuffle without being kept.
     sets = cut_lineage(texts.mapInArrow(lambda batches: _marks(batches, width), "doc_id bigint, n bigint, mark1 bigint, mark2 bigint"))
-    short = texts.mapInArrow(lambda batches: _short_lists(batches, lengths.value, width, percent),
-                             "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, short array<bigint>").filter(filled)
-    entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select("doc_id", "n", F.explode("short").alias("shingle"))
-    whole = Window.partitionBy("shingle")
-    lists = cut_lineage(entries.withColumn("length", F.count("*").over(whole)).filter("length > 1").drop("length"))
-    links, labels, gain = None, None, 1.0
+    short = texts.mapInArrow(
+        lambda batches: _short_lists(batches, lengths.value, width, percent),
+        "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, short array<bigint>, cold int").filter(filled)
+    entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select(
+        "doc_id", "n", "cold", F.posexplode("short").alias("pos", "shingle")).select(
+        "doc_id", "n", "pos", "shingle", (F.col("pos") >= F.col("cold")).alias("often"))
+    mixed, links, labels = _lists(entries), None, None
     for turn in range(MOST_TURNS + 1):
-        mixed, pairs, rows = _mixed(lists, labels, turn)
-        every = pairs <= PAIRS_PER_ENTRY * rows or gain < LEAST_GAIN or turn == MOST_TURNS
-        found = cut_lineage(_all_pairs(mixed, percent) if every else _pairs_with_first(mixed, percent))
+        # A list that has come to one label keeps it, so the next turn starts from what is mixed now.
+        mixed, pairs, rows = _mixed(mixed, labels, turn)
+        if pairs <= PAIRS_PER_ENTRY * rows or turn == MOST_TURNS:
+            break
+        found = cut_lineage(_pairs_with_first(mixed, percent))
         new = _verify(found, texts, width, percent)
         links = new if links is None else links.unionByName(new)
-        if every:
-            break
         labels = _relabelled(labels, new)
-        gain = new.count() / max(1, found.count())
+        if new.count() < LEAST_GAIN * found.count():
+            mixed, _, _ = _mixed(mixed, labels, turn)
+            break
+    rest = _verify(cut_lineage(_remaining_pairs(mixed, percent)), texts, width, percent)
+    links = rest if links is None else links.unionByName(rest)
     groups = components(links)
     classes = first_per_key(sets.filter(filled), ["mark1", "mark2"], ["doc_id"])
     named = join_on(classes.select(F.col("doc_id").alias("class_id"), "mark1", "mark2"),
