@@ -9,7 +9,7 @@ from kinfold.catalog.base import (MEMBERS_SQL, PRICES_SQL, SCALES_SQL, StandIn,
 from kinfold.functions import household as hf
 from kinfold.functions.dates import interview_or_first_visit, month_key, month_number, month_text, visit_date
 from kinfold.functions.recode import equals_any
-from kinfold.operators.groups import attach, only_where
+from kinfold.operators.groups import attach, oldest, only_where
 from kinfold.operators.merge import merge, parent_lookup
 from kinfold.plans.composition import household_composition
 from kinfold.plans.family import (FEMALE, MALE, beneficiary_list, head_value, most_severe, oldest_adult, oldest_flag)
@@ -211,6 +211,25 @@ def oldest_member_flag(spark, sf):
         F.col("om.job").alias("oldest_male_job"))
 
 
+# Ids spread over all longs, and ages with fractions that whole years would hide.
+SPREAD = StandIn("orders", (
+    "o_custkey AS hh", "(o_orderkey * 2654435761 % 1000003 - 500000) * 18446744073709 + o_orderkey AS member",
+    "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 18 + floor(o_totalprice) % 3 + (o_orderkey % 4) / 4e0 END AS age",
+    "o_orderkey AS pid",
+))
+
+
+@query("oldest_of_any_id", sql=f"""
+    SELECT hh, min(member) FILTER (place = 1) AS oldest, min(age) FILTER (place = 1) AS oldest_age,
+           min(pid) FILTER (place = 1) AS oldest_pid
+    FROM (SELECT *, row_number() OVER (PARTITION BY hh ORDER BY age DESC NULLS LAST, member) AS place
+          FROM {SPREAD.sql} s WHERE age IS NOT NULL) o GROUP BY hh""")
+def oldest_of_any_id(spark, sf):
+    people = SPREAD.frame(spark, sf).filter("age IS NOT NULL")
+    return people.groupBy("hh").agg(oldest("age", "member", F.lit(True), "age", "pid").alias("o")).select(
+        "hh", F.col("o.id").alias("oldest"), F.col("o.age").alias("oldest_age"), F.col("o.pid").alias("oldest_pid"))
+
+
 FATHERS_SQL = f"""
     SELECT hh, id_code AS father_id, job AS job_father, educ AS educ_father
     FROM {MEMBERS_SQL} m QUALIFY row_number() OVER (PARTITION BY hh, id_code ORDER BY pid) = 1"""

@@ -188,6 +188,19 @@ def weighted_quintiles(spark, sf):
     return grouped.select("c_custkey", "asset_q").withColumns(recodes.quintile_dummies("asset_q", "asset_q"))
 
 
+# Weights that add up to about 1e-10 over all rows, as weights scaled to a sum do; whole multiples of a power of two.
+@query("weighted_quintiles_tiny", sql=f"""
+    WITH h AS (SELECT c_custkey, floor(c_acctbal / 100) AS score,
+                      CAST(1 + c_custkey % 5 AS DECIMAL(18, 1)) AS weight FROM customer),
+    {QUINTILE_CTES}
+    SELECT c_custkey, CAST(1 + (SELECT count(*) FROM cuts WHERE cut < score) AS INT) AS asset_q FROM h""")
+def weighted_quintiles_tiny(spark, sf):
+    households = read_driver_table(spark, sf, "customer").select(
+        "c_custkey", F.floor(F.col("c_acctbal") / 100).alias("score"),
+        ((F.col("c_custkey") % 5 + 1) * F.lit(2.0**-60)).alias("weight"))
+    return weighted_quantile_group(households, "score", "weight", "asset_q").select("c_custkey", "asset_q")
+
+
 def component_ctes(cells: str) -> str:
     """Common table expressions ending in ``component(id, score, n)`` from ``cells(id, i, x, w)`` of complete rows.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +34,7 @@ def drop_minor_nulls(df: DataFrame, limit: int | None = 100, columns: Sequence[s
         (F.count_if(F.col(c).isNull()) < F.least(F.lit(limit).cast("double"), F.count("*") * F.lit(share).cast("double")))
         .alias(f"c{i}") for i, c in enumerate(names)])
     held = df.withColumn("__few", df.agg(few.alias("few")).scalar())
-    for i, c in enumerate(names):
-        held = held.filter(F.col(c).isNotNull() | ~F.col(f"__few.c{i}"))
-    return held.drop("__few")
+    return held.filter(reduce(and_, [F.col(c).isNotNull() | ~F.col(f"__few.c{i}") for i, c in enumerate(names)])).drop("__few")
 
 
 def drop_all_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

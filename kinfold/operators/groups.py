@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.functions.missing import col
+from kinfold.operators.exact import age_order
 from kinfold.operators.merge import join_on
 
 
@@ -48,10 +49,12 @@ def category_totals(category: str, names: Sequence[str], amount, prefix: str = "
 def oldest(age, member_id, eligible: Column, *attributes: str) -> Column:
     """Aggregate: struct of id and attributes of the oldest eligible member, lowest id on a tie.
 
-    Age (below 4,096) and id (up to 2^50) make one number to order by, and every attribute is taken on its
-    own, so the buffers of numeric attributes are numbers and Spark adds up in hash tables.
+    Ids may be any long, ages any double; a negative age or NaN is no age and makes a member not eligible. Age and id
+    become one decimal to order by, and every attribute is taken on its own, so the buffers of numeric attributes are
+    numbers and Spark adds up in hash tables.
     """
-    order = F.when(eligible, (F.lit(4095) - F.floor(col(age))) * F.lit(1 << 50) + col(member_id))
+    known = col(age).cast("double")
+    order = F.when(eligible & (known >= 0) & (known < float("inf")), age_order(col(age), col(member_id)))
     return F.struct(F.min_by(col(member_id), order).alias("id"), *[F.min_by(F.col(a), order).alias(a) for a in attributes])
 
 

@@ -6,28 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.cumulative import count_below, running_totals
+from kinfold.operators.exact import DIGITS, digits, sign_of_sum, unit_of
 
-# Weights are added up as whole numbers of this fraction, so a sum is the same in any order.
-WEIGHT_UNIT = 10**9
+_UNIT = "__unit"
 
 
 def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, ranges: int | None = None) -> DataFrame:
     """One row with the array ``cuts`` of ``groups - 1`` weighted quantiles.
 
     A cut is the least score whose cumulated weight passes its share of the total,
-    or the mean of that score and the one that meets the share exactly. Both are
-    decided on whole numbers, so the cuts do not depend on how the rows are spread.
-    A NaN score counts as missing.
+    or the mean of that score and the one that meets the share exactly. Both are decided on exact sums, so
+    the cuts do not depend on how the rows are spread, and weights may have any size: what lies below 1e-38 of the
+    largest weight counts to that precision. A NaN score counts as missing, and so does a weight that is not finite.
     """
-    usable = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(weight).isNotNull()
-    units = F.round(F.col(weight).cast("decimal(28,9)") * WEIGHT_UNIT).cast("decimal(28,0)")
-    by_score = df.filter(usable).groupBy(score).agg(F.sum(units).alias("w"))
-    running = running_totals(by_score, [], score, ["w"], ranges=ranges)
+    w = F.col(weight).cast("double")
+    usable = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & w.isNotNull() & ~F.isnan(w) & (F.abs(w) < float("inf"))
+    rows = df.filter(usable).select(score, w.alias("w"))
+    parts = [f"w{i}" for i in range(DIGITS)]
+    held = rows.withColumn(_UNIT, unit_of(rows, "w").scalar())
+    by_score = held.select(score, *[d.alias(n) for d, n in zip(digits(F.col("w"), F.col(_UNIT)), parts)]).groupBy(score).agg(
+        *[F.sum(n).cast("decimal(38,0)").alias(n) for n in parts])
+    running = running_totals(by_score, [], score, parts, ranges=ranges)
 
     def cut(p: int) -> Column:
-        reached, target = F.col("cum_w") * groups, F.col("all_w") * p
-        passed = F.min(F.when(reached > target, F.col(score)))
-        met = F.min(F.when(reached == target, F.col(score)))
+        # Whether what is cumulated lies beyond, at or before the share.
+        beyond = sign_of_sum([F.col(f"cum_{n}") * groups - F.col(f"all_{n}") * p for n in parts])
+        passed = F.min(F.when(beyond > 0, F.col(score)))
+        met = F.min(F.when(beyond == 0, F.col(score)))
         return F.coalesce((met + passed) / F.lit(2.0), passed)
 
     return running.agg(F.array(*[cut(p) for p in range(1, groups)]).alias("cuts"))

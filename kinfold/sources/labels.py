@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from kinfold.operators.filters import drop_minor_nulls
 from kinfold.operators.merge import require_unique
 
+# The largest dictionary that goes to the rows as a map: codes of one column, and bytes of all texts.
+MAP_CODES, MAP_BYTES = 256, 4 << 20
+_TEXTS = "__texts"
+
 
 def dictionary_rows(spark, labels: Mapping[str, Mapping[int, str]]) -> DataFrame:
     """A dictionary table from label texts by column."""
@@ -30,20 +34,46 @@ def caption_of(df: DataFrame, column: str) -> str | None:
     return df.schema[column].metadata.get("label")
 
 
+def _fits_a_map(dictionary: DataFrame) -> bool:
+    """Whether a dictionary is small enough to be handed to every task, and to be looked through for every row."""
+    sizes = dictionary.groupBy("column_name").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    most, size = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).head()
+    return most <= MAP_CODES and size <= MAP_BYTES
+
+
 def codes_to_text(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], drop_unlabelled: bool = True) -> DataFrame:
     """Replace codes by their texts.
 
     A row with a code that has no text is dropped; a missing code stays. A code that is
-    listed twice for a column stops the job. The label tables join without a hint: Spark
-    broadcasts them when their size allows.
+    listed twice for a column stops the job. All columns are replaced in one projection, to which the dictionary comes as a map
+    per column in a scalar subquery. A dictionary beyond ``MAP_CODES`` codes for a column or ``MAP_BYTES`` of text is
+    joined instead, once per column and without a hint. Which of the two it is takes a job over the dictionary.
     """
+    if not columns:
+        return df
+    listed = dictionary.filter(F.col("column_name").isin(*columns) & F.col("code").isNotNull())
+    if not _fits_a_map(listed):
+        return _joined_texts(df, listed, columns, drop_unlabelled)
+    once = require_unique(listed, ["column_name", "code"])
+    # Codes are compared as doubles, as a join would.
+    per_column = once.groupBy("column_name").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("code").cast("double"), "text"))).alias("texts"))
+    maps = per_column.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "texts"))).alias("maps"))
+    held = df.withColumn(_TEXTS, maps.scalar())
+    text = {c: F.try_element_at(F.try_element_at(F.col(_TEXTS), F.lit(c)), F.col(c).cast("double")) for c in columns}
+    if drop_unlabelled:
+        held = held.filter(reduce(and_, [F.col(c).isNull() | text[c].isNotNull() for c in columns]))
+    return held.select(*[text[c].alias(c) if c in text else F.col(c) for c in df.columns])
+
+
+def _joined_texts(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], drop_unlabelled: bool) -> DataFrame:
     keep = []
     for column in columns:
         texts = require_unique(dictionary.filter(F.col("column_name") == column).select(
             F.col("code").alias(f"__c_{column}"), F.col("text").alias(f"__t_{column}")), f"__c_{column}")
         df = df.join(texts, df[column] == texts[f"__c_{column}"], "left")
         keep.append(F.col(column).isNull() | F.col(f"__t_{column}").isNotNull())
-    if keep and drop_unlabelled:
+    if drop_unlabelled:
         df = df.filter(reduce(and_, keep))
     mapped = set(columns)
     names = [c for c in df.columns if not c.startswith(("__c_", "__t_"))]

@@ -103,7 +103,7 @@ def test_principal_component(spark):
     z = (kept[:, :3] - kept[:, :3].mean(0)) / kept[:, :3].std(0, ddof=1)
     vector = np.linalg.eigh(np.corrcoef(z.T))[1][:, -1]
     vector *= np.sign(vector[np.abs(vector).argmax()])
-    loadings = principal_component(df, ["a", "b", "c", "d"], weight="w")[2]
+    loadings = principal_component(df, ["a", "b", "c", "d"], weight="w").loadings
     assert np.allclose(loadings[:3], vector) and abs(loadings[3]) < 1e-9
     out = {r.i: r.asset_index for r in asset_index(df, ["a", "b", "c", "d"], weight="w").collect()}
     assert out[3] is None
@@ -197,3 +197,110 @@ def test_fractional_weights_give_the_same_groups_for_any_ranges(spark):
     for ranges in (2, 8, 16, 200, 1024):
         found = weighted_quantile_group(df, "s", "w", "q", ranges=ranges).groupBy("q").count().orderBy("q").collect()
         assert [r["count"] for r in found] == [4, 4, 4, 4, 4]
+
+
+def exact_groups(score, weight, n=5):
+    """Groups by fractions: no rounding anywhere."""
+    from fractions import Fraction
+
+    totals = {}
+    for s, w in zip(score, weight):
+        totals[s] = totals.get(s, 0) + Fraction(w)
+    whole, cuts = sum(totals.values()), []
+    for p in range(1, n):
+        cum, met = Fraction(0), None
+        for s in sorted(totals):
+            cum += totals[s]
+            if cum * n == whole * p:
+                met = s
+            if cum * n > whole * p:
+                cuts.append(s if met is None else (met + s) / 2)
+                break
+    return [1 + sum(c < s for c in cuts) for s in score]
+
+
+@pytest.mark.parametrize("weights", [[1e-12], [0.1], [1e12], [1e-12, 0.1, 1e12], [5e-324], [1.7e308, 1e290], [0.1, 0.3, 2.0**-60, 3.0],
+                                     [2.0**-139, 1.0], [0.0, 1.0]])
+def test_weights_of_any_size(spark, weights):
+    random = np.random.default_rng(len(weights))
+    score = [float(v) for v in random.integers(0, 40, 300)]
+    weight = [weights[i] for i in random.integers(0, len(weights), 300)]
+    rows = [(i, s, w) for i, (s, w) in enumerate(zip(score, weight))] + [(300, 1.0, float("nan")), (301, 1.0, float("inf")), (302, 1.0, None)]
+    df = spark.createDataFrame(rows, "i int, s double, w double").repartition(5)
+    expected = exact_groups(score, weight)
+    for ranges in (2, 1024):
+        out = weighted_quantile_group(df, "s", "w", "q", ranges=ranges).orderBy("i").collect()
+        assert [r.q for r in out][:300] == expected
+
+
+def test_exact_parts_of_doubles(spark):
+    from fractions import Fraction
+
+    from kinfold.operators.exact import BASE, binary_exponent, digits, order_bits, sign_of_sum
+
+    random = np.random.default_rng(8)
+    values = [abs(float(v)) for v in random.normal(size=300) * 10.0 ** random.integers(-300, 300, 300)]
+    values += [5e-324, 2.0**-1022, 2.0**-1023, 1.7976931348623157e308, 1.0, 0.1, 2.0**52, 2.0**53 - 1, float(np.nextafter(8.0, 0)), 8.0, float(np.nextafter(8.0, 9))]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", binary_exponent(F.col("v")).alias("e"), order_bits(F.col("v")).alias("o")).collect()
+    for v, e, o in got:
+        assert 2.0**e <= v and (e == 1023 or v < 2.0 ** (e + 1))
+        assert o == int(np.float64(v).view(np.int64))
+    near = [(v,) for v in (0.1, -0.1, 1.9, 1e-20, -3e-30, 2.0**-100, 0.0)]
+    for r in spark.createDataFrame(near, "v double").select("v", F.array(*digits(F.col("v"), F.lit(1.0))).alias("d")).collect():
+        assert sum(Fraction(int(d), BASE ** (i + 1)) for i, d in enumerate(r.d)) * 2 == Fraction(r.v)
+    parts = [[int(x) for x in random.integers(-3, 4, 3)] for _ in range(200)] + [[1, -BASE, 0], [1, -BASE, -1], [0, 1, -BASE], [-1, BASE, 0], [-1, BASE - 1, BASE]]
+    frame_ = spark.createDataFrame([tuple(p) for p in parts], "a bigint, b bigint, c bigint")
+    sign = lambda x: (x > 0) - (x < 0)
+    for r in frame_.select("*", sign_of_sum([F.col("a"), F.col("b"), F.col("c")]).alias("s")).collect():
+        assert r.s == sign(r.a * BASE * BASE + r.b * BASE + r.c)
+
+
+def test_oldest_of_any_id_and_age(spark):
+    from kinfold.operators.groups import oldest
+
+    big = 1 << 62
+    cases = {
+        "big ids": [(1 << 52, 40.0, 1), (1 << 53, 41.0, 2)], "fractions": [(2, 70.2, 1), (1, 70.9, 2)],
+        "tie": [(5, 30.0, 1), (-7, 30.0, 2), (big, 30.0, 3)], "extremes": [(-(1 << 63), 30.0, 1), ((1 << 63) - 1, 30.0, 2)],
+        "next": [(1, 30.0, 1), (2, float(np.nextafter(30.0, 31)), 2)], "zero": [(3, 0.0, 1), (4, 5e-324, 2)],
+        "no age": [(1, -1.0, 1), (2, float("nan"), 2), (3, None, 3), (4, float("inf"), 4)], "huge": [(1, 1.7e308, 1), (2, 90.0, 2)]}
+    df = spark.createDataFrame([(g, *r) for g, rs in cases.items() for r in rs], "g string, id bigint, age double, x int").repartition(4)
+    found = df.groupBy("g").agg(oldest("age", "id", F.lit(True), "x").alias("o"))
+    assert {r.g: r.o.x for r in found.collect()} == {
+        "big ids": 2, "fractions": 2, "tie": 2, "extremes": 1, "next": 2, "zero": 2, "no age": None, "huge": 1}
+    grouped = df.groupBy("x").agg(oldest("age", "id", F.lit(True), "x").alias("o"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_component_of_columns_far_from_zero(spark):
+    """Means of 1e9 around spreads of 1e-3, which the doubles themselves hold to some 1e-4, and a column without variation."""
+    from fractions import Fraction
+
+    random = np.random.default_rng(11)
+    base = random.normal(size=3000)
+    data = np.column_stack([1e9 + 1e-3 * (base + random.normal(size=3000)), -1e9 + 1e-3 * (base - random.normal(size=3000)),
+                            5 + base, np.full(3000, 1e9 + 0.1)])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(data)], "i int, a double, b double, c double, d double").repartition(7)
+    # Exact means, then exact differences: what is left is rounded once.
+    centred = np.array([[float(Fraction(x) - m) for x in data[:, j]] for j in range(4) for m in [sum(map(Fraction, data[:, j])) / 3000]]).T
+    z = centred[:, :3] / np.sqrt((centred[:, :3] ** 2).sum(0) / 2999)
+    vector = np.linalg.eigh(z.T @ z / 2999)[1][:, -1]
+    vector *= np.sign(vector[np.abs(vector).argmax()])
+    found = principal_component(df, ["a", "b", "c", "d"])
+    assert np.allclose(found.loadings[:3], vector, rtol=1e-10, atol=1e-10) and found.deviations[3] == 0
+    out = {r.i: r.asset_index for r in asset_index(df, ["a", "b", "c", "d"]).collect()}
+    assert np.abs(np.array([out[i] for i in range(3000)]) - z @ vector).max() < 1e-8
+
+
+def test_index_is_fitted_in_one_pass(spark):
+    from kinfold.operators import wealth
+
+    df = spark.range(0, 1000, 1, 6).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 3).alias("w"))
+    counter = spark.sparkContext.accumulator(0)
+    seen = df.mapInPandas(lambda frames: (counter.add(len(f)) or f for f in frames), df.schema)
+    moments = wealth.column_moments(seen, ["a", "b"], "w")
+    assert counter.value == 1000 and moments.weight == sum(i % 3 for i in range(1000))
+    nothing = wealth.column_moments(df.filter("a > 2"), ["a", "b"])
+    assert nothing is None and asset_index(df.filter("a > 2"), ["a", "b"]).count() == 0

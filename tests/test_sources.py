@@ -209,3 +209,39 @@ def test_lost_writers_are_settled(spark, tmp_path):
     write_table(spark.range(3), f"{path}-replaced-3")
     settle_table(spark, path)
     assert os.listdir(tmp_path) == ["table"] and read_table(spark, path).count() == 10
+
+
+LISTED = [("a", 1, "one"), ("a", 2, "two"), ("b", -3, "minus"), ("b", 7, None), ("c", 1, "unused"), ("a", None, "no code")]
+
+
+@pytest.mark.parametrize("as_map", [True, False])
+def test_codes_to_texts(spark, monkeypatch, as_map):
+    from kinfold.sources import labels
+
+    monkeypatch.setattr(labels, "MAP_CODES", 256 if as_map else 0)
+    dictionary = frame(spark, "column_name string, code int, text string", *LISTED)
+    df = frame(spark, "i int, a bigint, b double, z string", (1, 1, -3.0, "x"), (2, 2, None, "x"), (3, None, None, None),
+               (4, 9, -3.0, "x"), (5, 1, 7.0, "x"), (6, 1, 1.5, "x"))
+    found = codes_to_text(df, dictionary, ["b", "a"])
+    assert found.columns == df.columns
+    assert rows(found, "i") == [(1, "one", "minus", "x"), (2, "two", None, "x"), (3, None, None, None)]
+    every = codes_to_text(df, dictionary, ["a"], drop_unlabelled=False)
+    assert rows(every.select("i", "a"), "i") == [(1, "one"), (2, "two"), (3, None), (4, None), (5, "one"), (6, "one")]
+    assert rows(codes_to_text(df, dictionary.limit(0), ["a"]), "i") == [(3, None, None, None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("Join" in plan) is not as_map
+    twice = dictionary.unionByName(dictionary.filter("code = 2"))
+    with pytest.raises(Exception, match="not unique"):
+        codes_to_text(df, twice, ["a"]).collect()
+
+
+def test_labelled_load_reads_its_table_once_besides_the_null_counts(spark, tmp_path):
+    from kinfold.sources.labels import load_labelled
+
+    path = f"{tmp_path}/coded"
+    write_table(spark.range(1000).selectExpr("id", "id % 3 AS a", "id % 5 AS b"), path)
+    dictionary = frame(spark, "column_name string, code int, text string", *[(c, i, f"t{i}") for c in "ab" for i in range(4)])
+    loaded = load_labelled(read_table(spark, path), dictionary, ["a", "b"], index=["id"])
+    assert loaded.count() == 800
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
