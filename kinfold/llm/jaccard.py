@@ -36,6 +36,8 @@ ID_BINS = 1 << 20
 PAIRS_PER_ENTRY = 4
 LEAST_GAIN = 0.05
 MOST_TURNS = 10
+# Bits that stand for a set's short lists.
+SET_BITS = 512
 # Parts in which the list of a frequent shingle is counted.
 OFTEN_PARTS = 64
 
@@ -85,14 +87,33 @@ def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     return lengths
 
 
-def _marks(batches, width: int):
-    """Size and 128-bit mark of every set; an empty one has no mark."""
+def _marks(batches, lengths: np.ndarray, width: int, percent: int):
+    """Size, 128-bit mark and the bits of the short lists of every set; an empty one has neither mark nor bits."""
     for batch in batches:
         sets = list(shingle_sets(batch.column("text"), width))
         marks = [_mark(own) for own in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([a for a, _ in marks], pa.int64()),
-             pa.array([b for _, b in marks], pa.int64())], ["doc_id", "n", "mark1", "mark2"])
+             pa.array([b for _, b in marks], pa.int64()),
+             pa.array([_bits(_short(own, lengths, percent)[0]) if len(own) else None for own in sets], pa.list_(pa.int64()))],
+            ["doc_id", "n", "mark1", "mark2", "bits"])
+
+
+def _bits(short: np.ndarray) -> np.ndarray:
+    """``SET_BITS`` bits as longs, those set that some shingle falls on."""
+    seen = np.zeros(SET_BITS, bool)
+    seen[(short & np.uint64(SET_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(seen).view(np.int64)
+
+
+def _short(own: np.ndarray, lengths: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles of a set's short lists in the one order that all sets share (by list length, then by value), and how many tasks saw often."""
+    weight = lengths[(own >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
+    keep = len(own) - _needed(len(own), percent) + 1
+    if not weight.any():
+        return own[:keep], 0
+    order = np.argsort(weight, kind="stable")[:keep]
+    return own[order], int(np.count_nonzero(weight[order]))
 
 
 def _mark(own: np.ndarray):
@@ -102,37 +123,18 @@ def _mark(own: np.ndarray):
 def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
     """Size and mark of every set, the shingles of its short lists, and how many of these no task saw often."""
     for batch in batches:
-        sizes, first, second, parts, cold = [], [], [], [], []
-        for own in shingle_sets(batch.column("text"), width):
-            n = len(own)
-            sizes.append(n)
-            a, b = _mark(own)
-            first.append(a)
-            second.append(b)
-            frequent = 0
-            if n:
-                weight = lengths[(own >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
-                own, weight = _by_weight(own, weight)
-                keep = n - _needed(n, percent) + 1
-                own, frequent = own[:keep], int(np.count_nonzero(weight[:keep]))
-            parts.append(own)
-            cold.append(len(own) - frequent)
-        ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-        values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        sets = list(shingle_sets(batch.column("text"), width))
+        marks = [_mark(own) for own in sets]
+        short = [_short(own, lengths, percent) if len(own) else (own, 0) for own in sets]
+        ends = np.cumsum([0, *(len(own) for own, _ in short)]).astype(np.int32)
+        values = np.concatenate([own for own, _ in short]) if short else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))), pa.array(cold, pa.int32())],
+            [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([a for a, _ in marks], pa.int64()),
+             pa.array([b for _, b in marks], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))),
+             pa.array([len(own) - often for own, often in short], pa.int32())],
             ["doc_id", "n", "mark1", "mark2", "short", "cold"])
 
 
-def _by_weight(own: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in the one order that all sets share: by list length, then by value."""
-    if weight.any():
-        order = np.argsort(weight, kind="stable")
-        return own[order], weight[order]
-    return own, weight
-
-
 def _linked(batches, width: int, percent: int):
     """Of pairs with both texts, those whose sets overlap enough; the shorter set is probed in the longer one."""
     for batch in batches:
@@ -166,15 +168,27 @@ def _least_shared(n: str, other: str, percent: int) -> F.Column:
     return F.expr(f"ceil({percent} * ({n} + {other}) / {100 + percent}) - ceil({percent} * greatest({n}, {other}) / 100) + 1")
 
 
-def _lists(entries: DataFrame) -> DataFrame:
-    """Entries of lists with several members, written.
+def _reach(percent: int) -> F.Column:
+    """The largest size of a set that can be linked with this one if their first common shingle stands here.
+
+    A pair overlaps in what follows its first common shingle at most, and needs percent * (n + other) / (100 + percent). So for the
+    pair n + other <= (n - pos) (100 + percent) / percent has to hold on both sides.
+    """
+    return F.expr(f"(n - pos) * {100 + percent} div {percent} - n")
+
+
+def _lists(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries that may have a partner in their list, written.
 
-    Lists of shingles that tasks saw often are counted in parts, so that no task gets a whole one; they are kept, and
-    the next step finds out whether there is more than one member.
+    One needs another member within its reach that reaches as far as itself. Lists of shingles that tasks saw often are
+    looked at in parts, so that no task gets a whole one; they are kept, and the next step looks at them as a whole.
     """
-    dealt = entries.withColumn("salt", F.when(F.col("often"), F.pmod(F.xxhash64("doc_id"), F.lit(OFTEN_PARTS))).otherwise(0))
-    counted = dealt.withColumn("length", F.count("*").over(Window.partitionBy("shingle", "salt")))
-    return cut_lineage(counted.filter("often OR length > 1").drop("length", "salt", "often"))
+    dealt = entries.withColumns({
+        "reach": _reach(percent), "salt": F.when(F.col("often"), F.pmod(F.xxhash64("doc_id"), F.lit(OFTEN_PARTS))).otherwise(0)})
+    whole = Window.partitionBy("shingle", "salt")
+    seen = dealt.withColumns({"length": F.count("*").over(whole), "least": F.min("n").over(whole), "most": F.max("reach").over(whole)})
+    return cut_lineage(seen.filter("often OR length > 1 AND reach >= least AND n <= most").select(
+        "doc_id", "n", "pos", "reach", "shingle"))
 
 
 def _turn_mark(turn: int) -> int:
@@ -186,73 +200,54 @@ def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataF
     """Entries of lists whose members have several labels, their pairs across labels, and their number.
 
     Each entry has the first member of its list (one with the least label, another one in every turn) and the list's
-    most frequent label. All of it is added up by list and label first and joined back, so a long list is split.
+    most frequent label, and entries without a partner in reach are dropped. All of it is added up by list and label first
+    and joined back, so a long list is split.
     """
-    entries = lists.select("doc_id", "n", "pos", "shingle")
-    placed = entries.withColumn("label", F.col("doc_id")) if labels is None else join_on(
-        entries, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
+    entries = lists.select("doc_id", "n", "pos", "reach", "shingle")
     order = F.col("doc_id").bitwiseXOR(F.lit(_turn_mark(turn)))
-    by_label = placed.groupBy("shingle", "label").agg(
-        F.count("*").alias("own"), F.min(order).alias("order"), F.min_by("n", order).alias("n"))
-    by_list = by_label.groupBy("shingle").agg(
-        F.count("*").alias("labels"), F.sum("own").alias("all"), F.sum(F.col("own").cast("double") * F.col("own")).alias("squares"),
-        F.min("label").alias("first_label"), F.min_by("order", "label").alias("order"), F.min_by("n", "label").alias("first_n"),
-        F.max_by("label", "own").alias("main")).filter("labels > 1")
-    by_list = by_list.withColumn("first_id", F.col("order").bitwiseXOR(F.lit(_turn_mark(turn)))).drop("order", "labels")
-    by_list = cut_lineage(by_list)
-    pairs, rows = by_list.agg(F.coalesce(F.sum((F.col("all").cast("double") * F.col("all") - F.col("squares")) / 2), F.lit(0)),
-                              F.coalesce(F.sum("all"), F.lit(0))).head()
-    return cut_lineage(join_on(placed, by_list.drop("all", "squares"), "shingle", "inner")), pairs, rows
-
-
-def _enough(candidates: DataFrame, percent: int, part: int) -> DataFrame:
-    """Of (doc_id, n, other_id, other_n) per shared list: pairs that share enough lists, with their number."""
-    return candidates.groupBy("doc_id", "other_id").agg(
-        F.first("n").alias("n"), F.first("other_n").alias("other_n"), F.count("*").alias("shared")).filter(
-        part * F.col("shared") >= _least_shared("n", "other_n", percent))
-
-
-def _pairs_with_first(mixed: DataFrame, percent: int) -> DataFrame:
-    """One pair for each document: with the first member of a list, of those the one it shares most lists with.
-
-    Lists begin with different documents, so the count of shared lists is too low; a quarter of what a link needs
-    is a fair sign.
-    """
-    candidates = mixed.filter("label <> first_label").select(
-        "doc_id", "n", F.col("first_id").alias("other_id"), F.col("first_n").alias("other_n")).filter(
-        f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
-    best = first_per_key(_enough(candidates, percent, part=4), ["doc_id"], [F.desc("shared"), "other_id"])
-    return best.select(F.least("doc_id", "other_id").alias("a"), F.greatest("doc_id", "other_id").alias("b"))
-
-
-def _reach(percent: int) -> F.Column:
-    """The largest size of a set that can be linked with this one if their first common shingle stands here.
-
-    A pair overlaps in what follows its first common shingle at most, and needs percent * (n + other) / (100 + percent). So for the
-    pair n + other <= (n - pos) (100 + percent) / percent has to hold on both sides.
-    """
-    return F.expr(f"(n - pos) * {100 + percent} div {percent} - n")
+    bounds = [F.min("n").alias("least"), F.max("reach").alias("most")]
+    if labels is None:
+        # Every document has a label of its own.
+        placed = entries.withColumn("label", F.col("doc_id"))
+        by_list = placed.groupBy("shingle").agg(
+            F.count("*").alias("labels"), F.min(order).alias("order"), F.min_by("n", order).alias("first_n"),
+            F.min("doc_id").alias("main"), *bounds).withColumns({
+                "first_label": F.col("order").bitwiseXOR(F.lit(_turn_mark(turn))),
+                "pairs": F.col("labels").cast("double") * (F.col("labels") - 1) / 2, "all": F.col("labels")})
+    else:
+        placed = join_on(entries, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
+        by_label = placed.groupBy("shingle", "label").agg(
+            F.count("*").alias("own"), F.min(order).alias("order"), F.min_by("n", order).alias("n"), F.min("n").alias("least"),
+            F.max("reach").alias("most"))
+        by_list = by_label.groupBy("shingle").agg(
+            F.count("*").alias("labels"), F.sum("own").alias("all"), F.sum(F.col("own").cast("double") * F.col("own")).alias("squares"),
+            F.min("label").alias("first_label"), F.min_by("order", "label").alias("order"), F.min_by("n", "label").alias("first_n"),
+            F.max_by("label", "own").alias("main"), F.min("least").alias("least"), F.max("most").alias("most")).withColumn(
+            "pairs", (F.col("all").cast("double") * F.col("all") - F.col("squares")) / 2)
+    by_list = cut_lineage(by_list.filter("labels > 1").withColumn(
+        "first_id", F.col("order").bitwiseXOR(F.lit(_turn_mark(turn)))).select(
+        "shingle", "all", "pairs", "first_label", "first_id", "first_n", "main", "least", "most"))
+    pairs, rows = by_list.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).head()
+    mixed = join_on(placed, by_list.drop("all", "pairs"), "shingle", "inner").filter("reach >= least AND n <= most").drop("least", "most")
+    return cut_lineage(mixed), pairs, rows
+
+
+def _pairs_with_first(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """One pair for each document: with the first member of a list, of those it may be linked with the one it shares most lists with."""
+    candidates = mixed.filter(f"label <> first_label AND 100 * least(n, first_n) >= {percent} * greatest(n, first_n)").groupBy(
+        F.col("doc_id").alias("a"), F.col("first_id").alias("b")).agg(F.count("*").alias("shared"))
+    best = first_per_key(_bits_allow(candidates, sets, percent), ["a"], [F.desc("shared"), "b"])
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _remaining_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     """All pairs across labels that may be linked, each found in the list of its first common shingle.
 
     Frequent shingles stand at the end of every set. A passage that very many sets share, but that is too short to link
-    them, stands so far behind in them that none of its lists holds two entries within each other's reach: entries
-    without a partner are dropped before the join. Members of a list's main label are not compared with one another, so
-    a list costs its other members times its length.
+    them, stands so far behind in them that none of its lists holds two entries within each other's reach. Members of a
+    list's main label are not compared with one another, so a list costs its other members times its length.
     """
-    reached = mixed.select("shingle", "doc_id", "n", "pos", "label", _reach(percent).alias("reach"))
-    for _ in range(2):
-        # The first time this drops what has no partner at all, the second time also what had one that is gone.
-        sides = reached.groupBy("shingle", "label").agg(
-            F.count("*").alias("own"), F.min("n").alias("least"), F.max("reach").alias("most"))
-        sides = sides.groupBy("shingle").agg(
-            F.count("*").alias("labels"), F.min("least").alias("least"), F.max("most").alias("most"),
-            F.max_by("label", "own").alias("main")).filter("labels > 1")
-        reached = join_on(reached.select("shingle", "doc_id", "n", "pos", "label", "reach"), sides, "shingle", "inner").filter(
-            "reach >= least AND n <= most")
-    reached = cut_lineage(reached)
+    reached = mixed.select("shingle", "doc_id", "n", "pos", "label", "reach", "main")
     other = reached.select("shingle", *[F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "pos", "label", "reach")])
     found = join_on(reached.filter("label <> main"), other, "shingle", "inner").filter(
         "label <> other_label AND n <= other_reach AND other_n <= reach AND (other_label = main OR doc_id < other_doc_id) "
@@ -267,6 +262,20 @@ def _remaining_pairs(mixed: DataFrame, percent: int) -> DataFrame:
         "a", "b").distinct()
 
 
+def _bits_allow(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs whose bits don't rule out that they share as many short lists as a link needs.
+
+    Every bit of one side that the other lacks is a shingle it lacks. No linked pair is lost.
+    """
+    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    both = join_on(join_on(pairs, side("a"), "a", "inner"), side("b"), "b", "inner")
+    lacking = lambda own, other: F.aggregate(
+        F.zip_with(own, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda n, more: n + more)
+    short = lambda c: F.expr(f"n_{c} - ceil({percent} * n_{c} / 100) + 1")
+    shared = F.least(short("a") - lacking("bits_a", "bits_b"), short("b") - lacking("bits_b", "bits_a"))
+    return both.filter(shared >= _least_shared("n_a", "n_b", percent)).select(*pairs.columns).distinct()
+
+
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels (doc_id, label) after each linked document has taken the least label among its new neighbours.
 
@@ -302,27 +311,30 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     lengths = docs.sparkSession.sparkContext.broadcast(list_lengths(texts, width))
     filled = "n > 0 AND doc_id IS NOT NULL"
     # Sizes and marks are kept for the result. Short lists are large and pass on to the shuffle without being kept.
-    sets = cut_lineage(texts.mapInArrow(lambda batches: _marks(batches, width), "doc_id bigint, n bigint, mark1 bigint, mark2 bigint"))
+    sets = cut_lineage(texts.mapInArrow(lambda batches: _marks(batches, lengths.value, width, percent),
+                                        "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, bits array<bigint>"))
+    filled_sets = sets.filter(filled)
     short = texts.mapInArrow(
         lambda batches: _short_lists(batches, lengths.value, width, percent),
         "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, short array<bigint>, cold int").filter(filled)
     entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select(
         "doc_id", "n", "cold", F.posexplode("short").alias("pos", "shingle")).select(
         "doc_id", "n", "pos", "shingle", (F.col("pos") >= F.col("cold")).alias("often"))
-    mixed, links, labels = _lists(entries), None, None
+    mixed, links, labels = _lists(entries, percent), None, None
     for turn in range(MOST_TURNS + 1):
         # A list that has come to one label keeps it, so the next turn starts from what is mixed now.
         mixed, pairs, rows = _mixed(mixed, labels, turn)
         if pairs <= PAIRS_PER_ENTRY * rows or turn == MOST_TURNS:
             break
-        found = cut_lineage(_pairs_with_first(mixed, percent))
+        found = cut_lineage(_pairs_with_first(mixed, filled_sets, percent))
         new = _verify(found, texts, width, percent)
         links = new if links is None else links.unionByName(new)
         labels = _relabelled(labels, new)
         if new.count() < LEAST_GAIN * found.count():
             mixed, _, _ = _mixed(mixed, labels, turn)
             break
-    rest = _verify(cut_lineage(_remaining_pairs(mixed, percent)), texts, width, percent)
+    likely = _bits_allow(_remaining_pairs(mixed, percent), filled_sets, percent)
+    rest = _verify(cut_lineage(likely), texts, width, percent)
     links = rest if links is None else links.unionByName(rest)
     groups = components(links)
     classes = first_per_key(sets.filter(filled), ["mark1", "mark2"], ["doc_id"])
