@@ -38,6 +38,7 @@ LEAST_GAIN = 0.05
 MOST_TURNS = 10
 # Bits that stand for a set's short lists.
 SET_BITS = 512
+_HASH = "__text_hash"
 # Parts in which the list of a frequent shingle is counted.
 OFTEN_PARTS = 64
 
@@ -93,10 +94,10 @@ def _marks(batches, lengths: np.ndarray, width: int, percent: int):
         sets = list(shingle_sets(batch.column("text"), width))
         marks = [_mark(own) for own in sets]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([a for a, _ in marks], pa.int64()),
-             pa.array([b for _, b in marks], pa.int64()),
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(own) for own in sets], pa.int64()),
+             pa.array([a for a, _ in marks], pa.int64()), pa.array([b for _, b in marks], pa.int64()),
              pa.array([_bits(_short(own, lengths, percent)[0]) if len(own) else None for own in sets], pa.list_(pa.int64()))],
-            ["doc_id", "n", "mark1", "mark2", "bits"])
+            ["doc_id", "text_hash", "n", "mark1", "mark2", "bits"])
 
 
 def _bits(short: np.ndarray) -> np.ndarray:
@@ -292,11 +293,11 @@ def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id and class_id.
+    """One row per document: doc_id, n_shingles, component_id, class_id, text_hash and set_mark.
 
     Documents link when 100 * overlap >= percent * union of their sets of ``width``-word shingles. component_id is
-    the least doc_id reachable by links, class_id the least doc_id with the same set. Needs doc_id (integer) and
-    text; other columns are ignored.
+    the least doc_id reachable by links, class_id the least doc_id with the same set. text_hash (xxhash64 of the text) and
+    set_mark tell rows of one doc_id apart. Needs doc_id (integer) and text; other columns are ignored.
 
     Equal sets are joined first, by their 128-bit marks; only one document of each is searched. While lists hold many
     pairs of different components, every document is compared with one first member of its lists per turn, and
@@ -311,8 +312,9 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     lengths = docs.sparkSession.sparkContext.broadcast(list_lengths(texts, width))
     filled = "n > 0 AND doc_id IS NOT NULL"
     # Sizes and marks are kept for the result. Short lists are large and pass on to the shuffle without being kept.
-    sets = cut_lineage(texts.mapInArrow(lambda batches: _marks(batches, lengths.value, width, percent),
-                                        "doc_id bigint, n bigint, mark1 bigint, mark2 bigint, bits array<bigint>"))
+    sets = cut_lineage(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lambda batches: _marks(batches, lengths.value, width, percent),
+        "doc_id bigint, text_hash bigint, n bigint, mark1 bigint, mark2 bigint, bits array<bigint>"))
     filled_sets = sets.filter(filled)
     short = texts.mapInArrow(
         lambda batches: _short_lists(batches, lengths.value, width, percent),
@@ -342,7 +344,24 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
                     groups.select(F.col("node").alias("class_id"), "component"), "class_id")
     joined = join_on(sets.filter(filled), named, ["mark1", "mark2"])
     alone = sets.filter("n = 0 OR doc_id IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"),
+        "text_hash", F.col("mark1").alias("set_mark"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"),
                          F.coalesce("component", "class_id", "doc_id").alias("component_id"),
-                         F.coalesce("class_id", "doc_id").alias("class_id")).unionByName(alone)
+                         F.coalesce("class_id", "doc_id").alias("class_id"), "text_hash",
+                         F.col("mark1").alias("set_mark")).unionByName(alone)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each group of linked documents the one with the least doc_id, once.
+
+    Documents without words are alone, and rows without doc_id stay. Where one doc_id stands for different texts, each text
+    is judged by its own links: only rows with an equal set, or whose set is linked with another document's, go.
+    """
+    found = similar_documents(docs).filter("component_id = doc_id")
+    # The least text of each set that a component's first document has; sets of one id that aren't linked stay both.
+    firsts = first_per_key(found.select("doc_id", "set_mark", "text_hash"), ["doc_id", "set_mark"], ["text_hash"]).select("doc_id", "text_hash")
+    hashed = docs.withColumn(_HASH, F.xxhash64("text"))
+    kept = join_on(hashed, firsts.withColumnRenamed("text_hash", _HASH), ["doc_id", _HASH], "left_semi")
+    once = first_per_key(kept, ["doc_id", _HASH], [F.xxhash64(*docs.columns), *docs.columns])
+    return once.drop(_HASH).unionByName(docs.filter("doc_id IS NULL"))

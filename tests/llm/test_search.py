@@ -115,3 +115,69 @@ def test_similar_query(spark):
     docs = list(map(tuple, spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()))
     found = QUERIES["op5_ngram_jaccard_join"](spark, SMALL)
     assert tuples(found, "doc_id", "n_shingles", "component_id") == sorted(brute.similar(docs), key=str)
+
+
+def near_passage(n, passage, own, sizes=1):
+    """Documents that share a passage, each with words of its own before and after it."""
+    shared = " ".join(f"p{i}" for i in range(passage))
+    tail = lambda i: " ".join(f"d{i}w{k}" for k in range(own // 2 + i % sizes))
+    return [(i, f"{' '.join(f'h{i}v{k}' for k in range(own // 2))} {shared} {tail(i)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("sizes", [1, 25])
+def test_passage_below_the_bound_grows_with_its_holders(spark, monkeypatch, sizes):
+    """A passage of 85 shingles in sets of 99 and more links nobody; what is compared at most doubles with twice the documents."""
+    from kinfold.llm import jaccard
+
+    compared = []
+    remaining = jaccard._remaining_pairs
+    monkeypatch.setattr(jaccard, "_remaining_pairs", lambda *a: (found := remaining(*a), compared.append((found, a[0])))[0])
+    rows = []
+    for n in (200, 400):
+        docs = near_passage(n, 89, 15, sizes)
+        frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+        assert all(r[2] == r[0] for r in tuples(similar_documents(frame), "doc_id", "n_shingles", "component_id"))
+        found, mixed = compared.pop()
+        rows.append((found.count(), mixed.count()))
+    assert all(b <= 2 * a + 10 for a, b in zip(*rows))
+
+
+def test_passage_beyond_the_bound_links_all(spark):
+    docs = near_passage(150, 140, 8)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r[2] for r in tuples(similar_documents(frame), "doc_id", "n_shingles", "component_id")} == {0}
+
+
+def test_random_groups_against_brute_force(spark):
+    """Copies with edits about the bound, in sizes that overlap, next to passages that many share."""
+    rng = np.random.default_rng(6)
+    docs = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(int(rng.integers(30, 120)))]
+        for _ in range(25):
+            words = [w if rng.random() > 0.025 * (g % 4) else f"e{rng.integers(1 << 30)}" for w in base]
+            docs.append((len(docs), " ".join(words[: len(words) - int(rng.integers(0, 12))])))
+    common = [f"c{i}" for i in range(40)]
+    docs += [(len(docs) + i, " ".join([*common[: int(rng.integers(20, 41))], *(f"u{i}x{k}" for k in range(int(rng.integers(2, 30))))])) for i in range(120)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    for most_turns in (0, 3):
+        from kinfold.llm import jaccard
+
+        kept = jaccard.MOST_TURNS, jaccard.PAIRS_PER_ENTRY
+        jaccard.MOST_TURNS, jaccard.PAIRS_PER_ENTRY = most_turns, 0
+        try:
+            assert tuples(similar_documents(frame), "doc_id", "n_shingles", "component_id") == sorted(brute.similar(docs), key=str)
+        finally:
+            jaccard.MOST_TURNS, jaccard.PAIRS_PER_ENTRY = kept
+
+
+def test_one_of_each_keeps_clean_texts_of_repeated_ids(spark):
+    from kinfold.llm.jaccard import one_of_each
+
+    a, b, c = ("a clean text of its own with some words", "b text that is a copy of another one here", "third text with other words in it again")
+    rows = [(3, b, "x"), (5, a, "x"), (5, b, "x"), (6, a.upper(), "x"), (7, c, "y"), (7, c, "y"), (None, b, "x"), (None, b, "x"), (8, None, "x"),
+            (8, None, "x"), (9, "", "x")]
+    for n in range(4):
+        frame = spark.createDataFrame(rows[n:] + rows[:n], "doc_id bigint, text string, source string").repartition(3)
+        assert tuples(one_of_each(frame)) == sorted(
+            [(3, b, "x"), (5, a, "x"), (7, c, "y"), (None, b, "x"), (None, b, "x"), (8, None, "x"), (9, "", "x")], key=str)
