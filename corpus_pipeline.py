@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import bpe_tree, decontaminate, disclosure, fertility, jaccard
 from kinfold.llm.shared import batches_of_bytes, cut_lineage, documents, table
-from kinfold.operators.dedup import first_per_key
-from kinfold.operators.merge import join_on
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least doc_id, once; documents without id or words stay."""
-    firsts = jaccard.similar_documents(docs).filter("component_id = doc_id").select("doc_id").distinct()
-    kept = join_on(docs, firsts, "doc_id", "left_semi")
-    return first_per_key(kept, ["doc_id"], [F.xxhash64("text"), "text"]).unionByName(docs.filter("doc_id IS NULL"))
+    return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
