@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from kinfold.catalog.base import PRICES_SQL, query, rounded_doubles
 from kinfold.catalog.scores import QUINTILE_CTES, component_ctes
+from kinfold.operators.merge import merge_report
 from kinfold.plans.child_sample import (
     ASSET_CODES, FATHER_FACTS, FINAL, MOTHER_FACTS, OLDEST_FACTS, OLDEST_FEMALE_FACTS, child_sample, member_table,
 )
@@ -432,3 +433,49 @@ def member_table_labour(spark, sf):
     members = member_table(survey_tables(spark, sf), with_assets=False)
     return members.select("PID", "y3_hhid", "id_code", *HOURS, "hh_c09_mother", "hh_b24_mother",
                           *[f"com_shocks{c}" for c in SHOCK_CODES])
+
+
+def _count_sql(name, base, lookup, keys, unique_base=True, checked=False, checked_base=False):
+    """Match counts of one merge: two inputs and their join, counted one by one."""
+    on = " AND ".join(f"b.{k} IS NOT DISTINCT FROM l.{k}" if k.endswith("b") else f"b.{k} = l.{k}" for k in keys)
+    matched = f"(SELECT count(*) FROM ({base}) b JOIN ({lookup}) l ON {on})"
+    base_rows, lookup_rows = f"(SELECT count(*) FROM ({base}) x)", f"(SELECT count(*) FROM ({lookup}) x)"
+    only = f"{lookup_rows} - {matched}" if unique_base else "CAST(NULL AS BIGINT)"
+    zero = lambda known: "CAST(0 AS BIGINT)" if known else "CAST(NULL AS BIGINT)"
+    return f"""SELECT '{name}' AS merge, {base_rows} AS base_rows, {lookup_rows} AS lookup_rows, {matched} AS matched,
+                      {base_rows} - {matched} AS base_only, {only} AS lookup_only, {zero(checked_base)} AS base_repeats,
+                      {zero(checked)} AS lookup_repeats"""
+
+
+_HOUSEHOLDS = "SELECT DISTINCT y3_hhid FROM roster"
+_HOUSEHOLD_PARTS = {
+    **{n: f"SELECT y3_hhid FROM {n}" for n in ("housing", "food_days", "food_security", "enterprise", "wellbeing")},
+    "food_spending": "SELECT DISTINCT y3_hhid FROM food_items",
+    "nonfood_spending": " UNION ".join(f"SELECT y3_hhid FROM {n}" for n, _, _ in _RECALL),
+    "other_income": "SELECT DISTINCT y3_hhid FROM other_income", "assistance": "SELECT DISTINCT y3_hhid FROM safety_nets",
+    "school_feeding": "SELECT DISTINCT y3_hhid FROM safety_nets WHERE hh_r0a = 105 AND "
+                      "coalesce(hh_r04a, hh_r04b, hh_r04c, hh_r04d, hh_r04e) IS NOT NULL",
+    "shocks": "SELECT DISTINCT y3_hhid FROM shocks WHERE hh_u02 = 1",
+}
+_PARENT = "SELECT DISTINCT y3_hhid, id_code AS {0} FROM both_waves"
+MERGE_COUNTS = [
+    *[(n, "SELECT PID FROM roster", f"SELECT PID FROM {n}", ["PID"], {"checked": True})
+      for n in ("education", "health", "labour", "follow_up")],
+    ("household_id", _HOUSEHOLDS, "SELECT y3_hhid FROM household_id", ["y3_hhid"], {"checked": True}),
+    *[(n, _HOUSEHOLDS, lookup, ["y3_hhid"], {}) for n, lookup in _HOUSEHOLD_PARTS.items()],
+    ("community", "SELECT ea_id FROM hh", "SELECT n_nationkey AS ea_id FROM nation", ["ea_id"], {"unique_base": False}),
+    *[(f"parent_{who}", f"SELECT y3_hhid, {key} FROM both_waves", _PARENT.format(key), ["y3_hhid", key], {"unique_base": False})
+      for who, key in (("father", "hh_b16b"), ("mother", "hh_b19b"))],
+    ("plot_hours", "SELECT y3_hhid, id_code FROM both_waves", "SELECT y3_hhid, id_code FROM hours", ["y3_hhid", "id_code"],
+     {"checked": True, "checked_base": True}),
+    ("households", "SELECT y3_hhid FROM both_waves", _HOUSEHOLDS, ["y3_hhid"], {"unique_base": False}),
+]
+
+
+@query("merge_report", sql=f"WITH {CTES}, {HOURS_CTES} " + " UNION ALL ".join(
+    _count_sql(*fixed, **rules) for *fixed, rules in MERGE_COUNTS))
+def merge_counts(spark, sf):
+    """Match counts of every merge of the survey job, from the job's own run."""
+    with merge_report() as report:
+        member_table(survey_tables(spark, sf), with_assets=False, with_shocks=False).write.format("noop").mode("overwrite").save()
+    return report.frame(spark)

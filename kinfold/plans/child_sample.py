@@ -126,10 +126,10 @@ def people_table(tables: Mapping[str, DataFrame], validate: bool = True) -> Data
     """
     people = require_unique(tables["roster"], PID) if validate else tables["roster"]
     for name in ("education", "health", "labour"):
-        people = merge(people, tables[name], PID, validate=validate, split_hot=False)
+        people = merge(people, tables[name], PID, validate=validate, split_hot=False, one_to_one="known", name=name)
     later = tables["follow_up"]
     later = with_suffix(later.select(*[c for c in FOLLOW_UP if c in later.columns]), "_19", except_for=[PID, "y4_hhid"])
-    people = merge(people, later, PID, indicator=WAVES, validate=validate, split_hot=False)
+    people = merge(people, later, PID, indicator=WAVES, validate=validate, split_hot=False, one_to_one="known", name="follow_up")
     return people.withColumns({
         "gender": F.when(F.col("hh_b03") == 1, MALE).when(F.col("hh_b03") == 2, FEMALE),
         "mother_presence": flag(F.col("hh_b19a") == 1),
@@ -156,7 +156,7 @@ def _household_base(tables: Mapping[str, DataFrame], people: DataFrame, validate
         people, HH, "age", hh_head_gender=head_value("hh_b04", "gender"), oldest_female=female, oldest_male=male,
         hh_head_job=value_where(both & (F.col("hh_b04") == HEAD), "hh_e06_8a"), n_both_waves=F.count_if(both),
         **{c: F.max(c) for c in own})
-    return merge(counted, tables["household_id"], HH, validate=validate, split_hot=False)
+    return merge(counted, tables["household_id"], HH, validate=validate, split_hot=False, one_to_one="known", name="household_id")
 
 
 def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame, validate: bool = True) -> DataFrame:
@@ -174,8 +174,8 @@ def _asset_table(tables: Mapping[str, DataFrame], base: DataFrame, validate: boo
     sized = base.select(HH, F.col("n_both_waves").cast("double").alias("n"),
                         (F.col("n_both_waves") * F.col("panelweight_2016")).alias("w"))
     # Fit, cuts and result all read this table.
-    unique = {"validate": False, "split_hot": False}
-    wide = cut_lineage(merge(merge(values, owned, HH, **unique), sized, HH, **unique))
+    unique = {"validate": False, "split_hot": False, "one_to_one": "known"}
+    wide = cut_lineage(merge(merge(values, owned, HH, **unique, name="assets_owned"), sized, HH, **unique, name="asset_sizes"))
     scored = asset_index(wide.filter("n > 0"), columns, "assetindex", weight="n")
     return weighted_quantile_group(scored, "assetindex", "w", "asset_q").drop("n", "w")
 
@@ -208,23 +208,24 @@ def household_table(tables: Mapping[str, DataFrame], people: DataFrame, *, with_
     # Answered once per household; the other parts are aggregates.
     once = {name: require_unique(tables[name], HH) if validate else tables[name]
             for name in ("housing", "food_days", "food_security", "enterprise", "wellbeing")}
-    parts = [
-        once["housing"], food, once["food_days"], once["food_security"], recall, once["enterprise"],
-        other_income(tables["other_income"], HH, ["hh_p03a", "hh_p03b", "hh_p03c"], "hh_p02"),
-        assistance(nets, HH, "hh_r02a", "hh_r02b"),
-        beneficiary_list(nets.filter(F.col("hh_r0a") == SCHOOL_FEEDING), HH, "hh_r04", LIST_PLACES, "food_feed_hhline"),
-        once["wellbeing"],
-        most_severe(tables["shocks"], HH, "hh_u0a", "hh_u02", ["hh_u0a"], "hh_u0a_most_severe"),
-    ]
+    parts = {
+        "housing": once["housing"], "food_spending": food, "food_days": once["food_days"], "food_security": once["food_security"],
+        "nonfood_spending": recall, "enterprise": once["enterprise"],
+        "other_income": other_income(tables["other_income"], HH, ["hh_p03a", "hh_p03b", "hh_p03c"], "hh_p02"),
+        "assistance": assistance(nets, HH, "hh_r02a", "hh_r02b"),
+        "school_feeding": beneficiary_list(nets.filter(F.col("hh_r0a") == SCHOOL_FEEDING), HH, "hh_r04", LIST_PLACES, "food_feed_hhline"),
+        "wellbeing": once["wellbeing"],
+        "shocks": most_severe(tables["shocks"], HH, "hh_u0a", "hh_u02", ["hh_u0a"], "hh_u0a_most_severe"),
+    }
     if with_assets:
-        parts.append(_asset_table(tables, base, validate))
+        parts["assets"] = _asset_table(tables, base, validate)
     out = base
-    for part in parts:
-        out = merge(out, _only(part, HH, columns), HH, validate=False, split_hot=False)
+    for name, part in parts.items():
+        out = merge(out, _only(part, HH, columns), HH, validate=False, split_hot=False, one_to_one="known", name=name)
     communities = community_table(tables["community_basic"], tables["community_services"], tables["community_economy"],
                                   tables["community_changes"] if with_shocks else None, compat)
     # Once written its size is known, so Spark itself decides whether it may be broadcast.
-    out = merge(out, cut_lineage(_only(communities, COMMUNITY, columns)), COMMUNITY, validate=False)
+    out = merge(out, cut_lineage(_only(communities, COMMUNITY, columns)), COMMUNITY, validate=False, name="community")
     return out.withColumns({
         "food_consumption_score": hf.food_score(
             staples=hf.staples("hh_g08a", "hh_g08b"), pulses="hh_g08c", vegetables="hh_g08d", meat_fish="hh_g08e",
@@ -279,11 +280,12 @@ def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, w
     for parent, attributes, suffix in facts:
         # Fathers and mothers are looked up among the members themselves.
         known = [c for c in attributes if c in members.columns]
-        members = parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID])
+        members = parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID], name=f"parent{suffix}")
     if with_hours:
-        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER],
-                        validate=False)
-    return _member_values(merge(members, households, HH, validate=False))
+        # Both sides have one row per member, so no key is hot, and check and join share one exchange.
+        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER], validate=validate,
+                        one_to_one=True, split_hot=False, name="plot_hours")
+    return _member_values(merge(members, households, HH, validate=False, name="households"))
 
 
 def model_rows(members: DataFrame, columns: Sequence[str] = FINAL) -> DataFrame:

@@ -174,3 +174,60 @@ def test_repeated_dictionary_code_fails(spark):
     labels = dictionary_rows(spark, {"c": {1: "one"}})
     with pytest.raises(Exception, match="key is not unique"):
         codes_to_text(frame(spark, "c int", (1,)), labels.union(labels), ["c"]).collect()
+
+
+def run(df):
+    df.write.format("noop").mode("overwrite").save()
+
+
+def test_merge_report(spark):
+    from kinfold.operators.merge import COUNTS, merge_report
+
+    base = frame(spark, "k int, a string", (1, "x"), (1, "y"), (2, "z"), (None, "n"))
+    lookup = frame(spark, "k int, b string", (1, "p"), (3, "q"), (None, "m"))
+    with merge_report() as report:
+        run(merge(base, lookup, "k", name="left"))
+        run(merge(base, lookup, "k", keep="all", name="all"))
+        run(merge(base, lookup, "k", keep="matched", name="matched"))
+        run(merge(base.filter("a <> 'y'"), lookup, "k", one_to_one=True, name="single"))
+        run(merge(base, lookup, "k"))  # without a name
+        late = merge(base, lookup, "k", name="late")
+    counts = {name: tuple(own.values()) for name, own in report.counts().items()}
+    assert list(report.counts()["left"]) == list(COUNTS)
+    assert counts == {
+        "left": (4, 3, 2, 2, None, None, 0), "all": (4, 3, 2, 2, 2, None, 0), "matched": (4, 3, 2, 2, None, None, 0),
+        "single": (3, 3, 1, 2, 2, 0, 0), "late": (None,) * 7}
+    run(late)
+    assert tuple(report.counts()["late"].values()) == counts["left"]
+    assert rows(report.frame(spark).select("merge", "matched")) == [("all", 2), ("late", 2), ("left", 2), ("matched", 2), ("single", 1)]
+
+
+def test_merge_report_counts_repeats(spark):
+    from kinfold.operators.merge import merge_report
+
+    base = frame(spark, "k int, a string", (1, "x"), (1, "y"), (2, "z"))
+    lookup = frame(spark, "k int, b string", (1, "p"), (1, "q"), (1, "r"))
+    with merge_report() as report:
+        out = merge(base, lookup, "k", validate="count", one_to_one=True, name="m")
+        assert out.count() == 7
+    own = report.counts()["m"]
+    assert (own["base_rows"], own["lookup_rows"], own["base_repeats"], own["lookup_repeats"]) == (3, 3, 1, 2)
+
+
+def test_merge_report_costs_no_exchange(spark):
+    from kinfold.catalog.survey import survey_tables
+    from kinfold.operators.merge import merge_report
+    from kinfold.plans.child_sample import people_table
+
+    tables = survey_tables(spark, "/root/testdata/sf0.001")
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    plain = exchanges(people_table(tables))
+    with merge_report():
+        assert exchanges(people_table(tables)) == plain
+
+
+def test_repeated_member_stops_the_plot_merge(spark):
+    people = frame(spark, "h int, m int", (1, 1), (1, 1))
+    hours = frame(spark, "h int, m int, x double", (1, 1, 2.0))
+    with pytest.raises(Exception, match="key is not unique"):
+        run(merge(people, hours, ["h", "m"], one_to_one=True, split_hot=False))
