@@ -5,6 +5,9 @@ labels. A missing weight counts as 1, a NaN score as missing, and rows with anot
 label are left out of everything. A model without a name is a model like the others. A
 model may hold any share of the rows: every aggregate is by model with partial sums, and
 curves go through range-wise totals.
+
+All of it can be computed from ``collapse(predictions)`` as well: one row per model, labels and distinct score with the
+sum of weights and the number of records, which can be added up again with others of its kind.
 """
 
 from __future__ import annotations
@@ -45,6 +48,25 @@ def usable(predictions: DataFrame) -> DataFrame:
         "y_prob", F.when(~F.isnan(score.cast("double")), score))
 
 
+RECORDS = "n_records"
+STATE = [MODEL, "y_true", "y_pred", "y_prob"]
+
+
+def _records(predictions: DataFrame) -> Column:
+    """Records that a row stands for."""
+    return F.col(RECORDS) if RECORDS in predictions.columns else F.lit(1)
+
+
+def collapse(predictions: DataFrame) -> DataFrame:
+    """A mergeable state of any predictions: weight and records by model, labels and distinct score.
+
+    States of parts of the records, or of several models, are united and collapsed again; every metric and curve is the same
+    from a state as from the records.
+    """
+    rows = usable(predictions)
+    return rows.groupBy(*STATE).agg(F.sum(_weight()).alias("weight"), F.sum(_records(predictions)).cast("bigint").alias(RECORDS))
+
+
 def _cell(name: str) -> Column:
     truth, guess = _CELLS[name]
     return (F.col("y_true") == truth) & (F.col("y_pred") == guess)
@@ -70,7 +92,7 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
     p = clip_probability(F.col("y_prob"))
     loss = -F.ln(F.when(F.col("y_true") == 1, p).otherwise(1 - p))
     scored = F.col("y_prob").isNotNull()
-    counts = [F.count_if(_cell(c)).cast("double").alias(f"n_{c}") for c in _CELLS]
+    counts = [F.sum(F.when(_cell(c), _records(predictions)).otherwise(F.lit(0))).cast("double").alias(f"n_{c}") for c in _CELLS]
     sums = usable(predictions).groupBy(MODEL).agg(
         *_cell_sums(), *counts,
         F.sum(F.when(scored, loss * _weight())).alias("loss"),

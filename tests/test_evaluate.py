@@ -161,3 +161,81 @@ def test_unnamed_models_odd_scores_and_odd_labels(spark, scored):
             assert found[0][metric] == pytest.approx(expected["a"][metric])
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert evaluate.roc_points(unnamed).count() == evaluate.roc_points(predictions).filter("model_name = 'a'").count()
+
+
+def test_states_give_the_same_metrics(spark, scored):
+    predictions, _ = scored
+    parts = [predictions.filter(f"id % 3 = {k}") for k in range(3)]
+    state = evaluate.collapse(parts[0])
+    for part in parts[1:]:
+        state = evaluate.collapse(state.unionByName(evaluate.collapse(part)))
+    for plain, merged in zip(*[[r.asDict() for r in evaluate.all_metrics(p).orderBy("model_name").collect()] for p in (predictions, state)]):
+        assert plain.keys() == merged.keys()
+        for key, value in plain.items():
+            assert merged[key] == (value if value is None or isinstance(value, str) else pytest.approx(value, rel=1e-12))
+    points = lambda p: [r for r in evaluate.roc_points(p).orderBy("model_name", "threshold").collect()]
+    assert [r.threshold for r in points(predictions)] == [r.threshold for r in points(state)]
+
+
+def test_comparison_reads_states_only(spark, scored, tmp_path):
+    predictions, expected = scored
+    path = str(tmp_path / "models")
+    for k in range(10):
+        store_predictions(predictions.filter("model_name = 'b'").withColumn("model_name", F.lit(f"m{k}")), path)
+    new = predictions.filter("model_name = 'a'").drop("model_name")
+    result = evaluate_model(new, name="a", compare_with=[f"m{k}" for k in range(10)], path=path, store=True)
+    for df in (result.metrics, result.roc, result.pr, result.confusion):
+        assert df.inputFiles() and all("/models_states/" in f for f in df.inputFiles())
+    found = {r.model_name: r.roc_auc for r in result.metrics.collect()}
+    assert found == pytest.approx({"a": expected["a"]["roc_auc"], **{f"m{k}": expected["b"]["roc_auc"] for k in range(10)}})
+
+
+def test_states_of_other_storings_do_not_count(spark, scored, tmp_path):
+    from kinfold.sources import predictions as store
+
+    given, expected = scored
+    path = str(tmp_path / "models")
+    store_predictions(given.filter("model_name IN ('a', 'b')"), path)
+    # As if the job had been lost between predictions and states.
+    late = given.filter("model_name = 'b'").withColumns({"model_name": F.lit("a"), "features": F.lit(None).cast("array<string>"),
+                                                         "stored_at": F.current_timestamp()})
+    store._replace_models(late, path)
+    for m, wanted in (("a", "b"), ("b", "b")):
+        found = evaluate.all_metrics(store.load_states(spark, path, [m])).head()
+        assert found.roc_auc == pytest.approx(expected[wanted]["roc_auc"])
+
+
+@pytest.mark.parametrize("error", [0.05, 0.005])
+def test_bounded_curves(spark, error):
+    from kinfold.operators.curves import bounded_curve, curve_bins, curve_bounds, curve_points, merged_bins
+
+    predictions = spark.range(0, 20000, 1, 6).select(
+        F.when(F.col("id") % 2 == 0, "skewed").when(F.col("id") % 7 > 0, "few").alias("model_name"), "id",
+        (F.pmod(F.xxhash64("id"), F.lit(10)) < F.lit(3)).cast("int").alias("y_true"), F.lit(1).alias("y_pred"),
+        F.when(F.col("id") % 2 == 0, F.pow(F.rand(3), F.lit(8.0)) + F.pmod(F.xxhash64("id"), F.lit(10)) / 50.0)
+        .otherwise(F.round(F.rand(5), 2)).alias("y_prob"),
+        F.when(F.col("id") % 100 == 0, 50.0).when(F.col("id") % 3 == 0, None).otherwise(F.rand(7)).alias("weight")).cache()
+    exact = {r.model_name: r for r in evaluate.curve_areas(predictions).collect()}
+    curve = bounded_curve(predictions, error)
+    models = {r.model_name: r for r in curve.collect()}
+    assert set(models) == {"skewed", "few", None}
+    for name, r in models.items():
+        assert r.roc_error <= error and r.aupr_error <= error
+        assert abs(r.roc_auc - exact[name].roc_auc) <= r.roc_error + 1e-12
+        assert abs(r.aupr - exact[name].aupr) <= r.aupr_error + 1e-12
+    # Scores of two digits: every point is there, and exact.
+    assert models["few"].roc_error == 0 and models["few"].roc_auc == pytest.approx(exact["few"].roc_auc)
+    # Every point of the short curve is one of the long one.
+    long = {(r.model_name, r.threshold): (r.fpr, r.tpr) for r in evaluate.roc_points(predictions).collect()}
+    for r in curve.filter("threshold IS NOT NULL").collect():
+        assert long[r.model_name, r.threshold] == pytest.approx((r.fpr, r.tpr))
+    if error > 0.01:
+        assert curve.count() < len(long) / 2
+    # Curves of parts of the records, put together.
+    bounds = curve_bounds(predictions, 50)
+    halves = [curve_bins(predictions.filter(f"id % 4 IN ({k}, {k + 1})"), bounds) for k in (0, 2)]
+    whole = {r.model_name: r for r in curve_points(curve_bins(predictions, bounds)).collect()}
+    merged = {r.model_name: r for r in curve_points(merged_bins(halves[0].unionByName(halves[1]))).collect()}
+    for name in whole:
+        assert (merged[name].roc_auc, merged[name].roc_error) == pytest.approx((whole[name].roc_auc, whole[name].roc_error))
+    assert bounded_curve(predictions.limit(0)).count() == 0
