@@ -6,8 +6,9 @@ short ones that remain must hold every partner at least once. Only short lists a
 runs (Spark's sort-merge shuffle is the heap merge); long lists are never built, they are probed by
 binary search in the partner's sorted set when a candidate is checked in full.
 
-A pair that shares c short lists has at most c + max(T(a), T(b)) - 1 shingles in common, so pairs below the overlap
-that their two sizes ask for are dropped before their texts are compared.
+A pair's candidates stand in the list of its first common shingle, near enough to the beginning of both sets that what
+follows can be the overlap that their two sizes ask for. Bit vectors of the sets drop most pairs that don't reach it before
+their texts are compared.
 
 List lengths come from counts over all documents in 2^22 bins, of which each task reports those well
 above its mean. They only order the lists, so their bins never change a result.
@@ -31,13 +32,13 @@ WIDTH = 5
 PERCENT = 80
 BIN_BITS = 22
 ID_BINS = 1 << 20
-# Turns of one pair per document go on while they pay: until less than this share of a turn's pairs are links, or few pairs
-# are left for each list entry. What is left is always compared in the same way, so these only choose how often.
-PAIRS_PER_ENTRY = 4
+# Turns of one pair per document: at least one, and more while a list entry stands in that many pairs of different components and
+# a turn's pairs are links at this rate. What is left is always compared in the same way, so these only choose how often.
+PAIRS_PER_ENTRY = 32
 LEAST_GAIN = 0.05
 MOST_TURNS = 10
-# Bits that stand for a set's short lists.
-SET_BITS = 512
+# Bits kept for each shingle of a set.
+BITS_EACH = 4
 _HASH = "__text_hash"
 # Parts in which the list of a frequent shingle is counted.
 OFTEN_PARTS = 64
@@ -88,23 +89,24 @@ def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     return lengths
 
 
-def _marks(batches, lengths: np.ndarray, width: int, percent: int):
-    """Size, 128-bit mark and the bits of the short lists of every set; an empty one has neither mark nor bits."""
+def _marks(batches, width: int):
+    """Size, 128-bit mark and bits of every set; an empty one has neither mark nor bits."""
     for batch in batches:
         sets = list(shingle_sets(batch.column("text"), width))
         marks = [_mark(own) for own in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array([len(own) for own in sets], pa.int64()),
              pa.array([a for a, _ in marks], pa.int64()), pa.array([b for _, b in marks], pa.int64()),
-             pa.array([_bits(_short(own, lengths, percent)[0]) if len(own) else None for own in sets], pa.list_(pa.int64()))],
+             pa.array([_bits(own) if len(own) else None for own in sets], pa.binary())],
             ["doc_id", "text_hash", "n", "mark1", "mark2", "bits"])
 
 
-def _bits(short: np.ndarray) -> np.ndarray:
-    """``SET_BITS`` bits as longs, those set that some shingle falls on."""
-    seen = np.zeros(SET_BITS, bool)
-    seen[(short & np.uint64(SET_BITS - 1)).astype(np.int64)] = True
-    return np.packbits(seen).view(np.int64)
+def _bits(own: np.ndarray) -> bytes:
+    """Bits that some shingle of a set falls on: a power of two, at least ``BITS_EACH`` for each shingle."""
+    size = 1 << max(6, (BITS_EACH * len(own) - 1).bit_length())
+    seen = np.zeros(size, bool)
+    seen[(own & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(seen).tobytes()
 
 
 def _short(own: np.ndarray, lengths: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -164,11 +166,6 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
         lambda batches: _linked(batches, width, percent), "a bigint, b bigint"))
 
 
-def _least_shared(n: str, other: str, percent: int) -> F.Column:
-    """Short lists that a linked pair of these sizes shares at least: its overlap without the longer of the long lists."""
-    return F.expr(f"ceil({percent} * ({n} + {other}) / {100 + percent}) - ceil({percent} * greatest({n}, {other}) / 100) + 1")
-
-
 def _reach(percent: int) -> F.Column:
     """The largest size of a set that can be linked with this one if their first common shingle stands here.
 
@@ -263,18 +260,32 @@ def _remaining_pairs(mixed: DataFrame, percent: int) -> DataFrame:
         "a", "b").distinct()
 
 
+def _possible(batches, columns: list[str], percent: int):
+    """Rows of pairs whose bits leave room for the overlap that a link needs."""
+    for batch in batches:
+        kept = []
+        for n, m, x, y in zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b")]):
+            a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            # The longer one is folded: a shingle's place among fewer bits is its place among more of them, less the highest.
+            while len(a) > len(b):
+                a = a[:len(a) // 2] | a[len(a) // 2:]
+            while len(b) > len(a):
+                b = b[:len(b) // 2] | b[len(b) // 2:]
+            most = min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+            kept.append((100 + percent) * most >= percent * (n + m))
+        yield batch.select(columns).filter(pa.array(kept, pa.bool_()))
+
+
 def _bits_allow(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs whose bits don't rule out that they share as many short lists as a link needs.
+    """Those of the pairs (a, b, ...) whose bits don't rule out that they overlap as much as a link needs.
 
-    Every bit of one side that the other lacks is a shingle it lacks. No linked pair is lost.
+    Every bit of one side that the other lacks is a shingle it lacks, so no linked pair is lost. Bits are a twelfth of a
+    text, which spares most of the texts that would be compared in vain.
     """
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     both = join_on(join_on(pairs, side("a"), "a", "inner"), side("b"), "b", "inner")
-    lacking = lambda own, other: F.aggregate(
-        F.zip_with(own, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda n, more: n + more)
-    short = lambda c: F.expr(f"n_{c} - ceil({percent} * n_{c} / 100) + 1")
-    shared = F.least(short("a") - lacking("bits_a", "bits_b"), short("b") - lacking("bits_b", "bits_a"))
-    return both.filter(shared >= _least_shared("n_a", "n_b", percent)).select(*pairs.columns).distinct()
+    columns = pairs.columns
+    return both.mapInArrow(lambda batches: _possible(batches, columns, percent), pairs.schema).distinct()
 
 
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -313,8 +324,8 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     filled = "n > 0 AND doc_id IS NOT NULL"
     # Sizes and marks are kept for the result. Short lists are large and pass on to the shuffle without being kept.
     sets = cut_lineage(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        lambda batches: _marks(batches, lengths.value, width, percent),
-        "doc_id bigint, text_hash bigint, n bigint, mark1 bigint, mark2 bigint, bits array<bigint>"))
+        lambda batches: _marks(batches, width),
+        "doc_id bigint, text_hash bigint, n bigint, mark1 bigint, mark2 bigint, bits binary"))
     filled_sets = sets.filter(filled)
     short = texts.mapInArrow(
         lambda batches: _short_lists(batches, lengths.value, width, percent),
@@ -322,22 +333,19 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select(
         "doc_id", "n", "cold", F.posexplode("short").alias("pos", "shingle")).select(
         "doc_id", "n", "pos", "shingle", (F.col("pos") >= F.col("cold")).alias("often"))
-    mixed, links, labels = _lists(entries, percent), None, None
-    for turn in range(MOST_TURNS + 1):
-        # A list that has come to one label keeps it, so the next turn starts from what is mixed now.
-        mixed, pairs, rows = _mixed(mixed, labels, turn)
-        if pairs <= PAIRS_PER_ENTRY * rows or turn == MOST_TURNS:
-            break
+    links, labels = None, None
+    mixed, pairs, rows = _mixed(_lists(entries, percent), None, 0)
+    for turn in range(1, MOST_TURNS + 1):
         found = cut_lineage(_pairs_with_first(mixed, filled_sets, percent))
         new = _verify(found, texts, width, percent)
         links = new if links is None else links.unionByName(new)
         labels = _relabelled(labels, new)
-        if new.count() < LEAST_GAIN * found.count():
-            mixed, _, _ = _mixed(mixed, labels, turn)
+        # A list that has come to one label keeps it, so the next turn starts from what is mixed now.
+        mixed, pairs, rows = _mixed(mixed, labels, turn)
+        if pairs <= PAIRS_PER_ENTRY * rows or new.count() < LEAST_GAIN * found.count():
             break
     likely = _bits_allow(_remaining_pairs(mixed, percent), filled_sets, percent)
-    rest = _verify(cut_lineage(likely), texts, width, percent)
-    links = rest if links is None else links.unionByName(rest)
+    links = links.unionByName(_verify(cut_lineage(likely), texts, width, percent))
     groups = components(links)
     classes = first_per_key(sets.filter(filled), ["mark1", "mark2"], ["doc_id"])
     named = join_on(classes.select(F.col("doc_id").alias("class_id"), "mark1", "mark2"),
