@@ -100,11 +100,11 @@ def _answers(words: list[str], pieces, encoding) -> list[tuple]:
             for w, ids in zip(words, found)]
 
 
-def fit(words: list[str], chars: int, pieces, encoding) -> tuple[float, float, float, float]:
-    """Characters per token of both vocabularies, share of byte tokens, and entropy in bits."""
+def fit(words: list[str], chars: int, pieces, encoding, key=None) -> tuple[float, float, float, float]:
+    """Characters per token of both vocabularies, share of byte tokens, and entropy in bits; ``key`` names the vocabularies."""
     if not words:
         return 0.0, 0.0, 0.0, 0.0
-    found = _words.lookup(words, lambda new: _answers(new, pieces, encoding))
+    found = _words.lookup(words, lambda new: _answers(new, pieces, encoding), key)
     ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
     share = np.bincount(ids)
     share = share[share > 0] / len(ids)
@@ -133,7 +133,7 @@ def _measure(batches, paths: tuple[str, str], bands: dict[str, Band]):
             for i in range(len(texts)):
                 n, chars = counts["n_words"][i], counts["word_chars"][i]
                 words = group.data[group.text_start[i]:group.text_start[i + 1] if i + 1 < len(texts) else None].tobytes()
-                fits.append(fit(_split(words), chars, pieces, encoding))
+                fits.append(fit(_split(words), chars, pieces, encoding, paths))
                 failed.append(n < LEAST_WORDS or 100 * counts["n_repeat_words"][i] > MOST_REPEATED * n)
                 band = band_of(langs[group.low + i], max(1, len(texts[i] or "")), len(words), bands)
                 kept.append(not failed[-1] and within(band, *fits[-1]))

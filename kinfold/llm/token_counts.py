@@ -103,7 +103,7 @@ def _count(batches, path: str, frequent: dict[str, int]):
             total = sum(found)
             if -1 in found:
                 misses = [p for p, n in zip(parts, found) if n < 0]
-                total += len(misses) + sum(_lengths.lookup(misses, lambda new: lengths(new, path)))
+                total += len(misses) + sum(_lengths.lookup(misses, lambda new: lengths(new, path), path))
             counts.append(total)
         yield pa.RecordBatch.from_arrays([*batch.drop_columns(["text"]).columns, pa.array(counts, pa.int64())],
                                          [*batch.drop_columns(["text"]).schema.names, "n_tokens"])

@@ -2,7 +2,8 @@
 
 For every range there are three files: ``.bin`` with the ids of its documents one after another (16 bits where
 the vocabulary allows it, otherwise 32, little-endian), ``.idx`` with n + 1 offsets into it, counted in ids, and
-``.doc`` with the n document ids. A manifest table has one row per range; the running sum of its counts is the base
+``.doc`` with the n document ids. Documents without an id come first in a range. A manifest table has one row per range
+and counts these; the running sum of its counts is the base
 of each range, so that offsets of a range become positions in the whole corpus. Readers map the files into memory.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.shared import cut_lineage, new_folder, open_folder, publish
-from kinfold.llm.tokens import Cache, fast_tokenizer, space_pieces, vocabulary_path
+from kinfold.llm.tokens import Cache, fast_tokenizer, finer_pieces, space_pieces, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 RANGE_BYTES = 64 << 20
-NO_ID = -(1 << 63)
 _pieces = Cache()
 
 
@@ -32,39 +32,50 @@ def id_type(vocabulary_size: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
 
 
-def encode_batch(texts: list[str], tokenizer, dtype: np.dtype) -> list[bytes]:
+def encode_batch(texts: list[str], path: str, dtype: np.dtype) -> list[bytes]:
     """Ids of each text in the files' format, put together from those of its pieces.
 
-    A text with a special token's string goes in whole, as the library would look for it there.
+    A text with a special token's string goes in whole, as the library would look for it there. A piece that isn't known
+    yet is put together from finer ones, most of which are; the library encodes what is left.
     """
+    tokenizer, key = fast_tokenizer(path), (path, dtype.str)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     code = {2: "H", 4: "I"}[dtype.itemsize]
 
-    def answer(parts: list[str]) -> list[bytes]:
+    def encoded(parts: list[str]) -> list[bytes]:
         return [array(code, e.ids).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    cut = [[t] if any(s in t for s in special) else space_pieces(t) for t in texts]
-    found = _pieces.lookup(list(chain.from_iterable(cut)), answer)
-    ends = np.cumsum([0, *map(len, cut)]).tolist()
-    return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:])]
+    def joined(cut: list[list[str]], answer) -> list[bytes]:
+        found = _pieces.lookup(list(chain.from_iterable(cut)), answer, key)
+        ends = list(accumulate(map(len, cut), initial=0))
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:])]
+
+    whole = {t for t in texts if any(s in t for s in special)}
+
+    def answer(parts: list[str]) -> list[bytes]:
+        return joined([[p] if p in whole else finer_pieces(p) for p in parts], encoded)
+
+    return joined([[t] if t in whole else space_pieces(t) for t in texts], answer)
 
 
 def _write(batches, folder: str, path: str, end_id: int):
-    tokenizer = fast_tokenizer(path)
-    dtype = id_type(tokenizer.get_vocab_size())
+    dtype = id_type(fast_tokenizer(path).get_vocab_size())
     files, root = open_folder(folder)
     context = TaskContext.get()
     part, attempt = context.partitionId(), context.taskAttemptId()
     name, sizes, docs, end = f"range-{part:06d}", [], [], np.array([end_id], dtype).tobytes()
+    nulls = 0
 
     def ids():
+        nonlocal nulls
         for batch in batches:
+            nulls += batch.column("doc_id").null_count
             texts, own = batch.column("text").fill_null("").to_pylist(), batch.column("doc_id").to_pylist()
             for low in range(0, len(texts), 256):
-                for found in encode_batch(texts[low:low + 256], tokenizer, dtype):
+                for found in encode_batch(texts[low:low + 256], path, dtype):
                     sizes.append(len(found) // dtype.itemsize + 1)
                     yield found + end
-            docs.extend(NO_ID if d is None else d for d in own)
+            docs.extend(0 if d is None else d for d in own)
 
     publish(files, root, f"{name}.bin", str(attempt), ids())
     if sizes:
@@ -72,8 +83,8 @@ def _write(batches, folder: str, path: str, end_id: int):
         publish(files, root, f"{name}.doc", str(attempt), [np.array(docs, "<i8").tobytes()])
     yield pa.RecordBatch.from_arrays(
         [pa.array([part], pa.int32()), pa.array([name]), pa.array([len(sizes)], pa.int64()),
-         pa.array([sum(sizes)], pa.int64()), pa.array([dtype.itemsize], pa.int32())],
-        ["place", "name", "n_docs", "n_ids", "width"])
+         pa.array([sum(sizes)], pa.int64()), pa.array([dtype.itemsize], pa.int32()), pa.array([nulls], pa.int64())],
+        ["place", "name", "n_docs", "n_ids", "width", "n_nulls"])
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID,
@@ -86,12 +97,13 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end
     writes the same files.
     """
     path = vocabulary_path(vocabulary)
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    # Where a row stands in its input tells rows of the same id and text apart, so these are split as well.
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("at"))
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    ranged = rows.repartitionByRange(max(1, math.ceil(size / range_bytes)), "doc_id", "mark")
-    manifest = cut_lineage(ranged.sortWithinPartitions("doc_id", "mark").select("doc_id", "text").mapInArrow(
+    ranged = rows.repartitionByRange(max(1, math.ceil(size / range_bytes)), "doc_id", "mark", "at")
+    manifest = cut_lineage(ranged.sortWithinPartitions("doc_id", "mark", "at").select("doc_id", "text").mapInArrow(
         lambda batches: _write(batches, folder, path, end_id),
-        "place int, name string, n_docs bigint, n_ids bigint, width int"))
+        "place int, name string, n_docs bigint, n_ids bigint, width int, n_nulls bigint"))
     # One row per file; its running sum is small work for one task.
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.filter("n_docs > 0").withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
@@ -119,7 +131,7 @@ def _read(batches, folder: str, step_bytes: int = 8 << 20):
                 bounds = (np.asarray(offsets[low:high + 1]) - offsets[low])
                 own = np.asarray(docs[low:high])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own, pa.int64(), mask=own == NO_ID), pa.array(row["base"] + np.asarray(offsets[low:high])),
+                    [pa.array(own, pa.int64(), mask=np.arange(low, high) < row["n_nulls"]), pa.array(row["base"] + np.asarray(offsets[low:high])),
                      pa.array(np.diff(bounds), pa.int64()),
                      pa.Array.from_buffers(pa.large_binary(), high - low,
                                            [None, pa.py_buffer((bounds * 4).astype(np.int64)), pa.py_buffer(part)]

@@ -47,32 +47,49 @@ def piece_model(path: str):
 
 
 class Cache(dict):
-    """Answers by piece of text. Short pieces stay until ``entries`` are reached, then it starts anew.
+    """Answers by piece of text, of one vocabulary at a time.
 
-    A worker that goes on to another operator empties the cache of the one before, so that it holds one at a time.
+    Short pieces stay while they are used: at half of ``entries`` the younger half becomes the older one, whose pieces
+    move back when they are looked up, and what is left of the one before goes. A worker that goes on to another operator, or to
+    another vocabulary, empties the cache of the one before, so that it holds one at a time.
     """
 
     last: Cache | None = None
 
     def __init__(self, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.entries = entries
+        self.entries, self.older, self.key = entries, {}, None
 
-    def lookup(self, pieces: list[str], answer) -> list:
-        """The answers for ``pieces``, none of which is None; ``answer`` gets the unknown ones as a list, each once."""
-        if Cache.last is not self:
+    def empty(self) -> None:
+        self.clear()
+        self.older = {}
+
+    def lookup(self, pieces: list[str], answer, key=None) -> list:
+        """The answers for ``pieces``, none of which is None; ``answer`` gets the unknown ones as a list, each once.
+
+        ``key`` says whose answers these are, such as the vocabulary's path.
+        """
+        if Cache.last is not self or self.key != key:
             if Cache.last is not None:
-                Cache.last.clear()
-            Cache.last = self
+                Cache.last.empty()
+            self.empty()
+            Cache.last, self.key = self, key
         found = list(map(self.get, pieces))
-        missing = list(dict.fromkeys([p for p, f in zip(pieces, found) if f is None]))
-        if not missing:
+        holes = [i for i, f in enumerate(found) if f is None]
+        if not holes:
             return found
-        new = dict(zip(missing, answer(missing)))
-        if len(self) + len(new) > self.entries:
+        missing = dict.fromkeys([pieces[i] for i in holes])
+        new = {p: a for p in missing if (a := self.older.get(p)) is not None} if self.older else {}
+        unknown = [p for p in missing if p not in new] if new else list(missing)
+        if unknown:
+            new.update(zip(unknown, answer(unknown)))
+        if len(self) + len(new) > self.entries // 2:
+            self.older = dict(self)
             self.clear()
-        self.update((p, a) for p, a in new.items() if len(p) <= CACHED_LENGTH)
-        return [new[p] if f is None else f for p, f in zip(pieces, found)]
+        self.update([item for item in new.items() if len(item[0]) <= CACHED_LENGTH])
+        for i in holes:
+            found[i] = new[pieces[i]]
+        return found
 
 
 # A space after white space belongs to what comes before, so texts with such a place are not cut at spaces.
@@ -90,3 +107,32 @@ def space_pieces(text: str) -> list[str]:
         return re.split(r"(?<=\S)(?= )", text)
     first, *rest = text.split(" ")
     return ([first] if first else []) + [" " + r for r in rest]
+
+
+# ASCII signs, none of which the pattern joins with letters; the apostrophe is one it does.
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+# Letters below are letters in every edition of Unicode.
+_LATIN = "\u0250"
+
+
+def finer_pieces(piece: str) -> list[str]:
+    """A piece of ``space_pieces`` cut on where no byte-level pattern match spans either: at single line breaks, and before signs
+    that end a word.
+
+    A line break between two other characters is a match of its own. Letters and signs never share a match, and a word
+    up to its signs has letters only, so that signs behind it begin a match and end it with the piece.
+    """
+    if "\n" in piece:
+        lines = piece.split("\n")
+        if any(not x or x[-1].isspace() for x in lines) or any(x[0].isspace() for x in lines[1:]):
+            return [piece]
+        parts = finer_pieces(lines[0])
+        for line in lines[1:]:
+            parts += ["\n", *finer_pieces(line)]
+        return parts
+    stem = piece.rstrip(_SIGNS)
+    if len(stem) < len(piece):
+        letters = stem[1:] if stem[:1] == " " else stem
+        if letters.isalpha() and max(letters) < _LATIN:
+            return [stem, piece[len(stem):]]
+    return [piece]

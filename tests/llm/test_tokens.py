@@ -67,13 +67,64 @@ def file_rows(texts):
 
 
 def test_pieces_of_odd_strings_encode_like_whole_ones():
-    texts = odd_strings(4000)
-    tokenizer = tokens.fast_tokenizer(tokens.vocabulary_path(token_files.VOCABULARY))
-    expected = [tuple(e.ids) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    for dtype in ("<u2", "<u4"):
-        found = token_files.encode_batch(texts, tokenizer, np.dtype(dtype))
-        assert [tuple(np.frombuffer(x, dtype).tolist()) for x in found] == expected
-        token_files._pieces.clear()
+    texts = odd_strings(4000) + sign_strings(6000)
+    for vocabulary in (token_files.VOCABULARY, "word_bpe_49k.json"):
+        path = tokens.vocabulary_path(vocabulary)
+        whole = [tuple(e.ids) for e in tokens.fast_tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+        if vocabulary != token_files.VOCABULARY:
+            # Not a byte-level vocabulary: only single words are the same in pieces, which shows whose answers are kept.
+            texts, whole = zip(*[(t, w) for t, w in zip(texts, whole) if t.isalpha()])
+        for dtype in ("<u2", "<u4", "<u2"):
+            found = token_files.encode_batch(list(texts), path, np.dtype(dtype))
+            assert [tuple(np.frombuffer(x, dtype).tolist()) for x in found] == list(whole)
+
+
+def sign_strings(n):
+    """Words, signs, apostrophes, digits and line breaks in short runs."""
+    rng = np.random.default_rng(12)
+    parts = [" word", "word", " Über", "naïve", ",", ".", "...", '"', "'", "'s", "'ll", "n't", "!", "?)", " (", "\n", "\n\n", " ", "  ", "\t", "12",
+             " 3", "-", "ǅ", "ɐ", "日", " 語", "ª", "\u180e", "\x1c", "\x85", "\u2028", "_", "@", " a", "I"]
+    return ["".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(n)]
+
+
+def test_finer_pieces_put_together_again():
+    for text in sign_strings(4000):
+        pieces = tokens.space_pieces(text)
+        assert "".join("".join(tokens.finer_pieces(p)) for p in pieces) == text
+    assert tokens.finer_pieces(" word,") == [" word", ","] and tokens.finer_pieces(" don't,") == [" don't,"]
+    assert tokens.finer_pieces(" end.\nNext!") == [" end", ".", "\n", "Next", "!"] and tokens.finer_pieces("a \nb") == ["a \nb"]
+
+
+def test_cache_drops_what_is_not_used():
+    cache, asked = tokens.Cache(entries=100), []
+
+    def answer(parts):
+        asked.extend(parts)
+        return [p.upper() for p in parts]
+
+    for k in range(200):
+        assert cache.lookup(["often", f"once{k}"], answer, "a") == ["OFTEN", f"ONCE{k}"]
+        assert len(cache) + len(cache.older) <= 102
+    assert asked.count("often") == 1
+    # Another vocabulary, another cache.
+    assert cache.lookup(["often"], lambda parts: ["other"], "b") == ["other"]
+    assert cache.lookup(["often"], answer, "a") == ["OFTEN"] and asked.count("often") == 2
+    other = tokens.Cache()
+    other.lookup(["x"], answer)
+    assert not cache and not cache.older
+
+
+def test_fertility_of_other_vocabularies(spark):
+    """Two vocabularies in one session, in the same workers."""
+    from kinfold.llm import fertility
+
+    docs = spark.createDataFrame([(1, "some plain words " * 10)], "doc_id bigint, text string").coalesce(1)
+    first = fertility.measure(docs).head()
+    other = fertility.measure(docs, ranks="byte_bpe_50k.tiktoken").head()
+    again = fertility.measure(docs).head()
+    assert first == again and first.chars_per_piece == other.chars_per_piece
+    encoding = tokens.rank_encoding(tokens.vocabulary_path("byte_bpe_50k.tiktoken"))
+    assert other.chars_per_rank_token == pytest.approx(140 / sum(len(encoding.encode_ordinary(" " + w)) for w in ("some plain words " * 10).split()))
 
 
 def test_token_files(spark, odd_docs, odd_texts, no_docs):
@@ -90,6 +141,17 @@ def test_token_files_in_many_ranges(spark, odd_docs, odd_texts):
     assert sorted(map(tuple, found)) == list(file_rows(odd_texts))
 
 
+def test_token_files_of_the_least_id_and_of_many_equal_rows(spark):
+    least = -(1 << 63)
+    docs = spark.createDataFrame([(least, "x"), (None, "y"), (0, "z")] + [(5, "same")] * 400, "doc_id bigint, text string").repartition(4)
+    folder = token_files.new_folder(spark, "tokens")
+    manifest = token_files.cut_lineage(token_files.write_tokens(docs, folder, range_bytes=200))
+    found = token_files.read_tokens(manifest, folder).select("doc_id", "start", "n_tokens").collect()
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == [None, least, 0] + [5] * 400
+    # Rows of one id and one text stand in several files.
+    assert manifest.count() > 3 and manifest.selectExpr("max(n_docs)").head()[0] < 300
+
+
 def test_token_files_of_repeats_and_nulls(spark):
     docs = spark.createDataFrame([(2, "b"), (2, "b"), (None, "no id"), (1, None)], "doc_id bigint, text string").repartition(3)
     found = token_files.round_trip(spark, docs).select("doc_id", "start", "n_tokens").collect()
