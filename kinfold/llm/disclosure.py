@@ -1,14 +1,18 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
 Patterns find the entities to protect: e-mail and network addresses, payment cards, phone numbers. Other words of an
-entity's document may give it away as well. How strongly a term reveals an entity is taken from the whole corpus: their
-pointwise mutual information over documents, as a share of the entity's own information content (Sanchez and Batet's
-C-sanitisation), shrunk where few texts support it. At a share of 1 whoever reads the term learns all of the entity.
+entity's document may give it away as well. How strongly a term reveals an entity is taken from the whole corpus: the
+information that co-occurrence over documents gives about the entity (Sanchez and Batet's C-sanitisation), stated as what is
+left: with probability p whoever reads the term knows the entity, and log2(1 / p) bits remain. Both sides are
+shrunk where little supports them, so p depends on how often the two were met and not on the size of the corpus.
 Terms beyond a first threshold are generalised in the documents of their entity, those beyond a second one are removed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +33,45 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 TERM = r"(?<![\p{L}\p{M}\p{N}])\p{L}[\p{L}\p{M}]{2,}+(?![\p{N}])"
-# What the probability of a term given an entity is shrunk by, in texts (the half of Krichevsky and Trofimov).
+# What co-occurrence is shrunk by in different texts, and how many more rows a term is taken to stand in than were seen
+# (the half of Krichevsky and Trofimov, on both sides): what was met once is neither certain to go together nor to be rare.
 PRIOR = 0.5
-GENERALISE, REMOVE = 0.8, 0.95
-BROADCAST_ROWS = 50_000
+# An entity met once, with a word met nowhere else, has p = 1 / 1.5 / 1.5 = 0.44 and keeps 1.2 bits: the word is generalised.
+# Together in three different texts and nowhere apart they have p = 0.73 and keep less than half a bit: it is removed.
+GENERALISE, REMOVE = 0.4, 0.7
+# Steps of one inner pass over the matches of a text.
+STRETCH = 256
 FOUND = "array<struct<value: string, start: int, end: int>>"
 
 
+def _stretches(items: Column) -> Column:
+    """An array cut into arrays of at most ``STRETCH``."""
+    last = F.greatest(F.ceil(F.size(items) / F.lit(STRETCH)) - 1, F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * STRETCH + 1, F.lit(STRETCH)))
+
+
+def _scan(items: Column, state: Column, step, kind: str) -> Column:
+    """What ``step(state, item) -> (state, result)`` gives for the items one after another, as an array of type ``kind``.
+
+    Adding to an array copies it, so results are gathered by stretches, whose arrays stay short, and these are put together
+    at the end: a text with very many matches costs their number.
+    """
+    none = F.array().cast(kind)
+
+    def add(held: Column, item: Column) -> Column:
+        then, result = step(held["state"], item)
+        return F.struct(then.alias("state"), F.concat(held["done"], F.array(result)).cast(kind).alias("done"))
+
+    def stretch(held: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(held["state"].alias("state"), none.alias("done")), add)
+        # Through an array of one, so that the inner pass is made once.
+        return F.transform(F.array(inner), lambda r: F.struct(
+            r["state"].alias("state"), F.concat(held["done"], F.array(r["done"])).alias("done")))[0]
+
+    start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("done"))
+    return F.aggregate(_stretches(items), start, stretch, lambda held: F.flatten(held["done"]))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches of a pattern as (value, start, end) in code points, leftmost first, not overlapping.
 
@@ -45,16 +81,13 @@ def matches(text: Column, pattern: str) -> Column:
     steps = rf"(?s)\G(.*?)({pattern})"
     gaps = F.transform(F.regexp_extract_all(text, F.lit(steps), F.lit(1)), F.length)
     found = F.regexp_extract_all(text, F.lit(steps), F.lit(2))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("done"))
 
-    def add(state: Column, step: Column) -> Column:
-        low = state["at"] + step["gap"]
-        high = low + F.length(step["value"])
-        item = F.struct(step["value"].alias("value"), low.alias("start"), high.alias("end"))
-        return F.struct(high.alias("at"), F.concat(state["done"], F.array(item)).alias("done"))
+    def step(at: Column, item: Column):
+        low = at + item["gap"]
+        high = low + F.length(item["value"])
+        return high, F.struct(item["value"].alias("value"), low.alias("start"), high.alias("end"))
 
-    return F.aggregate(F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), start, add,
-                       lambda state: state["done"])
+    return _scan(F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), F.lit(0), step, FOUND)
 
 
 def _digits(value: Column) -> Column:
@@ -101,18 +134,15 @@ def _named(kind: str) -> Column:
 
 def _free(text: Column, spans: Column) -> Column:
     """The text with the letters of entities as digits, so that a term that is part of a match is none; as long as before."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
-
-    def add(state: Column, s: Column) -> Column:
-        low = F.greatest(state["at"], s["start"])
-        high = F.greatest(state["at"], s["end"])
-        before = F.substring(text, state["at"] + 1, low - state["at"])
+    def step(at: Column, s: Column):
+        low, high = F.greatest(at, s["start"]), F.greatest(at, s["end"])
         own = F.regexp_replace(F.substring(text, low + 1, high - low), "[A-Za-z]", "0")
-        return F.struct(high.alias("at"), F.concat(state["done"], F.array(before, own)).alias("done"))
+        return high, F.concat(F.substring(text, at + 1, low - at), own)
 
-    return F.aggregate(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))),
-                       start, add, lambda state: F.concat(
-                           F.array_join(state["done"], ""), F.substring(text, state["at"] + 1, F.length(text))))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    done = _scan(ordered, F.lit(0), step, "array<string>")
+    return F.concat(F.array_join(done, ""), F.substring(text, F.coalesce(F.array_max(F.transform(ordered, lambda s: s["end"])), F.lit(0)) + 1,
+                                                        F.length(text)))
 
 
 def _terms(text: Column) -> Column:
@@ -126,47 +156,74 @@ def find_entities(docs: DataFrame) -> DataFrame:
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), *[entities(text, k).alias(k) for k in KINDS])
     named = found.withColumn("named", F.concat(*[_named(k) for k in KINDS]))
     some = F.size("named") > 0
+    named = named.withColumn("free", F.when(some, _free(text, F.col("named"))))
     return named.select("doc_id", "mark", *KINDS, F.when(some, F.array_distinct(F.transform("named", lambda m: m["name"]))).alias("names"),
-                        F.when(some, _free(text, F.col("named"))).alias("free"))
+                        "free")
 
 
 def _most(generalise: float) -> Column:
-    """Most texts that a term can stand in to reveal that share of an entity, if it stands by all its mentions."""
-    return F.pow("total", F.lit(1 - generalise)) * F.pow("with_name", F.lit(generalise)) * (1 + 1e-9)
+    """Most rows that a term can stand in to reveal an entity with that probability, if it stands by all its mentions."""
+    return F.col("with_name") / F.lit(generalise) - PRIOR + 1e-9
+
+
+def _reveals(both, texts, with_term) -> Column:
+    """The probability that a term reveals an entity: it stands in ``with_term`` rows, in ``both`` with the entity, of ``texts`` different texts."""
+    return both / (with_term + F.lit(PRIOR)) * texts / (texts + F.lit(PRIOR))
+
+
+def _classes(places: DataFrame, member: str) -> DataFrame:
+    """(row, class, member's columns): members that stand in exactly the same rows become one class, kept once per row.
+
+    A class is told by the number of its rows, two sums of 64-bit hashes of them, and the least and the greatest one.
+    """
+    hashed = lambda seed: F.sum(F.xxhash64("row", F.lit(seed)).cast("decimal(38,0)"))
+    shape = places.groupBy(member).agg(
+        F.xxhash64(F.count("*"), hashed(1), hashed(2), F.min("row"), F.max("row")).alias("first_half"),
+        F.xxhash64(hashed(3), F.count("*"), hashed(4), F.max("row")).alias("second_half"), F.count("*").alias("in_rows"))
+    return join_on(places, shape, member, "inner")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE) -> DataFrame:
-    """(doc_id, mark, value, share): terms of a text that reveal one of its entities, with the largest share they reveal.
+    """(doc_id, mark, value, share): terms of a text that reveal one of its entities, with the largest probability.
+
+    Copies of one text say nothing about what goes with what, so co-occurrence is shrunk by the number of
+    different texts. Frequencies are over all rows with a text, and added up before they are shuffled.
 
-    The share of an entity seen in few texts is uncertain, so the probability of the term given the entity is taken
-    as texts / (texts + ``PRIOR``) of what was seen, over different texts: copies of one say nothing about
-    what goes with what. An entity met once counts, with the terms that hardly stand elsewhere. Frequencies are over all
-    rows with a text, and added up before they are shuffled. Pairs of an entity and a term in one text are built once the term
-    is known to be rare enough for that entity, which loses none.
+    An entity and a term that meet in one row only have a probability that depends on the term's frequency alone, so
+    no pair is built for them: it is taken from the row. Pairs are built for what stands in several rows with entities, once
+    the term is known to be rare enough, and for classes: entities that stand in the same rows are one, and so
+    are terms of equal frequency. A text costs its entities and terms, not their product.
     """
-    total = docs.agg(F.count("text").cast("double").alias("total"))
     own = found.filter("names IS NOT NULL").withColumn("row", F.monotonically_increasing_id())
     own = cut_lineage(own.select("row", "doc_id", "mark", "names", _terms(F.col("free")).alias("terms")))
-    mentions = own.select("row", "doc_id", "mark", F.explode("names").alias("name"))
-    names = cut_lineage(mentions.groupBy("name").agg(F.count("*").alias("with_name")))
-    most = names.agg(F.max("with_name").alias("with_name")).join(F.broadcast(total)).select(_most(generalise).alias("most"))
+    mentions = own.select("row", F.explode("names").alias("name"))
+    names = mentions.groupBy("name").agg(F.count("*").alias("with_name"))
+    most = names.agg(F.max("with_name").alias("with_name")).select(_most(generalise).alias("most"))
     words = docs.select(F.explode(_terms(F.col("text"))).alias("value")).groupBy("value").agg(F.count("*").alias("with_term"))
-    used = own.select(F.explode("terms").alias("value"))
-    rare = words.join(used.distinct(), "value", "left_semi")
-    rare = cut_lineage(rare.join(F.broadcast(most), F.col("with_term") <= F.col("most")).drop("most"))
-    near = join_on(own.select("row", F.explode("terms").alias("value")), rare, "value", "inner")
-    limits = join_on(mentions, names, "name", "inner").join(F.broadcast(total)).withColumn("most", _most(generalise))
-    pairs = cut_lineage(join_on(limits, near, "row", "inner").filter("with_term <= most").drop("row", "most"))
-    log = lambda c: F.log2(F.col(c).cast("double"))
-    information = log("total") - log("with_name")
-    mutual = log("total") + log("both") - log("with_name") - log("with_term") + F.log2(F.col("texts") / (F.col("texts") + PRIOR))
-    shares = pairs.groupBy("name", "value", "mark").agg(
-        F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("total", "with_name", "with_term")]).groupBy("name", "value").agg(
-        F.sum("rows").alias("both"), F.count("*").alias("texts"), *[F.first(c).alias(c) for c in ("total", "with_name", "with_term")])
-    shares = shares.select("name", "value", F.when(information > 0, mutual / information).alias("share")).filter(
-        F.col("share") >= generalise)
-    return join_on(pairs.select("doc_id", "mark", "name", "value"), shares, ["name", "value"], "inner").groupBy(
-        "doc_id", "mark", "value").agg(F.max("share").alias("share"))
+    used = own.select(F.explode("terms").alias("value")).groupBy("value").agg(F.count("*").alias("near"))
+    # At most as many rows as the most frequent entity allows; the limit is one number.
+    rare = join_on(words.withColumn("most", most.scalar()).filter("with_term <= most").drop("most"), used, "value", "inner")
+    near = cut_lineage(join_on(own.select("row", F.explode("terms").alias("value")), cut_lineage(rare), "value", "inner"))
+    once = near.select("row", "value", _reveals(F.lit(1.0), F.lit(1.0), F.col("with_term")).alias("share"))
+
+    # Entities and terms that stand in several of these rows may meet more than once.
+    several = join_on(mentions, names.filter("with_name > 1"), "name", "inner")
+    entities_ = _classes(several, "name").select("row", "first_half", "second_half", "with_name").distinct().withColumnsRenamed(
+        {"first_half": "name1", "second_half": "name2"})
+    terms_ = _classes(near.filter("near > 1"), "value").withColumnsRenamed({"first_half": "term1", "second_half": "term2"})
+    terms_ = cut_lineage(terms_.select("row", "value", "term1", "term2", "with_term"))
+    kinds = terms_.select("row", "term1", "term2", "with_term").distinct()
+    pairs = join_on(entities_, kinds, "row", "inner").filter(F.col("with_term") <= _most(generalise))
+    pairs = cut_lineage(join_on(pairs, own.select("row", "mark"), "row", "inner"))
+    keys = ["name1", "name2", "term1", "term2", "with_term"]
+    met = pairs.groupBy(*keys, "mark").agg(F.count("*").alias("rows")).groupBy(*keys).agg(
+        F.sum("rows").alias("both"), F.count("*").alias("texts"))
+    met = met.select(*keys, _reveals(F.col("both"), F.col("texts"), F.col("with_term")).alias("share")).filter(F.col("share") >= generalise)
+    best = join_on(pairs, met, keys, "inner").groupBy("row", "term1", "term2", "with_term").agg(F.max("share").alias("share"))
+    often = join_on(terms_, best, ["row", "term1", "term2", "with_term"], "inner").select("row", "value", "share")
+    shares = once.filter(F.col("share") >= generalise).unionByName(often).groupBy("row", "value").agg(F.max("share").alias("share"))
+    return join_on(shares, own.select("row", "doc_id", "mark"), "row", "inner").groupBy("doc_id", "mark", "value").agg(
+        F.max("share").alias("share"))
 
 
 def known_terms(terms: DataFrame, remove: float = REMOVE) -> DataFrame:
@@ -183,18 +240,13 @@ def _places(free: Column, known: Column) -> Column:
     steps = rf"(?s)\G(.*?)({TERM})"
     gaps = F.transform(F.regexp_extract_all(free, F.lit(steps), F.lit(1)), F.length)
     words = F.regexp_extract_all(free, F.lit(steps), F.lit(2))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(TERMS).alias("done"))
-
-    def add(state: Column, step: Column) -> Column:
-        low = state["at"] + step["gap"]
-        high = low + F.length(step["value"])
-        removed = F.element_at(known, F.lower(step["value"]))
-        item = F.struct(low.alias("start"), high.alias("end"), removed.alias("removed"))
-        return F.struct(high.alias("at"), F.when(removed.isNull(), state["done"]).otherwise(
-            F.concat(state["done"], F.array(item))).cast(TERMS).alias("done"))
-
-    found = F.aggregate(F.zip_with(gaps, words, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), start, add,
-                        lambda state: state["done"])
+    def step(at: Column, item: Column):
+        low = at + item["gap"]
+        high = low + F.length(item["value"])
+        return high, F.struct(low.alias("start"), high.alias("end"), F.element_at(known, F.lower(item["value"])).alias("removed"))
+
+    every = _scan(F.zip_with(gaps, words, lambda g, v: F.struct(g.alias("gap"), v.alias("value"))), F.lit(0), step, TERMS)
+    found = F.filter(every, lambda t: t["removed"].isNotNull())
     return F.coalesce(F.when(known.isNotNull(), found), F.array().cast(TERMS))
 
 
@@ -232,33 +284,35 @@ def sanitise(docs: DataFrame) -> DataFrame:
     spans = cut_lineage(known_terms(disclosing_terms(own, cut_lineage(find_entities(own)))))
     marked = docs.withColumns({"__mark": F.xxhash64("text"), "__id": F.col("doc_id")})
     spans = spans.withColumnsRenamed({"doc_id": "__id", "mark": "__mark", "known": "__known"})
-    if spans.count() <= BROADCAST_ROWS:
-        near = spans.withColumnsRenamed({"__id": "__other", "__mark": "__other_mark"})
-        both = marked.join(F.broadcast(near), F.col("__id").eqNullSafe(F.col("__other"))
-                           & (F.col("__mark") == F.col("__other_mark")), "left").drop("__other", "__other_mark")
-    else:
-        both = join_on(marked, spans, ["__id", "__mark"], null_safe=True)
+    # Only texts that may hold an entity can have spans; the others stay where they are.
+    possible = F.coalesce(reduce(or_, [F.col("text").rlike(hint) for hint in _HINTS.values()]), F.lit(False))
+    rest = marked.filter(~possible).withColumn("__known", F.lit(None).cast(spans.schema["__known"].dataType))
+    both = join_on(marked.filter(possible), spans, ["__id", "__mark"], null_safe=True).unionByName(rest)
     text = F.col("text")
-
-    def replaced(spans: Column, word) -> Column:
+    # Column by column: each holds a pass over the text or its spans, made once.
+    kinds = {k: f"__{k}" for k in KINDS}
+    both = both.withColumns({name: entities(text, k) for k, name in kinds.items()})
+    base = F.concat(*[F.transform(name, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for name in kinds.values()])
+    both = both.withColumn("__base", base)
+    both = both.withColumn("__free", F.when(F.col("__known").isNotNull(), _free(text, F.col("__base"))))
+    both = both.withColumn("__terms", _places(F.col("__free"), F.col("__known")))
+
+    def replaced(spans: str, word) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), word(s).alias("word")))
 
-    base = F.concat(*[F.transform(entities(text, k), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-                      for k in KINDS])
     every = F.concat(
-        *[replaced(entities(text, k), lambda s, k=k: F.lit(f"[{k.upper()}]")) for k in KINDS],
-        replaced(_places(F.when(F.col("__known").isNotNull(), _free(text, base)), F.col("__known")),
-                 lambda s: F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]"))))
-
-    def put(state: Column, s: Column) -> Column:
-        piece = F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), s["word"])
-        return F.when(s["start"] < state["at"], F.struct(F.greatest(state["at"], -s["back"]).alias("at"), state["done"].alias("done"))
-                      ).otherwise(F.struct((-s["back"]).alias("at"), F.concat(state["done"], F.array(piece)).alias("done")))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
-    clean = F.aggregate(F.array_sort("__spans"), start, put, lambda state: F.concat(
-        F.array_join(state["done"], ""), F.substring(text, state["at"] + 1, F.length(text))))
-    out = both.withColumn("__spans", every).withColumn("text", F.when(F.size("__spans") > 0, clean).otherwise(text))
+        *[replaced(name, lambda s, k=k: F.lit(f"[{k.upper()}]")) for k, name in kinds.items()],
+        replaced("__terms", lambda s: F.when(s["removed"], F.lit("")).otherwise(F.lit("[TERM]"))))
+    both = both.withColumn("__spans", F.array_sort(every))
+
+    def step(at: Column, s: Column):
+        piece = F.concat(F.substring(text, at + 1, s["start"] - at), s["word"])
+        return F.greatest(at, -s["back"]), F.when(s["start"] >= at, piece).otherwise(F.lit(""))
+
+    both = both.withColumn("__pieces", _scan(F.col("__spans"), F.lit(0), step, "array<string>"))
+    end = F.array_max(F.transform("__spans", lambda s: -s["back"]))
+    clean = F.concat(F.array_join("__pieces", ""), F.substring(text, end + 1, F.length(text)))
+    out = both.withColumn("text", F.when(F.size("__spans") > 0, clean).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -359,7 +359,6 @@ def test_disclosing_terms_of_the_given_tables(spark):
                 text[s.start:s.end] = ["0" if c.isalpha() else c for c in text[s.start:s.end]]
         free[r.doc_id] = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer("".join(text))]
     expected = {i: set() for i in texts}
-    total = sum(t is not None for t in texts.values())
     for ids in names.values():
         near = {}
         for i in ids:
@@ -367,8 +366,7 @@ def test_disclosing_terms_of_the_given_tables(spark):
                 near.setdefault(value, []).append(i)
         for value, at in near.items():
             support = len({texts[i] for i in at})
-            share = (math.log2(total * len(at) / len(ids) / len(terms[value])) - math.log2((support + 0.5) / support)) / math.log2(
-                total / len(ids))
+            share = len(at) / (len(terms[value]) + 0.5) * support / (support + 0.5)
             if share >= disclosure.GENERALISE:
                 for i in at:
                     expected[i] |= {(a, b) for v, a, b in free[i] if v == value}
@@ -379,3 +377,62 @@ def test_disclosing_terms_of_the_given_tables(spark):
 def test_personal_data_runs_without_python(spark):
     plan = disclosure.find_personal_data(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_directory_costs_its_length(spark, monkeypatch):
+    """Very many addresses and rare words in one text, in its copy, and some of both elsewhere."""
+    made = []
+    cut = disclosure.cut_lineage
+    monkeypatch.setattr(disclosure, "cut_lineage", lambda df: made.append(written := cut(df)) or written)
+    letters = "abcdefghij"
+    spell = lambda i: "".join(letters[int(d)] for d in f"{i:05d}")
+    most = []
+    for n in (200, 400):
+        made.clear()
+        page = " ".join(f"Name{spell(i)} p{i}@x.org" for i in range(n))
+        docs = [(1, page), (2, page), (3, "Namebbbbb wrote to p9999@y.org"), (4, f"p7@x.org is Name{spell(7)}")]
+        docs += [(10 + i, f"plain words number {i} about nothing at all") for i in range(50)]
+        found = {r.doc_id: r for r in disclosure.find_personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+        assert [len(found[i].email) for i in (1, 2, 3, 4)] == [n, n, 1, 1]
+        # Two copies of one text: p = 2 / 2.5 / 1.5; two texts with both, three rows: p = 3 / 3.5 * 2 / 2.5.
+        assert [len(found[i].terms) for i in (1, 2, 4)] == [n, n, 1] and [t.start for t in found[4].terms] == [12]
+        most.append(max(t.count() for t in made))
+    assert most[1] <= 2 * most[0] + 60
+
+
+def test_very_many_matches_in_one_text(spark):
+    n = 20_000
+    text = " ".join(f"p{i}@x.org wordy" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "short a@b.c")], "doc_id bigint, text string")
+    clean = {r.doc_id: r.text for r in disclosure.sanitise(docs).collect()}
+    assert clean[1] == " ".join(["[EMAIL] [TERM]"] * n) and clean[2] == "[TERM] [EMAIL]"
+
+
+def planted(n_filler, n_groups, texts_each):
+    """Addresses that each stand in some texts with a name that only these have, and a harmless word of two other texts."""
+    rng = random.Random(texts_each)
+    common = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("rin", "lot", "mas", "ten")]
+    word = lambda i, stem: stem + "".join("abcdefghij"[int(d)] for d in f"{i:06d}")
+    prose = lambda: " ".join(rng.choice(common) for _ in range(30))
+    docs, names, harmless = [(i, prose()) for i in range(n_filler)], set(), set()
+    for g in range(n_groups):
+        names.add(word(g, "zor"))
+        for _ in range(texts_each):
+            own = word(len(docs), "qua")
+            harmless.add(own)
+            docs.append((len(docs), f"{prose()} {word(g, 'zor')} {own} {prose()} u{g}@mail.org {prose()}"))
+            docs += [(len(docs) + k, f"{prose()} {own} {prose()}") for k in range(2)]
+    return docs, names, harmless
+
+
+@pytest.mark.parametrize("texts_each, generalised, removed", [(1, 1.0, 0.0), (2, 1.0, 0.0), (3, 1.0, 1.0), (5, 1.0, 1.0)])
+def test_thresholds_hold_at_every_size(spark, texts_each, generalised, removed):
+    """Shares of disclosing names that are generalised or removed, and of harmless rare words, in a small and a larger table."""
+    for n_filler in (50, 3000):
+        docs, names, harmless = planted(n_filler, 12, texts_each)
+        texts = dict(docs)
+        found = disclosure.find_personal_data(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)).collect()
+        hit = {texts[r.doc_id][t.start:t.end]: t.removed for r in found for t in r.terms}
+        assert len(names & set(hit)) / len(names) == generalised
+        assert sum(hit.get(n, False) for n in names) / len(names) == removed
+        assert not harmless & set(hit) and set(hit) <= names
