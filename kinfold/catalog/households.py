@@ -14,7 +14,7 @@ from kinfold.operators.merge import merge, parent_lookup
 from kinfold.plans.composition import household_composition
 from kinfold.plans.family import (FEMALE, MALE, beneficiary_list, head_value, most_severe, oldest_adult, oldest_flag)
 from kinfold.plans.income import assistance, assistance_per_adult, other_income
-from kinfold.plans.spending import food_spending, recall_spending, total_spending
+from kinfold.plans.spending import combined_spending, food_spending, recall_spending, total_spending
 from kinfold.sources.tables import read_driver_table
 
 # The eleven item categories as ranges over the 50 part sizes.
@@ -55,7 +55,7 @@ def items(spark, sf):
 def food_items(spark, sf):
     parts = read_driver_table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("item"))
     lines = items(spark, sf)
-    return lines.join(parts, lines.l_partkey == parts.p_partkey).select("hh", "item", "amount")
+    return lines.join(parts, lines.l_partkey == parts.p_partkey).select("hh", "item", "amount", "part_tag")
 
 
 def _deflated(amount, scale, name):
@@ -108,13 +108,10 @@ def recall_period_spend(spark, sf):
                                                                 for t in PERIODS)}, 4) AS total_aes1_exp_inf
     FROM ({FOOD_SQL}) f LEFT JOIN ({RECALL_SQL}) r USING (hh)""")
 def spending_in_all(spark, sf):
-    sizes, index = scales(spark, sf), prices(spark, sf)
-    food = food_spending(food_items(spark, sf), sizes, index, household="hh", item="item", amount="amount",
-                         month="month", categories=CATEGORIES)
-    recall = recall_spending(items(spark, sf), sizes, index, household="hh", amount="amount", tag="part_tag",
-                             periods=PERIODS)
-    both = merge(food, recall, "hh", split_hot=False)
-    totals = total_spending("aes1_total_exp_food", [f"aes1_total_exp_non_food_{t}" for t in PERIODS])
+    parts = [f"aes1_total_exp_non_food_{t}" for t in PERIODS]
+    both = combined_spending(food_items(spark, sf), scales(spark, sf), prices(spark, sf), household="hh", item="item", amount="amount",
+                             tag="part_tag", periods=PERIODS, categories=CATEGORIES, only=["aes1_total_exp_food", *parts])
+    totals = total_spending("aes1_total_exp_food", parts)
     return rounded_doubles(both.select("hh", *[c.alias(n) for n, c in totals.items()]))
 
 

@@ -10,7 +10,7 @@ from kinfold.catalog.shapes import SCORED_SQL, scored_documents
 from kinfold.operators import evaluate
 from kinfold.operators.ranking import feature_ranking, feature_ranks, flag_smallest_abs, sorted_importances
 from kinfold.plans.evaluation import evaluate_model
-from kinfold.session import own_folder
+from kinfold.session import cut_lineage, own_folder
 from kinfold.sources.predictions import load_predictions, model_name, store_predictions
 from kinfold.sources.tables import read_driver_table
 
@@ -40,6 +40,11 @@ def predictions(spark, sf):
     return long.select("model_name", "id", "y_true", "y_pred", "y_prob", "weight")
 
 
+def states(spark, sf):
+    """Predictions collapsed to distinct scores and written once, for what reads them several times."""
+    return cut_lineage(evaluate.collapse(predictions(spark, sf)))
+
+
 _SUMS_SQL = f"""
     SELECT model_name, {", ".join(
         f"sum(CASE WHEN y_true = {t} AND y_pred = {p} THEN coalesce(weight, 1) ELSE 0 END) AS {c}, "
@@ -85,7 +90,7 @@ RANKED_SQL = f"""
 
 def metrics(spark, sf):
     """All metrics, rounded so that both engines rank the same numbers."""
-    return rounded_doubles(evaluate.all_metrics(predictions(spark, sf)), 6)
+    return rounded_doubles(evaluate.all_metrics(states(spark, sf)), 6)
 
 
 @query("confusion_weighted", sql=f"""
@@ -110,7 +115,7 @@ def metrics_weighted(spark, sf):
     SELECT model_name, threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM ({_CURVE_SQL}) c
     UNION ALL SELECT DISTINCT model_name, NULL, 0e0, 0e0 FROM {PREDICTIONS_SQL} p WHERE y_prob IS NOT NULL""")
 def roc(spark, sf):
-    points = evaluate.roc_points(predictions(spark, sf))
+    points = evaluate.roc_points(states(spark, sf))
     return points.withColumns({c: F.round(c, 6) for c in ("fpr", "tpr")})
 
 
@@ -118,7 +123,7 @@ def roc(spark, sf):
     SELECT model_name, threshold, round(tpr, 6) AS recall, round(precision, 6) AS precision FROM ({_CURVE_SQL}) c
     UNION ALL SELECT DISTINCT model_name, NULL, 0e0, 1e0 FROM {PREDICTIONS_SQL} p WHERE y_prob IS NOT NULL""")
 def precision_recall(spark, sf):
-    points = evaluate.pr_points(predictions(spark, sf))
+    points = evaluate.pr_points(states(spark, sf))
     return points.withColumns({c: F.round(c, 6) for c in ("recall", "precision")})
 
 
@@ -126,7 +131,7 @@ def precision_recall(spark, sf):
     SELECT model_name, round(roc_auc, 6) AS roc_auc, round(roc_auc, 6) AS auc, round(aupr, 6) AS aupr
     FROM ({AREAS_SQL}) a""")
 def auc_weighted(spark, sf):
-    return rounded_doubles(evaluate.curve_areas(predictions(spark, sf)), 6)
+    return rounded_doubles(evaluate.curve_areas(states(spark, sf)), 6)
 
 
 @query("all_metrics", sql=f"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kinfold.functions.missing import col
 from kinfold.operators.cumulative import average_rank
 from kinfold.operators.groups import attach
+from kinfold.session import cut_lineage
 
 
 def shared_rank(value: Column, partition: Sequence[str], descending: bool) -> Column:
@@ -58,7 +59,8 @@ def feature_ranks(importances: DataFrame) -> DataFrame:
         chosen = F.when(F.col("__has"), F.col("importance")).otherwise(F.col("abs"))
     else:
         sized, chosen = importances, col("importance" if "importance" in columns else "abs")
-    values = sized.select("model", "feature", chosen.cast("double").alias("value"))
+    # Ranking reads the values three times: for the bounds, the ties and the result.
+    values = cut_lineage(sized.select("model", "feature", chosen.cast("double").alias("value")))
     return average_rank(values, ["model"], "value", descending=True).select("model", "feature", "rank")
 
 

@@ -114,6 +114,44 @@ CAPTIONS = {
 }
 
 
+# What the member table has besides, described by rule.
+_UNIT_TEXTS = {"aes1": "for each equivalent adult", "aes2": "for each equivalent adult on the older scale", "pc": "for each member"}
+_FOOD_TEXTS = {"cereals": "cereals", "roots": "roots and tubers", "nuts": "nuts and pulses", "veggie": "vegetables", "meat": "meat, fish and eggs",
+               "fruit": "fruit", "cooked": "cooked food", "milk": "milk", "sugar": "sugar, fat and oil", "beverage": "drinks", "spice": "spices"}
+_PERIOD_TEXTS = {"i1": "a week", "i2": "a month", "j": "three months", "k": "a year"}
+_FACT_TEXTS = {"religion": "Religion", "lang1": "Whether reading and writing in the first language is possible",
+               "lang2": "Whether reading and writing in the second language is possible", "attend": "Whether school was ever attended",
+               "edu": "Highest schooling", "ill": "Illness", "job": "Main work", "marital": "Marital status"}
+MEMBER_CAPTIONS = {
+    **CAPTIONS,
+    "age": "Age in years, from the later answer or else the earlier one", "total_hh_member": "Members of the household",
+    "total_adult": "Members of 18 years and more", "gr_total0_17": "Band of the number of members below 18",
+    "aes1": "Equivalent adults of the household", "aes2": "Equivalent adults of the household on the older scale",
+    "hh_head_gender": "Sex of the household's head", "hh_head_job": "Main work of the household's head",
+    "total_aes1_nonfood_exp_inf": "Monthly spending on other things than food at base prices for each equivalent adult",
+    **{f"{u}_total_exp_food": f"Monthly spending on food at base prices {text}" for u, text in _UNIT_TEXTS.items()},
+    **{f"{u}_exp_{c}2": f"Monthly spending on {food} at base prices {text}"
+       for c, food in _FOOD_TEXTS.items() for u, text in _UNIT_TEXTS.items()},
+    **{f"nonfood_exp_monthly_{t}": f"Monthly spending on what is remembered for {span}" for t, span in _PERIOD_TEXTS.items()},
+    **{f"{u}_total_exp_non_food_{t}": f"Monthly spending on what is remembered for {span}, at base prices {text}"
+       for t, span in _PERIOD_TEXTS.items() for u, text in _UNIT_TEXTS.items()},
+    **{f"total_rainy_labor_{t}": f"Hours of {work} on all plots in the rainy season" for t, work in (
+        ("landprep", "preparing land"), ("weed", "weeding"), ("harvest", "harvesting"))},
+    "food_score_ctg": "Band of the food consumption score", "other_income_monthly": "Monthly income from transfers and other sources",
+    "cash_assistance_12month": "Assistance in cash over twelve months", "inkind_assistance_12month": "Assistance in kind over twelve months",
+    "aes1_monthly_cash_assist": "Monthly assistance in cash for each equivalent adult",
+    "aes1_monthly_inkind_assist": "Monthly assistance in kind for each equivalent adult",
+    "asset_sale_value": "What the household's assets would sell for", "assetindex": "First component of the assets owned",
+    "asset_q": "Wealth quintile of the household", "school_feed": "1 if listed for feeding at school",
+    "mother_educ": "Schooling of the mother or the oldest woman, as coded", "father_educ": "Schooling of the father or the oldest man, as coded",
+    "oldest_female_hh": "1 for the oldest woman of the household", "oldest_male_hh": "1 for the oldest man of the household",
+    **{f"oldest_{sex}_{n}": f"{_FACT_TEXTS[n]} of the household's oldest {who}"
+       for sex, who, facts in (("female", "woman", OLDEST_FEMALE_FACTS), ("male", "man", OLDEST_FACTS)) for n in facts},
+    "freq_religion": "Religion of most households of the community", "freq_language": "Language of most households of the community",
+    "freq_marriage": "Kind of marriage of most households of the community",
+}
+
+
 def load_survey(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The survey's tables from Parquet files named as the survey names them."""
     return {name: read_table(spark, f"{folder.rstrip('/')}/{file}.parquet") for name, file in SURVEY_TABLES.items()}
@@ -320,3 +358,10 @@ def write_child_sample(spark: SparkSession, folder: str, out: str) -> None:
     with written_tables(spark):
         write_table(with_captions(child_sample(load_survey(spark, folder)), CAPTIONS), out)
     write_table(dictionary_rows(spark, {c: t for c, t in recodes.VALUE_LABELS.items() if c in FINAL}), f"{out}_labels")
+
+
+def write_member_table(spark: SparkSession, folder: str, out: str, **parts) -> None:
+    """Read the survey's tables; write the member table with captions. ``parts`` are the switches of ``member_table``."""
+    with written_tables(spark):
+        members = member_table(load_survey(spark, folder), **parts)
+        write_table(with_captions(members, {c: t for c, t in MEMBER_CAPTIONS.items() if c in members.columns}), out)

@@ -16,6 +16,7 @@ from kinfold.functions.money import inflator, monthly, per_unit
 from kinfold.functions.recode import banded
 from kinfold.operators.groups import category_totals
 from kinfold.operators.merge import merge, require_unique
+from kinfold.session import cut_lineage
 
 UNITS = {"aes1": "aes1", "aes2": "aes2", "pc": "total_hh_member"}
 
@@ -103,6 +104,28 @@ def recall_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, h
     )
 
 
+def combined_spending(items: DataFrame, scales: DataFrame, prices: DataFrame, *, household: str, item: str, amount: str,
+                      tag: str, periods: Mapping[str, str], month="month", categories=FOOD_CATEGORIES,
+                      only: Collection[str] | None = None) -> DataFrame:
+    """What ``food_spending`` and ``recall_spending`` give, for item rows that count for both, from one aggregation.
+
+    The rows are read, priced and joined to the household's sizes once. The index is aggregated from what may be a large
+    table, so it is written before it is checked and looked up.
+    """
+    names = [name for name, _, _ in categories]
+    kept = [n for n in names if only is None or any(f"{u}_exp_{n}2" in only for u in UNITS)]
+    coded = items.withColumn("category", banded(item, categories)) if kept else items
+    totals = coded.groupBy(household).agg(
+        group_total(F.col(amount).cast("double")).alias("total_exp_food"), *category_totals("category", kept, amount),
+        *category_totals(tag, list(periods), amount, prefix="period_"))
+    priced = _priced(totals, scales, cut_lineage(prices), household, month)
+    parts = {t: f"total_exp_non_food_{t}" for t in periods}
+    priced = priced.withColumns({parts[t]: monthly(f"period_{t}", period) for t, period in periods.items()})
+    return priced.select(
+        household, *per_unit(["total_exp_food"], UNITS, only=only), *per_unit([f"exp_{n}" for n in kept], UNITS, suffix="2", only=only),
+        *per_unit(list(parts.values()), UNITS, only=only))
+
+
 def total_spending(food: str, parts: Sequence[str]) -> dict[str, Column]:
     """Non-food and overall spending per equivalent adult; missing parts count as zero."""
     return {"total_aes1_nonfood_exp_inf": row_total(*parts), "total_aes1_exp_inf": row_total(food, *parts)}

@@ -25,9 +25,9 @@ def dictionary_rows(spark, labels: Mapping[str, Mapping[int, str]]) -> DataFrame
 
 def with_captions(df: DataFrame, captions: Mapping[str, str]) -> DataFrame:
     """Store a caption in the metadata of each column."""
-    for column, caption in captions.items():
-        df = df.withMetadata(column, {**df.schema[column].metadata, "label": caption})
-    return df
+    return df.select(*[
+        F.col(f.name).alias(f.name, metadata={**f.metadata, "label": captions[f.name]}) if f.name in captions else F.col(f.name)
+        for f in df.schema.fields])
 
 
 def caption_of(df: DataFrame, column: str) -> str | None:

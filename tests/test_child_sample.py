@@ -159,6 +159,33 @@ def test_captions_name_modelling_columns():
     assert set(cs.CAPTIONS) <= set(cs.FINAL)
 
 
+def test_captions_of_the_member_table(spark, village, tmp_path):
+    for name, df in village.items():
+        write_table(df, f"{tmp_path}/in/{cs.SURVEY_TABLES[name]}.parquet")
+    cs.write_member_table(spark, f"{tmp_path}/in", f"{tmp_path}/members.parquet")
+    members = read_table(spark, f"{tmp_path}/members.parquet")
+    described = {c for c in members.columns if caption_of(members, c)}
+    # All amounts, hours, scores and values of the household have one, and no caption is left without a column but those of
+    # the columns that only the modelling table has.
+    assert set(cs.MEMBER_CAPTIONS) - described <= set(cs.FINAL)
+    assert len(described) >= 85 and {c for c in members.columns if "exp" in c or "labor" in c} <= described
+    assert members.filter("PID = 12").head().total_rainy_labor_landprep == 24.0
+
+
+def test_shared_folder_is_empty_after_written_tables(spark, village, tmp_path, monkeypatch):
+    from kinfold import session
+    from kinfold.sources.dta import read_survey_file, write_survey_file
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/shared")
+    with session.written_tables(spark):
+        assert cs.member_table(village).count() == 5
+        path = session.own_folder(spark, "survey")
+        write_survey_file(village["housing"].select("y3_hhid", "hh_f34"), path)
+        assert read_survey_file(spark, path).count() == 1
+        assert len(list((tmp_path / "shared").iterdir())) > 3
+    assert not list((tmp_path / "shared").iterdir())
+
+
 def test_csv(spark, tmp_path):
     path = f"{tmp_path}/t.csv"
     frame(spark, "a int, b string", (1, "x")).coalesce(1).write.option("header", True).csv(path)
