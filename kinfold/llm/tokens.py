@@ -94,6 +94,8 @@ class Cache(dict):
 
 # A space after white space belongs to what comes before, so texts with such a place are not cut at spaces.
 _AFTER_SPACE = re.compile(r"\s ")
+# The same for Arrow's regular expressions, all white space spelled out.
+AFTER_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 _PAIRS = [chr(c) + " " for c in range(128) if chr(c).isspace()]
 
 
@@ -112,7 +114,7 @@ def space_pieces(text: str) -> list[str]:
 # ASCII signs, none of which the pattern joins with letters; the apostrophe is one it does.
 _SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 # Letters below are letters in every edition of Unicode.
-_LATIN = "\u0250"
+LATIN = "\u0250"
 
 
 def finer_pieces(piece: str) -> list[str]:
@@ -133,6 +135,6 @@ def finer_pieces(piece: str) -> list[str]:
     stem = piece.rstrip(_SIGNS)
     if len(stem) < len(piece):
         letters = stem[1:] if stem[:1] == " " else stem
-        if letters.isalpha() and max(letters) < _LATIN:
+        if letters.isalpha() and max(letters) < LATIN:
             return [stem, piece[len(stem):]]
     return [piece]

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,8 +76,15 @@ def test_pieces_of_odd_strings_encode_like_whole_ones():
             # Not a byte-level vocabulary: only single words are the same in pieces, which shows whose answers are kept.
             texts, whole = zip(*[(t, w) for t, w in zip(texts, whole) if t.isalpha()])
         for dtype in ("<u2", "<u4", "<u2"):
-            found = token_files.encode_batch(list(texts), path, np.dtype(dtype))
-            assert [tuple(np.frombuffer(x, dtype).tolist()) for x in found] == list(whole)
+            for low in range(0, len(texts), 500):
+                ids, counts = token_files.encode_batch(pa.array(texts[low:low + 500]), path, np.dtype(dtype))
+                ends = np.cumsum([0, *counts]).tolist()
+                assert ids.dtype == dtype and [tuple(ids[a:b].tolist()) for a, b in zip(ends, ends[1:])] == list(whole[low:low + 500])
+    for texts in ([], [""], [None, "", None], ["<|endoftext|>"], [" ", "  ", " a"]):
+        path = tokens.vocabulary_path(token_files.VOCABULARY)
+        ids, counts = token_files.encode_batch(pa.array(texts, pa.string()), path, np.dtype("<u2"))
+        expected = [tokens.fast_tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(expected, []) and counts.tolist() == list(map(len, expected))
 
 
 def sign_strings(n):
