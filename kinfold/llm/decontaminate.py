@@ -11,7 +11,9 @@ passes are put together per document when there is more than one.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.fm_index import BREAK, END, FIRST_WORD, FMIndex
+from kinfold.llm.shared import cut_lineage
 from kinfold.llm.words import ALPHANUMERIC, Words, word_groups
 
 WINDOW = 10
@@ -146,17 +149,19 @@ def _merged(spans: str) -> F.Column:
                   'end', greatest(try_element_at(done, -1).end, x.end)))) END)""")
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Broadcast]:
-    """The phrases of the benchmark, in broadcasts of about ``block_bytes`` of text each."""
-    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        "item_id IS NOT NULL AND text IS NOT NULL")
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The phrases of the benchmark in broadcasts of about ``block_bytes`` of text each, one at a time, and whether it is the only one.
+
+    Blocks are dealt by rows: the items of a document are put together from all of them, so an item may be in several,
+    and only a single text can make a block larger.
+    """
+    bench = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").filter("text IS NOT NULL")
     total = bench.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    out = []
     for block in range(blocks):
-        part = bench.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else bench
-        out.append(benchmark.sparkSession.sparkContext.broadcast(phrases([tuple(r) for r in part.collect()], window)))
-    return out
+        part = bench.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else bench
+        rows = [tuple(r) for r in part.distinct().collect()]
+        yield benchmark.sparkSession.sparkContext.broadcast(phrases(rows, window)), blocks == 1
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -167,43 +172,45 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     columns ``extra``, n_words, items (ids of items with an occurrence, as sorted strings), word_spans and spans
     (merged occurrences in words and in code points, ends exclusive).
 
-    A null or empty text has no words and nothing is found in it; items without words or id are ignored; rows of
-    one item id are taken together; repeated documents each get their row. Very long texts form a shard alone.
-    An empty benchmark gives documents without occurrences. Items come to the driver in blocks of ``block_bytes``.
+    A null or empty text has no words and nothing is found in it; items without words are ignored; rows of
+    one item id are taken together, those without an id as an item named by the empty text; repeated documents each get
+    their row. Very long texts form a shard alone. An empty benchmark gives documents without occurrences. A benchmark of
+    more than ``block_bytes`` is passed in blocks: each comes to the driver, goes to the tasks for a pass that
+    is written at once, and is released before the next one.
     """
-    known_blocks = _blocks(benchmark, window, block_bytes)
-    blocks = len(known_blocks)
-    mark = F.xxhash64("doc_id", "text") if blocks > 1 else None
     rows = docs.select("doc_id", "text", *extra)
-    rows = rows.withColumn("row_mark", mark) if blocks > 1 else rows
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text")
-    schema += f", n_words bigint, items array<string>, word_spans {SPANS}, spans {SPANS}"
+    marked = rows.withColumn("row_mark", F.xxhash64(*[F.col(c) for c in rows.columns]))
     parts = []
-    for known in known_blocks:
-        parts.append(rows.mapInArrow(lambda batches, known=known: (
-            out for batch in batches for out in _scan(batch, known.value)), schema))
-    if blocks == 1:
-        return parts[0]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    # Rows of equal id and text are alike, so each pass has as many of them: count them once.
+    for known, only in _blocks(benchmark, window, block_bytes):
+        source = rows if only else marked
+        schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "text")
+        schema += f", n_words bigint, items array<string>, word_spans {SPANS}, spans {SPANS}"
+        found = source.mapInArrow(lambda batches, known=known: (out for batch in batches for out in _scan(batch, known.value)), schema)
+        if only:
+            return found
+        parts.append(cut_lineage(found))
+        known.destroy()
+    union = reduce(DataFrame.unionByName, parts)
+    # Rows that are alike have the same mark, so each pass has as many of them: count them once.
     grouped = union.groupBy("doc_id", "row_mark").agg(
         *[F.first(c).alias(c) for c in extra], F.first("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.flatten(F.collect_list("word_spans")).alias("w"), F.flatten(F.collect_list("spans")).alias("s"),
-        (F.count("*") / blocks).cast("int").alias("copies"))
+        (F.count("*") / len(parts)).cast("int").alias("copies"))
     return grouped.select(
         "doc_id", *extra, "n_words", "items", _merged("w").alias("word_spans"), _merged("s").alias("spans"),
         F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` in which nothing of the benchmark occurs, with all their columns; a pass for each block."""
-    for known in _blocks(benchmark, window, block_bytes):
+    """The rows of ``docs`` in which nothing of the benchmark occurs, with all their columns; a written pass for each block."""
+    for known, only in _blocks(benchmark, window, block_bytes):
         docs = docs.mapInArrow(lambda batches, known=known: (
             batch.filter(pa.array([not items for part in _scan(batch.select(["text"]), known.value)
                                    for items in part.column("items").to_pylist()], pa.bool_())) for batch in batches), docs.schema)
+        if not only:
+            docs = cut_lineage(docs)
+            known.destroy()
     return docs
 
 

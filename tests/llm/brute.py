@@ -15,8 +15,7 @@ def contamination(docs, items, window=10):
     for item, text in items:
         own = words(text)
         for i in range(max(1, len(own) - window + 1) if own else 0):
-            if item is not None:
-                phrases[tuple(own[i:i + window])].add(str(item))
+            phrases[tuple(own[i:i + window])].add("" if item is None else str(item))
     lengths = {len(p) for p in phrases}
     out = []
     for doc_id, text in docs:

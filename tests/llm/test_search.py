@@ -67,6 +67,21 @@ def test_contamination(spark, odd_texts):
     assert {r[2:] for r in digest(decontaminate.find_contamination(frame, bench.limit(0)))} == {
         (0, 0, hashlib.sha256(b"").hexdigest(), False)}
     assert decontaminate.find_contamination(frame.limit(0), bench).count() == 0
+    # Whole documents go by the same hits, in one block or in many; items without an id count.
+    clean = sorted((d for d, found in zip(docs, brute.contamination(docs, ITEMS)) if not found[5]), key=str)
+    for block_bytes in (1 << 20, 60):
+        kept = decontaminate.drop_contaminated(frame, bench, block_bytes=block_bytes)
+        assert tuples(kept, "doc_id", "text") == clean
+
+
+def test_rows_of_one_id_keep_their_own_columns(spark):
+    """Rows that differ in a carried column only, over many blocks."""
+    docs = spark.createDataFrame([(1, "w1 w2 here", "a"), (1, "w1 w2 here", "b"), (1, "w1 w2 here", "b"), (2, None, None)],
+                                 "doc_id bigint, text string, source string")
+    bench = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(40)], "item_id bigint, text string")
+    found = decontaminate.find_contamination(docs, bench, block_bytes=50, extra=("source",))
+    assert tuples(found.selectExpr("doc_id", "source", "array_join(items, ',') i")) == sorted(
+        [(1, "a", "1"), (1, "b", "1"), (1, "b", "1"), (2, None, "")], key=str)
 
 
 def test_contaminated_spans_are_cut(spark):
