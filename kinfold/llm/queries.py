@@ -103,7 +103,7 @@ def toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = documents(spark, folder)
     scored = score(docs, train(docs, table(spark, folder, "labels")))
-    return scored.select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold() == HELD_OUT_FOLD, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

@@ -154,14 +154,29 @@ def _features(words: int, segments, rate: float, log_k: float) -> tuple[float, f
     return float(np.log1p(max(bits))), float(np.log1p(sum(bits))), float(np.log1p(sum(b > 0.7 for b in bits)))
 
 
-def _measure(batches, scores: np.ndarray, rate: float):
-    """Words, best score and all scores of each calibration text."""
+def _found(batch: pa.RecordBatch, scores: np.ndarray):
+    """Words and segments of each text of a batch."""
+    for group in word_groups(batch.column("text"), ALPHANUMERIC, lower=True):
+        yield from _segments(group, scores)
+
+
+def _best(batches, scores: np.ndarray, rate: float):
+    """Over the task's ordinary texts with a segment: their number, and the sum of how far the best ones lie beyond their lengths."""
+    beyond, texts = 0.0, 0
+    for batch in batches:
+        for toxic, (n, segments) in zip(batch.column("toxic").to_pylist(), _found(batch, scores)):
+            if segments and not toxic:
+                beyond += rate * max(s for _, _, s in segments) - float(np.log(max(n, 1)))
+                texts += 1
+    yield pa.RecordBatch.from_arrays([pa.array([beyond]), pa.array([texts], pa.int64())], ["beyond", "texts"])
+
+
+def _calibration(batches, scores: np.ndarray, rate: float, log_k: float):
+    """The label and the three features of each calibration text."""
     for batch in batches:
-        rows = [(n, [s for _, _, s in found]) for group in word_groups(batch.column("text"), ALPHANUMERIC, lower=True)
-                for n, found in _segments(group, scores)]
+        rows = [_features(n, segments, rate, log_k) for n, segments in _found(batch, scores)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array([n for n, _ in rows], pa.int64()),
-             pa.array([s for _, s in rows], pa.list_(pa.float64()))], ["toxic", "words", "scores"])
+            [batch.column("toxic"), *[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)]], ["toxic", "best", "all", "number"])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -182,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     """Fit on at most ``most`` labelled documents; their texts stay on the executors.
 
     Log-odds come from two folds of ids, the calibration from a third, and a fourth is never looked at. The
-    driver gets counts of at most 2^18 bins, and three numbers and the segment scores of each calibration document.
+    driver gets counts of at most 2^18 bins, and four numbers of each calibration document.
     """
     chosen = docs.select("doc_id", "text").join(F.broadcast(labelled_sample(labels, most)), "doc_id")
     counted = chosen.filter(F.col("fold").isin(*WEIGHT_FOLDS)).select("text", "toxic").mapInArrow(
@@ -193,12 +208,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     scores = bin_scores(counts[:2, :-1], (int(counts[0, -1]), int(counts[1, -1])))
     rate = decay_rate(scores, counts[2, :-1])
     spread = docs.sparkSession.sparkContext.broadcast(scores)
-    rows = chosen.filter(F.col("fold") == CALIBRATION_FOLD).select("text", "toxic").mapInArrow(
-        lambda batches: _measure(batches, spread.value, rate), "toxic int, words bigint, scores array<double>").collect()
+    calibration = chosen.filter(F.col("fold") == CALIBRATION_FOLD).select("text", "toxic")
     # The mean of a Gumbel law gives K from the best segments of ordinary texts.
-    best = [rate * max(r.scores) - np.log(max(r.words, 1)) for r in rows if not r.toxic and r.scores]
-    log_k = float(np.mean(best) - np.euler_gamma) if best else 0.0
-    x = np.array([_features(r.words, [(0, 0, s) for s in r.scores], rate, log_k) for r in rows] or [(0.0, 0.0, 0.0)])
+    beyond, texts = calibration.mapInArrow(lambda batches: _best(batches, spread.value, rate), "beyond double, texts bigint").agg(
+        F.coalesce(F.sum("beyond"), F.lit(0.0)), F.coalesce(F.sum("texts"), F.lit(0))).head()
+    log_k = float(beyond / texts - np.euler_gamma) if texts else 0.0
+    rows = calibration.mapInArrow(lambda batches: _calibration(batches, spread.value, rate, log_k),
+                                  "toxic int, best double, all double, number double").collect()
+    x = np.array([(r.best, r["all"], r.number) for r in rows] or [(0.0, 0.0, 0.0)])
     y = np.array([float(r.toxic > 0) for r in rows] or [0.0])
     center, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     weights = _logistic(np.column_stack([np.ones(len(x)), (x - center) / scale]), y)

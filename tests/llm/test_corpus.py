@@ -6,12 +6,14 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.llm import disclosure, fertility, sharding, toxicity, warc
+from kinfold.llm import disclosure, fertility, sharding, toxicity, warc, words
 from kinfold.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -436,3 +438,134 @@ def test_thresholds_hold_at_every_size(spark, texts_each, generalised, removed):
         assert len(names & set(hit)) / len(names) == generalised
         assert sum(hit.get(n, False) for n in names) / len(names) == removed
         assert not harmless & set(hit) and set(hit) <= names
+
+
+# Plain versions of what the contracts leave to the method.
+
+def test_shards_are_runs_of_one_order(spark, odd_docs):
+    """Shards are consecutive runs of all rows in the order of (hash of the text, doc_id), numbered from 0."""
+    copies = spark.createDataFrame([(5000 + i, "one text of very many copies " * 3) for i in range(700)]
+                                   + [(9000 + i % 40, f"short {i % 90}") for i in range(400)], "doc_id bigint, text string")
+    docs = odd_docs.select("doc_id", "text").unionByName(copies)
+    placed = sharding.shard_by_bytes(docs, shards=4, range_bytes=2000)
+    texts = sharding.keyed(docs).select("doc_id", "text", "size", "key", "order_id", F.crc32("text").alias("crc")).collect()
+    order = sorted((r.key, r.order_id, r.size) for r in texts)
+    by_row = {}
+    for r in texts:
+        by_row.setdefault((r.doc_id, r.crc or 0), (r.key, r.order_id, r.size))
+    got = sorted((r.shard, r.slot, by_row[r.doc_id, r.text_crc32]) for r in placed.collect())
+    assert [row for _, _, row in got] == order
+    assert [slot for _, slot, _ in got] == [i for _, n in sorted(Counter(s for s, _, _ in got).items()) for i in range(n)]
+    total, group = sum(r.size for r in texts), Counter()
+    for r in texts:
+        group[r.key] += r.size
+    shards = {}
+    for shard, _, (key, _, _) in got:
+        shards.setdefault(key, set()).add(shard)
+    # Only what is larger than the tolerance may be cut.
+    assert all(group[key] > total / 4 * sharding.TOLERANCE for key, own in shards.items() if len(own) > 1)
+
+
+def test_fertility_against_the_libraries(spark, odd_docs, odd_texts):
+    """The four measures and the verdict, word by word with the libraries themselves."""
+    from kinfold.llm import tokens
+
+    pieces, ranks = tokens.piece_model(tokens.vocabulary_path(fertility.PIECES)), tokens.rank_encoding(tokens.vocabulary_path(fertility.RANKS))
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows += [(100_000 + i, t, "en" if i % 2 else None) for i, t in odd_texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    found = {r.doc_id: r for r in fertility.measure(docs).collect()}
+    kept = 0
+    for i, text, lang in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        ids = [x for w in own for x in pieces.encode(w)]
+        by_ranks = sum(len(ranks.encode_ordinary(" " + w)) for w in own)
+        chars, r = sum(map(len, own)), found[i]
+        if not own:
+            assert (r.chars_per_piece, r.chars_per_rank_token, r.byte_share, r.entropy, r.kept) == (0, 0, 0, 0, False)
+            continue
+        counts = Counter(ids)
+        entropy = -sum(n / len(ids) * math.log2(n / len(ids)) for n in counts.values())
+        byte_share = sum(pieces.is_byte(x) for x in ids) / len(ids)
+        assert (r.chars_per_piece, r.chars_per_rank_token, r.byte_share) == pytest.approx((chars / len(ids), chars / by_ranks, byte_share))
+        assert r.entropy == pytest.approx(entropy, abs=1e-9)
+        band = fertility.BANDS.get(lang) or fertility.BANDS["latin" if len(text.encode()) <= 1.4 * len(text) else "other"]
+        inside = (band.least_pieces <= chars / len(ids) <= band.most_chars and band.least_ranks <= chars / by_ranks <= band.most_chars
+                  and byte_share <= band.most_bytes and entropy >= band.least_entropy)
+        n_words, _, _, _, repeated = brute.quality(text)
+        assert r.kept == (inside and n_words >= 20 and 100 * repeated <= 30 * n_words)
+        kept += r.kept
+    assert 50 < kept < len(rows)
+
+
+def test_toxicity_against_a_plain_version(spark):
+    """Log-odds, the extreme-value law, features and scores with plain loops; the fit by its own condition."""
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text")
+    long = spark.createDataFrame([(10**6 + i, " ".join(f"filler{k % 97}" for k in range(30_000))) for i in range(6)], "doc_id bigint, text string")
+    docs = docs.unionByName(long)
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet").select("doc_id", "toxic").unionByName(
+        spark.createDataFrame([(10**6 + i, i % 2) for i in range(6)], "doc_id bigint, toxic int"))
+    model = toxicity.train(docs, labels)
+    texts, known = dict(map(tuple, docs.collect())), dict(map(tuple, labels.filter("toxic IS NOT NULL").collect()))
+    fold = {i: zlib.crc32(str(i).encode()) % 4 for i in known}
+    bins = {}
+    for i, text in texts.items():
+        groups = list(words.word_groups(pa.array([text or ""]), words.ALPHANUMERIC, lower=True))
+        bins[i] = [int(b) for g in groups for b in toxicity._bins(g)]
+    toxic, other, ordinary, n = Counter(), Counter(), Counter(), [0, 0]
+    for i in known:
+        if fold[i] in toxicity.WEIGHT_FOLDS and i in texts:
+            (toxic if known[i] else other).update(set(bins[i]))
+            n[0 if known[i] else 1] += 1
+            if not known[i]:
+                ordinary.update(bins[i])
+    scores = {}
+    for b in range(1 << toxicity.BINS):
+        a, o = toxic[b], other[b]
+        prior = toxicity.PRIOR * (a + o) / max(1, sum(n)) + 1e-3
+        odds = lambda k, m: math.log((k + prior) / (m + toxicity.PRIOR - min(k + prior, m + toxicity.PRIOR - 1)))
+        apart = odds(a, n[0]) - odds(o, n[1])
+        doubt = toxicity.DOUBT * math.sqrt(1 / (a + prior) + 1 / (o + prior))
+        scores[b] = math.copysign(max(0.0, abs(apart) - doubt), apart) - toxicity.WORD_COST
+    assert max(abs(scores[b] - model.scores[b]) for b in scores) < 1e-9
+    # The rate solves its equation over ordinary words.
+    share = {b: ordinary[b] + 0.5 * (scores[b] > 0) for b in scores}
+    whole = sum(share.values())
+    assert sum(w / whole * math.exp(min(model.rate * scores[b], 50)) for b, w in share.items()) == pytest.approx(1, abs=1e-6)
+
+    def segments(i):
+        # In short texts every segment is found by trying all of them.
+        own = [scores[b] for b in bins[i]]
+        if len(own) <= 150:
+            return [s for _, _, s in brute.segments(own)]
+        total = np.concatenate([[0.0], np.cumsum(own)])
+        at = [k for k, s in enumerate(own) if s > 0]
+        return [s for _, _, s in toxicity.maximal_segments([total[k] for k in at], [total[k + 1] for k in at])]
+
+    def features(i):
+        found = segments(i)
+        bits = [math.log1p(math.exp(min(700, model.rate * s - model.log_k - math.log(max(len(bins[i]), 1))))) for s in found]
+        return (math.log1p(max(bits)), math.log1p(sum(bits)), math.log1p(sum(b > 0.7 for b in bits))) if bits else (0.0, 0.0, 0.0)
+
+    calibration = [i for i in known if fold[i] == toxicity.CALIBRATION_FOLD and i in texts]
+    best = [model.rate * max(found) - math.log(len(bins[i])) for i in calibration if not known[i] and (found := segments(i))]
+    assert model.log_k == pytest.approx(sum(best) / len(best) - np.euler_gamma, abs=1e-6)
+    x, y = np.array([features(i) for i in calibration]), np.array([float(known[i] > 0) for i in calibration])
+    assert np.allclose(model.center, x.mean(0), atol=1e-6) and np.allclose(model.scale, np.maximum(x.std(0), 1e-9), atol=1e-6)
+    design = np.column_stack([np.ones(len(x)), (x - model.center) / model.scale])
+    p = 1 / (1 + np.exp(-design @ model.weights))
+    assert np.abs(design.T @ (y - p) - np.array([1e-6, 1e-2, 1e-2, 1e-2]) * model.weights).max() < 1e-4
+    some = sorted(texts)[:150] + [10**6]
+    found = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for i in some:
+        z = model.weights[0] + (np.array(features(i)) - model.center) / model.scale @ model.weights[1:]
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-6)
+
+
+def test_held_out_is_never_null(spark, tmp_path):
+    rows = [(i, f"text {i} with a few words") for i in range(40)] + [(None, "no id")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = QUERIES["op2_toxic_segments"](spark, str(tmp_path)).collect()
+    assert len(found) == 41 and {r.held_out for r in found if r.doc_id is None} == {False}
+    assert {r.doc_id for r in found if r.held_out} == {i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2}
