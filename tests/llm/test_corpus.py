@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -466,6 +467,34 @@ def test_shards_are_runs_of_one_order(spark, odd_docs):
     assert all(group[key] > total / 4 * sharding.TOLERANCE for key, own in shards.items() if len(own) > 1)
 
 
+def plain_script(text):
+    """By the first words of the characters' names."""
+    names = {"LATIN": "latin", "GREEK": "greek", "CYRILLIC": "cyrillic", "HEBREW": "hebrew", "ARABIC": "arabic", "DEVANAGARI": "devanagari",
+             "THAI": "thai", "HANGUL": "hangul", "CJK": "han", "HIRAGANA": "han", "KATAKANA": "han"}
+    found = Counter(names.get(unicodedata.name(c, "?").split()[0], "other") for c in text if ord(c) > 127 or c.isalpha())
+    return found.most_common(1)[0][0]
+
+
+def test_prose_of_other_scripts_is_kept_and_noise_is_not(spark):
+    """A sentence in each script, and the same letters strewn into words that no vocabulary knows."""
+    prose = {
+        "cyrillic": "Совет собрался во вторник, чтобы обсудить новый мост через реку, который скоро соединит обе части старого города. ",
+        "greek": "Το συμβούλιο συνεδρίασε την Τρίτη για να συζητήσει τη νέα γέφυρα πάνω από το ποτάμι, που θα ενώσει σύντομα την παλιά πόλη. ",
+        "arabic": "اجتمع المجلس يوم الثلاثاء لمناقشة الجسر الجديد فوق النهر الذي سيربط قريبا بين جزأي المدينة القديمة في وقت قصير. ",
+        "hebrew": "המועצה התכנסה ביום שלישי כדי לדון בגשר החדש מעל הנהר, שיחבר בקרוב את שני חלקי העיר העתיקה זה לזה. ",
+        "devanagari": "परिषद की बैठक मंगलवार को नदी पर बने नए पुल पर चर्चा करने के लिए हुई, जो जल्द ही पुराने शहर के दोनों हिस्सों को जोड़ेगा। ",
+        "hangul": "위원회는 화요일에 모여 강을 건너는 새 다리에 대해 논의했으며 이 다리는 곧 오래된 도시의 두 부분을 연결할 것이다. "}
+    rng, rows = random.Random(21), []
+    for k, (script, text) in enumerate(prose.items()):
+        assert fertility.script_of(text) == script == plain_script(text)
+        rows.append((2 * k, text + " ".join(reversed(text.split())), None))
+        rows.append((2 * k + 1, " ".join("".join(rng.choice("0123456789abcdefXYZ+/=_^~") for _ in range(30)) + "é日" * 8 for _ in range(60)), None))
+    assert fertility.script_of("東京は日本の首都です") == "han" and fertility.script_of("𒀀𒀁𒀂") == "other"
+    found = {r.doc_id: r for r in fertility.measure(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert {i for i, r in found.items() if r.kept} == {2 * k for k in range(len(prose))}
+
+
 def test_fertility_against_the_libraries(spark, odd_docs, odd_texts):
     """The four measures and the verdict, word by word with the libraries themselves."""
     from kinfold.llm import tokens
@@ -489,7 +518,7 @@ def test_fertility_against_the_libraries(spark, odd_docs, odd_texts):
         byte_share = sum(pieces.is_byte(x) for x in ids) / len(ids)
         assert (r.chars_per_piece, r.chars_per_rank_token, r.byte_share) == pytest.approx((chars / len(ids), chars / by_ranks, byte_share))
         assert r.entropy == pytest.approx(entropy, abs=1e-9)
-        band = fertility.BANDS.get(lang) or fertility.BANDS["latin" if len(text.encode()) <= 1.4 * len(text) else "other"]
+        band = fertility.BANDS.get(lang) or fertility.BANDS["latin" if len(text.encode()) <= 1.4 * len(text) else plain_script(text)]
         inside = (band.least_pieces <= chars / len(ids) <= band.most_chars and band.least_ranks <= chars / by_ranks <= band.most_chars
                   and byte_share <= band.most_bytes and entropy >= band.least_entropy)
         n_words, _, _, _, repeated = brute.quality(text)
