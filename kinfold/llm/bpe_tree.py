@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.shared import frugal
 from kinfold.llm.tokens import rank_encoding, ranks, vocabulary_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -173,6 +174,7 @@ def _in_steps(batches, rows: int = 512):
             yield batch.slice(low, rows)
 
 
+@frugal(keeps_cache=True)
 def _encode(batches, path: str):
     own = encoder(path)
     for batch in _in_steps(batches):
@@ -183,6 +185,7 @@ def _encode(batches, path: str):
             [*rest.schema.names, "n_tokens", "ids"])
 
 
+@frugal(keeps_cache=True)
 def _decode(batches, path: str):
     own = encoder(path)
     for batch in _in_steps(batches):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.fm_index import BREAK, END, FIRST_WORD, FMIndex
-from kinfold.llm.shared import cut_lineage
+from kinfold.llm.shared import cut_lineage, frugal
 from kinfold.llm.words import ALPHANUMERIC, Words, word_groups
 
 WINDOW = 10
@@ -141,6 +141,20 @@ def _scan(batch: pa.RecordBatch, known: Phrases):
             [*rest.schema.names, "n_words", "items", "word_spans", "spans"])
 
 
+@frugal(keeps_cache=False)
+def _found(batches, known: Broadcast):
+    for batch in batches:
+        yield from _scan(batch, known.value)
+
+
+@frugal(keeps_cache=False)
+def _clean(batches, known: Broadcast):
+    """The rows in which nothing is found, with all their columns."""
+    for batch in batches:
+        yield batch.filter(pa.array([not items for part in _scan(batch.select(["text"]), known.value)
+                                     for items in part.column("items").to_pylist()], pa.bool_()))
+
+
 def _merged(spans: str) -> F.Column:
     """Overlapping and touching spans of an array as one, in order."""
     return F.expr(f"""aggregate(array_sort({spans}), cast(array() as {SPANS}), (done, x) ->
@@ -185,7 +199,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         source = rows if only else marked
         schema = ", ".join(f"`{c}` {t}" for c, t in source.dtypes if c != "text")
         schema += f", n_words bigint, items array<string>, word_spans {SPANS}, spans {SPANS}"
-        found = source.mapInArrow(lambda batches, known=known: (out for batch in batches for out in _scan(batch, known.value)), schema)
+        found = source.mapInArrow(lambda batches, known=known: _found(batches, known), schema)
         if only:
             return found
         parts.append(cut_lineage(found))
@@ -205,9 +219,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` in which nothing of the benchmark occurs, with all their columns; a written pass for each block."""
     for known, only in _blocks(benchmark, window, block_bytes):
-        docs = docs.mapInArrow(lambda batches, known=known: (
-            batch.filter(pa.array([not items for part in _scan(batch.select(["text"]), known.value)
-                                   for items in part.column("items").to_pylist()], pa.bool_())) for batch in batches), docs.schema)
+        docs = docs.mapInArrow(lambda batches, known=known: _clean(batches, known), docs.schema)
         if not only:
             docs = cut_lineage(docs)
             known.destroy()

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinfold.llm.shared import frugal
 from kinfold.llm.tokens import Cache, piece_model, rank_encoding, vocabulary_path
 from kinfold.llm.words import SPACED, Words, windows, word_groups
 
@@ -24,7 +25,7 @@ RUN = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 _SYMBOLS = np.array([chr(c) in "#*$%&|<>" for c in range(256)])
-_words = Cache(entries=250_000)
+_words = Cache(entries=400_000)
 
 
 @dataclass(frozen=True)
@@ -123,10 +124,10 @@ def _base(group: Words, texts: list[str | None]) -> dict[str, list[int]]:
     }
 
 
-def _answers(words: list[str], pieces, encoding) -> list[tuple]:
-    """Per word: ids of the piece model, its byte tokens, and tokens of the rank vocabulary."""
+def _answers(words: list[str], pieces, encoding) -> list[bytes]:
+    """Per word, as 32-bit numbers: ids of the piece model, its byte tokens, and tokens of the rank vocabulary."""
     found = pieces.encode(words, num_threads=1)
-    return [(array("I", ids).tobytes(), sum(map(pieces.is_byte, ids)), len(encoding.encode_ordinary(" " + w)))
+    return [array("I", [*ids, sum(map(pieces.is_byte, ids)), len(encoding.encode_ordinary(" " + w))]).tobytes()
             for w, ids in zip(words, found)]
 
 
@@ -135,11 +136,15 @@ def fit(words: list[str], chars: int, pieces, encoding, key=None) -> tuple[float
     if not words:
         return 0.0, 0.0, 0.0, 0.0
     found = _words.lookup(words, lambda new: _answers(new, pieces, encoding), key)
-    ids = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
-    share = np.bincount(ids)
-    share = share[share > 0] / len(ids)
-    return (chars / len(ids), chars / max(1, sum(f[2] for f in found)), sum(f[1] for f in found) / len(ids),
-            float(-(share * np.log2(share)).sum()))
+    numbers = np.frombuffer(b"".join(found), np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+    by_ranks, in_bytes = int(numbers[ends - 1].sum()), int(numbers[ends - 2].sum())
+    own = np.ones(len(numbers), bool)
+    own[ends - 1] = own[ends - 2] = False
+    share = np.bincount(numbers[own])
+    n = len(numbers) - 2 * len(found)
+    share = share[share > 0] / n
+    return chars / n, chars / max(1, by_ranks), in_bytes / n, float(-(share * np.log2(share)).sum())
 
 
 def within(band: Band, by_pieces: float, by_ranks: float, bytes_: float, entropy: float) -> bool:
@@ -175,6 +180,7 @@ def _measure(batches, paths: tuple[str, str], bands: dict[str, Band]):
                 [*rest.schema.names, *_COUNTS, *_FIT, "base_failed", "kept"])
 
 
+@frugal(keeps_cache=True)
 def _kept(batches, text: str, paths: tuple[str, str], bands: dict[str, Band]):
     """The rows of whole batches that the rules keep."""
     for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinfold.llm.graph import components
-from kinfold.llm.shared import cut_lineage
+from kinfold.llm.shared import cut_lineage, frugal
 from kinfold.llm.words import SPACED, Words, mix, windows, word_groups
 from kinfold.operators.dedup import first_per_key
 from kinfold.operators.merge import join_on
@@ -69,6 +69,7 @@ def _needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+@frugal(keeps_cache=False)
 def _count_bins(batches, width: int):
     counts = np.zeros(1 << BIN_BITS, np.int32)
     for batch in batches:
@@ -89,6 +90,7 @@ def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
     return lengths
 
 
+@frugal(keeps_cache=False)
 def _marks(batches, width: int):
     """Size, 128-bit mark and bits of every set; an empty one has neither mark nor bits."""
     for batch in batches:
@@ -123,6 +125,7 @@ def _mark(own: np.ndarray):
     return np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64) if len(own) else (None, None)
 
 
+@frugal(keeps_cache=False)
 def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
     """Size and mark of every set, the shingles of its short lists, and how many of these no task saw often."""
     for batch in batches:
@@ -138,6 +141,7 @@ def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
             ["doc_id", "n", "mark1", "mark2", "short", "cold"])
 
 
+@frugal(keeps_cache=False)
 def _linked(batches, width: int, percent: int):
     """Of pairs with both texts, those whose sets overlap enough; the shorter set is probed in the longer one."""
     for batch in batches:
@@ -260,6 +264,7 @@ def _remaining_pairs(mixed: DataFrame, percent: int) -> DataFrame:
         "a", "b").distinct()
 
 
+@frugal(keeps_cache=False)
 def _possible(batches, columns: list[str], percent: int):
     """Rows of pairs whose bits leave room for the overlap that a link needs."""
     for batch in batches:

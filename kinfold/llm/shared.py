@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from functools import wraps
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.session import cut_lineage, shared_dir
 
-__all__ = ["batches_of_bytes", "cut_lineage", "documents", "new_folder", "open_folder", "publish", "table"]
+__all__ = ["batches_of_bytes", "cut_lineage", "documents", "frugal", "give_back", "new_folder", "open_folder", "publish", "table"]
 
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 512
 
@@ -22,6 +25,33 @@ def batches_of_bytes(spark: SparkSession) -> SparkSession:
 
 
 
+def give_back() -> None:
+    """Hand memory that a worker has freed back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not that C library
+        pass
+
+
+def frugal(keeps_cache: bool):
+    """For task functions: a worker lives on for other tasks and operators, so what it doesn't need goes back at the end.
+
+    Without ``keeps_cache`` the answers that another operator has cached in this worker go first.
+    """
+    def decorate(function):
+        @wraps(function)
+        def run(batches, *arguments):
+            from kinfold.llm.tokens import Cache
+
+            if not keeps_cache and Cache.last is not None:
+                Cache.last.empty()
+            yield from function(batches, *arguments)
+            give_back()
+        return run
+    return decorate
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
