@@ -1,7 +1,8 @@
 """Exact numbers from doubles: sums that do not depend on the order of rows, and an order over (double, id) as one number.
 
-Plain column expressions. A double is a whole number times a power of two, so cut at fixed places it is a few whole
-digits to the base 2^60; sums of digits are whole numbers, which any order of rows gives alike.
+Plain column expressions. A double stands for the decimal number it is written as (0.1 is a tenth), which is a whole number of
+at most 17 digits times a power of ten. Cut at fixed places it is a few whole digits to the base 10^18; sums of digits are
+whole numbers, which any order of rows gives alike.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Three digits reach 180 bits below the largest value: all doubles down to 1e-38 of it are held in full.
-DIGITS, BASE_BITS = 3, 60
-BASE = 1 << BASE_BITS
+# Three digits reach 54 decimal places below the largest value: all doubles down to 1e-37 of it are held in full.
+DIGITS, PLACES = 3, 18
+BASE = 10**PLACES
+_WHOLE = "decimal(38,0)"
 
 
 def _power(exponent: Column) -> Column:
@@ -29,32 +31,50 @@ def binary_exponent(value: Column) -> Column:
     return F.greatest(e, F.lit(-1074))
 
 
-def unit_of(df: DataFrame, value: str) -> DataFrame:
-    """One row with the power of two at or below the largest magnitude of a column, the place that digits begin at."""
-    top = F.max(F.abs(F.col(value).cast("double")))
-    return df.agg(top.alias("top")).select(F.when(F.col("top") > 0, _power(binary_exponent(F.col("top")))).otherwise(1.0).alias("unit"))
+def _written(value: Column) -> tuple[Column, Column]:
+    """The whole number of a double's digits, and the power of ten it is to be multiplied by."""
+    text = F.abs(value.cast("double")).cast("string")
+    mantissa, power = F.split_part(text, F.lit("E"), F.lit(1)), F.split_part(text, F.lit("E"), F.lit(2))
+    places = F.length(F.split_part(mantissa, F.lit("."), F.lit(2)))
+    exponent = F.when(power == "", 0).otherwise(F.try_to_number(power, F.lit("S999")).cast("int")) - places
+    return F.replace(mantissa, F.lit("."), F.lit("")).cast("bigint"), exponent
 
 
-def digits(value, unit) -> list[Column]:
-    """Whole digits of a finite double to the base 2^60, highest first, signed like the value; ``unit`` is from ``unit_of``.
+def top_place(df: DataFrame, value: str) -> DataFrame:
+    """One row with the decimal place above the largest magnitude of a column, where digits begin; 0 without any."""
+    whole, exponent = _written(F.col(value))
+    place = F.when(whole > 0, F.length(whole.cast("string")) + exponent)
+    return df.agg(F.coalesce(F.max(place), F.lit(0)).alias("place"))
 
-    Every step is exact: multiplying by a power of two and taking off a whole part lose no bit.
+
+def _ten_to(exponent: Column) -> Column:
+    """10 to a power from 0 to 18, as a decimal."""
+    powers = F.array(*[F.lit(Decimal(10**k)).cast(_WHOLE) for k in range(PLACES + 1)])
+    return F.get(powers, exponent)
+
+
+def digits(value, place) -> list[Column]:
+    """Whole digits of a finite double to the base 10^18, highest first, signed like the value; ``place`` is from ``top_place``.
+
+    What lies below the last digit is cut off.
     """
-    # Twice the unit is above every value, so the first digit is below the base; a unit that big has no double of its own.
-    rest = F.abs(value.cast("double")) / unit / F.lit(2.0)
-    sign = F.when(value < 0, F.lit(-1)).otherwise(F.lit(1))
-    found = []
-    for _ in range(DIGITS):
-        shifted = rest * F.lit(float(BASE))
-        whole = F.floor(shifted)
-        found.append((whole * sign).cast("decimal(28,0)"))
-        rest = shifted - whole.cast("double")
-    return found
+    whole, exponent = _written(value)
+    # The number of places between the value's last digit and the lowest one that is kept.
+    shift = exponent - (place - DIGITS * PLACES)
+    kept = F.when(shift >= 0, whole.cast(_WHOLE)).when(shift < -PLACES, F.lit(0).cast(_WHOLE)).otherwise(
+        F.floor(whole.cast(_WHOLE) / _ten_to(-shift)).cast(_WHOLE))
+    shift = F.greatest(shift, F.lit(0))
+    moved = kept * _ten_to(shift % PLACES)
+    low = F.pmod(moved, F.lit(Decimal(BASE)).cast(_WHOLE))
+    high = ((moved - low) / F.lit(Decimal(BASE)).cast(_WHOLE)).cast(_WHOLE)
+    at, sign = F.floor(shift / PLACES), F.when(value < 0, F.lit(-1)).otherwise(F.lit(1))
+    return [(F.when(at == k, low).when(at + 1 == k, high).otherwise(F.lit(0).cast(_WHOLE)) * sign).cast("decimal(28,0)")
+            for k in range(DIGITS - 1, -1, -1)]
 
 
 def sign_of_sum(parts: Sequence[Column]) -> Column:
-    """-1, 0 or 1: the sign of a number given by whole digits to the base 2^60 of any size, highest first."""
-    base = F.lit(BASE).cast("decimal(38,0)")
+    """-1, 0 or 1: the sign of a number given by whole digits to the base 10^18 of any size, highest first."""
+    base = F.lit(Decimal(BASE)).cast(_WHOLE)
     carry, rests = F.lit(0).cast("decimal(38,0)"), []
     for part in reversed(parts[1:]):
         total = part.cast("decimal(38,0)") + carry

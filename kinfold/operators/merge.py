@@ -58,6 +58,8 @@ class MergeReport:
         before) for the sides that a merge checks.
         """
         found: dict[str, dict[str, int | None]] = {}
+        # Metrics arrive by the listener's queue, after the action itself.
+        SparkSession.getActiveSession().sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
         for name, one_to_one, seen in self.watched:
             own = found.setdefault(name, {"one_to_one": one_to_one})
             if seen._jo.future().isCompleted():

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.operators.cumulative import count_below, running_totals
-from kinfold.operators.exact import DIGITS, digits, sign_of_sum, unit_of
+from kinfold.operators.exact import DIGITS, digits, sign_of_sum, top_place
 
-_UNIT = "__unit"
+_PLACE = "__place"
 
 
 def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, ranges: int | None = None) -> DataFrame:
@@ -16,15 +16,15 @@ def weighted_cuts(df: DataFrame, score: str, weight: str, groups: int = 5, range
 
     A cut is the least score whose cumulated weight passes its share of the total,
     or the mean of that score and the one that meets the share exactly. Both are decided on exact sums, so
-    the cuts do not depend on how the rows are spread, and weights may have any size: what lies below 1e-38 of the
-    largest weight counts to that precision. A NaN score counts as missing, and so does a weight that is not finite.
+    the cuts do not depend on how the rows are spread, and weights may have any size: a weight counts as the decimal number it
+    is written as, to 54 places from the largest one's first. A NaN score counts as missing, and so does a weight that is not finite.
     """
     w = F.col(weight).cast("double")
     usable = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & w.isNotNull() & ~F.isnan(w) & (F.abs(w) < float("inf"))
     rows = df.filter(usable).select(score, w.alias("w"))
     parts = [f"w{i}" for i in range(DIGITS)]
-    held = rows.withColumn(_UNIT, unit_of(rows, "w").scalar())
-    by_score = held.select(score, *[d.alias(n) for d, n in zip(digits(F.col("w"), F.col(_UNIT)), parts)]).groupBy(score).agg(
+    held = rows.withColumn(_PLACE, top_place(rows, "w").scalar())
+    by_score = held.select(score, *[d.alias(n) for d, n in zip(digits(F.col("w"), F.col(_PLACE)), parts)]).groupBy(score).agg(
         *[F.sum(n).cast("decimal(38,0)").alias(n) for n in parts])
     running = running_totals(by_score, [], score, parts, ranges=ranges)
 

@@ -32,7 +32,7 @@ from pyspark.sql.types import (
 from kinfold.sources import dta_layout as dta
 from kinfold.sources.dta_layout import Layout, Variable
 from kinfold.sources.labels import dictionary_rows
-from kinfold.sources.tables import replace_folder
+from kinfold.sources.tables import remove_folder, replace_folder
 
 FORMAT = "dta"
 PARTITION_BYTES = 64 << 20
@@ -403,5 +403,9 @@ def write_survey_file(df: DataFrame, path: str, captions: Mapping[str, str] | No
     frame = json.dumps({"captions": captions, "labels": labels or {}, "widths": widths})
     staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
     _registered(df.sparkSession)
-    (df.coalesce(files) if files else df).write.format(FORMAT).mode("append").option("frame", frame).save(staged)
+    try:
+        (df.coalesce(files) if files else df).write.format(FORMAT).mode("append").option("frame", frame).save(staged)
+    except Exception:
+        remove_folder(df.sparkSession, staged)
+        raise
     replace_folder(df.sparkSession, staged, path)

@@ -49,7 +49,8 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} can't be renamed to {new}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, if it is there."""
     store, place = _store(spark, path)
     store.delete(place, True)
 
@@ -77,7 +78,7 @@ def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
             _rename(spark, old, path)
         raise
     if had:
-        _remove(spark, old)
+        remove_folder(spark, old)
     spark.catalog.refreshByPath(path)
 
 
@@ -91,7 +92,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()
     try:
         write_table(df, staged, partition_by)
     except Exception:
-        _remove(spark, staged)
+        remove_folder(spark, staged)
         raise
     replace_folder(spark, staged, path)
     return read_table(spark, path)
@@ -107,4 +108,4 @@ def settle_table(spark: SparkSession, path: str) -> None:
     if replaced and not table_exists(spark, path):
         _rename(spark, replaced.pop(), path)
     for rest in [*replaced, *_siblings(spark, path, _STAGED)]:
-        _remove(spark, rest)
+        remove_folder(spark, rest)

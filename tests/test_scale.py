@@ -200,12 +200,12 @@ def test_fractional_weights_give_the_same_groups_for_any_ranges(spark):
 
 
 def exact_groups(score, weight, n=5):
-    """Groups by fractions: no rounding anywhere."""
+    """Groups by fractions of what the weights are written as: no rounding anywhere."""
     from fractions import Fraction
 
     totals = {}
     for s, w in zip(score, weight):
-        totals[s] = totals.get(s, 0) + Fraction(w)
+        totals[s] = totals.get(s, 0) + Fraction(repr(w))
     whole, cuts = sum(totals.values()), []
     for p in range(1, n):
         cum, met = Fraction(0), None
@@ -219,8 +219,8 @@ def exact_groups(score, weight, n=5):
     return [1 + sum(c < s for c in cuts) for s in score]
 
 
-@pytest.mark.parametrize("weights", [[1e-12], [0.1], [1e12], [1e-12, 0.1, 1e12], [5e-324], [1.7e308, 1e290], [0.1, 0.3, 2.0**-60, 3.0],
-                                     [2.0**-139, 1.0], [0.0, 1.0]])
+@pytest.mark.parametrize("weights", [[1e-12], [0.1], [1e12], [1e-12, 0.1, 1e12], [4.9e-324], [1.7e308, 1e290], [0.1, 0.3, 2.0**-60, 3.0],
+                                     [1e-36, 1.0], [0.0, 1.0], [0.1, 0.2, 0.3, 0.7], [123456.789, 0.001, 1e-9]])
 def test_weights_of_any_size(spark, weights):
     random = np.random.default_rng(len(weights))
     score = [float(v) for v in random.integers(0, 40, 300)]
@@ -236,7 +236,7 @@ def test_weights_of_any_size(spark, weights):
 def test_exact_parts_of_doubles(spark):
     from fractions import Fraction
 
-    from kinfold.operators.exact import BASE, binary_exponent, digits, order_bits, sign_of_sum
+    from kinfold.operators.exact import BASE, binary_exponent, digits, order_bits, sign_of_sum, top_place
 
     random = np.random.default_rng(8)
     values = [abs(float(v)) for v in random.normal(size=300) * 10.0 ** random.integers(-300, 300, 300)]
@@ -246,9 +246,12 @@ def test_exact_parts_of_doubles(spark):
     for v, e, o in got:
         assert 2.0**e <= v and (e == 1023 or v < 2.0 ** (e + 1))
         assert o == int(np.float64(v).view(np.int64))
-    near = [(v,) for v in (0.1, -0.1, 1.9, 1e-20, -3e-30, 2.0**-100, 0.0)]
-    for r in spark.createDataFrame(near, "v double").select("v", F.array(*digits(F.col("v"), F.lit(1.0))).alias("d")).collect():
-        assert sum(Fraction(int(d), BASE ** (i + 1)) for i, d in enumerate(r.d)) * 2 == Fraction(r.v)
+    near = [(v,) for v in (0.1, -0.1, 9.9, 1e-20, -3.25e-30, 123e-7, 0.0, 5.0, 1.2345678901234567, 9.87654321e-36, 1e-60)]
+    for r in spark.createDataFrame(near, "v double").select("v", F.array(*digits(F.col("v"), F.lit(1))).alias("d")).collect():
+        held = sum(Fraction(int(d), BASE ** (i + 1)) for i, d in enumerate(r.d)) * 10
+        assert held == (Fraction(repr(r.v)) if abs(r.v) > 1e-37 else 0)
+    tops = spark.createDataFrame([(v,) for v in (0.0, 0.02, -345.6)], "v double")
+    assert top_place(tops, "v").head().place == 3 and top_place(tops.limit(1), "v").head().place == 0 and top_place(tops.limit(0), "v").head().place == 0
     parts = [[int(x) for x in random.integers(-3, 4, 3)] for _ in range(200)] + [[1, -BASE, 0], [1, -BASE, -1], [0, 1, -BASE], [-1, BASE, 0], [-1, BASE - 1, BASE]]
     frame_ = spark.createDataFrame([tuple(p) for p in parts], "a bigint, b bigint, c bigint")
     sign = lambda x: (x > 0) - (x < 0)

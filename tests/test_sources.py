@@ -142,8 +142,8 @@ def test_what_the_format_cannot_hold(spark, tmp_path, row):
     write_survey_file(frame(spark, "a bigint, b int, c string", (1, 2, "old")), path)
     with pytest.raises(Exception, match="out of range|2045"):
         write_survey_file(frame(spark, "a bigint, b int, c string", row), path)
-    # The old file is untouched.
-    assert rows(read_survey_file(spark, path)) == [(1.0, 2, "old")]
+    # The old file is untouched, and nothing is left beside it.
+    assert rows(read_survey_file(spark, path)) == [(1.0, 2, "old")] and os.listdir(tmp_path) == ["out"]
 
 
 def test_survey_file_to_texts(spark, tmp_path):
