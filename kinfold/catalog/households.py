@@ -214,6 +214,14 @@ SPREAD = StandIn("orders", (
     "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 18 + floor(o_totalprice) % 3 + (o_orderkey % 4) / 4e0 END AS age",
     "o_orderkey AS pid",
 ))
+# The same id in Spark, where the number may leave the longs: what lies beyond one end goes on at the other, as it does in 64 bits.
+_SPREAD_ID = ("CAST(pmod(CAST(o_orderkey % 1000003 * 2654435761 % 1000003 - 500000 AS DECIMAL(38, 0)) * 18446744073709 + o_orderkey"
+              " + 9223372036854775808, 18446744073709551616) - 9223372036854775808 AS BIGINT) AS member")
+
+
+def spread(orders):
+    """The rows of ``SPREAD`` for order keys of any size."""
+    return orders.selectExpr(*[_SPREAD_ID if c.endswith(" AS member") else c for c in SPREAD.columns])
 
 
 @query("oldest_of_any_id", sql=f"""
@@ -222,7 +230,7 @@ SPREAD = StandIn("orders", (
     FROM (SELECT *, row_number() OVER (PARTITION BY hh ORDER BY age DESC NULLS LAST, member) AS place
           FROM {SPREAD.sql} s WHERE age IS NOT NULL) o GROUP BY hh""")
 def oldest_of_any_id(spark, sf):
-    people = SPREAD.frame(spark, sf).filter("age IS NOT NULL")
+    people = spread(read_driver_table(spark, sf, "orders")).filter("age IS NOT NULL")
     return people.groupBy("hh").agg(oldest("age", "member", F.lit(True), "age", "pid").alias("o")).select(
         "hh", F.col("o.id").alias("oldest"), F.col("o.age").alias("oldest_age"), F.col("o.pid").alias("oldest_pid"))
 

@@ -277,6 +277,21 @@ def test_oldest_of_any_id_and_age(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_spread_ids_beyond_the_longs(spark):
+    """Keys whose id is within the longs, beyond one end of them, and keys whose product alone is beyond it."""
+    from kinfold.catalog.households import SPREAD, spread
+
+    keys = [1, 2, 138479, 1000003, 9_000_000_000, (1 << 63) - 1, -5, None]
+    orders = spark.createDataFrame([(k, 7, 1234.5) for k in keys], "o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    found = {r.pid: r.member for r in spread(orders).collect()}
+    exact = {k: (k * 2654435761 % 1000003 - 500000) * 18446744073709 + k for k in keys if k is not None and k > 0}
+    exact[-5] = (-(5 * 2654435761 % 1000003) - 500000) * 18446744073709 - 5
+    assert not -(1 << 63) <= exact[138479] < 1 << 63
+    assert found == {**{k: (e + (1 << 63)) % (1 << 64) - (1 << 63) for k, e in exact.items()}, None: None}
+    few = orders.filter("o_orderkey < 138479 AND o_orderkey > 0")
+    assert few.selectExpr(*SPREAD.columns).collect() == spread(few).collect()
+
+
 def test_component_of_columns_far_from_zero(spark):
     """Means of 1e9 around spreads of 1e-3, which the doubles themselves hold to some 1e-4, and a column without variation."""
     from fractions import Fraction
