@@ -292,6 +292,31 @@ def test_spread_ids_beyond_the_longs(spark):
     assert few.selectExpr(*SPREAD.columns).collect() == spread(few).collect()
 
 
+def test_least_plots_are_sorted_narrow(spark):
+    """Repeated plots: packed whole numbers give what the plain columns give, which doubles still take."""
+    from kinfold.plans.labour import labour_hours
+
+    random = np.random.default_rng(5)
+    tasks, names = {"one": "q1", "two": "q2"}, [f"{q}{x}{n}" for q in ("q1", "q2") for x in "abcd" for n in range(1, 4)]
+    pick = {"a": [None, -(1 << 40), 5, 1 << 40], "b": [None, 0, 3], "c": [None, -2, 7], "d": [None, 1, 300]}
+    rows = [(int(h), int(g), *[pick[c[2]][random.integers(len(pick[c[2]]))] for c in names])
+            for h, g in random.integers(0, 6, (400, 2))] + [(None, 1, *[1] * 24), (None, 1, *[None] * 24), (3, None, *[2] * 24)]
+    kinds = {"a": "bigint", "b": "int", "c": "smallint", "d": "int"}
+    df = spark.createDataFrame(rows, "h bigint, g int, " + ", ".join(f"{c} bigint" for c in names)).selectExpr(
+        "h", "g", *[f"CAST({c} AS {kinds[c[2]]}) AS {c}" for c in names]).repartition(5)
+    plain = df.withColumns({c: F.col(c).cast("double") for c in names if c[2] != "a"})
+    found = lambda table: labour_hours(table, "h", "m", tasks, 3, plot="g")
+    told = lambda out: sorted(map(repr, out.collect()))
+    assert found(df).schema == found(plain).schema and told(found(df)) == told(found(plain)) and len(told(found(df))) > 10
+    for none in (df.limit(0), df.withColumns({c: F.lit(None).cast("int") for c in names})):
+        assert found(none).count() == 0
+    # Ids too far apart for a word are sorted as they are.
+    far = df.withColumn("q1a1", F.when(F.col("g") == 2, (1 << 63) - 1).when(F.col("g") == 3, -(1 << 63)))
+    assert told(found(far)) == told(found(far.withColumns({c: F.col(c).cast("double") for c in names if c[2] == "b"})))
+    sorts = [line for line in found(df)._jdf.queryExecution().executedPlan().toString().splitlines() if " Sort [" in line and "words" in line]
+    assert sorts and not any("a_one" in line for line in sorts)
+
+
 def test_component_of_columns_far_from_zero(spark):
     """Means of 1e9 around spreads of 1e-3, which the doubles themselves hold to some 1e-4, and a column without variation."""
     from fractions import Fraction
