@@ -36,7 +36,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and what they decode to, of every document."""
-    decoded = bpe_tree.decode(bpe_tree.encode(docs))
+    # Written in between: a task of both would keep two Python workers with a vocabulary each.
+    decoded = bpe_tree.decode(cut_lineage(bpe_tree.encode(docs)))
     return decoded.select("doc_id", "n_tokens", "ids", F.decode("decoded", "UTF-8").alias("text"))
 
 

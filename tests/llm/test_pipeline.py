@@ -1,10 +1,12 @@
 """The pipeline's stages against plain versions, each on what the one before it kept."""
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kinfold.llm import bpe_tree, disclosure, fertility, tokens
+from kinfold.llm.tokens import Cache, vocabulary_path
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -50,3 +52,15 @@ def test_run_and_empty_documents(spark, no_docs, tmp_path):
     spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert corpus_pipeline.run(spark, SMALL).count() > 100
+
+
+def test_encoding_keeps_one_worker_per_task_and_no_answers_of_others(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id bigint, text string")
+    out = corpus_pipeline.encoding(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [(r.doc_id, r.text) for r in out.sort("doc_id").collect()] == [(1, "one two"), (2, "")]
+    cache = Cache()
+    cache.lookup(["a"], lambda new: [b"1"])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["one two"]})
+    encoded = list(bpe_tree._encode([batch], vocabulary_path(bpe_tree.VOCABULARY)))
+    assert not cache and encoded[0].column("n_tokens").to_pylist() == [out.filter("doc_id = 1").first().n_tokens]
