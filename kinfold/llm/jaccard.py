@@ -10,12 +10,14 @@ A pair's candidates stand in the list of its first common shingle, near enough t
 follows can be the overlap that their two sizes ask for. Bit vectors of the sets drop most pairs that don't reach it before
 their texts are compared.
 
-List lengths come from counts over all documents in 2^22 bins, of which each task reports those well
-above its mean. They only order the lists, so their bins never change a result.
+List lengths come from counts over all documents in 2^22 bins, of which those well above the mean are taken as
+long. They only order the lists, so their bins never change a result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,12 +33,15 @@ from kinfold.operators.merge import join_on
 WIDTH = 5
 PERCENT = 80
 BIN_BITS = 22
+BLOCK_BINS = 1 << 16
 ID_BINS = 1 << 20
-# Turns of one pair per document: at least one, and more while a list entry stands in that many pairs of different components and
-# a turn's pairs are links at this rate. What is left is always compared in the same way, so these only choose how often.
-PAIRS_PER_ENTRY = 32
+# Turns of one pair per document: one over all lists, and more over those that hold more than so many entries outside their main
+# component, until a turn takes less than this share of these off a list. They end when what these lists still ask to compare is no more
+# than the entries of all lists times the last number. What is left is always compared in the same way, so these only choose how often.
+FEW_OTHERS = 8
 LEAST_GAIN = 0.05
-MOST_TURNS = 10
+MOST_TURNS = 12
+PAIRS_PER_ENTRY = 0.25
 # Bits kept for each shingle of a set.
 BITS_EACH = 4
 _HASH = "__text_hash"
@@ -71,23 +76,38 @@ def _needed(n: int, percent: int) -> int:
 
 @frugal(keeps_cache=False)
 def _count_bins(batches, width: int):
+    """Documents of a task per bin, up to 255, in blocks of bins."""
     counts = np.zeros(1 << BIN_BITS, np.int32)
     for batch in batches:
         for group in word_groups(batch.column("text"), SPACED, lower=True):
             sets = list(_group_sets(group, width))
             np.add.at(counts, (np.concatenate(sets) >> np.uint64(64 - BIN_BITS)).astype(np.int64), 1)
-    mean = counts.sum() / len(counts)
-    bins = np.flatnonzero(counts > mean + 4 * np.sqrt(mean) + 1)
-    yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(counts[bins].astype(np.int64))], ["bin", "n"])
+    blocks = np.minimum(counts, 255).astype(np.uint8).reshape(-1, BLOCK_BINS)
+    kept = np.flatnonzero(blocks.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array([blocks[k].tobytes() for k in kept], pa.binary())], ["block", "counts"])
+
+
+@frugal(keeps_cache=False)
+def _sum_blocks(batches):
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
+            own = sums.setdefault(block, np.zeros(BLOCK_BINS, np.int64))
+            own += np.frombuffer(counts.as_buffer(), np.uint8)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int32()), pa.array([np.minimum(own, 2**31 - 1).astype("<i4").tobytes() for own in sums.values()], pa.binary())],
+        ["block", "counts"])
 
 
 def list_lengths(texts: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """Documents per bin of shingles, 0 where no task saw more than its share; 16 MB whatever the input."""
-    rows = texts.select("text").mapInArrow(lambda batches: _count_bins(batches, width), "bin int, n bigint")
-    found = rows.groupBy("bin").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow().to_pydict()
-    lengths = np.zeros(1 << BIN_BITS, np.int32)
-    lengths[found["bin"]] = found["n"]
-    return lengths
+    """Documents per bin of shingles, 0 where they are not well above the mean of all bins; 16 MB whatever the input."""
+    rows = texts.select("text").mapInArrow(lambda batches: _count_bins(batches, width), "block int, counts binary")
+    lengths = np.zeros(1 << BIN_BITS, np.int32).reshape(-1, BLOCK_BINS)
+    for block, counts in rows.repartition("block").mapInArrow(_sum_blocks, "block int, counts binary").collect():
+        lengths[block] = np.frombuffer(counts, "<i4")
+    mean = float(lengths.mean(dtype=np.float64))
+    lengths[lengths <= mean + 4 * np.sqrt(mean) + 1] = 0
+    return lengths.ravel()
 
 
 @frugal(keeps_cache=False)
@@ -112,7 +132,7 @@ def _bits(own: np.ndarray) -> bytes:
 
 
 def _short(own: np.ndarray, lengths: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The shingles of a set's short lists in the one order that all sets share (by list length, then by value), and how many tasks saw often."""
+    """The shingles of a set's short lists in the one order that all sets share (by list length, then by value), and how many of them are in long ones."""
     weight = lengths[(own >> np.uint64(64 - BIN_BITS)).astype(np.int64)]
     keep = len(own) - _needed(len(own), percent) + 1
     if not weight.any():
@@ -127,7 +147,7 @@ def _mark(own: np.ndarray):
 
 @frugal(keeps_cache=False)
 def _short_lists(batches, lengths: np.ndarray, width: int, percent: int):
-    """Size and mark of every set, the shingles of its short lists, and how many of these no task saw often."""
+    """Size and mark of every set, the shingles of its short lists, and how many of these are in no long list."""
     for batch in batches:
         sets = list(shingle_sets(batch.column("text"), width))
         marks = [_mark(own) for own in sets]
@@ -182,7 +202,7 @@ def _reach(percent: int) -> F.Column:
 def _lists(entries: DataFrame, percent: int) -> DataFrame:
     """Entries that may have a partner in their list, written.
 
-    One needs another member within its reach that reaches as far as itself. Lists of shingles that tasks saw often are
+    One needs another member within its reach that reaches as far as itself. Lists of shingles that are counted as long are
     looked at in parts, so that no task gets a whole one; they are kept, and the next step looks at them as a whole.
     """
     dealt = entries.withColumns({
@@ -198,45 +218,50 @@ def _turn_mark(turn: int) -> int:
     return xxhash.xxh3_64_intdigest(b"turn %d" % turn) >> 2
 
 
-def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> tuple[DataFrame, int, int]:
-    """Entries of lists whose members have several labels, their pairs across labels, and their number.
+def _mixed(lists: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+    """Entries of lists whose members have several labels.
 
-    Each entry has the first member of its list (one with the least label, another one in every turn) and the list's
-    most frequent label, and entries without a partner in reach are dropped. All of it is added up by list and label first
-    and joined back, so a long list is split.
+    Each entry has its list's most frequent label, the first member of it (another one in every turn), and the number of entries with
+    other labels, now and before this turn. Entries without a partner in reach are dropped. All of it is added up
+    by list and label first and joined back, so a long list is split.
     """
-    entries = lists.select("doc_id", "n", "pos", "reach", "shingle")
+    entries = lists.select("doc_id", "n", "pos", "reach", "shingle", *([] if labels is None else [F.col("others").alias("before")]))
     order = F.col("doc_id").bitwiseXOR(F.lit(_turn_mark(turn)))
     bounds = [F.min("n").alias("least"), F.max("reach").alias("most")]
     if labels is None:
         # Every document has a label of its own.
-        placed = entries.withColumn("label", F.col("doc_id"))
+        placed = entries.withColumns({"label": F.col("doc_id"), "before": F.lit(None).cast("bigint")})
         by_list = placed.groupBy("shingle").agg(
-            F.count("*").alias("labels"), F.min(order).alias("order"), F.min_by("n", order).alias("first_n"),
-            F.min("doc_id").alias("main"), *bounds).withColumns({
-                "first_label": F.col("order").bitwiseXOR(F.lit(_turn_mark(turn))),
-                "pairs": F.col("labels").cast("double") * (F.col("labels") - 1) / 2, "all": F.col("labels")})
+            F.count("*").alias("labels"),
+            F.min(F.struct(order.alias("order"), "n")).alias("top"), *bounds).withColumns({
+                "main": F.col("top.order").bitwiseXOR(F.lit(_turn_mark(turn))), "others": F.lit(None).cast("bigint")})
     else:
         placed = join_on(entries, labels, "doc_id").withColumn("label", F.coalesce("label", "doc_id"))
         by_label = placed.groupBy("shingle", "label").agg(
-            F.count("*").alias("own"), F.min(order).alias("order"), F.min_by("n", order).alias("n"), F.min("n").alias("least"),
+            F.count("*").alias("own"), F.min(F.struct(order.alias("order"), "n")).alias("first"), F.min("n").alias("least"),
             F.max("reach").alias("most"))
         by_list = by_label.groupBy("shingle").agg(
-            F.count("*").alias("labels"), F.sum("own").alias("all"), F.sum(F.col("own").cast("double") * F.col("own")).alias("squares"),
-            F.min("label").alias("first_label"), F.min_by("order", "label").alias("order"), F.min_by("n", "label").alias("first_n"),
-            F.max_by("label", "own").alias("main"), F.min("least").alias("least"), F.max("most").alias("most")).withColumn(
-            "pairs", (F.col("all").cast("double") * F.col("all") - F.col("squares")) / 2)
-    by_list = cut_lineage(by_list.filter("labels > 1").withColumn(
-        "first_id", F.col("order").bitwiseXOR(F.lit(_turn_mark(turn)))).select(
-        "shingle", "all", "pairs", "first_label", "first_id", "first_n", "main", "least", "most"))
-    pairs, rows = by_list.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).head()
-    mixed = join_on(placed, by_list.drop("all", "pairs"), "shingle", "inner").filter("reach >= least AND n <= most").drop("least", "most")
-    return cut_lineage(mixed), pairs, rows
+            F.sum("own").alias("all"), F.count("*").alias("labels"), F.max(F.struct("own", "label", "first")).alias("largest"),
+            F.min("least").alias("least"), F.max("most").alias("most")).withColumns({
+                "main": F.col("largest.label"), "top": F.col("largest.first"), "others": F.col("all") - F.col("largest.own")})
+    by_list = by_list.filter("labels > 1").select(
+        "shingle", "others", "main", F.col("top.order").bitwiseXOR(F.lit(_turn_mark(turn))).alias("first_id"),
+        F.col("top.n").alias("first_n"), "least", "most")
+    mixed = join_on(placed, cut_lineage(by_list), "shingle", "inner")
+    return cut_lineage(mixed.filter("reach >= least AND n <= most").drop("least", "most"))
+
+
+def _crowded() -> F.Column:
+    """Whether an entry's list goes on to another turn: many of its members have other labels, and the last turn made them fewer.
+
+    The first turn compares with members picked from unlinked ones, so all crowded lists get a second one.
+    """
+    return F.expr(f"others > {FEW_OTHERS} AND (before IS NULL OR others <= {1 - LEAST_GAIN} * before)")
 
 
 def _pairs_with_first(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """One pair for each document: with the first member of a list, of those it may be linked with the one it shares most lists with."""
-    candidates = mixed.filter(f"label <> first_label AND 100 * least(n, first_n) >= {percent} * greatest(n, first_n)").groupBy(
+    candidates = mixed.filter(f"label <> main AND 100 * least(n, first_n) >= {percent} * greatest(n, first_n)").groupBy(
         F.col("doc_id").alias("a"), F.col("first_id").alias("b")).agg(F.count("*").alias("shared"))
     best = first_per_key(_bits_allow(candidates, sets, percent), ["a"], [F.desc("shared"), "b"])
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -294,18 +319,19 @@ def _bits_allow(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """Labels (doc_id, label) after each linked document has taken the least label among its new neighbours.
+    """Labels (doc_id, label) of all linked documents: the least document of the component that the links so far make.
 
-    A label is always a document of the same component. Labels may stay apart within one, which only costs comparisons.
+    Links go between components that are known already, so only these are joined.
     """
-    arcs = links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("doc_id")),
-                                          F.struct(F.col("b").alias("u"), F.col("a").alias("doc_id")))).alias("e")).select("e.*")
     if labels is None:
-        seen = arcs.select(F.col("u").alias("doc_id"), F.least("u", "doc_id").alias("label"))
-    else:
-        seen = join_on(arcs, labels, "doc_id").select(
-            F.col("u").alias("doc_id"), F.least("u", F.coalesce("label", "doc_id")).alias("label")).unionByName(labels)
-    return cut_lineage(seen.groupBy("doc_id").agg(F.min("label").alias("label")))
+        return cut_lineage(components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("label")))
+    side = lambda c: labels.select(F.col("doc_id").alias(c), F.col("label").alias(f"label_{c}"))
+    between = join_on(join_on(links, side("a"), "a"), side("b"), "b").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    joined = cut_lineage(components(between).select(F.col("node").alias("label"), "component"))
+    # A document that had no link before is a component of its own name.
+    known = labels.unionByName(joined.select(F.col("label").alias("doc_id"), "label")).distinct()
+    return cut_lineage(join_on(known, joined, "label").select("doc_id", F.coalesce("component", "label").alias("label")))
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -315,11 +341,11 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     the least doc_id reachable by links, class_id the least doc_id with the same set. text_hash (xxhash64 of the text) and
     set_mark tell rows of one doc_id apart. Needs doc_id (integer) and text; other columns are ignored.
 
-    Equal sets are joined first, by their 128-bit marks; only one document of each is searched. While lists hold many
-    pairs of different components, every document is compared with one first member of its lists per turn, and
-    components grow; in the end all pairs are compared that could still join two components and whose sizes and places in
-    the list let them overlap enough. So a group of near copies costs its size, and so does a passage that
-    many documents share without being linked by it; no link between components is missed.
+    Equal sets are joined first, by their 128-bit marks; only one document of each is searched. Every document is compared
+    with one first member of its lists, and components grow; while a list holds many documents outside its main component, and a
+    turn makes them fewer, these are compared with another member of that component. In the end all pairs are compared that
+    could still join two components and whose sizes and places in the list let them overlap enough. So a group of near copies
+    costs its size, and so does a passage that many documents share without being linked by it; no link between components is missed.
 
     A null text or one without words has an empty set and is alone. A row without doc_id is alone, with a null
     component. Repeated rows each get their row. An empty table gives no rows.
@@ -338,23 +364,23 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     entries = first_per_key(short, ["mark1", "mark2"], ["doc_id"]).select(
         "doc_id", "n", "cold", F.posexplode("short").alias("pos", "shingle")).select(
         "doc_id", "n", "pos", "shingle", (F.col("pos") >= F.col("cold")).alias("often"))
-    links, labels = None, None
-    mixed, pairs, rows = _mixed(_lists(entries, percent), None, 0)
+    labels, left, first_left = None, [], None
+    mixed = _mixed(_lists(entries, percent), None, 0)
     for turn in range(1, MOST_TURNS + 1):
-        found = cut_lineage(_pairs_with_first(mixed, filled_sets, percent))
-        new = _verify(found, texts, width, percent)
-        links = new if links is None else links.unionByName(new)
-        labels = _relabelled(labels, new)
-        # A list that has come to one label keeps it, so the next turn starts from what is mixed now.
-        mixed, pairs, rows = _mixed(mixed, labels, turn)
-        if pairs <= PAIRS_PER_ENTRY * rows or new.count() < LEAST_GAIN * found.count():
+        labels = _relabelled(labels, _verify(cut_lineage(_pairs_with_first(mixed, filled_sets, percent)), texts, width, percent))
+        mixed = _mixed(mixed, labels, turn)
+        entries_left, pairs = mixed.agg(F.count("*"), F.coalesce(F.sum(F.when(_crowded(), F.col("others"))), F.lit(0))).head()
+        first_left = entries_left if turn == 1 else first_left
+        if pairs <= PAIRS_PER_ENTRY * first_left:
             break
-    likely = _bits_allow(_remaining_pairs(mixed, percent), filled_sets, percent)
-    links = links.unionByName(_verify(cut_lineage(likely), texts, width, percent))
-    groups = components(links)
+        # All entries of a list leave together, with labels that may be joined later on: that only costs comparisons.
+        left.append(mixed.filter(~_crowded()))
+        mixed = mixed.filter(_crowded())
+    likely = _bits_allow(_remaining_pairs(reduce(DataFrame.unionByName, [*left, mixed]), percent), filled_sets, percent)
+    groups = _relabelled(labels, _verify(cut_lineage(likely), texts, width, percent))
     classes = first_per_key(sets.filter(filled), ["mark1", "mark2"], ["doc_id"])
     named = join_on(classes.select(F.col("doc_id").alias("class_id"), "mark1", "mark2"),
-                    groups.select(F.col("node").alias("class_id"), "component"), "class_id")
+                    groups.select(F.col("doc_id").alias("class_id"), F.col("label").alias("component")), "class_id")
     joined = join_on(sets.filter(filled), named, ["mark1", "mark2"])
     alone = sets.filter("n = 0 OR doc_id IS NULL").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"),

@@ -163,6 +163,30 @@ def test_passage_beyond_the_bound_links_all(spark):
     assert {r[2] for r in tuples(similar_documents(frame), "doc_id", "n_shingles", "component_id")} == {0}
 
 
+def test_near_copies_leave_fewer_pairs(spark, monkeypatch):
+    """Copies of a text with edits about the bound: turns go on while a list's main component grows. One turn left 18,778 of 79,800 pairs."""
+    from kinfold.llm import jaccard
+
+    rng = np.random.default_rng(3)
+    rates = rng.uniform(0.004, 0.016, 400)
+    docs = [(i, " ".join(f"e{rng.integers(1 << 40)}" if rng.random() < r else f"w{k}" for k in range(300))) for i, r in enumerate(rates)]
+    compared = []
+    remaining = jaccard._remaining_pairs
+    monkeypatch.setattr(jaccard, "_remaining_pairs", lambda *a: (found := remaining(*a), compared.append(found))[0])
+    found = similar_documents(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert found.select("component_id").distinct().count() == 16
+    assert compared[0].count() < 12_000
+
+
+def test_lists_count_as_long_by_all_tasks(spark):
+    """A passage that many documents share is in long lists, however few of them each task sees."""
+    from kinfold.llm.jaccard import list_lengths
+
+    docs = [(i, " ".join([*(f"p{k}" for k in range(9)), *(f"d{i}w{k}" for k in range(20))])) for i in range(40)]
+    lengths = list_lengths(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(40, "doc_id"))
+    assert sorted(lengths[lengths > 30].tolist()) == [40] * 5 and lengths.sum() < 250
+
+
 def test_random_groups_against_brute_force(spark):
     """Copies with edits about the bound, in sizes that overlap, next to passages that many share."""
     rng = np.random.default_rng(6)
