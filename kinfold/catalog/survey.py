@@ -15,6 +15,7 @@ from kinfold.plans.child_sample import (
     ASSET_CODES, FATHER_FACTS, FINAL, MOTHER_FACTS, OLDEST_FACTS, OLDEST_FEMALE_FACTS, child_sample, member_table,
 )
 from kinfold.plans.community import DISTANCES, FREQUENT, SHOCK_CODES
+from kinfold.session import freed_shuffles, written_tables
 from kinfold.sources.tables import read_driver_table
 
 
@@ -476,6 +477,7 @@ MERGE_COUNTS = [
     _count_sql(*fixed, **rules) for *fixed, rules in MERGE_COUNTS))
 def merge_counts(spark, sf):
     """Match counts of every merge of the survey job, from the job's own run."""
-    with merge_report() as report:
-        member_table(survey_tables(spark, sf), with_assets=False, with_shocks=False).write.format("noop").mode("overwrite").save()
+    with merge_report() as report, written_tables(spark), freed_shuffles(spark):
+        member_table(survey_tables(spark, sf), with_assets=False, with_shocks=False, in_steps=True).write.format(
+            "noop").mode("overwrite").save()
     return report.frame(spark)

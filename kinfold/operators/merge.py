@@ -206,15 +206,17 @@ def with_suffix(df: DataFrame, suffix: str, except_for: Sequence[str] = ()) -> D
 
 
 def parent_lookup(members: DataFrame, household: str, member_id: str, parent_id: str,
-                  attributes: Sequence[str], suffix: str, tiebreak: Sequence, name: str | None = None) -> DataFrame:
+                  attributes: Sequence[str], suffix: str, tiebreak: Sequence, name: str | None = None,
+                  among: DataFrame | None = None) -> DataFrame:
     """Attach attributes of the member whose id is named in ``parent_id``.
 
     Missing parent ids match a member with a missing id, as in the survey's rules;
-    where two members share an id the first by ``tiebreak`` is used.
+    where two members share an id the first by ``tiebreak`` is used. ``among`` are the same members from before other
+    merges, which are then not run again for the lookup.
     """
     from kinfold.operators.dedup import first_per_key
 
-    parents = first_per_key(members, [household, member_id], tiebreak)
+    parents = first_per_key(members if among is None else among, [household, member_id], tiebreak)
     parents = with_suffix(
         parents.select(household, F.col(member_id).alias(parent_id), *[c for c in attributes if c != parent_id]),
         suffix, except_for=[household, parent_id],

@@ -9,6 +9,7 @@ that AQE can split on a hot household.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from kinfold.plans.family import FEMALE, HEAD, MALE, beneficiary_list, head_valu
 from kinfold.plans.income import assistance, assistance_per_adult, other_income
 from kinfold.plans.labour import labour_hours
 from kinfold.plans.spending import food_spending, recall_spending, total_spending
-from kinfold.session import cut_lineage, written_tables
+from kinfold.session import Steps, cut_lineage, freed_shuffles, written_tables
 from kinfold.sources.labels import dictionary_rows, with_captions
 from kinfold.sources.tables import read_table, write_table
 
@@ -303,26 +304,41 @@ def _member_values(members: DataFrame) -> DataFrame:
 
 def member_table(tables: Mapping[str, DataFrame], *, with_assets: bool = True, with_shocks: bool = True,
                  with_mothers: bool = True, with_hours: bool = True, compat: bool = False, validate: bool = True,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, in_steps: bool = False) -> DataFrame:
     """Every member seen in both waves with all values, before the modelling columns are chosen.
 
     The ``with_`` switches leave out parts nobody will read, so their tables are not
-    read either; ``columns`` leaves out columns.
+    read either; ``columns`` leaves out columns. ``in_steps`` writes members and households after each merge, which
+    needs least disk where the whole table is wanted; without it, later selections still leave out what only others need.
     """
+    with freed_shuffles(tables["roster"].sparkSession) if in_steps else nullcontext():
+        return _member_table(tables, with_assets, with_shocks, with_mothers, with_hours, compat, validate, columns, in_steps)
+
+
+def _member_table(tables, with_assets, with_shocks, with_mothers, with_hours, compat, validate, columns, in_steps):
+    steps = Steps()
+
+    def settled(df: DataFrame, *replaced: DataFrame) -> DataFrame:
+        return steps.cut(df, *replaced) if in_steps else df
+
     # Read four times below: by household, by member, as fathers and as mothers.
-    people = cut_lineage(_only(people_table(tables, validate), HH, columns))
-    households = household_table(tables, people, with_assets=with_assets, with_shocks=with_shocks, compat=compat,
-                                 validate=validate, columns=columns)
-    members = people.filter(F.col(WAVES) == MATCHED).drop(WAVES)
+    people = steps.cut(_only(people_table(tables, validate), HH, columns))
+    households = settled(household_table(tables, people, with_assets=with_assets, with_shocks=with_shocks, compat=compat,
+                                         validate=validate, columns=columns))
+    seen = members = people.filter(F.col(WAVES) == MATCHED).drop(WAVES)
+    done = []
     facts = [("hh_b16b", FATHER_FACTS, "_father")] + ([("hh_b19b", MOTHER_FACTS, "_mother")] if with_mothers else [])
     for parent, attributes, suffix in facts:
         # Fathers and mothers are looked up among the members themselves.
-        known = [c for c in attributes if c in members.columns]
-        members = parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID], name=f"parent{suffix}")
+        known = [c for c in attributes if c in seen.columns]
+        members = settled(parent_lookup(members, HH, MEMBER, parent, known, suffix, tiebreak=[PID], name=f"parent{suffix}",
+                                        among=seen), *done)
+        done = [members]
     if with_hours:
         # Both sides have one row per member, so no key is hot, and check and join share one exchange.
-        members = merge(members, labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"), [HH, MEMBER], validate=validate,
-                        one_to_one=True, split_hot=False, name="plot_hours")
+        hours = settled(labour_hours(tables["plots"], HH, MEMBER, plot="gardenid"))
+        members = settled(merge(members, hours, [HH, MEMBER], validate=validate, one_to_one=True, split_hot=False,
+                                name="plot_hours"), people, hours, *done)
     return _member_values(merge(members, households, HH, validate=False, name="households"))
 
 

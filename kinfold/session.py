@@ -90,6 +90,52 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Steps:
+    """Written tables of a long job, each of which may take the place of earlier ones.
+
+    A single job keeps the shuffle files of all its merges until it ends. Written step by step, disk holds those of one merge at
+    a time (inside ``freed_shuffles``), besides the tables still needed. For frames that are wanted with all their columns:
+    columns that nobody reads later are computed and written all the same.
+    """
+
+    def __init__(self) -> None:
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame, *replaced: DataFrame) -> DataFrame:
+        """``cut_lineage``; earlier steps in ``replaced`` are removed then, nothing may read them any more."""
+        spark = df.sparkSession
+        path = own_folder(spark, "table")
+        df.write.parquet(path)
+        for old in replaced:
+            _remove(spark, self._paths.pop(id(old))[1])
+        out = spark.read.parquet(path)
+        self._paths[id(out)] = out, path
+        return out
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files of each action inside are removed when it ends, not when the driver happens to collect its garbage.
+
+    Frames that are run several times write their shuffles again each time.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def written_tables(spark: SparkSession):
     """Tables and folders that are written inside (``cut_lineage``, ``own_folder``) are removed at the end, also after an error.
@@ -102,7 +148,5 @@ def written_tables(spark: SparkSession):
     finally:
         paths = _written.get()
         _written.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
-            place = hadoop.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            _remove(spark, path)

@@ -186,6 +186,54 @@ def test_shared_folder_is_empty_after_written_tables(spark, village, tmp_path, m
     assert not list((tmp_path / "shared").iterdir())
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.length()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_merge_report_needs_disk_for_one_merge_at_a_time(spark, village, tmp_path, monkeypatch):
+    import time
+
+    from kinfold import session
+    from kinfold.catalog import survey
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/shared")
+    monkeypatch.setattr(survey, "survey_tables", lambda *_: village)
+    widest, read = [], session.own_folder
+    # Shuffles of what is written next have not begun when its folder is named: what is there is left from earlier steps.
+    monkeypatch.setattr(session, "own_folder", lambda *a: (time.sleep(0.2), widest.append(len(shuffle_files(spark) - before)), read(*a))[-1])
+    before = shuffle_files(spark)
+    counts = {r.merge: r for r in survey.merge_counts(spark, "").collect()}
+    assert len(widest) > 6 and not any(widest)
+    assert not list((tmp_path / "shared").iterdir())
+    own = counts["parent_mother"]
+    assert (own.base_rows, own.lookup_rows, own.matched) == (5, 5, 1) and counts["plot_hours"].base_repeats == 0
+    assert list(counts)[-4:] == ["parent_father", "parent_mother", "plot_hours", "households"]
+
+
+def test_member_table_in_steps(spark, village, tmp_path, monkeypatch):
+    """The same members, from few and small plans; tables that later ones replace are gone."""
+    from kinfold import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{tmp_path}/shared")
+    at_once = cs.member_table(village, with_assets=False)
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+    with session.written_tables(spark):
+        stepwise = cs.member_table(village, with_assets=False, in_steps=True)
+        assert stepwise.schema == at_once.schema and rows(stepwise, "PID") == rows(at_once, "PID")
+        # People, hours and members without hours are gone; left are sizes, communities, prices, households and members.
+        left = [p for p in (tmp_path / "shared").glob("table-*")]
+        assert joins(stepwise) == 1 and not any("total_rainy_labor_weed" in read_table(spark, str(p)).columns
+                                                and "hh_b16b" not in read_table(spark, str(p)).columns for p in left)
+        assert sum("hh_b16b" in read_table(spark, str(p)).columns for p in left) == 2  # people of the other table
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
+def test_fathers_are_joined_once(spark, village):
+    plan = cs.member_table(village, with_assets=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join LeftOuter" in line and "hh_b16b" in line for line in plan.splitlines()) == 1
+
+
 def test_csv(spark, tmp_path):
     path = f"{tmp_path}/t.csv"
     frame(spark, "a int, b string", (1, "x")).coalesce(1).write.option("header", True).csv(path)
